@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from paperledger.functions.text import PREFIX_LENGTH, _col
 
@@ -32,51 +32,45 @@ def parent_dir(c: Column | str) -> Column:
     return F.regexp_replace(_col(c), r"/[^/]*$", "")
 
 
-def parse_output_path(c: Column | str) -> Column:
-    """struct(root, prefix, pmid, layout, subdir, file) of an output file.
+def parse_output_paths(df: DataFrame, path: str = "path") -> DataFrame:
+    """Adds `root, prefix, pmid, layout, subdir, file, dest` of each output file.
 
     Read from the right: file (an image with its `images/`), subdirectory, id. What stands before
     the id tells the layout: `{prefix}/{id}` canonical, `{prefix}/{id}/{id}` nested, `{id}/{id}`
-    flat_nested, else flat. NULL for a path too short to hold file, subdirectory and id.
+    flat_nested, else flat; the root is whatever is left. `dest` is the canonical place,
+    `{root}/{prefix}/{pmid}/{subdir}/{file}`. Rows too short to hold file, subdirectory and id
+    are dropped. Columns of `df` with these names are replaced.
     """
-    parts = F.split(_col(c), "/")
-    n = F.size(parts)
-    image = F.coalesce(F.try_element_at(parts, F.lit(-2)) == IMAGES_DIR, F.lit(False))
-    extra = F.when(image, 1).otherwise(0)
-
-    def from_right(k: int) -> Column:
-        return F.try_element_at(parts, -(F.lit(k) + extra))
-
-    pmid = from_right(3)
-    prefix = F.substring(pmid, 1, PREFIX_LENGTH)
-    before, before2 = from_right(4), from_right(5)
-    layout = (
-        F.when(before.eqNullSafe(pmid) & before2.eqNullSafe(prefix), F.lit(NESTED))
-        .when(before.eqNullSafe(prefix), F.lit(CANONICAL))
-        .when(before.eqNullSafe(pmid), F.lit(FLAT_NESTED))
-        .otherwise(F.lit(FLAT))
+    added = ("root", "prefix", "pmid", "layout", "subdir", "file", "dest")
+    keep = [c for c in df.columns if c not in added]
+
+    # Step by step, so that each part is worked out once and not inside every later expression.
+    def part(k: int) -> Column:
+        return F.try_element_at("_parts", -(F.lit(k) + F.col("_extra")))
+
+    steps = df.select(*keep, F.split(path, "/").alias("_parts")).filter(F.size("_parts") >= 3)
+    steps = steps.withColumn("_extra", F.when(F.element_at("_parts", -2) == IMAGES_DIR, 1).otherwise(0))
+    steps = steps.withColumns({
+        "pmid": part(3), "subdir": part(2), "_before": part(4), "_before2": part(5),
+        "file": F.when(F.col("_extra") == 1, F.concat_ws("/", F.lit(IMAGES_DIR), F.element_at("_parts", -1)))
+        .otherwise(F.element_at("_parts", -1)),
+    }).filter("pmid IS NOT NULL")
+    steps = steps.withColumn("prefix", F.substring("pmid", 1, PREFIX_LENGTH))
+    before, before2 = F.col("_before"), F.col("_before2")
+    steps = steps.withColumn(
+        "layout",
+        F.when((before == F.col("pmid")) & (before2 == F.col("prefix")), F.lit(NESTED))
+        .when(before == F.col("prefix"), F.lit(CANONICAL))
+        .when(before == F.col("pmid"), F.lit(FLAT_NESTED))
+        .otherwise(F.lit(FLAT)),
     )
-    # Parts that belong to the layout, the root being whatever is left of them.
-    depth = extra + F.when(layout == NESTED, 5).when(layout.isin(CANONICAL, FLAT_NESTED), 4).otherwise(3)
-    root = F.array_join(F.slice(parts, F.lit(1), F.greatest(n - depth, F.lit(0))), "/")
-    name = F.try_element_at(parts, F.lit(-1))
-    return F.when(
-        n - extra >= 3,
-        F.struct(
-            root.alias("root"),
-            prefix.alias("prefix"),
-            pmid.alias("pmid"),
-            layout.alias("layout"),
-            from_right(2).alias("subdir"),
-            F.when(image, F.concat(F.lit(IMAGES_DIR + "/"), name)).otherwise(name).alias("file"),
-        ),
+    depth = F.when(F.col("layout") == NESTED, 5).when(F.col("layout") == FLAT, 3).otherwise(4)
+    steps = steps.withColumn(
+        "root", F.array_join(F.slice("_parts", F.lit(1), F.size("_parts") - F.col("_extra") - depth), "/")
     )
-
-
-def canonical_path(parsed: Column) -> Column:
-    """`{root}/{prefix}/{pmid}/{subdir}/{file}` from a parsed path."""
-    tail = F.concat_ws("/", parsed["prefix"], parsed["pmid"], parsed["subdir"], parsed["file"])
-    return F.when(parsed["root"] == "", tail).otherwise(F.concat_ws("/", parsed["root"], tail))
+    tail = F.concat_ws("/", "prefix", "pmid", "subdir", "file")
+    dest = F.when(F.col("root") == "", tail).otherwise(F.concat_ws("/", F.col("root"), tail))
+    return steps.select(*keep, *added[:-1], dest.alias("dest"))
 
 
 def artifact_class(c: Column | str) -> Column:

@@ -12,7 +12,7 @@ WHITESPACE = (
 ID_PATTERN = r"(?i)(\d{6,10})\.pdf$"
 NODE_PATTERN = r"^(cn\d{2})"
 INTEGER_PATTERN = r"^[0-9]+$"
-FLOAT_PATTERN = r"(?i)^[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|nan|inf|infinity)$"
+NOT_A_NUMBER = r"[dDxXpP]|[0-9.][fF]\s*$"
 OUTPUT_SUFFIX = "_content_list"
 PREFIX_LENGTH = 3
 MEGABYTE = 1048576
@@ -40,8 +40,8 @@ def blank_to_null(c: Column | str) -> Column:
 
 def safe_double(c: Column | str) -> Column:
     """Number or NULL. The pattern keeps out what Java reads but a CSV number is not, as `1.5d`."""
-    s = strip(_col(c).cast("string"))
-    return F.when(s.rlike(FLOAT_PATTERN), s.try_cast("double"))
+    s = _col(c).cast("string")
+    return F.when(~s.rlike(NOT_A_NUMBER), s.try_cast("double"))
 
 
 def id_prefix(c: Column | str) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from paperledger.functions.text import blank_to_null, safe_double, strip
 from paperledger.schema import ATTEMPT, COMPLETED, FAILED, PENDING, conform
@@ -25,36 +25,32 @@ def clean_results(attempts: DataFrame) -> DataFrame:
         typed = typed.withColumn("processing_time", safe_double("processing_time"))
     df = conform(typed, ATTEMPT, keep=order)
     return df.withColumns({
-        "pmid": blank_to_null("pmid"),
+        "pmid": strip("pmid"),
         "status": F.coalesce(strip("status"), F.lit("")),
         "json_path": blank_to_null("json_path"),
         "md_path": blank_to_null("md_path"),
         "error_msg": blank_to_null("error_msg"),
-    }).filter("pmid IS NOT NULL")
+    }).filter("pmid <> ''")
 
 
-def _pick(df: DataFrame, pick, key: str, order: Sequence[str]) -> DataFrame:
-    rest = [c for c in df.columns if c != key]
-    return (
-        df.filter(blank_to_null(key).isNotNull())
-        .groupBy(key)
-        .agg(pick(F.struct(*rest), F.struct(*order)).alias("row"))
-        .select(key, "row.*")
-    )
+def _first_per_key(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
+    """First row per key. Rows with a blank key are set aside.
 
+    Spark turns the filter on row number into a limit per key that each task applies before the
+    shuffle: a key with very many rows sends one row per task, no more than any other.
+    """
+    place = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+    return df.filter(strip(key) != "").withColumn("_place", place).filter("_place = 1").drop("_place")
 
-def keep_last(attempts: DataFrame, key: str = "pmid", order: Sequence[str] = ATTEMPT_ORDER) -> DataFrame:
-    """Last row per id in (file name, row position) order. Rows without an id are set aside.
 
-    An aggregate rather than a window: each task keeps one row per id before the shuffle, so an
-    id with very many attempts costs no more than any other.
-    """
-    return _pick(attempts, F.max_by, key, order)
+def keep_last(attempts: DataFrame, key: str = "pmid", order: Sequence[str] = ATTEMPT_ORDER) -> DataFrame:
+    """Last row per id in (file name, row position) order. Rows without an id are set aside."""
+    return _first_per_key(attempts, key, [F.desc(c) for c in order])
 
 
 def keep_first(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """First row per id in the given order."""
-    return _pick(df, F.min_by, key, order)
+    """First row per id in the given order. Rows without an id are set aside."""
+    return _first_per_key(df, key, [F.asc(c) for c in order])
 
 
 def suspect_fast(attempts: DataFrame, threshold_s: float = SUSPECT_SECONDS) -> DataFrame:

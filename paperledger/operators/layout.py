@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from paperledger.functions.paths import (
-    CANONICAL, FLAT, FLAT_NESTED, NESTED, canonical_path, parse_output_path,
-)
+from paperledger.functions.paths import CANONICAL, FLAT, FLAT_NESTED, NESTED, parse_output_paths
 
 MODES = {"move": (FLAT, FLAT_NESTED), "flatten": (NESTED,), "all": (FLAT, FLAT_NESTED, NESTED)}
 
@@ -21,9 +19,9 @@ def layout_plan(output_listing: DataFrame, mode: str = "all", ids: DataFrame | N
     row for each id without files.
     """
     wanted = MODES[mode]
-    files = output_listing.select("path", parse_output_path("path").alias("p")).filter("p IS NOT NULL").select(
-        "path", "p.*", canonical_path(F.col("p")).alias("dest")
-    ).withColumn("under_prefix", F.col("layout").isin(CANONICAL, NESTED))
+    files = parse_output_paths(output_listing.select("path")).withColumn(
+        "under_prefix", F.col("layout").isin(CANONICAL, NESTED)
+    )
     if ids is not None:
         files = files.join(ids.select("pmid").distinct(), "pmid", "left_semi")
 

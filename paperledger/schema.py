@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 PENDING, COMPLETED, FAILED = "pending", "completed", "failed"
 
@@ -81,5 +81,6 @@ def conform(df: DataFrame, schema: T.StructType, keep: tuple[str, ...] = ()) ->
     return df.select(*fields, *[F.col(c) for c in keep])
 
 
-def empty(spark, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
+def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows, in a form the optimizer sees through."""
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]).filter(F.lit(False))

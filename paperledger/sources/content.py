@@ -45,14 +45,14 @@ def content_json(elements: DataFrame) -> DataFrame:
     )
 
 
-def write_by_prefix(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+def write_by_prefix(df: DataFrame, path: str, fmt: str = "parquet", partitions: int | None = None) -> None:
     """Output laid out by the first characters of the id, which prunes reads by prefix.
 
     Rebalancing brings a prefix together for few files, and lets adaptive execution split a
-    prefix that holds much of the data over several tasks.
+    prefix that holds much of the data over several tasks. For few rows under many prefixes,
+    where making the files is the work, `partitions` sets the number of tasks; ranges of
+    (prefix, id) split a large prefix as well.
     """
-    (
-        df.withColumn("prefix", id_prefix("pmid"))
-        .hint("rebalance", "prefix")
-        .write.mode("overwrite").partitionBy("prefix").format(fmt).save(path)
-    )
+    keyed = df.withColumn("prefix", id_prefix("pmid"))
+    laid = keyed.repartitionByRange(partitions, "prefix", "pmid") if partitions else keyed.hint("rebalance", "prefix")
+    laid.write.mode("overwrite").partitionBy("prefix").format(fmt).save(path)

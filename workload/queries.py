@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from paperledger.functions.paths import canonical_path, parse_output_path
+from paperledger.functions.paths import parse_output_paths
 from paperledger.functions.text import (
     blank_to_null, canonical_latex, id_prefix, safe_double, size_band, stem,
 )
@@ -276,8 +276,7 @@ def scan_outputs(spark, sf):
 
 @query
 def output_paths(spark, sf):
-    files = view(spark, sf, "fx_files").select("path", parse_output_path("path").alias("p"))
-    return files.select("path", "p.*", canonical_path(F.col("p")).alias("dest"))
+    return parse_output_paths(view(spark, sf, "fx_files").select("path"))
 
 
 @query
@@ -538,7 +537,7 @@ def attempt_log(spark, sf):
 @query
 def output_by_prefix(spark, sf):
     path = f"{scratch(spark)}/by_prefix"
-    content_io.write_by_prefix(view(spark, sf, "fx_manifest"), path)
+    content_io.write_by_prefix(view(spark, sf, "fx_manifest"), path, partitions=spark.sparkContext.defaultParallelism)
     stored = spark.read.parquet(path)
     return stored.groupBy(F.col("prefix").cast("string").alias("prefix")).agg(F.count(F.lit(1)).alias("n"))
 
