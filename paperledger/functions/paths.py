@@ -32,7 +32,7 @@ def parent_dir(c: Column | str) -> Column:
     return F.regexp_replace(_col(c), r"/[^/]*$", "")
 
 
-def parse_output_paths(df: DataFrame, path: str = "path") -> DataFrame:
+def with_output_path(df: DataFrame, path: str = "path") -> DataFrame:
     """Adds `root, prefix, pmid, layout, subdir, file, dest` of each output file.
 
     Read from the right: file (an image with its `images/`), subdirectory, id. What stands before
@@ -54,7 +54,7 @@ def parse_output_paths(df: DataFrame, path: str = "path") -> DataFrame:
         "pmid": part(3), "subdir": part(2), "_before": part(4), "_before2": part(5),
         "file": F.when(F.col("_extra") == 1, F.concat_ws("/", F.lit(IMAGES_DIR), F.element_at("_parts", -1)))
         .otherwise(F.element_at("_parts", -1)),
-    }).filter("pmid IS NOT NULL")
+    })
     steps = steps.withColumn("prefix", F.substring("pmid", 1, PREFIX_LENGTH))
     before, before2 = F.col("_before"), F.col("_before2")
     steps = steps.withColumn(
@@ -65,12 +65,14 @@ def parse_output_paths(df: DataFrame, path: str = "path") -> DataFrame:
         .otherwise(F.lit(FLAT)),
     )
     depth = F.when(F.col("layout") == NESTED, 5).when(F.col("layout") == FLAT, 3).otherwise(4)
-    steps = steps.withColumn(
-        "root", F.array_join(F.slice("_parts", F.lit(1), F.size("_parts") - F.col("_extra") - depth), "/")
-    )
+    above = F.greatest(F.size("_parts") - F.col("_extra") - depth, F.lit(0))
+    steps = steps.withColumn("root", F.array_join(F.slice("_parts", F.lit(1), above), "/"))
     tail = F.concat_ws("/", "prefix", "pmid", "subdir", "file")
     dest = F.when(F.col("root") == "", tail).otherwise(F.concat_ws("/", F.col("root"), tail))
-    return steps.select(*keep, *added[:-1], dest.alias("dest"))
+    # A generator of one row: filters on the parts stay above it. Pushed down they would repeat
+    # the whole parsing in their condition.
+    parsed = F.struct(*added[:-1], dest.alias("dest"))
+    return steps.select(*keep, F.inline(F.array(parsed))).filter("pmid IS NOT NULL")
 
 
 def artifact_class(c: Column | str) -> Column:

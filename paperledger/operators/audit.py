@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from paperledger.functions.paths import (
-    CANONICAL, CONTENT_LIST_NAME, FLAT, NESTED, OUTPUT_SUBDIRS, parse_output_paths,
+    CANONICAL, CONTENT_LIST_NAME, FLAT, NESTED, OUTPUT_SUBDIRS, with_output_path,
 )
 from paperledger.schema import ATTEMPT, COMPLETED, FAILED, conform
 
@@ -127,7 +127,7 @@ def existing_ids(
 
     `root` restricts the listing to one output folder.
     """
-    parsed = parse_output_paths(output_listing.filter(F.endswith("path", F.lit(CONTENT_LIST_NAME))).select("path"))
+    parsed = with_output_path(output_listing.filter(F.endswith("path", F.lit(CONTENT_LIST_NAME))).select("path"))
     hit = (
         F.col("layout").isin(CANONICAL, NESTED, FLAT)
         & F.col("subdir").isin(*subdirs)

@@ -9,12 +9,10 @@ from paperledger.operators.registry import NO_OUTPUT
 from paperledger.schema import COMPLETED, FAILED
 
 # Fixed values -------------------------------------------------------------
-NOT_CONTENT = [
-    r"(?is)<!--.*?-->",
-    r"(?is)<script\b.*?</script\s*>",
-    r"(?is)<style\b.*?</style\s*>",
-    r'(?is)<div class="ad">.*?</div\s*>',
-]
+NOT_CONTENT = (
+    r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
+    r'|<div class="ad">.*?</div\s*>'
+)
 LINE_BREAK = r"(?i)<br\s*/?>"
 INLINE_TAG = r"(?i)</?(?:b|i|em|strong|a|span|code|sup|sub)(?:[ /][^>]*)?>"
 ELEMENT_TAG = r"(?i)<(?:h1|p|li|footer)(?: [^>]*)?>[^<]*"
@@ -52,8 +50,7 @@ def html_elements(html: Column | str) -> Column:
     paragraphs that are never closed. Elements inside `nav` are kept as discarded.
     """
     body = F.col(html) if isinstance(html, str) else html
-    for pattern in NOT_CONTENT:
-        body = F.regexp_replace(body, pattern, " ")
+    body = F.regexp_replace(body, NOT_CONTENT, " ")
     body = F.regexp_replace(F.regexp_replace(body, LINE_BREAK, "\n"), INLINE_TAG, "")
     blocks = F.regexp_extract_all(body, F.lit(BLOCK), F.lit(0))
 

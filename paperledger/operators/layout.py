@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from paperledger.functions.paths import CANONICAL, FLAT, FLAT_NESTED, NESTED, parse_output_paths
+from paperledger.functions.paths import CANONICAL, FLAT, FLAT_NESTED, NESTED, with_output_path
 
 MODES = {"move": (FLAT, FLAT_NESTED), "flatten": (NESTED,), "all": (FLAT, FLAT_NESTED, NESTED)}
 
@@ -19,28 +19,34 @@ def layout_plan(output_listing: DataFrame, mode: str = "all", ids: DataFrame | N
     row for each id without files.
     """
     wanted = MODES[mode]
-    files = parse_output_paths(output_listing.select("path")).withColumn(
+    files = with_output_path(output_listing.select("path")).withColumn(
         "under_prefix", F.col("layout").isin(CANONICAL, NESTED)
     )
     if ids is not None:
         files = files.join(ids.select("pmid").distinct(), "pmid", "left_semi")
 
-    # Folders that stand in the way. Files already in place are not looked up at all.
-    homes = files.filter("under_prefix").select("root", "pmid").distinct().withColumn("at_home", F.lit(True))
-    folder = ["root", "pmid", "under_prefix", "subdir"]
-    folders = files.filter(F.col("layout").isin(CANONICAL, FLAT)).select(*folder).distinct()
-    doubled = files.filter(F.col("layout").isin(NESTED, FLAT_NESTED)).join(
-        folders.withColumn("blocked", F.lit(True)), folder, "left"
+    # Folders that stand in the way: one row per folder and what it holds, then per document.
+    folders = files.groupBy("root", "pmid", "subdir").agg(
+        F.bool_or(F.col("layout") == CANONICAL).alias("in_place"),
+        F.bool_or(F.col("layout") == FLAT).alias("in_flat"),
+        F.bool_or("under_prefix").alias("at_home"),
+    )
+    homes = folders.groupBy("root", "pmid").agg(F.bool_or("at_home").alias("at_home"))
+    flags = folders.drop("at_home").join(homes, ["root", "pmid"])
+    # Files in place, the bulk of a sound tree, are not looked up and so not shuffled.
+    blocked = (
+        F.when(F.col("layout") == NESTED, F.col("in_place"))
+        .when(F.col("layout") == FLAT, F.col("at_home"))
+        .otherwise(F.col("at_home") | F.col("in_flat"))
+    )
+    cols = ["path", "pmid", "layout", "dest"]
+    displaced = files.filter(F.col("layout") != CANONICAL).join(flags, ["root", "pmid", "subdir"])
+    plan = displaced.select(*cols, blocked.alias("taken")).unionByName(
+        files.filter(F.col("layout") == CANONICAL).select(*cols, F.lit(False).alias("taken"))
     )
-    single = files.filter(F.col("layout").isin(CANONICAL, FLAT)).withColumn("blocked", F.lit(False))
-    cols = ["path", "root", "pmid", "layout", "dest", "under_prefix", "blocked"]
-    candidates = single.select(*cols).unionByName(doubled.select(*cols))
-    outside = candidates.filter("NOT under_prefix").join(homes, ["root", "pmid"], "left")
-    inside = candidates.filter("under_prefix").withColumn("at_home", F.lit(False))
-    plan = outside.unionByName(inside)
 
     covered = F.col("layout").isin(*wanted)
-    taken = F.coalesce("blocked", F.lit(False)) | F.coalesce("at_home", F.lit(False))
+    taken = F.col("taken")
     action = (
         F.when(~covered, F.lit("NONE")).when(taken, F.lit("SKIP"))
         .when(F.col("layout") == NESTED, F.lit("FLATTEN")).otherwise(F.lit("MOVE"))

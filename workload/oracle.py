@@ -82,9 +82,8 @@ lenient AS (
     FROM typed WHERE pdf_path IS NOT NULL)"""
 
 _PAGE = r"""body AS (
-    SELECT page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
-               '(?is)<!--.*?-->', ' ', 'g'), '(?is)<script\b.*?</script\s*>', ' ', 'g'),
-               '(?is)<style\b.*?</style\s*>', ' ', 'g'), '(?is)<div class="ad">.*?</div\s*>', ' ', 'g'),
+    SELECT page_id, regexp_replace(regexp_replace(regexp_replace(html,
+               '(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<div class="ad">.*?</div\s*>', ' ', 'g'),
                '(?i)<br\s*/?>', chr(10), 'g'),
                '(?i)</?(?:b|i|em|strong|a|span|code|sup|sub)(?:[ /][^>]*)?>', '', 'g') AS b FROM pages),
 blocks AS (

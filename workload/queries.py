@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from paperledger.functions.paths import parse_output_paths
+from paperledger.functions.paths import with_output_path
 from paperledger.functions.text import (
     blank_to_null, canonical_latex, id_prefix, safe_double, size_band, stem,
 )
@@ -34,6 +34,10 @@ def scratch(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/run-{uuid.uuid4().hex}"
 
 
+def _slots(spark: SparkSession) -> int:
+    return spark.sparkContext.defaultParallelism
+
+
 def rounded(df: DataFrame, *cols: str) -> DataFrame:
     """Means rounded to 6 places: sums of doubles depend on the order of the rows."""
     return df.withColumns({c: F.round(c, 6) for c in cols})
@@ -276,7 +280,7 @@ def scan_outputs(spark, sf):
 
 @query
 def output_paths(spark, sf):
-    return parse_output_paths(view(spark, sf, "fx_files").select("path"))
+    return with_output_path(view(spark, sf, "fx_files").select("path"))
 
 
 @query
@@ -468,14 +472,14 @@ def content_elements(spark, sf):
 @query
 def extracted_elements(spark, sf):
     docs = table(spark, sf, "documents").select(F.col("doc_id").alias("pmid"), "text")
-    outcomes = extract_documents(docs, paragraphs, source="text", timeout_s=60)
+    outcomes = extract_documents(docs, paragraphs, source="text", timeout_s=60, partitions=_slots(spark))
     return outcomes.select("pmid", "status", "error_msg", "backend", F.size("elements").cast("long").alias("n_elements"))
 
 
 @query
 def extracted_text(spark, sf):
     docs = table(spark, sf, "documents").select(F.col("doc_id").alias("pmid"), "text")
-    return outcome_elements(extract_documents(docs, paragraphs, source="text", timeout_s=60)).select(
+    return outcome_elements(extract_documents(docs, paragraphs, source="text", timeout_s=60, partitions=_slots(spark))).select(
         "pmid", "seq", "type", "text"
     )
 
@@ -485,7 +489,8 @@ def processed_manifest(spark, sf):
     """Skip documents with output, fail those without a file, extract the rest."""
     manifest = view(spark, sf, "fx_manifest").select("pmid", "pdf_path")
     outcomes, gone = process_manifest(
-        manifest, view(spark, sf, "fx_listing"), view(spark, sf, "fx_files"), paragraphs, timeout_s=60
+        manifest, view(spark, sf, "fx_listing"), view(spark, sf, "fx_files"), paragraphs, timeout_s=60,
+        partitions=_slots(spark),
     )
     return outcomes.select("pmid", "status", "error_msg").unionByName(gone.select("pmid", "status", "error_msg"))
 
@@ -537,7 +542,7 @@ def attempt_log(spark, sf):
 @query
 def output_by_prefix(spark, sf):
     path = f"{scratch(spark)}/by_prefix"
-    content_io.write_by_prefix(view(spark, sf, "fx_manifest"), path, partitions=spark.sparkContext.defaultParallelism)
+    content_io.write_by_prefix(view(spark, sf, "fx_manifest"), path, partitions=_slots(spark))
     stored = spark.read.parquet(path)
     return stored.groupBy(F.col("prefix").cast("string").alias("prefix")).agg(F.count(F.lit(1)).alias("n"))
 

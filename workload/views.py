@@ -7,6 +7,7 @@ pick by what a row says, never by its id.
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -166,15 +167,12 @@ def with_views(sql: str) -> str:
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A fixture view as a DataFrame."""
-    sql = with_view_bodies(name)
-    tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES if f"{{{t}}}" in sql}
-    return spark.sql(sql, **tables)
-
-
-def with_view_bodies(name: str) -> str:
     ctes = [f"{v} AS ({VIEWS[v]})" for v in _needed(VIEWS[name])]
-    return (f"WITH {', '.join(ctes)} " if ctes else "") + VIEWS[name]
+    sql = (f"WITH {', '.join(ctes)} " if ctes else "") + VIEWS[name]
+    return spark.sql(sql, **{t: table(spark, sf_dir, t) for t in TABLES if f"{{{t}}}" in sql})
 
 
+@lru_cache(maxsize=None)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the driver's tables; its file footer is read once per session."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
