@@ -72,7 +72,7 @@ def page_elements(pages: DataFrame, id_col: str = "page_id", html_col: str = "ht
 
 def page_outcomes(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """Outcome per page: completed if any element came out, else failed."""
-    n = F.size(html_elements(html_col))
+    n = F.coalesce(F.size(html_elements(html_col)), F.lit(0))
     return pages.select(id_col, n.alias("n_elements")).select(
         id_col,
         F.when(F.col("n_elements") > 0, F.lit(COMPLETED)).otherwise(F.lit(FAILED)).alias("status"),

@@ -84,11 +84,13 @@ def extract_documents(
     timeout_s: float = TIMEOUT_SECONDS,
     source: str = "pdf_path",
     partitions: int | None = None,
+    known_error: str | None = None,
 ) -> DataFrame:
     """`pmid` and `source` in, one outcome row per document out.
 
     Completed only when elements came out. An exception, a timeout or a dying extractor makes a
-    failed row, never a failed job. Rows are dealt out evenly over `partitions`, so that large
+    failed row, never a failed job; so does a message in the column `known_error`, for which the
+    extractor is not run at all. Rows are dealt out evenly over `partitions`, so that large
     documents standing together in the input do not end up in one task.
     """
     fields = ELEMENT.names
@@ -98,13 +100,14 @@ def extract_documents(
         try:
             for batch in batches:
                 rows = []
-                for pmid, src in zip(batch["pmid"], batch["source"]):
+                for pmid, src, known in zip(batch["pmid"], batch["source"], batch["known_error"]):
                     started = time.monotonic()
-                    elements, error = child.run(pmid, src, timeout_s)
+                    elements, error = (None, known) if known is not None else child.run(pmid, src, timeout_s)
                     if error is None and not elements:
                         error = NO_OUTPUT
+                    seconds = None if known is not None else time.monotonic() - started
                     rows.append((
-                        pmid, COMPLETED if error is None else FAILED, error, time.monotonic() - started,
+                        pmid, COMPLETED if error is None else FAILED, error, seconds,
                         datetime.now(timezone.utc).replace(tzinfo=None), backend,
                         [{f: e.get(f) for f in fields} for e in elements or []],
                     ))
@@ -112,7 +115,8 @@ def extract_documents(
         finally:
             child.stop()
 
-    docs = df.select(F.col("pmid").cast("string").alias("pmid"), F.col(source).alias("source"))
+    known = F.col(known_error) if known_error else F.lit(None).cast("string")
+    docs = df.select(F.col("pmid").cast("string").alias("pmid"), F.col(source).alias("source"), known.alias("known_error"))
     if partitions:
         docs = docs.repartition(partitions)
     return docs.mapInPandas(run, OUTCOME)

@@ -5,11 +5,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paperledger.operators import registry as ops
 from paperledger.operators.attempts import keep_last, merge_summary
-from paperledger.operators.audit import missing_inputs, pending_work
+from paperledger.operators.audit import INPUT_MISSING, pending_work
 from paperledger.operators.extract import TIMEOUT_SECONDS, Extractor, extract_documents
 from paperledger.schema import FAILED, PENDING
 from paperledger.sources.attempts import CHUNK_PATTERN, read_attempts, read_results, write_merged
@@ -89,9 +89,10 @@ def process_manifest(
     backend: str = "pipeline",
     timeout_s: float = TIMEOUT_SECONDS,
     partitions: int | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """(outcomes, failed rows for missing inputs) of the documents that have no output yet."""
-    todo = pending_work(manifest, output_listing)
-    gone = missing_inputs(todo, input_listing)
-    present = todo.join(input_listing.selectExpr("path AS pdf_path"), "pdf_path", "left_semi")
-    return extract_documents(present, extractor, backend, timeout_s, partitions=partitions), gone
+) -> DataFrame:
+    """Outcomes of the documents that have no output yet; those whose file is not listed fail at once."""
+    files = input_listing.select(F.col("path").alias("pdf_path"), F.lit(True).alias("listed"))
+    todo = pending_work(manifest, output_listing).join(files, "pdf_path", "left").withColumn(
+        "known_error", F.when(F.col("listed").isNull(), F.concat(F.lit(INPUT_MISSING + ": "), "pdf_path"))
+    )
+    return extract_documents(todo, extractor, backend, timeout_s, partitions=partitions, known_error="known_error")

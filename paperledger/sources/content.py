@@ -56,3 +56,10 @@ def write_by_prefix(df: DataFrame, path: str, fmt: str = "parquet", partitions:
     keyed = df.withColumn("prefix", id_prefix("pmid"))
     laid = keyed.repartitionByRange(partitions, "prefix", "pmid") if partitions else keyed.hint("rebalance", "prefix")
     laid.write.mode("overwrite").partitionBy("prefix").format(fmt).save(path)
+
+
+def read_by_prefix(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """Output of `write_by_prefix`, the prefix kept as text: `001` is no number."""
+    found = spark.read.format(fmt).load(path).schema
+    fields = [T.StructField(f.name, T.StringType()) if f.name == "prefix" else f for f in found.fields]
+    return spark.read.format(fmt).schema(T.StructType(fields)).load(path)

@@ -488,11 +488,11 @@ def extracted_text(spark, sf):
 def processed_manifest(spark, sf):
     """Skip documents with output, fail those without a file, extract the rest."""
     manifest = view(spark, sf, "fx_manifest").select("pmid", "pdf_path")
-    outcomes, gone = process_manifest(
+    outcomes = process_manifest(
         manifest, view(spark, sf, "fx_listing"), view(spark, sf, "fx_files"), paragraphs, timeout_s=60,
         partitions=_slots(spark),
     )
-    return outcomes.select("pmid", "status", "error_msg").unionByName(gone.select("pmid", "status", "error_msg"))
+    return outcomes.select("pmid", "status", "error_msg")
 
 
 # --- files, snapshots, streams ---------------------------------------------------------
@@ -543,8 +543,7 @@ def attempt_log(spark, sf):
 def output_by_prefix(spark, sf):
     path = f"{scratch(spark)}/by_prefix"
     content_io.write_by_prefix(view(spark, sf, "fx_manifest"), path, partitions=_slots(spark))
-    stored = spark.read.parquet(path)
-    return stored.groupBy(F.col("prefix").cast("string").alias("prefix")).agg(F.count(F.lit(1)).alias("n"))
+    return content_io.read_by_prefix(spark, path).groupBy("prefix").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
