@@ -38,8 +38,9 @@ def with_row_index(df: DataFrame, order: Sequence[str], name: str = "row_idx") -
     sizes = ranged.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    # Broadcast for a table of two numbers per partition, whatever the number of rows.
     return (
-        ranged.withColumn("_part", part).join(starts, "_part")
+        ranged.withColumn("_part", part).join(F.broadcast(starts), "_part")
         .withColumn(name, F.col("_start") + F.col("_at").bitwiseAND((1 << ROW_BITS) - 1))
         .drop("_at", "_part", "_start")
     )

@@ -104,6 +104,10 @@ def backend_consistency(digests: DataFrame, by: Sequence[str] = ("pmid", "backen
 
 
 def agreeing_runs(digests: DataFrame, by: Sequence[str] = ("pmid", "backend"), run: str = "run") -> DataFrame:
-    """Each run with the number of runs that gave the same digest, itself included."""
+    """Each run with the number of runs that gave the same digest, itself included.
+
+    Counted apart and joined back rather than windowed: adaptive execution can split the join
+    where very many runs share a digest, a window could not.
+    """
     shared = digests.groupBy(*by, "digest").agg(F.count(F.lit(1)).alias("same_output"))
     return digests.join(shared, [*by, "digest"]).select(*by, run, "digest", "same_output")

@@ -70,6 +70,11 @@ def page_elements(pages: DataFrame, id_col: str = "page_id", html_col: str = "ht
     )
 
 
+def page_content(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
+    """Content list of each page as one JSON array: `{id}, content`."""
+    return pages.select(id_col, F.to_json(html_elements(html_col)).alias("content"))
+
+
 def page_outcomes(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """Outcome per page: completed if any element came out, else failed."""
     n = F.coalesce(F.size(html_elements(html_col)), F.lit(0))

@@ -21,6 +21,7 @@ from paperledger.schema import COMPLETED, ELEMENT, FAILED
 Extractor = Callable[[str, str], list]
 
 TIMEOUT_SECONDS = 1800  # fixed value
+FLUSH_CHARS = 16_000_000  # text held by a worker before it hands rows on
 
 OUTCOME = T.StructType([
     T.StructField("pmid", T.StringType()),
@@ -99,7 +100,7 @@ def extract_documents(
         child = _Child(extractor)
         try:
             for batch in batches:
-                rows = []
+                rows, chars = [], 0
                 for pmid, src, known in zip(batch["pmid"], batch["source"], batch["known_error"]):
                     started = time.monotonic()
                     elements, error = (None, known) if known is not None else child.run(pmid, src, timeout_s)
@@ -111,6 +112,10 @@ def extract_documents(
                         datetime.now(timezone.utc).replace(tzinfo=None), backend,
                         [{f: e.get(f) for f in fields} for e in elements or []],
                     ))
+                    chars += sum(len(e.get("text") or "") for e in elements or [])
+                    if chars >= FLUSH_CHARS:
+                        yield pd.DataFrame(rows, columns=OUTCOME.names)
+                        rows, chars = [], 0
                 yield pd.DataFrame(rows, columns=OUTCOME.names)
         finally:
             child.stop()

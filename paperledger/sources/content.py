@@ -33,18 +33,6 @@ def explode_content(docs: DataFrame, json_column: str) -> DataFrame:
     ).select(*rest, F.col("seq").cast("long").alias("seq"), "element.*")
 
 
-def content_json(elements: DataFrame) -> DataFrame:
-    """Elements back to one JSON array per document: `pmid, content`.
-
-    A document is one file in the end, so its elements meet in one group.
-    """
-    fields = [f for f in ELEMENT.names if f in elements.columns]
-    rows = F.array_sort(F.collect_list(F.struct("seq", F.struct(*fields).alias("element"))))
-    return elements.groupBy("pmid").agg(
-        F.to_json(F.transform(rows, lambda r: r["element"])).alias("content")
-    )
-
-
 def write_by_prefix(df: DataFrame, path: str, fmt: str = "parquet", partitions: int | None = None) -> None:
     """Output laid out by the first characters of the id, which prunes reads by prefix.
 

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from workload.views import AS_OF
 
-# Registered without SQL: nothing yet.
-
 _CLEAN = """clean AS (
     SELECT nullif(trim(pmid, ' ' || chr(9)), '') AS pmid, pdf_path, trim(status) AS status,
            nullif(trim(json_path), '') AS json_path, nullif(trim(md_path), '') AS md_path,
@@ -264,7 +262,7 @@ ORACLE = {
                CASE WHEN layout = 'canonical' THEN 'NONE' WHEN taken THEN 'SKIP' WHEN layout = 'nested' THEN 'FLATTEN' ELSE 'MOVE' END AS action,
                CASE WHEN layout <> 'canonical' AND taken THEN 'destination exists' END AS reason
         FROM plan""",
-    "layout_plan_for_ids": f"""WITH {_PARSED}, {_PLAN}, ids AS (SELECT pmid FROM fx_manifest WHERE file_size < 1048576)
+    "layout_plan_for_ids": f"""WITH {_PARSED}, {_PLAN}, ids AS (SELECT pmid FROM fx_manifest)
         SELECT path, pmid, layout, dest,
                CASE WHEN layout <> 'nested' THEN 'NONE' WHEN taken THEN 'SKIP' ELSE 'FLATTEN' END AS action,
                CASE WHEN layout = 'nested' AND taken THEN 'destination exists' END AS reason
@@ -384,8 +382,7 @@ ORACLE = {
                CASE WHEN n.n IS NULL THEN 'No output files generated' END AS error_msg, coalesce(n.n, 0) AS n_elements
         FROM pages p LEFT JOIN n ON n.page_id = p.page_id""",
     "text_elements": f"WITH {_LINES} SELECT doc_id, seq, 'text' AS type, text FROM kept",
-    "content_elements": """
-        SELECT pmid, row_number() OVER (PARTITION BY pmid ORDER BY seq) - 1 AS seq, type, text, page_idx FROM fx_elements""",
+    "content_elements": f"WITH {_PAGE} SELECT page_id, seq, type, text, CAST(0 AS BIGINT) AS page_idx FROM elements",
     "extracted_elements": f"""WITH {_LINES}, n AS (SELECT doc_id, count(*) AS n FROM kept GROUP BY doc_id)
         SELECT CAST(d.doc_id AS VARCHAR) AS pmid, CASE WHEN n.n > 0 THEN 'completed' ELSE 'failed' END AS status,
                CASE WHEN n.n IS NULL THEN 'No output files generated' END AS error_msg, 'pipeline' AS backend, coalesce(n.n, 0) AS n_elements

@@ -290,8 +290,7 @@ def layout_plan(spark, sf):
 
 @query
 def layout_plan_for_ids(spark, sf):
-    ids = view(spark, sf, "fx_manifest").filter("file_size < 1048576")
-    return layout.layout_plan(view(spark, sf, "fx_files"), mode="flatten", ids=ids)
+    return layout.layout_plan(view(spark, sf, "fx_files"), mode="flatten", ids=view(spark, sf, "fx_manifest"))
 
 
 @query
@@ -462,11 +461,11 @@ def text_elements(spark, sf):
 
 @query
 def content_elements(spark, sf):
-    """Written as one JSON array per document, read back as element rows."""
+    """Content lists written as JSON arrays, read back as element rows."""
     path = f"{scratch(spark)}/content"
-    elements = view(spark, sf, "fx_elements")
-    content_io.content_json(elements).write.parquet(path)
-    return content_io.explode_content(spark.read.parquet(path), "content").select("pmid", "seq", "type", "text", "page_idx")
+    content.page_content(table(spark, sf, "pages")).write.parquet(path)
+    rows = content_io.explode_content(spark.read.parquet(path), "content")
+    return rows.select("page_id", "seq", "type", "text", F.col("page_idx").cast("long").alias("page_idx"))
 
 
 @query
