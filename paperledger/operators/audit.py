@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from paperledger.functions.paths import (
     CANONICAL, CONTENT_LIST_NAME, FLAT, NESTED, OUTPUT_SUBDIRS, with_output_path,
 )
+from paperledger.operators.skew import detached
 from paperledger.schema import ATTEMPT, COMPLETED, FAILED, conform
 
 INPUT_MISSING = "PDF file not found"
@@ -105,10 +106,9 @@ def time_by_outcome(attempts: DataFrame, outputs: DataFrame, accuracy: int = 100
 
     The median is a sketch of bounded size, its rank off by at most 1/accuracy of the group.
     """
-    found = outputs.select("pmid").distinct().withColumn("has_output", F.lit(True))
-    # The join only tells success from silent, so attempts that did not complete skip it. The
-    # found ids are distinct: an id with very many attempts is a skewed left side, which adaptive
-    # execution splits.
+    found = detached(outputs.select("pmid").distinct(), "pmid").withColumn("has_output", F.lit(True))
+    # The join only tells success from silent, so attempts that did not complete skip it. An id
+    # with very many attempts is a skewed left side, which adaptive execution splits.
     timed = attempts.filter(F.col("processing_time").isNotNull()).select("pmid", "status", "processing_time")
     done = timed.filter(F.col("status") == COMPLETED).join(found, "pmid", "left").select(
         F.when(F.col("has_output"), F.lit("success")).otherwise(F.lit("silent")).alias("outcome"), "processing_time"
@@ -137,7 +137,7 @@ def existing_ids(
     )
     if root is not None:
         hit = hit & (F.col("root") == root.rstrip("/"))
-    return parsed.filter(hit).select("pmid").distinct()
+    return detached(parsed.filter(hit).select("pmid").distinct(), "pmid")
 
 
 def pending_work(

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from paperledger.functions.text import canonical_latex, markdown_lines
+from paperledger.operators.skew import detached
 
 # Command-line names of the backends and their short names in reports.
 BACKENDS = {"pipeline": "pipeline", "hybrid-auto-engine": "hybrid", "vlm-auto-engine": "vlm"}
@@ -110,4 +111,4 @@ def agreeing_runs(digests: DataFrame, by: Sequence[str] = ("pmid", "backend"), r
     where very many runs share a digest, a window could not.
     """
     shared = digests.groupBy(*by, "digest").agg(F.count(F.lit(1)).alias("same_output"))
-    return digests.join(shared, [*by, "digest"]).select(*by, run, "digest", "same_output")
+    return digests.join(detached(shared, *by, "digest"), [*by, "digest"]).select(*by, run, "digest", "same_output")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from paperledger.functions.paths import CANONICAL, FLAT, FLAT_NESTED, NESTED, with_output_path
+from paperledger.operators.skew import detached
 
 MODES = {"move": (FLAT, FLAT_NESTED), "flatten": (NESTED,), "all": (FLAT, FLAT_NESTED, NESTED)}
 
@@ -22,9 +23,6 @@ def layout_plan(output_listing: DataFrame, mode: str = "all", ids: DataFrame | N
     files = with_output_path(output_listing.select("path")).withColumn(
         "under_prefix", F.col("layout").isin(CANONICAL, NESTED)
     )
-    if ids is not None:
-        files = files.join(ids.select("pmid").distinct(), "pmid", "left_semi")
-
     # Folders that stand in the way: one row per folder and what it holds, then per document.
     folders = files.groupBy("root", "pmid", "subdir").agg(
         F.bool_or(F.col("layout") == CANONICAL).alias("in_place"),
@@ -33,17 +31,20 @@ def layout_plan(output_listing: DataFrame, mode: str = "all", ids: DataFrame | N
     )
     homes = folders.groupBy("root", "pmid").agg(F.bool_or("at_home").alias("at_home"))
     flags = folders.drop("at_home").join(homes, ["root", "pmid"])
+    sound = files.filter(F.col("layout") == CANONICAL)
+    if ids is not None:
+        asked = ids.select("pmid").distinct()
+        flags = flags.join(asked, "pmid", "left_semi")
+        sound = sound.join(detached(asked, "pmid"), "pmid", "left_semi")
     # Files in place, the bulk of a sound tree, are not looked up and so not shuffled.
     blocked = (
         F.when(F.col("layout") == NESTED, F.col("in_place"))
         .when(F.col("layout") == FLAT, F.col("at_home"))
         .otherwise(F.col("at_home") | F.col("in_flat"))
     )
-    cols = ["path", "pmid", "layout", "dest"]
-    displaced = files.filter(F.col("layout") != CANONICAL).join(flags, ["root", "pmid", "subdir"])
-    plan = displaced.select(*cols, blocked.alias("taken")).unionByName(
-        files.filter(F.col("layout") == CANONICAL).select(*cols, F.lit(False).alias("taken"))
-    )
+    cols, folder = ["path", "pmid", "layout", "dest"], ["root", "pmid", "subdir"]
+    displaced = files.filter(F.col("layout") != CANONICAL).join(detached(flags, *folder), folder)
+    plan = displaced.select(*cols, blocked.alias("taken")).unionByName(sound.select(*cols, F.lit(False).alias("taken")))
 
     covered = F.col("layout").isin(*wanted)
     taken = F.col("taken")
@@ -57,7 +58,7 @@ def layout_plan(output_listing: DataFrame, mode: str = "all", ids: DataFrame | N
     )
     if ids is None:
         return plan
-    absent = ids.select("pmid").distinct().join(files.select("pmid").distinct(), "pmid", "left_anti")
+    absent = asked.join(folders.select("pmid").distinct(), "pmid", "left_anti")
     return plan.unionByName(
         absent.select("pmid", F.lit("SKIP").alias("action"), F.lit("source missing").alias("reason")),
         allowMissingColumns=True,

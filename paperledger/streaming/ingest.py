@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from paperledger.operators.registry import apply_results, insert_if_absent
+from paperledger.operators.skew import detached
 from paperledger.schema import ATTEMPT, BINARY_FILE, empty
 from paperledger.functions.paths import without_scheme
 from paperledger.sources.csv_files import CSV_OPTIONS
@@ -42,7 +43,9 @@ def apply_attempt_batch(batch: DataFrame, batch_id: int, registry_root: str, log
     batch = batch.withColumn("row_idx", F.monotonically_increasing_id())
     batch.write.mode("overwrite").parquet(f"{log}/batch_id={batch_id}")
     touched = spark.read.parquet(f"{log}/batch_id={batch_id}").select("pmid").distinct()
-    attempts = _logged(spark, log).drop("batch_id").join(touched, "pmid", "left_semi")
+    attempts = _logged(spark, log).drop("batch_id").join(detached(touched, "pmid"), "pmid", "left_semi")
+    # Detached again, so that keep-last thins out each id before it is shuffled.
+    attempts = detached(attempts, "pmid")
     registry = load_registry(spark, registry_root)
     publish_registry(
         apply_results(registry, attempts, F.current_timestamp()), registry_root, note=f"attempts batch {batch_id}"

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from paperledger.operators import attempts as att, audit, chunks, registry as reg
+from paperledger.operators import attempts as att, audit, chunks, compare, layout, registry as reg
 from tests.compare import duck_rows, spark_rows
 from workload.views import TABLES, VIEWS, view, with_views
 
@@ -98,6 +98,45 @@ def test_a_hot_id_is_folded_before_the_shuffle(spark):
         assert written and max(written) <= 16 * 2 * 1001, written
 
 
+@pytest.fixture
+def eager_skew(spark):
+    """Adaptive execution that splits already small partitions, and never broadcasts."""
+    conf = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k in conf:
+        spark.conf.unset(k)
+
+
+def test_joins_split_a_hot_key(spark, eager_skew):
+    hot = spark.range(0, 90_000, 1, 16).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN '999999' ELSE CAST(100000 + id % 700 AS STRING) END AS pmid", "id", "'completed' AS status",
+        "CAST(id AS DOUBLE) AS processing_time", "'vlm' AS backend", "CAST(id AS STRING) AS run",
+        "CASE WHEN id % 3 = 0 THEN 'same' ELSE CAST(id AS STRING) END AS digest")
+    outputs = hot.select("pmid")
+    manifest = hot.selectExpr("pmid", "concat('p', id) AS pdf_path")
+    files = hot.selectExpr("concat('out/', pmid, '/auto/', id, '_content_list.json') AS path")
+    ids = manifest.select("pmid")
+    lists = hot.selectExpr("concat('out/', pmid, '/auto/', pmid, '_content_list.json') AS path")
+    frames = {
+        "time_by_outcome": audit.time_by_outcome(hot, outputs),
+        "pending_work": audit.pending_work(manifest, lists),
+        "skipped_work": audit.skipped_work(manifest, lists),
+        "agreeing_runs": compare.agreeing_runs(hot),
+        "layout_plan": layout.layout_plan(files),
+        "layout_plan_ids": layout.layout_plan(files, ids=ids),
+    }
+    for name, df in frames.items():
+        n = len(df.collect())
+        assert "skew=true" in df._jdf.queryExecution().executedPlan().toString(), name
+        assert n == {"time_by_outcome": 1, "pending_work": 0}.get(name, 90_000), name
+
+
 def _shuffle_records(plan):
     """shuffleRecordsWritten of every exchange in an executed adaptive plan."""
     text = plan.toString()
