@@ -44,6 +44,11 @@ def safe_double(c: Column | str) -> Column:
     return F.when(~s.rlike(NOT_A_NUMBER), s.try_cast("double"))
 
 
+def local_time(c: Column | str) -> Column:
+    """ISO time without a zone, as the attempts carry it; NULL for anything else."""
+    return strip(c).try_cast("timestamp_ntz")
+
+
 def id_prefix(c: Column | str) -> Column:
     return F.substring(strip(c), 1, PREFIX_LENGTH)
 

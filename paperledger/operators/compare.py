@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from paperledger.functions.text import canonical_latex, markdown_lines
 from paperledger.operators.skew import detached
+from paperledger.schema import COMPLETED
 
 # Command-line names of the backends and their short names in reports.
 BACKENDS = {"pipeline": "pipeline", "hybrid-auto-engine": "hybrid", "vlm-auto-engine": "vlm"}
@@ -22,6 +23,21 @@ def short_backend(c: Column) -> Column:
     return out
 
 
+def attempt_timings(attempts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Mean `seconds` of the `n` completed attempts per GPU type and backend, by the node they ran on.
+
+    Attempts on a node class the dimension does not know drop out. They are folded per node class
+    before the join: a class holding most of the attempts joins as a few rows.
+    """
+    done = attempts.filter((F.col("status") == COMPLETED) & F.col("processing_time").isNotNull())
+    per_class = done.groupBy("node_prefix", short_backend(F.col("backend")).alias("backend")).agg(
+        F.sum("processing_time").alias("total"), F.count(F.lit(1)).alias("n")
+    )
+    return per_class.join(nodes, "node_prefix").groupBy("gpu_type", "backend").agg(
+        (F.sum("total") / F.sum("n")).alias("seconds"), F.sum("n").alias("n")
+    )
+
+
 def backend_pivot(timings: DataFrame, backends: Sequence[str] = REPORT_BACKENDS) -> DataFrame:
     """Mean seconds, one row per GPU type and one column per backend; NULL where none was timed."""
     return timings.groupBy("gpu_type").pivot("backend", list(backends)).agg(F.avg("seconds"))

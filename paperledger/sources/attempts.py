@@ -42,6 +42,14 @@ def read_results(spark: SparkSession, path: str) -> DataFrame:
     return read_attempts(spark, path, "*.parquet" if path.rstrip("/").endswith(".parquet") else "*.csv")
 
 
+def union_attempts(*parts: DataFrame) -> DataFrame:
+    """Attempts of several sources by column name; a column one of them lacks is NULL there."""
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out
+
+
 def read_attempt_log(spark: SparkSession, path: str) -> DataFrame:
     """Attempts written by `write_attempts`, of all runs. `chunk_file` begins with the run id."""
     df = spark.read.parquet(path)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paperledger.functions.text import (
-    memory_label, node_prefix, safe_double, short_gpu_name, status_from_glyph, strip,
+    chunk_id, memory_label, node_prefix, safe_double, short_gpu_name, status_from_glyph, strip,
 )
+from paperledger.operators.skew import detached
 from paperledger.schema import GPU_SAMPLE, conform
 from paperledger.sources.csv_files import CSV_OPTIONS
 
@@ -57,6 +58,20 @@ def chunk_nodes(lines: DataFrame) -> DataFrame:
     )
 
 
+def log_attempts(lines: DataFrame) -> DataFrame:
+    """Attempts as the logs tell them, with the node class their chunk ran on.
+
+    `pmid, status, processing_time, chunk_file, row_idx, node_prefix`; the class is NULL where no
+    line of the chunk names a node.
+    """
+    chunk = chunk_id("chunk_no")
+    nodes = chunk_nodes(lines).select(chunk.alias("chunk_file"), "node_prefix")
+    outcomes = parse_log_lines(lines).select(
+        "pmid", "status", F.col("seconds").alias("processing_time"), chunk.alias("chunk_file"), F.col("n").alias("row_idx")
+    )
+    return outcomes.join(detached(nodes, "chunk_file"), "chunk_file", "left")
+
+
 def read_gpu_samples(spark: SparkSession, path: str) -> DataFrame:
     """GPU samples from CSV without header, every field trimmed, plus two display labels."""
     raw = spark.read.options(**CSV_OPTIONS).schema(GPU_SAMPLE).csv(path)

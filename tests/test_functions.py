@@ -54,6 +54,11 @@ def test_small_labels(spark):
     assert values(spark, ["a_content_list_content_list"], text.strip_suffix("x")) == ["a"]
 
 
+def test_local_time(spark):
+    got = values(spark, ["2025-01-06T12:30:05.250000", " 2025-01-06 ", "soon", ""], text.local_time("x"))
+    assert [str(v) for v in got] == ["2025-01-06 12:30:05.250000", "2025-01-06 00:00:00", "None", "None"]
+
+
 def test_canonical_latex(spark):
     rows = [
         r"Flux of $\mathbf { K } ^ { + }$ and \mathbf x",

@@ -101,6 +101,13 @@ def test_write_attempts_keeps_other_runs(spark, tmp_path):
     assert sorted(r.run_id for r in spark.read.parquet(str(tmp_path / "log")).collect()) == ["a", "b"]
 
 
+def test_union_attempts_fills_missing_columns(spark):
+    a = spark.createDataFrame([("1", "failed")], "pmid string, status string")
+    b = spark.createDataFrame([("completed", "2", 1.5)], "status string, pmid string, processing_time double")
+    got = {r.pmid: (r.status, r.processing_time) for r in attempts.union_attempts(a, b).collect()}
+    assert got == {"1": ("failed", None), "2": ("completed", 1.5)}
+
+
 def test_listings(spark, tmp_path):
     for name in ("d/123456.pdf", "PMC7654321.PDF", "12.pdf", "x.txt"):
         put(tmp_path, name, "abc")
@@ -134,6 +141,8 @@ def test_logs(spark, tmp_path):
     rows = sorted(logs.parse_log_lines(lines).collect())
     assert [tuple(r) for r in rows] == [(7, 1, 3, "completed", "12657658", 21.5), (7, 2, 3, "failed", "PMC/1", 3.0)]
     assert [tuple(r) for r in logs.chunk_nodes(lines).collect()] == [(7, "cn2355", "cn23")]
+    attempt = logs.log_attempts(lines).orderBy("row_idx").first()
+    assert (attempt.pmid, attempt.chunk_file, attempt.node_prefix) == ("12657658", "chunk_00007", "cn23")
 
 
 def test_gpu_samples(spark, tmp_path):

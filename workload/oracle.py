@@ -319,6 +319,13 @@ ORACLE = {
         FROM ranked GROUP BY outcome""",
     "gpu_backend_pivot": f"""WITH {_BASE}
         SELECT gpu_type, round(pipeline, 6) AS pipeline, round(hybrid, 6) AS hybrid, round(vlm, 6) AS vlm FROM times""",
+    "attempt_timings": """
+        WITH timed AS (SELECT n.gpu_type, a.backend, a.processing_time AS t FROM fx_attempts a JOIN fx_nodes n USING (node_prefix)
+                       WHERE a.status = 'completed')
+        SELECT gpu_type, round(avg(t) FILTER (WHERE backend = 'pipeline'), 6) AS pipeline,
+               round(avg(t) FILTER (WHERE backend = 'hybrid-auto-engine'), 6) AS hybrid,
+               round(avg(t) FILTER (WHERE backend = 'vlm-auto-engine'), 6) AS vlm
+        FROM timed GROUP BY gpu_type""",
     "relative_speed": f"""WITH {_BASE}
         SELECT gpu_type, round(pipeline / pipeline, 1) AS pipeline, round(hybrid / pipeline, 1) AS hybrid,
                round(vlm / pipeline, 1) AS vlm FROM times""",
@@ -373,6 +380,15 @@ ORACLE = {
                regexp_extract(line, '^\[(\d+)/(\d+)\] (✓|✗) (\S+) \(([\d.]+)s\)', 4) AS pmid,
                CAST(regexp_extract(line, '^\[(\d+)/(\d+)\] (✓|✗) (\S+) \(([\d.]+)s\)', 5) AS DOUBLE) AS seconds
         FROM fx_logs WHERE regexp_matches(line, '^\[(\d+)/(\d+)\] (✓|✗) (\S+) \(([\d.]+)s\)')""",
+    "log_attempts": r"""
+        WITH named AS (SELECT chunk_no, arg_min(substr(regexp_extract(line, 'cn[0-9]+'), 1, 4), line_no) AS node_prefix
+                       FROM fx_logs WHERE regexp_matches(line, 'cn[0-9]') GROUP BY chunk_no)
+        SELECT regexp_extract(line, '. (\S+) \(([\d.]+)s\)', 1) AS pmid,
+               CASE WHEN contains(line, '✓') THEN 'completed' ELSE 'failed' END AS status,
+               CAST(regexp_extract(line, '\(([\d.]+)s\)', 1) AS DOUBLE) AS processing_time,
+               'chunk_' || lpad(CAST(l.chunk_no AS VARCHAR), 5, '0') AS chunk_file,
+               CAST(regexp_extract(line, '^\[(\d+)', 1) AS BIGINT) AS row_idx, node_prefix
+        FROM fx_logs l LEFT JOIN named n ON n.chunk_no = l.chunk_no WHERE contains(line, '✓') OR contains(line, '✗')""",
     "chunk_nodes": """
         WITH named AS (SELECT chunk_no, line_no, regexp_extract(line, 'cn[0-9]+') AS node FROM fx_logs WHERE regexp_matches(line, 'cn[0-9]'))
         SELECT chunk_no, arg_min(node, line_no) AS node, substr(arg_min(node, line_no), 1, 4) AS node_prefix FROM named GROUP BY chunk_no""",

@@ -365,6 +365,12 @@ def gpu_backend_pivot(spark, sf):
     return rounded(compare.backend_pivot(view(spark, sf, "fx_timings")), *compare.REPORT_BACKENDS)
 
 
+@query
+def attempt_timings(spark, sf):
+    timings = compare.attempt_timings(view(spark, sf, "fx_attempts"), view(spark, sf, "fx_nodes"))
+    return rounded(compare.backend_pivot(timings), *compare.REPORT_BACKENDS)
+
+
 @query
 def relative_speed(spark, sf):
     return compare.relative_speed(view(spark, sf, "fx_timings"))
@@ -437,6 +443,11 @@ def log_lines(spark, sf):
     return logs.parse_log_lines(view(spark, sf, "fx_logs"))
 
 
+@query
+def log_attempts(spark, sf):
+    return logs.log_attempts(view(spark, sf, "fx_logs"))
+
+
 @query
 def chunk_nodes(spark, sf):
     return logs.chunk_nodes(view(spark, sf, "fx_logs"))

@@ -59,7 +59,8 @@ VIEWS = {
                ts AS processed_at,
                'chunk_' || lpad(CAST(user_id AS STRING), 5, '0') || '.csv' AS chunk_file,
                event_id AS row_idx,
-               CASE user_id % 4 WHEN 0 THEN 'cn23' WHEN 1 THEN 'cn30' WHEN 2 THEN 'cn41' ELSE 'cn42' END AS node_prefix
+               CASE user_id % 4 WHEN 0 THEN 'cn23' WHEN 1 THEN 'cn30' WHEN 2 THEN 'cn41' ELSE 'cn42' END AS node_prefix,
+               CASE event_id % 3 WHEN 0 THEN 'pipeline' WHEN 1 THEN 'hybrid-auto-engine' ELSE 'vlm-auto-engine' END AS backend
         FROM {{events}}""",
     # Output files: kind by event type, layout by user; content lists only of the slower half.
     "fx_files": f"""
