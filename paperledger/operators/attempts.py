@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from paperledger.functions.text import blank_to_null, safe_double, strip
 from paperledger.schema import ATTEMPT, COMPLETED, FAILED, PENDING, conform
@@ -13,6 +13,13 @@ from paperledger.sources.attempts import ATTEMPT_ORDER
 SUSPECT_SECONDS = 50.0  # fixed value: a completed run faster than this is suspect
 
 
+def _seconds(attempts: DataFrame) -> Column:
+    """Processing time as a number; text is parsed, a number is taken as it is."""
+    if isinstance(attempts.schema["processing_time"].dataType, T.StringType):
+        return safe_double("processing_time")
+    return F.col("processing_time").cast("double")
+
+
 def clean_results(attempts: DataFrame) -> DataFrame:
     """Attempts fit for the registry: trimmed, blanks as NULL, times as numbers, rows with an id.
 
@@ -22,7 +29,7 @@ def clean_results(attempts: DataFrame) -> DataFrame:
     order = tuple(c for c in attempts.columns if c not in ATTEMPT.names)
     typed = attempts
     if "processing_time" in present:
-        typed = typed.withColumn("processing_time", safe_double("processing_time"))
+        typed = typed.withColumn("processing_time", _seconds(attempts))
     df = conform(typed, ATTEMPT, keep=order)
     return df.withColumns({
         "pmid": strip("pmid"),
@@ -67,7 +74,7 @@ def merge_summary(attempts: DataFrame) -> DataFrame:
 
     The mean takes every time that is a number above zero, whatever the status.
     """
-    seconds = safe_double("processing_time")
+    seconds = _seconds(attempts)
     usable = F.when((seconds > 0) & ~F.isnan(seconds), seconds)
     counts = attempts.agg(
         F.count(F.lit(1)).alias("total"),

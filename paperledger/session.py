@@ -28,7 +28,7 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only where the cluster names none (local mode, tests) is a temporary folder made.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")

@@ -55,10 +55,14 @@ def apply_attempt_batch(batch: DataFrame, batch_id: int, registry_root: str, log
 def ingest_stream(
     spark: SparkSession, src: str, registry_root: str, log: str, checkpoint: str, glob: str = "chunk_*.csv"
 ) -> StreamingQuery:
-    """Apply all result files not yet seen, then stop. Columns are taken in the order of ATTEMPT."""
+    """Apply all result files not yet seen, then stop.
+
+    A stream needs its schema beforehand: the files have the columns of ATTEMPT, in that order.
+    Files with another header are refused.
+    """
     files = (
         spark.readStream.schema(RAW_ATTEMPT).options(**CSV_OPTIONS)
-        .option("header", True).option("multiLine", True).option("pathGlobFilter", glob).csv(src)
+        .option("header", True).option("enforceSchema", False).option("multiLine", True).option("pathGlobFilter", glob).csv(src)
         .select("*", F.col("_metadata.file_name").alias("chunk_file"))
     )
     return (

@@ -1,6 +1,6 @@
 from datetime import datetime
 
-from pyspark.sql import functions as F
+import pytest
 
 from paperledger.operators.registry import apply_results, insert_if_absent
 from paperledger.schema import REGISTRY, empty
@@ -46,6 +46,16 @@ def test_stream_equals_batch_though_files_come_out_of_order(spark, tmp_path):
     assert latest_version(spark, root) == before
 
 
+def test_files_with_other_columns_are_refused(spark, tmp_path):
+    root = str(tmp_path / "registry")
+    publish_registry(start(spark), root)
+    put(tmp_path, "src/chunk_0.csv", "status,pmid,c,d,e,f,g,h\nfailed,0,,,,,,\n")
+    query = ingest_stream(spark, str(tmp_path / "src"), root, str(tmp_path / "log"), str(tmp_path / "ckpt"))
+    with pytest.raises(Exception):
+        query.awaitTermination()
+    assert latest_version(spark, root) == 1
+
+
 def test_a_batch_delivered_twice_changes_nothing(spark, tmp_path):
     root, log = str(tmp_path / "registry"), str(tmp_path / "log")
     publish_registry(start(spark), root)
