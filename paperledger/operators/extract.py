@@ -7,17 +7,22 @@ document's path or text. It stands for whatever tool turns a document into a con
 from __future__ import annotations
 
 import multiprocessing as mp
+import sys
 import time
 from collections.abc import Callable, Iterator
 from datetime import datetime, timezone
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from paperledger.functions.text import EXCEPTION_CHARS
 from paperledger.operators.registry import NO_OUTPUT
 from paperledger.schema import COMPLETED, ELEMENT, FAILED
 
+# The code in this module travels with the job, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 Extractor = Callable[[str, str], list]
 
 TIMEOUT_SECONDS = 1800  # fixed value
@@ -34,6 +39,20 @@ OUTCOME = T.StructType([
 ])
 
 
+def _fit(element: dict) -> dict:
+    """An element with the fields and types of ELEMENT."""
+
+    def cast(field: str, kind: type):
+        value = element.get(field)
+        return None if value is None else kind(value)
+
+    box = element.get("bbox")
+    return {
+        "type": cast("type", str), "text": cast("text", str), "text_level": cast("text_level", int),
+        "page_idx": cast("page_idx", int), "bbox": None if box is None else [float(x) for x in box],
+    }
+
+
 def _serve(extractor: Extractor, pipe) -> None:
     while True:
         try:
@@ -41,7 +60,7 @@ def _serve(extractor: Extractor, pipe) -> None:
         except EOFError:
             return
         try:
-            pipe.send((extractor(pmid, source), None))
+            pipe.send(([_fit(e) for e in extractor(pmid, source) or []], None))
         except Exception as e:
             pipe.send((None, f"{type(e).__name__}: {str(e)[:EXCEPTION_CHARS]}"))
 
@@ -94,8 +113,6 @@ def extract_documents(
     extractor is not run at all. Rows are dealt out evenly over `partitions`, so that large
     documents standing together in the input do not end up in one task.
     """
-    fields = ELEMENT.names
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         child = _Child(extractor)
         try:
@@ -110,9 +127,9 @@ def extract_documents(
                     rows.append((
                         pmid, COMPLETED if error is None else FAILED, error, seconds,
                         datetime.now(timezone.utc).replace(tzinfo=None), backend,
-                        [{f: e.get(f) for f in fields} for e in elements or []],
+                        elements or [],
                     ))
-                    chars += sum(len(e.get("text") or "") for e in elements or [])
+                    chars += sum(len(e["text"] or "") for e in elements or [])
                     if chars >= FLUSH_CHARS:
                         yield pd.DataFrame(rows, columns=OUTCOME.names)
                         rows, chars = [], 0

@@ -7,14 +7,16 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from paperledger.functions.text import id_prefix
 from paperledger.operators import registry as ops
-from paperledger.operators.attempts import keep_last, merge_summary
+from paperledger.operators.attempts import keep_last, merge_summary, run_summary
 from paperledger.operators.audit import INPUT_MISSING, pending_work
-from paperledger.operators.extract import TIMEOUT_SECONDS, Extractor, extract_documents
-from paperledger.schema import FAILED, PENDING
-from paperledger.sources.attempts import CHUNK_PATTERN, read_attempts, read_results, write_merged
+from paperledger.operators.extract import TIMEOUT_SECONDS, Extractor, extract_documents, outcome_elements
+from paperledger.schema import COMPLETED, FAILED, PENDING
+from paperledger.sources.attempts import CHUNK_PATTERN, read_attempts, read_results, write_attempts, write_merged
+from paperledger.sources.content import write_by_prefix
 from paperledger.sources.csv_files import FILE_ORDER
-from paperledger.sources.listings import PDF_GLOB_ANY_CASE, ids_from_listing, list_files, outputs_from_listing
+from paperledger.sources.listings import OUTPUT_GLOB, PDF_GLOB_ANY_CASE, ids_from_listing, list_files, outputs_from_listing
 from paperledger.sources.manifests import read_manifest, write_manifest
 from paperledger.sources.snapshots import load_registry, publish_registry, query_registry
 
@@ -52,7 +54,7 @@ class Ledger:
         return merge_summary(attempts)
 
     def scan_outputs(self, output_dir: str, as_of: datetime) -> int:
-        outputs = outputs_from_listing(list_files(self.spark, output_dir))
+        outputs = outputs_from_listing(list_files(self.spark, output_dir, OUTPUT_GLOB))
         return self._publish(ops.complete_from_outputs(self.registry(), outputs, as_of), "scan_outputs")
 
     def retry_failed(self, as_of: datetime) -> int:
@@ -62,9 +64,41 @@ class Ledger:
         return self._publish(ops.backfill_sizes(self.registry(), list_files(self.spark, pdf_dir)), "update_sizes")
 
     def demote_missing(self, output_dir: str, as_of: datetime) -> int:
-        outputs = outputs_from_listing(list_files(self.spark, output_dir))
+        outputs = outputs_from_listing(list_files(self.spark, output_dir, OUTPUT_GLOB))
         return self._publish(ops.demote_missing(self.registry(), outputs, as_of), "demote_missing")
 
+    def process(
+        self,
+        extractor: Extractor,
+        out: str,
+        run_id: str,
+        as_of: datetime,
+        input_listing: DataFrame,
+        backend: str = "pipeline",
+        timeout_s: float = TIMEOUT_SECONDS,
+        partitions: int | None = None,
+    ) -> DataFrame:
+        """Extract all pending documents, record the attempts, update the registry; return the run's counts.
+
+        Outcomes are written before anything is made of them, so that no document is extracted
+        twice. Attempts go to `{out}/attempts`, elements to `{out}/elements/run_id=…` by id prefix.
+        """
+        todo = mark_missing(self.registry().filter(F.col("status") == PENDING).select("pmid", "pdf_path"), input_listing)
+        outcomes = extract_documents(todo, extractor, backend, timeout_s, partitions=partitions, known_error="known_error")
+        stored = f"{out}/outcomes/run_id={run_id}"
+        outcomes.write.mode("overwrite").parquet(stored)
+        outcomes = self.spark.read.parquet(stored)
+
+        elements = f"{out}/elements/run_id={run_id}"
+        write_by_prefix(outcome_elements(outcomes), elements)
+        place = F.concat(F.lit(f"{elements}/prefix="), id_prefix("pmid"))
+        attempts = outcomes.drop("elements").withColumns({
+            "json_path": F.when(F.col("status") == COMPLETED, place), "chunk_file": F.lit(run_id), "row_idx": F.lit(0),
+        })
+        write_attempts(attempts, f"{out}/attempts", run_id)
+        self._publish(ops.apply_results(self.registry(), attempts, as_of), f"process {run_id}")
+        return run_summary(attempts)
+
     def export_pending(self, path: str) -> bool:
         return write_manifest(ops.export_status(self.registry(), PENDING), path)
 
@@ -81,6 +115,13 @@ class Ledger:
         return query_registry(self.spark, self.registry(), sql)
 
 
+def mark_missing(manifest: DataFrame, input_listing: DataFrame) -> DataFrame:
+    """Adds `known_error`, a message for rows whose file is not listed."""
+    files = input_listing.select(F.col("path").alias("pdf_path"), F.lit(True).alias("listed"))
+    message = F.when(F.col("listed").isNull(), F.concat(F.lit(INPUT_MISSING + ": "), "pdf_path"))
+    return manifest.join(files, "pdf_path", "left").withColumn("known_error", message).drop("listed")
+
+
 def process_manifest(
     manifest: DataFrame,
     input_listing: DataFrame,
@@ -91,8 +132,5 @@ def process_manifest(
     partitions: int | None = None,
 ) -> DataFrame:
     """Outcomes of the documents that have no output yet; those whose file is not listed fail at once."""
-    files = input_listing.select(F.col("path").alias("pdf_path"), F.lit(True).alias("listed"))
-    todo = pending_work(manifest, output_listing).join(files, "pdf_path", "left").withColumn(
-        "known_error", F.when(F.col("listed").isNull(), F.concat(F.lit(INPUT_MISSING + ": "), "pdf_path"))
-    )
+    todo = mark_missing(pending_work(manifest, output_listing), input_listing)
     return extract_documents(todo, extractor, backend, timeout_s, partitions=partitions, known_error="known_error")

@@ -10,6 +10,7 @@ from paperledger.schema import LISTING
 
 PDF_GLOB = "*.pdf"
 PDF_GLOB_ANY_CASE = "*.[pP][dD][fF]"
+OUTPUT_GLOB = "*{_content_list.json,.md}"
 
 
 def list_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:

@@ -1,6 +1,10 @@
+import os
+import subprocess
+import sys
 from datetime import datetime
 
 from paperledger.plans.commands import Ledger
+from paperledger.sources.attempts import read_attempt_log
 from tests.test_sources import HEADER, put
 
 NOW = datetime(2025, 1, 9)
@@ -10,6 +14,51 @@ def states(ledger):
     return {r.pmid: r.status for r in ledger.registry().collect()}
 
 
+def words(pmid, source):
+    if pmid == "222222":
+        return [{"type": 7, "text": 1.5, "page_idx": "2", "bbox": [1]}, {"type": "text"}]
+    return "no list of dicts"
+
+
+def test_process_extracts_once_and_updates(spark, tmp_path):
+    ledger = Ledger(spark, str(tmp_path / "registry"))
+    ledger.init(put(tmp_path, "m.csv", "pmid,pdf_path\n0111111,a\n222222,b\n333333,c\n"), NOW)
+    listing = spark.createDataFrame([("a", 1), ("b", 1)], "path string, length long")
+    out = str(tmp_path / "out")
+    counts = ledger.process(words, out, "run1", NOW, listing, timeout_s=30).first()
+    assert (counts.completed, counts.failed, counts.ok) == (1, 2, False)
+    got = {r.pmid: r for r in ledger.registry().collect()}
+    assert got["222222"].status == "completed" and got["222222"].json_path == f"{out}/elements/run_id=run1/prefix=222"
+    assert got["0111111"].error_msg.startswith("AttributeError") and got["333333"].error_msg == "PDF file not found: c"
+    rows = spark.read.parquet(got["222222"].json_path).orderBy("seq").collect()
+    assert [(r.type, r.text, r.page_idx, r.bbox) for r in rows] == [("7", "1.5", 2, [1.0]), ("text", None, None, None)]
+    ledger.retry_failed(NOW)
+    assert ledger.process(words, out, "run2", NOW, listing, timeout_s=30).first().failed == 2
+    assert read_attempt_log_runs(spark, out) == ["run1", "run1", "run1", "run2", "run2"]
+
+
+def read_attempt_log_runs(spark, out):
+    return sorted(r.run_id for r in read_attempt_log(spark, f"{out}/attempts").collect())
+
+
+SCRIPT = """
+import sys
+sys.path.insert(0, {repo!r})
+from paperledger.operators.extract import extract_documents, paragraphs
+from paperledger.session import build_session
+spark = build_session("t", "local[2]", spark__ui__enabled="false")
+df = spark.createDataFrame([("1", "a")], "pmid string, pdf_path string")
+print("status", extract_documents(df, paragraphs).first().status)
+"""
+
+
+def test_executors_need_no_copy_of_the_package(tmp_path):
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", SCRIPT.format(repo=repo)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=120)
+    assert "status completed" in done.stdout, done.stderr[-2000:]
+
+
 def test_a_registry_from_manifest_to_retry(spark, tmp_path):
     ledger = Ledger(spark, str(tmp_path / "registry"))
     ledger.init(put(tmp_path, "m.csv", "PMID,pdf_path\n111111,pdfs/111111.pdf\n222222,pdfs/222222.pdf\n333333,x\n"), NOW)
