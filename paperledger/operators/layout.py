@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from paperledger.functions.paths import CANONICAL, FLAT, FLAT_NESTED, NESTED, with_output_path
 from paperledger.operators.skew import detached
@@ -23,14 +23,14 @@ def layout_plan(output_listing: DataFrame, mode: str = "all", ids: DataFrame | N
     files = with_output_path(output_listing.select("path")).withColumn(
         "under_prefix", F.col("layout").isin(CANONICAL, NESTED)
     )
-    # Folders that stand in the way: one row per folder and what it holds, then per document.
+    # Folders that stand in the way: one row per folder and what it holds. The window joins the
+    # few folders of a document.
     folders = files.groupBy("root", "pmid", "subdir").agg(
         F.bool_or(F.col("layout") == CANONICAL).alias("in_place"),
         F.bool_or(F.col("layout") == FLAT).alias("in_flat"),
         F.bool_or("under_prefix").alias("at_home"),
     )
-    homes = folders.groupBy("root", "pmid").agg(F.bool_or("at_home").alias("at_home"))
-    flags = folders.drop("at_home").join(homes, ["root", "pmid"])
+    flags = folders.withColumn("at_home", F.bool_or("at_home").over(Window.partitionBy("root", "pmid")))
     sound = files.filter(F.col("layout") == CANONICAL)
     if ids is not None:
         asked = ids.select("pmid").distinct()
