@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from paperledger.operators.attempts import clean_results, keep_last
 from paperledger.operators.registry import apply_results, insert_if_absent
-from paperledger.operators.skew import detached
 from paperledger.schema import ATTEMPT, BINARY_FILE, empty
 from paperledger.functions.paths import without_scheme
 from paperledger.sources.csv_files import CSV_OPTIONS
@@ -16,40 +15,43 @@ from paperledger.sources.snapshots import load_registry, publish_registry
 
 # Attempts as they stand in the files: text, to be cleaned when applied.
 RAW_ATTEMPT = T.StructType([T.StructField(f, T.StringType()) for f in ATTEMPT.names])
-LOGGED = T.StructType([
-    *RAW_ATTEMPT.fields, T.StructField("chunk_file", T.StringType()), T.StructField("row_idx", T.LongType()),
-    T.StructField("batch_id", T.LongType()),
+# Per id, the place of the last attempt applied so far.
+POSITION = T.StructType([
+    T.StructField("pmid", T.StringType()), T.StructField("chunk_file", T.StringType()), T.StructField("row_idx", T.LongType()),
 ])
 
 
-def _logged(spark: SparkSession, log: str) -> DataFrame:
-    try:
-        return spark.read.schema(LOGGED).parquet(log)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return empty(spark, LOGGED)
+def _positions(spark: SparkSession, log: str, batch_id: int) -> DataFrame:
+    """Places as the given batch left them; none before the first batch, an error if they are gone."""
+    if batch_id < 0:
+        return empty(spark, POSITION)
+    return spark.read.schema(POSITION).parquet(f"{log}/positions/batch_id={batch_id}")
 
 
 def apply_attempt_batch(batch: DataFrame, batch_id: int, registry_root: str, log: str) -> None:
-    """Log the batch, then bring the ids it touches up to date from the whole log.
+    """Log the batch and apply those of its attempts that are later than what was applied before.
 
-    Files may arrive out of name order, so the last attempt of an id is looked for among all
-    attempts ever logged, not only in the batch. The log partition of a batch is overwritten:
-    a batch delivered twice changes nothing.
+    Files may arrive out of name order: an attempt counts only if its (file, row) lies behind the
+    place kept for its id. So the outcome is that of one batch over all files, no batch looks at
+    the attempts of earlier ones, and a stale file does not undo a retry. Everything a batch
+    writes goes under its own number: a batch delivered twice changes nothing. `log` belongs to
+    one checkpoint; places older than the last batch's may be removed.
     """
     spark = batch.sparkSession
+    stored = f"{log}/attempts/batch_id={batch_id}"
     # A file is read whole by one task, in order, so this id orders the rows of each file.
-    batch = batch.withColumn("row_idx", F.monotonically_increasing_id())
-    batch.write.mode("overwrite").parquet(f"{log}/batch_id={batch_id}")
-    touched = spark.read.parquet(f"{log}/batch_id={batch_id}").select("pmid").distinct()
-    attempts = _logged(spark, log).drop("batch_id").join(detached(touched, "pmid"), "pmid", "left_semi")
-    # Detached again, so that keep-last thins out each id before it is shuffled.
-    attempts = detached(attempts, "pmid")
-    registry = load_registry(spark, registry_root)
+    batch.withColumn("row_idx", F.monotonically_increasing_id()).write.mode("overwrite").parquet(stored)
+    last = keep_last(clean_results(spark.read.parquet(stored)))
+
+    before = _positions(spark, log, batch_id - 1)
+    seen = before.select("pmid", F.struct("chunk_file", "row_idx").alias("seen"))
+    fresh = last.join(seen, "pmid", "left").filter(F.col("seen").isNull() | (F.struct("chunk_file", "row_idx") >= F.col("seen")))
     publish_registry(
-        apply_results(registry, attempts, F.current_timestamp()), registry_root, note=f"attempts batch {batch_id}"
+        apply_results(load_registry(spark, registry_root), fresh.drop("seen"), F.current_timestamp()),
+        registry_root, note=f"attempts batch {batch_id}",
     )
+    places = before.unionByName(last.select(*POSITION.names))
+    keep_last(places).write.mode("overwrite").parquet(f"{log}/positions/batch_id={batch_id}")
 
 
 def ingest_stream(

@@ -2,7 +2,7 @@ from datetime import datetime
 
 import pytest
 
-from paperledger.operators.registry import apply_results, insert_if_absent
+from paperledger.operators.registry import apply_results, insert_if_absent, retry_failed
 from paperledger.schema import REGISTRY, empty
 from paperledger.sources.attempts import read_attempts
 from paperledger.sources.listings import PDF_GLOB_ANY_CASE, ids_from_listing, list_files
@@ -64,7 +64,23 @@ def test_a_batch_delivered_twice_changes_nothing(spark, tmp_path):
     once = result(load_registry(spark, root))
     apply_attempt_batch(batch, 0, root, log)
     assert result(load_registry(spark, root)) == once
-    assert spark.read.parquet(log).count() == 1
+    assert spark.read.parquet(f"{log}/attempts").count() == 1
+
+
+def test_a_stale_file_does_not_undo_a_retry(spark, tmp_path):
+    root, log = str(tmp_path / "registry"), str(tmp_path / "log")
+    publish_registry(start(spark), root)
+
+    def arrive(n, name, status):
+        folder = put(tmp_path, f"{n}/{name}", lines(("0", status, 1))).rsplit("/", 1)[0]
+        apply_attempt_batch(read_attempts(spark, folder).drop("row_idx"), n, root, log)
+        return {r.pmid: r.status for r in load_registry(spark, root).collect()}["0"]
+
+    assert arrive(0, "chunk_00005.csv", "failed") == "failed"
+    publish_registry(retry_failed(load_registry(spark, root), NOW), root)
+    assert arrive(1, "chunk_00002.csv", "failed") == "pending"
+    assert arrive(2, "chunk_00006.csv", "completed") == "completed"
+    assert arrive(3, "chunk_00005b.csv", "failed") == "completed"
 
 
 def test_scan_stream_equals_batch(spark, tmp_path):
