@@ -1,3 +1,23 @@
 """DuckDB SQL for the operators that SQL can express."""
 
 ORACLE: dict[str, str] = {}
+
+ORACLE["op5_mixing"] = r"""
+WITH sized AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents
+), own AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source
+), weighed AS (
+  SELECT *, CAST(CASE (row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS DOUBLE) AS weight,
+         CAST(3 * source_size AS DOUBLE) AS cap FROM own
+), levels AS (
+  SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER before, 0.0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0.0)) AS level
+  FROM weighed WINDOW before AS (ORDER BY cap / weight, source ASC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), shares AS (
+  SELECT source, source_size, least(cap, max(level) OVER () * weight) AS target FROM levels
+), rated AS (
+  SELECT s.doc_id, s.size, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0 END AS rate,
+         CAST(CAST('0x' || substr(md5('mix-1|' || coalesce(CAST(s.doc_id AS VARCHAR), '~')), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496.0 AS u
+  FROM sized s JOIN shares t ON s.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, source_size, target, size * CAST(floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END AS BIGINT) AS taken FROM rated"""
