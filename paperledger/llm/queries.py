@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paperledger.llm.mixing import mix
+from paperledger.llm.packing import best_fit_packing
 from paperledger.llm.quality import quality
 
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,3 +31,8 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit_packing(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))

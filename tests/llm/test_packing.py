@@ -1,0 +1,87 @@
+import zlib
+from itertools import product
+
+import numpy as np
+import public_tokenizers
+from hypothesis import given, settings, strategies as st
+from tokenizers import Tokenizer
+
+from paperledger.llm import packing as p
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+TEXTS = [
+    "", " ", "\n\n\n  x", "don't I'll we'VE", "été naïve 日本語 \U0001f600", "a" * 5000, " " * 3000, "x\x00y​", "<|endoftext|> a",
+    "1234567 ١٢", "tab\tcr\r\nvt\x0b", " nbsp line", "word " * 4000, "</s>[INST]", "ﬁ ligature Ａ",
+]
+
+
+def library():
+    t = Tokenizer.from_file(PATH)
+    t.encode_special_tokens = True
+    return lambda text: t.encode(text, add_special_tokens=False).ids
+
+
+def test_ids_are_those_of_the_tokenizers_library():
+    ours, theirs = p.encoder(PATH), library()
+    for text in TEXTS:
+        assert ours(text) == theirs(text)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text())
+def test_ids_of_any_text(text):
+    assert p.encoder(PATH)(text) == library()(text)
+
+
+def fewest(lengths, capacity):
+    """Brute force: every way to deal the pieces out."""
+    for k in range(1, len(lengths) + 1):
+        for deal in product(range(k), repeat=len(lengths)):
+            if all(sum(x for x, d in zip(lengths, deal) if d == b) <= capacity for b in range(k)):
+                return k
+    return 0
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(1, 20), max_size=7))
+def test_small_groups_are_packed_as_well_as_brute_force(lengths):
+    bins = p.pack(lengths, 20)
+    assert sorted(x for b in bins for x in b) == sorted(lengths) and all(sum(b) <= 20 for b in bins)
+    assert len(bins) == fewest(lengths, 20)
+
+
+def test_completion_beats_best_fit():
+    lengths = [6, 6, 5, 5, 5, 3, 3, 3, 4, 4, 4, 2] * 3
+    lengths = [44, 24, 24, 22, 21, 17, 8, 8, 6, 6]
+    capacity = 61
+    assert len(p.pack(lengths, capacity)) == 3 <= len(p.best_fit(sorted(lengths, reverse=True), capacity))
+
+
+def test_documents_come_back_whole(spark):
+    texts = [*TEXTS, None, "same", "same", *(" ".join(f"w{i}" for i in range(n)) for n in range(1, 1500, 37))]
+    rows = [(i if i != 3 else None, t, 1, "x") for i, t in enumerate(texts)] + [(1000, "again"), (1000, "again")][0:0]
+    docs = spark.createDataFrame([*rows, (7, "again", 1, "x"), (7, "again", 1, "x")], "doc_id long, text string, piece int, sequence_id string")
+    got = p.best_fit_packing(docs, PATH, capacity=512, group=20).collect()
+    encode = library()
+    want = []
+    for doc_id, text, *_ in docs.collect():
+        ids = np.array([*encode(text or ""), 0], dtype="<u4")
+        cuts = [0, *range(len(ids) % 512 or 512, len(ids) + 1, 512)]
+        want += [(doc_id, k, a, b - a, zlib.crc32(ids[a:b].tobytes())) for k, (a, b) in enumerate(zip(cuts, cuts[1:]))]
+    key = lambda r: (r[0] is None, r[0] or 0, *r[1:])
+    assert sorted((tuple(r[:5]) for r in got), key=key) == sorted(want, key=key)
+    sequences = {}
+    for r in got:
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for parts in sequences.values():
+        end = 0
+        for offset, length in sorted(parts):
+            assert offset == end
+            end += length
+        assert end <= 512
+    groups = -(-docs.count() // 20)
+    assert len(sequences) <= sum(r.length for r in got) / 512 * 1.1 + groups
+
+
+def test_empty_table(spark):
+    assert p.best_fit_packing(spark.createDataFrame([], "doc_id long, text string"), PATH).collect() == []
