@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from paperledger.llm.jaccard import jaccard_components
 from paperledger.llm.mixing import mix
 from paperledger.llm.packing import best_fit_packing
 from paperledger.llm.quality import quality
@@ -36,3 +37,8 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
