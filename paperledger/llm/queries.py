@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from paperledger.llm.jaccard import jaccard_components
 from paperledger.llm.mixing import mix
 from paperledger.llm.packing import best_fit_packing
+from paperledger.llm.pii import replace_entities
 from paperledger.llm.quality import quality
 
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,3 +43,8 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replace_entities(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_entities", "entity_types")
