@@ -12,6 +12,7 @@ from paperledger.llm.mixing import mix
 from paperledger.llm.packing import best_fit_packing
 from paperledger.llm.pii import replace_entities
 from paperledger.llm.quality import quality
+from paperledger.llm.toxicity import toxicity
 
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -48,3 +49,8 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replace_entities(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_entities", "entity_types")
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
