@@ -13,6 +13,7 @@ from paperledger.llm.packing import best_fit_packing
 from paperledger.llm.pii import replace_entities
 from paperledger.llm.quality import quality
 from paperledger.llm.toxicity import toxicity
+from paperledger.llm.winnowing import fingerprints
 
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -54,3 +55,8 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
