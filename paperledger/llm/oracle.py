@@ -21,3 +21,28 @@ WITH sized AS (
   FROM sized s JOIN shares t ON s.source IS NOT DISTINCT FROM t.source
 )
 SELECT doc_id, size, source_size, target, size * CAST(floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END AS BIGINT) AS taken FROM rated"""
+
+ORACLE["op2_chat_formatting"] = r"""
+WITH rows_ AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), marked AS (
+  SELECT *, len(regexp_replace(text, '(\\*)(\[/?INST\]|</?s>|<</?(?:SYS|ROLE)>>|<<TEXT>>)', '\1\1\\\2', 'g'))
+    + CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 9 WHEN 'system' THEN 17
+      ELSE 29 + len(regexp_replace(role, '(\\*)(\[/?INST\]|</?s>|<</?(?:SYS|ROLE)>>|<<TEXT>>)', '\1\1\\\2', 'g')) END AS chars
+  FROM rows_
+), ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place FROM marked
+), whole AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY place) AS turns,
+         coalesce(string_agg(text, '' ORDER BY place) FILTER (WHERE role = 'assistant'), '') AS loss,
+         sum(chars) + count(*) - 1 AS formatted_chars, string_agg(role, ',' ORDER BY place) AS roles, bool_and(role IN ('user', 'assistant', 'system')) AS known,
+         len(first(text ORDER BY place)) AS first_chars, len(last(text ORDER BY place)) AS last_chars
+  FROM ordered GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(len(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256,
+       CAST(formatted_chars AS BIGINT) AS formatted_chars,
+       CASE WHEN roles = 'user,assistant' AND first_chars % 2 = 0 THEN 'prompt_completion' WHEN roles = 'user,assistant' THEN 'instruction'
+            WHEN roles = 'system,user,assistant' THEN 'system_instruction' WHEN known AND n_turns % 2 = 1 THEN 'from_value'
+            WHEN first_chars < last_chars THEN 'dialogue' ELSE 'messages' END AS layout
+FROM whole"""

@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from paperledger.llm.chat import as_layouts, canonical, digests, formatted
 from paperledger.llm.jaccard import jaccard_components
 from paperledger.llm.mixing import mix
 from paperledger.llm.packing import best_fit_packing
@@ -60,3 +61,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    ok = "</s>[INST] ok [/INST]"
+    added = spark.createDataFrame([(-1, 0, "user", ok), (-1, 1, "assistant", ok)], rows.schema)
+    return digests(formatted(canonical(as_layouts(rows.unionByName(added)))))

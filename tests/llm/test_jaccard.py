@@ -62,11 +62,11 @@ def result(df):
     return sorted(map(tuple, df), key=key)
 
 
-@pytest.mark.parametrize("seed,tile,block,often", [(1, 64, 512, 1 << 16), (2, 3, 4, 0), (3, 2, 3, 20)])
-def test_components_match_brute_force(spark, seed, tile, block, often):
+@pytest.mark.parametrize("seed,tile,block,often,picked", [(1, 64, 512, 1 << 16, 1000), (2, 3, 4, 0, 1000), (3, 2, 3, 20, 0)])
+def test_components_match_brute_force(spark, seed, tile, block, often, picked):
     rows = corpus(seed)
     docs = spark.createDataFrame(rows, "doc_id long, text string, cls string, n long").repartition(3)
-    got = j.jaccard_components(docs, tile=tile, block=block, often=often).select("doc_id", "n_shingles", "component_id").collect()
+    got = j.jaccard_components(docs, tile=tile, block=block, often=often, picked=picked).select("doc_id", "n_shingles", "component_id").collect()
     assert result(got) == result(brute(rows))
 
 
