@@ -76,8 +76,9 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFra
 
 
 def typed(rows: list[tuple], names: str) -> pd.DataFrame:
-    frame = pd.DataFrame(rows, columns=names.split())
-    return frame.astype({"doc_id": "Int64"} | {c: "int32" if c == "piece" else "int64" for c in frame.columns if c != "doc_id"})
+    columns = zip(*rows) if rows else ([] for _ in names.split())
+    types = {"doc_id": "Int64", "piece": "int32"}
+    return pd.DataFrame({c: pd.array(list(v), types.get(c, "int64")) for c, v in zip(names.split(), columns)})
 
 
 def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:

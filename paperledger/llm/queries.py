@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paperledger.llm.chat import as_layouts, canonical, digests, formatted
+from paperledger.llm.html import main_texts
 from paperledger.llm.jaccard import jaccard_components
 from paperledger.llm.mixing import mix
 from paperledger.llm.packing import best_fit_packing
@@ -69,3 +70,8 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     ok = "</s>[INST] ok [/INST]"
     added = spark.createDataFrame([(-1, 0, "user", ok), (-1, 1, "assistant", ok)], rows.schema)
     return digests(formatted(canonical(as_layouts(rows.unionByName(added)))))
+
+
+@query
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_texts(table(spark, sf_dir, "pages"))
