@@ -15,6 +15,7 @@ from paperledger.llm.packing import best_fit_packing
 from paperledger.llm.pii import replace_entities
 from paperledger.llm.quality import quality
 from paperledger.llm.toxicity import toxicity
+from paperledger.llm.warc import round_trip
 from paperledger.llm.winnowing import fingerprints
 
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +76,8 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_texts(table(spark, sf_dir, "pages"))
+
+
+@query
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "pages"))
