@@ -1,26 +1,79 @@
-"""Stages that turn raw documents into packed training sequences."""
+"""Stages that turn raw documents into packed training sequences.
+
+Each stage takes all rows its predecessor kept. All but the last return the columns of documents. Rows without a doc_id
+cannot be named by the near-duplicate stage; they stay in it.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from paperledger.llm.jaccard import PICKED, jaccard_components
+from paperledger.llm.mixing import mix, repeated
+from paperledger.llm.packing import best_fit_packing
+from paperledger.llm.pii import replace_entities
 from paperledger.llm.quality import quality
 from paperledger.llm.queries import table
+from paperledger.session import shared_dir
 
+# Hashes, patterns and searches of the stages have no SQL counterpart; tests/llm/test_pipeline.py compares by brute force.
 ORACLE_SQL = None
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the quality rules, each row once and as it is."""
-    ids = quality(docs, table(spark, sf_dir, "labels"), columns=docs.columns)
-    return ids.filter("kept").select(docs.columns)
+    """Documents that pass the base rules and the likelihood ratio."""
+    judged = quality(docs, table(spark, sf_dir, "labels"), columns=docs.columns)
+    return judged.filter("kept").select(docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of alike documents the one with the smallest doc_id, once."""
+    found = jaccard_components(docs).filter("doc_id IS NOT NULL").checkpoint()
+    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    again = found.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("_again"))
+
+    def small(ids: DataFrame) -> DataFrame:
+        return F.broadcast(ids) if ids.count() <= PICKED else ids
+
+    left = docs.join(small(gone), docs["doc_id"] == F.col("_gone"), "left_anti")
+    again = small(again)
+    once = left.join(again, left["doc_id"] == F.col("_again"), "left_semi").dropDuplicates(["doc_id"])
+    return left.join(again, left["doc_id"] == F.col("_again"), "left_anti").unionByName(once)
+
+
+def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with surrogates for personal data and secrets, and their new length."""
+    rewritten = replace_entities(docs).withColumn("n_chars", F.when(F.col("n_entities") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return rewritten.select(docs.columns)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
+    return repeated(mix(docs), docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in their sequences."""
+    return best_fit_packing(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
-STAGES = [("quality rules", quality_rules)]
+STAGES = [
+    ("quality rules", quality_rules),
+    ("n-gram jaccard join", near_duplicates),
+    ("pii", private_data),
+    ("mixing sources to target weights", mixing),
+    ("best-fit packing", packing),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents, each one's rows written where all executors reach them and read again."""
+    folder = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for i, (_, stage) in enumerate(STAGES):
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{i}")
+        docs = spark.read.parquet(f"{folder}/{i}")
     return docs

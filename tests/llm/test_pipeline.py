@@ -1,0 +1,83 @@
+import random
+import re
+
+import pytest
+
+import corpus_pipeline as c
+from paperledger.llm import quality as q
+from tests.llm import test_jaccard, test_mixing, test_quality
+
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    r = random.Random(8)
+    vocabulary = [f"word{i}" for i in range(300)]
+    rows = []
+    for i in range(150):
+        text = " ".join(r.choice(vocabulary) for _ in range(r.choice([20, 60, 90, 400])))
+        rows.append([text, f"s{i % 4}" if i % 9 else None])
+    rows += [[f"{t} {r.choice(vocabulary)}", s] for t, s in rows[:40]] + [list(x) for x in rows[20:50]]
+    rows += [[" ".join(f"z{r.random()} |" for _ in range(70)), "junk"] for _ in range(15)]
+    for x in rows[::7]:
+        x[0] += " mail und.34@mail7.example.com or +1 (017) 555-7713."
+    rows += [[None, "s1"], ["", None], [" ".join(vocabulary * 20), "s2"]]
+    rows = [(i, t, "en", s, len(t or "")) for i, (t, s) in enumerate(rows)] + [(None, rows[0][0], "en", "s1", 5), (3, rows[3][0], "en", "s3", 5)]
+    path = tmp_path_factory.mktemp("tables")
+    spark.createDataFrame(rows, COLUMNS).repartition(3).write.parquet(f"{path}/documents.parquet")
+    labels = [(i, int("junk" != r[3]), 0) for i, r in enumerate(rows) if i % 3 == 0 and r[0] is not None]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    return str(path)
+
+
+def test_stages_match_brute_force(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    rows = sorted((tuple(r) for r in docs.collect()), key=lambda r: (r[0] is None, r[0] or 0))
+    kept = c.quality_rules(spark, docs, folder)
+    assert kept.columns == docs.columns
+    trusted = {r.doc_id for r in spark.read.parquet(f"{folder}/labels.parquet").filter("quality = 1").collect()}
+    scores = test_quality.scores([(r[0], r[1]) for r in rows], trusted, q.BUCKETS)
+    want = [r for r, s in zip(rows, scores) if not test_quality.brute(r[1])[-1] and s is not None and s >= q.THRESHOLD]
+    order = lambda rs: sorted(rs, key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    assert order(map(tuple, kept.collect())) == order(want) and 0 < len(want) < len(rows)
+    assert not any(r[3] == "junk" for r in want)
+
+    kept = spark.createDataFrame(want, COLUMNS)
+    unique = c.near_duplicates(spark, kept, folder)
+    groups = {(d, g) for d, _, g in test_jaccard.brute(want)}
+    want = [r for i, r in enumerate(want) if r[0] is None or ((r[0], r[0]) in groups and r[0] not in {x[0] for x in want[:i]})]
+    assert order(map(tuple, unique.collect())) == order(want)
+
+    private = c.private_data(spark, spark.createDataFrame(want, COLUMNS), folder).collect()
+    pattern = r"[a-z]{3}\.\d\d@[a-z]{4}\d\.example\.com or \+1 \(\d{3}\) \d{3}-\d{4}"
+    before = {r[0]: r for r in want}
+    for r in private:
+        old = before[r.doc_id]
+        assert (r.lang, r.source) == (old[2], old[3])
+        if "@" in old[1]:
+            assert "und.34" not in r.text and "555-7713" not in r.text and r.n_chars == len(r.text)
+            assert re.sub(pattern, "", r.text) == old[1].replace("und.34@mail7.example.com or +1 (017) 555-7713", "")
+        else:
+            assert r.text == old[1] and r.n_chars == old[4]
+
+    mixed = c.mixing(spark, spark.createDataFrame(private), folder)
+    assert mixed.columns == docs.columns
+    sources = sorted({r.source for r in private if r.source is not None}) + [None] * any(r.source is None for r in private)
+    sizes = [sum(len(r.text.split()) for r in private if r.source == s) for s in sources]
+    target = dict(zip(sources, test_mixing.shares(sizes, [(5, 2, 1)[i % 3] for i in range(len(sources))])))
+    times = {}
+    for r in mixed.collect():
+        times[r.doc_id] = times.get(r.doc_id, 0) + 1
+    for r in private:
+        rate = target[r.source] / sizes[sources.index(r.source)]
+        assert times.get(r.doc_id, 0) in (int(rate + 1e-9), int(rate + 1e-9) + 1)
+
+    packed = c.packing(spark, mixed, folder).collect()
+    assert len([p for p in packed if p.piece == 0]) == sum(times.values())
+
+
+def test_run_applies_all_stages(spark, folder):
+    assert [name for name, _ in c.STAGES] == ["quality rules", "n-gram jaccard join", "pii", "mixing sources to target weights", "best-fit packing"]
+    rows = c.run(spark, folder).collect()
+    assert rows and rows[0].asDict().keys() == {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"}
