@@ -1,6 +1,6 @@
 """N-gram Jaccard join: documents whose sets of five-word shingles are alike, exactly, and their components.
 
-Documents with equal sets are one class, named by its smallest doc_id; only classes are compared.
+Documents with equal sets are one class, named by 64 bits of the set's hash; only classes are compared.
 
 1. Tiles. Shingles are ordered: rare ones by their hash, then those seen often in some batch (`often`, a list of bounded
    length; it only sets the order). Two sets of n and m shingles, n <= m, with a Jaccard similarity of 80 % share one of
@@ -10,7 +10,9 @@ Documents with equal sets are one class, named by its smallest doc_id; only clas
    compared band by band, in blocks of about `BLOCK` by `BLOCK` classes, each a task's group.
 3. Hashed bitmaps. Every class has one, with about two bits for each shingle. A bit that only one of two sets has
    stands for a shingle that the other lacks, so bit counts bound the overlap from above.
-4. What passes is decided by intersecting the sorted arrays of 64-bit shingle hashes.
+4. What passes is decided by intersecting the sorted arrays of 64-bit shingle hashes. The arrays are made from the text
+   where a pair is decided: text takes less room in a shuffle. The texts of the classes needed are picked by doc_id, with
+   the ids in every task if there are at most `PICKED`, else by a shuffle.
 
 Lower case is for A-Z only; words end at ASCII white space. Fewer than five words are one shingle; a null, empty or blank
 text has none, links with nothing and is its own component. A null doc_id takes part; its component is the smallest
@@ -20,7 +22,7 @@ doc_id reachable, or null. Rows that repeat are copies. Nothing is capped: bound
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -37,7 +39,7 @@ BLOCK = 512
 OFTEN = 1 << 16
 OFTEN_SHARE = 2000
 OFTEN_LEAST = 4
-NO_ID = 1 << 62
+PICKED = 1_000_000
 
 _BASE = 0x9E3779B97F4A7C15
 
@@ -124,70 +126,64 @@ def may_be_alike(n: int, bits: np.ndarray, m: int, other: np.ndarray, percent: i
     return alike(shared, n, m, percent)
 
 
-def names(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Two longs for each set, alike for equal sets."""
-    found = b"".join(hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets)
-    both = np.frombuffer(found, np.int64).reshape(-1, 2)
-    return both[:, 0], both[:, 1]
+def name(hashes: np.ndarray) -> int:
+    return int.from_bytes(hashlib.blake2b(hashes.tobytes(), digest_size=8).digest(), "little", signed=True)
+
+
+def _times(sets: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The distinct shingles of all sets and in how many sets they are, by sixteenths of the hashes to save memory."""
+    steps = np.arange(1, 16, dtype=np.uint64) << np.uint64(60)
+    cuts = [np.concatenate(([0], np.searchsorted(s, steps), [len(s)])) for s in sets]
+    for k in range(16 if sets else 0):
+        yield np.unique(np.concatenate([s[c[k]:c[k + 1]] for s, c in zip(sets, cuts)]), return_counts=True)
 
 
 def _keys(docs: DataFrame, words: int) -> DataFrame:
-    """Per document n and a 128-bit name of its set (kind 0); per batch the shingles that many of its documents have (kind 1)."""
+    """Per document n and the name of its class (kind 0); per batch the shingles that many of its documents have (kind 1)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             sets = [shingles(t, words) for t in batch["text"]]
-            k1, k2 = names(sets)
-            yield pd.DataFrame({"kind": 0, "doc_id": batch["doc_id"].astype("Int64"), "n": [len(s) for s in sets], "k1": k1, "k2": k2})
-            seen, times = np.unique(np.concatenate(sets) if sets else np.empty(0, np.uint64), return_counts=True)
-            many = times >= max(OFTEN_LEAST, len(sets) // OFTEN_SHARE)
-            if many.any():
+            yield pd.DataFrame({
+                "kind": 0, "doc_id": batch["doc_id"].astype("Int64"), "n": [len(s) for s in sets], "cls": [name(s) for s in sets],
+            })
+            for seen, times in _times(sets):
+                many = times >= max(OFTEN_LEAST, len(sets) // OFTEN_SHARE)
                 yield pd.DataFrame({
-                    "kind": 1, "doc_id": pd.array([pd.NA] * int(many.sum()), "Int64"), "n": times[many],
-                    "k1": seen[many].view(np.int64), "k2": 0,
+                    "kind": 1, "doc_id": pd.array([pd.NA] * int(many.sum()), "Int64"), "n": times[many], "cls": seen[many].view(np.int64),
                 })
 
-    return docs.mapInPandas(run, "kind int, doc_id long, n long, k1 long, k2 long")
+    return docs.mapInPandas(run, "kind int, doc_id long, n long, cls long")
 
 
-def _prefixes(docs: DataFrame, often: np.ndarray, rank: np.ndarray, words: int, percent: int) -> DataFrame:
-    given = docs.sparkSession.sparkContext.broadcast((often, rank))
+def _per_class(docs: DataFrame, words: int, what: Callable[[np.ndarray], object], schema: str) -> DataFrame:
+    """cls, n and `what` of the set, once for each class in a batch; blank texts have none."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            sets = [shingles(t, words) for t in batch["text"]]
-            k1, k2 = names(sets)
-            yield pd.DataFrame({
-                "doc_id": batch["doc_id"].astype("Int64"), "k1": k1, "k2": k2,
-                "tokens": [prefix(s, *given.value, percent).view(np.int64) if len(s) else np.empty(0, np.int64) for s in sets],
-            })
+            sets = {name(s): s for t in batch["text"] if len(s := shingles(t, words))}
+            yield pd.DataFrame({"cls": list(sets), "n": [len(s) for s in sets.values()], "what": [what(s) for s in sets.values()]})
 
-    return docs.mapInPandas(run, "doc_id long, k1 long, k2 long, tokens array<long>")
+    return docs.select("text").mapInPandas(run, f"cls long, n long, what {schema}")
 
 
-def _sets(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
-    """cls, n, bits, hashes for each member class, from the text of its first document."""
+def _texts(docs: DataFrame, classes: DataFrame, words: int, picked: int) -> DataFrame:
+    """cls, text of the given classes (cls, first), from the documents that they have as first.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    Where one doc_id has several texts, all of them come; who uses them has to compare names.
+    """
+
+    def named(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            sets = [shingles(t, words) for t in batch["text"]]
-            k1, k2 = names(sets)
-            found = pd.DataFrame({
-                "cls": batch["cls"].astype("Int64"), "k1": k1, "k2": k2, "n": [len(s) for s in sets],
-                "bits": [bitmap(s).tobytes() for s in sets], "hashes": [s.tobytes() for s in sets],
-            })
-            # Rows with one doc_id may differ in text: only the one that the class is named by counts.
-            yield found[batch["k1"].isna().to_numpy() | ((batch["k1"] == k1) & (batch["k2"] == k2)).to_numpy()]
+            yield pd.DataFrame({"cls": [name(shingles(t, words)) for t in batch["text"]], "text": batch["text"]})
 
-    schema = "cls long, k1 long, k2 long, n long, bits binary, hashes binary"
-    known = docs.join(members, docs["doc_id"] == members["first"]).select("text", "cls", "k1", "k2").mapInPandas(run, schema)
-    empty = F.lit(None).cast("long")
-    nameless = docs.filter("doc_id IS NULL").select("text", empty.alias("cls"), empty.alias("k1"), empty.alias("k2"))
-    nameless = nameless.mapInPandas(run, schema).drop("cls").join(members.filter("first IS NULL").select("cls", "k1", "k2"), ["k1", "k2"])
-    return known.unionByName(nameless).drop("k1", "k2")
+    ids = classes.filter("first IS NOT NULL")
+    known = docs.join(F.broadcast(ids) if ids.count() <= picked else ids, docs["doc_id"] == ids["first"]).select("cls", "text")
+    nameless = docs.filter("doc_id IS NULL").select("text").mapInPandas(named, "cls long, text string").dropDuplicates(["cls"])
+    return known.unionByName(nameless.join(classes.filter("first IS NULL").select("cls"), "cls"))
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, signatures: DataFrame, docs: DataFrame, classes: DataFrame, words: int, percent: int, picked: int) -> DataFrame:
     """Those of the pairs (a, b) that are alike: by bitmaps first, and the rest by the arrays."""
 
     def by_bits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -196,21 +192,33 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 may_be_alike(n, np.frombuffer(p, np.uint8), m, np.frombuffer(q, np.uint8), percent)
                 for n, p, m, q in zip(x["n"].tolist(), x["bits"], x["m"].tolist(), x["bits2"])
             ]
-            yield x.loc[keep, ["a", "b"]]
+            yield x.loc[np.array(keep, bool), ["a", "b"]]
 
     def by_arrays(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last: dict[str, tuple[int, str | None, np.ndarray]] = {}
+
+        def set_of(side: str, cls: int, text: str) -> np.ndarray | None:
+            """The set if the text is of this class; rows come sorted by one side, so its last set often serves again."""
+            if last.get(side, (0, None))[:2] != (cls, text):
+                found = shingles(text, words)
+                last[side] = (cls, text, found if name(found) == cls else None)
+            return last[side][2]
+
         for x in batches:
             keep = []
-            for p, q in zip(x["hashes"], x["hashes2"]):
-                p, q = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
-                keep.append(alike(len(np.intersect1d(p, q, assume_unique=True)), len(p), len(q), percent))
+            for a, b, p, q in zip(x["a"].tolist(), x["b"].tolist(), x["text"], x["text2"]):
+                p, q = set_of("a", a, p), set_of("b", b, q)
+                known = p is not None and q is not None
+                keep.append(known and alike(len(np.intersect1d(p, q, assume_unique=True)), len(p), len(q), percent))
             yield x.loc[np.array(keep, bool), ["a", "b"]]
 
-    left = sets.select(F.col("cls").alias("a"), "n", "bits", "hashes")
-    right = sets.select(F.col("cls").alias("b"), F.col("n").alias("m"), F.col("bits").alias("bits2"), F.col("hashes").alias("hashes2"))
-    likely = pairs.join(left.drop("hashes"), "a").join(right.drop("hashes2"), "b").mapInPandas(by_bits, "a long, b long")
-    likely = likely.checkpoint()
-    return likely.join(left.select("a", "hashes"), "a").join(right.select("b", "hashes2"), "b").mapInPandas(by_arrays, "a long, b long")
+    left = signatures.select(F.col("cls").alias("a"), "n", "bits")
+    right = signatures.select(F.col("cls").alias("b"), F.col("n").alias("m"), F.col("bits").alias("bits2"))
+    likely = pairs.join(left, "a").join(right, "b").mapInPandas(by_bits, "a long, b long").checkpoint()
+    needed_ = likely.select(F.col("a").alias("cls")).unionByName(likely.select(F.col("b").alias("cls"))).distinct()
+    texts = _texts(docs, classes.join(needed_, "cls").select("cls", "first").checkpoint(), words, picked)
+    left, right = texts.withColumnRenamed("cls", "a"), texts.withColumnsRenamed({"cls": "b", "text": "text2"})
+    return likely.join(left, "a").join(right, "b").mapInPandas(by_arrays, "a long, b long").distinct()
 
 
 def _band(n: Column, percent: int) -> Column:
@@ -229,7 +237,7 @@ def _small_pairs(small: DataFrame, tile: int, percent: int) -> DataFrame:
     return lists.select(F.inline(F.flatten(F.transform("of", partners)))).distinct()
 
 
-def _block_pairs(large: DataFrame, counts: DataFrame, sets: DataFrame, roots: DataFrame, block: int, percent: int) -> DataFrame:
+def _block_pairs(large: DataFrame, signatures: DataFrame, roots: DataFrame, block: int, percent: int) -> DataFrame:
     """Pairs of large tiles that are still in different components and pass sizes and bitmaps.
 
     A tile's band holds its own classes and those of the next band. It is cut by hash into k parts, where k * `block`
@@ -237,7 +245,7 @@ def _block_pairs(large: DataFrame, counts: DataFrame, sets: DataFrame, roots: Da
     """
     spans = large.join(roots, large["cls"] == roots["node"], "left").withColumn("root", F.coalesce("root", "cls"))
     apart = spans.groupBy("token").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 <> r2").select("token")
-    rows = spans.join(apart, "token").join(counts, "token").withColumn("own", _band(F.col("n"), percent))
+    rows = spans.join(apart, "token").withColumn("own", _band(F.col("n"), percent))
     rows = rows.withColumn("parts", F.ceil(F.col("c") / block).cast("int"))
     rows = rows.withColumn("part", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int"))
     rows = rows.withColumn("band", F.explode(F.array(F.col("own"), F.col("own") - 1)))
@@ -245,7 +253,7 @@ def _block_pairs(large: DataFrame, counts: DataFrame, sets: DataFrame, roots: Da
     rows = rows.select(
         "token", "band", "own", "cls", "n", "root", "part",
         F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
-    ).join(sets.select("cls", "bits"), "cls")
+    ).join(signatures.select("cls", "bits"), "cls")
 
     def compare(x: pd.DataFrame) -> pd.DataFrame:
         i, j, band = x["i"].iloc[0], x["j"].iloc[0], x["band"].iloc[0]
@@ -275,48 +283,42 @@ def _block_pairs(large: DataFrame, counts: DataFrame, sets: DataFrame, roots: Da
 
 
 def jaccard_components(
-    docs: DataFrame, words: int = WORDS, percent: int = PERCENT, tile: int = TILE, block: int = BLOCK, often: int = OFTEN
+    docs: DataFrame, words: int = WORDS, percent: int = PERCENT, tile: int = TILE, block: int = BLOCK, often: int = OFTEN,
+    picked: int = PICKED,
 ) -> DataFrame:
     """doc_id, n_shingles, component_id for each row of docs."""
     shared_dir(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     keys = _keys(docs, words).checkpoint()
-    frequent = keys.filter("kind = 1").groupBy("k1").agg(F.sum("n").alias("c")).orderBy(F.desc("c"), "k1").limit(often).toPandas()
-    frequent = frequent.iloc[np.argsort(frequent["k1"].to_numpy().view(np.uint64), kind="stable")]
-    order, rank = frequent["k1"].to_numpy().view(np.uint64), frequent["c"].to_numpy()
-
+    frequent = keys.filter("kind = 1").groupBy("cls").agg(F.sum("n").alias("c")).orderBy(F.desc("c"), "cls").limit(often).toPandas()
+    frequent = frequent.iloc[np.argsort(frequent["cls"].to_numpy().view(np.uint64), kind="stable")]
+    given = docs.sparkSession.sparkContext.broadcast((frequent["cls"].to_numpy().view(np.uint64), frequent["c"].to_numpy()))
     rows = keys.filter("kind = 0").drop("kind")
-    classes = rows.filter("n > 0").groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("first"))
-    # A class is named by its first doc_id; by its set, above all doc_ids, if it has none or shares it with another class.
-    shared = classes.groupBy("first").agg(F.count(F.lit(1)).alias("sharers"))
-    classes = classes.join(shared, "first", "left")
-    by_set = F.col("k1").bitwiseAND(NO_ID - 1) + NO_ID
-    classes = classes.withColumn("cls", F.when(F.col("sharers") == 1, F.col("first")).otherwise(by_set)).drop("sharers").checkpoint()
-
-    found = _prefixes(docs, order, rank, words, percent).withColumnsRenamed({"k1": "j1", "k2": "j2"})
-    same = (F.col("k1") == F.col("j1")) & (F.col("k2") == F.col("j2")) & F.col("doc_id").eqNullSafe(F.col("first"))
-    tokens = found.join(classes, same).dropDuplicates(["k1", "k2", "first"])
-    tokens = tokens.select("cls", "n", F.explode("tokens").alias("token")).repartition("token")
-    counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-    met = tokens.join(counts, "token").checkpoint()
+    classes = rows.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("first"))
+
+    tokens = _per_class(docs, words, lambda s: prefix(s, *given.value, percent).view(np.int64), "array<long>")
+    tokens = tokens.select("cls", "n", F.explode("what").alias("token")).repartition("token")
+    # Sizes are over 0; naming them keeps all columns on both sides of the join, which so read one shuffle.
+    several = tokens.groupBy("token").agg(F.min("cls").alias("c1"), F.max("cls").alias("c2"), F.max("n").alias("top"))
+    several = several.filter("c1 <> c2 AND top > 0").select("token")
+    met = tokens.join(several, "token").dropDuplicates(["token", "cls"])
+    met = met.join(met.groupBy("token").agg(F.count(F.lit(1)).alias("c")), "token").checkpoint()
     small, large = met.filter(F.col("c") <= tile), met.filter(F.col("c") > tile)
-
-    members = classes.join(met.select("cls").distinct(), "cls").select("cls", "first", "k1", "k2")
-    sets = _sets(docs, members, words).checkpoint()
+    signatures = _per_class(docs, words, lambda s: bitmap(s).tobytes(), "binary").withColumnRenamed("what", "bits")
+    signatures = signatures.join(met.select("cls").distinct(), "cls").dropDuplicates(["cls"]).checkpoint()
 
     leads = large.withColumn("band", _band(F.col("n"), percent))
     leads = leads.join(leads.groupBy("token", "band").agg(F.min("cls").alias("a")), ["token", "band"])
     leads = leads.filter("a <> cls").select("a", F.col("cls").alias("b")).distinct()
-    links = verified(_small_pairs(small, tile, percent).unionByName(leads).distinct(), sets, percent).checkpoint()
+    pairs = _small_pairs(small, tile, percent).unionByName(leads).distinct()
+    links = verified(pairs, signatures, docs, classes, words, percent, picked).checkpoint()
     if not large.isEmpty():
-        sizes = large.select("token", "c").distinct()
-        rest = _block_pairs(large.drop("c"), sizes, sets, components(links), block, percent)
-        links = links.unionByName(verified(rest, sets, percent)).checkpoint()
+        rest = _block_pairs(large, signatures, components(links), block, percent)
+        links = links.unionByName(verified(rest, signatures, docs, classes, words, percent, picked)).checkpoint()
 
-    rooted = classes.join(components(links).withColumnRenamed("node", "cls"), "cls", "left")
-    rooted = rooted.select("k1", "k2", "first", F.coalesce("root", "cls").alias("root"))
+    rooted = classes.join(components(links).withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     component = rooted.groupBy("root").agg(F.min("first").alias("component"))
-    named = rooted.join(component, "root").select("k1", "k2", "component")
-    return rows.join(named, ["k1", "k2"], "left").select(
+    rooted = rooted.join(component, "root").select("cls", "component")
+    return rows.join(rooted, "cls", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"),
     )

@@ -80,9 +80,10 @@ def failure_by_node(attempts: DataFrame, outputs: DataFrame, nodes: DataFrame) -
     """Per node prefix and its GPU type: chunks, completed, with output, silent failures, rate, mean time.
 
     Documents count once per node prefix; the mean is over completed attempts. Prefixes the
-    dimension does not know keep a NULL type. `attempts` carries `node_prefix` and `chunk_file`.
+    dimension does not know keep a NULL type; attempts without a prefix are a row of their own. `attempts`
+    carries `node_prefix` and `chunk_file`.
     """
-    stats = _completed_with_flag(attempts, outputs, ["node_prefix"]).groupBy("node_prefix").agg(
+    stats = _completed_with_flag(attempts, outputs, ["node_prefix"]).groupBy(F.col("node_prefix").alias("class")).agg(
         F.count(F.lit(1)).alias("completed"),
         F.count_if("has_output").alias("with_output"),
         F.count_if(~F.col("has_output")).alias("silent_failures"),
@@ -92,7 +93,7 @@ def failure_by_node(attempts: DataFrame, outputs: DataFrame, nodes: DataFrame) -
     rate = F.round(100.0 * F.col("silent_failures") / F.col("completed"), 1)
     # Joined after the aggregates: one row per node prefix on every side.
     return (
-        chunks.join(stats, "node_prefix", "left").join(nodes, "node_prefix", "left")
+        chunks.join(stats, F.col("node_prefix").eqNullSafe(F.col("class")), "left").join(nodes, "node_prefix", "left")
         .select(
             "node_prefix", "gpu_type", "chunks",
             *[F.coalesce(c, F.lit(0)).alias(c) for c in ("completed", "with_output", "silent_failures")],

@@ -13,23 +13,24 @@ from paperledger.sources.csv_files import FILE_ORDER
 
 CHUNK_SIZE = 100
 CLEANUP_CHUNK_SIZE = 500
-TOP_K_ROWS = 100_000  # up to this many rows a sorted limit beats indexing the whole input
+SLICE_BLOCK = 65_536  # physical rows that a slice counts together
 ROW_BITS = 33  # monotonically_increasing_id keeps the row's place in its partition in these bits
 
 
 def with_row_index(df: DataFrame, order: Sequence[str], name: str = "row_idx") -> DataFrame:
     """Dense 0-based position of each row in the given order, without a one-task window.
 
-    Rows are cut into sorted ranges by sampled bounds; a hash of the whole row breaks ties, so
-    that neither a common prefix nor a repeated value can overload a task. Position = rows in
-    the ranges before + place in the range. The ranges are sampled anew each time they are
-    computed, hence the checkpoint: both uses must see the same ones, also after an executor
-    is lost.
+    Rows are cut into sorted ranges by sampled bounds; a hash of the whole row breaks ties, and
+    the place in the input those of equal rows, which are interchangeable. So neither a common
+    prefix nor a repeated row can overload a task. Position = rows in the ranges before + place
+    in the range. The ranges are sampled anew each time they are computed, hence the checkpoint:
+    both uses must see the same ones, also after an executor is lost.
     """
     shared_dir(df.sparkSession)
+    ties = ("_tie", "_place")
     ranged = (
-        df.withColumn("_tie", F.xxhash64(*df.columns))
-        .repartitionByRange(*order, "_tie").sortWithinPartitions(*order, "_tie").drop("_tie")
+        df.withColumns({"_tie": F.xxhash64(*df.columns), "_place": F.monotonically_increasing_id()})
+        .repartitionByRange(*order, *ties).sortWithinPartitions(*order, *ties).drop(*ties)
         .withColumn("_at", F.monotonically_increasing_id())
         .checkpoint()
     )
@@ -79,9 +80,15 @@ def manifest_slice(manifest: DataFrame, start: int = 0, count: int | None = None
     )
     if count is None:
         return rows
-    if count <= TOP_K_ROWS:
-        return rows.orderBy("row_idx").limit(count)
-    return with_row_index(rows, ["row_idx"], "_nth").filter(F.col("_nth") < count).drop("_nth")
+    # Accepted rows are counted per block of positions; only the block in which the slice ends is numbered.
+    rows = rows.withColumn("_block", F.floor(F.col("row_idx") / SLICE_BLOCK))
+    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = rows.groupBy("_block").agg(F.count(F.lit(1)).alias("_n"))
+    blocks = blocks.withColumn("_left", count - F.coalesce(F.sum("_n").over(before), F.lit(0))).filter("_left > 0")
+    rows = rows.join(blocks, "_block")
+    nth = F.row_number().over(Window.partitionBy("_block").orderBy("row_idx"))
+    ending = rows.filter("_n > _left").withColumn("_nth", nth).filter("_nth <= _left").drop("_nth")
+    return rows.filter("_n <= _left").unionByName(ending).drop("_block", "_n", "_left")
 
 
 def assign_chunks(df: DataFrame, size: int = CHUNK_SIZE, order: Sequence[str] | None = None) -> DataFrame:

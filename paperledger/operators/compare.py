@@ -8,12 +8,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from paperledger.functions.text import canonical_latex, markdown_lines
 from paperledger.operators.skew import detached
-from paperledger.schema import COMPLETED
+from paperledger.schema import COMPLETED, ELEMENT
 
 # Command-line names of the backends and their short names in reports.
 BACKENDS = {"pipeline": "pipeline", "hybrid-auto-engine": "hybrid", "vlm-auto-engine": "vlm"}
 REPORT_BACKENDS = tuple(BACKENDS.values())
 BASELINE_BACKEND = "pipeline"
+OTHER_BACKEND = "other"
 
 
 def short_backend(c: Column) -> Column:
@@ -23,24 +24,37 @@ def short_backend(c: Column) -> Column:
     return out
 
 
+def report_backend(c: Column, backends: Sequence[str]) -> Column:
+    """The column a row counts in: its backend's short name, or `other` for names the report does not know and NULL."""
+    short = short_backend(c)
+    return F.when(short.isin(*backends), short).otherwise(OTHER_BACKEND)
+
+
 def attempt_timings(attempts: DataFrame, nodes: DataFrame) -> DataFrame:
     """Mean `seconds` of the `n` completed attempts per GPU type and backend, by the node they ran on.
 
-    Attempts on a node class the dimension does not know drop out. They are folded per node class
-    before the join: a class holding most of the attempts joins as a few rows.
+    Attempts on a node class the dimension does not know, or on none, count under a NULL type. They are
+    folded per node class before the join: a class holding most of the attempts joins as a few rows.
     """
     done = attempts.filter((F.col("status") == COMPLETED) & F.col("processing_time").isNotNull())
     per_class = done.groupBy("node_prefix", short_backend(F.col("backend")).alias("backend")).agg(
         F.sum("processing_time").alias("total"), F.count(F.lit(1)).alias("n")
     )
-    return per_class.join(nodes, "node_prefix").groupBy("gpu_type", "backend").agg(
+    return per_class.join(nodes, "node_prefix", "left").groupBy("gpu_type", "backend").agg(
         (F.sum("total") / F.sum("n")).alias("seconds"), F.sum("n").alias("n")
     )
 
 
 def backend_pivot(timings: DataFrame, backends: Sequence[str] = REPORT_BACKENDS) -> DataFrame:
-    """Mean seconds, one row per GPU type and one column per backend; NULL where none was timed."""
-    return timings.groupBy("gpu_type").pivot("backend", list(backends)).agg(F.avg("seconds"))
+    """Mean seconds, one row per GPU type, one column per backend and `other`; NULL where none was timed.
+
+    Where `timings` counts attempts in `n`, means are weighted by it.
+    """
+    named = timings.withColumn("backend", report_backend(F.col("backend"), backends))
+    mean = F.avg("seconds")
+    if "n" in timings.columns:
+        mean = F.sum(F.col("seconds") * F.col("n")) / F.sum(F.when(F.col("seconds").isNotNull(), F.col("n")))
+    return named.groupBy("gpu_type").pivot("backend", [*backends, OTHER_BACKEND]).agg(mean)
 
 
 def relative_speed(
@@ -48,22 +62,27 @@ def relative_speed(
 ) -> DataFrame:
     """Mean seconds over those of the baseline backend on the same GPU; NULL without a baseline."""
     base = F.nullif(F.col(baseline), F.lit(0.0))
-    return backend_pivot(timings, backends).select("gpu_type", *[F.round(F.col(b) / base, 1).alias(b) for b in backends])
+    columns = [*backends, OTHER_BACKEND]
+    return backend_pivot(timings, backends).select("gpu_type", *[F.round(F.col(b) / base, 1).alias(b) for b in columns])
 
 
 def element_types(elements: DataFrame, backends: Sequence[str] = REPORT_BACKENDS) -> DataFrame:
-    """Elements by type, one column per backend, 0 where there are none."""
-    counts = elements.groupBy("type").pivot("backend", list(backends)).agg(F.count(F.lit(1)))
-    return counts.na.fill(0, list(backends))
+    """Elements by type, one column per backend and `other`, 0 where there are none."""
+    columns = [*backends, OTHER_BACKEND]
+    named = elements.withColumn("backend", report_backend(F.col("backend"), backends))
+    return named.groupBy("type").pivot("backend", columns).agg(F.count(F.lit(1))).na.fill(0, columns)
 
 
 def doc_structure(elements: DataFrame) -> DataFrame:
-    """Per document and backend: elements, characters of text, lines of Markdown.
+    """Per document and backend: elements, characters of text, lines of Markdown, bytes of JSON.
 
-    Each element is a block of Markdown, blocks being parted by one blank line.
+    Each element is a block of Markdown, blocks being parted by one blank line. The JSON is the content list without
+    white space: what the elements have of its fields, in brackets, with commas between.
     """
+    fields = [c for c in ELEMENT.names if c in elements.columns]
     return elements.groupBy("pmid", "backend").agg(
         F.count(F.lit(1)).alias("n_elements"),
+        (F.sum(F.octet_length(F.to_json(F.struct(*fields)))) + F.count(F.lit(1)) + 1).alias("json_bytes"),
         F.sum(F.length("text")).alias("n_chars"),
         (F.sum(markdown_lines("text")) + F.count(F.lit(1)) - 1).alias("md_lines"),
     )
@@ -76,6 +95,7 @@ def backend_structure(elements: DataFrame) -> DataFrame:
         F.avg("n_elements").alias("avg_elements"),
         F.avg("n_chars").alias("avg_chars"),
         F.avg("md_lines").alias("avg_md_lines"),
+        F.avg("json_bytes").alias("avg_json_bytes"),
     )
 
 

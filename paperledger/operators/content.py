@@ -10,57 +10,74 @@ from paperledger.schema import COMPLETED, FAILED
 
 # Fixed values -------------------------------------------------------------
 NOT_CONTENT = (
-    r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
+    r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<head\b.*?</head\s*>"
     r'|<div class="ad">.*?</div\s*>'
 )
 LINE_BREAK = r"(?i)<br\s*/?>"
-INLINE_TAG = r"(?i)</?(?:b|i|em|strong|a|span|code|sup|sub)(?:[ /][^>]*)?>"
-ELEMENT_TAG = r"(?i)<(?:h1|p|li|footer)(?: [^>]*)?>[^<]*"
-BLOCK = r"(?is)<nav\b.*?</nav\s*>|<(?:h1|p|li|footer)(?: [^>]*)?>[^<]*"
+BLOCK_TAGS = (
+    "address", "article", "aside", "blockquote", "body", "caption", "dd", "details", "div", "dl", "dt", "fieldset", "figcaption",
+    "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "html", "li", "main", "nav", "ol", "p", "pre",
+    "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "title", "tr", "ul",
+)
+# Everything that starts like a tag; a `<` before anything else is text.
+TAG = r"(?s)</?[a-zA-Z][^>]*>|<![^>]*>"
 ELEMENT_TYPES = {"h1": "text", "p": "text", "li": "list", "footer": "footer"}
 DISCARDED = "discarded"
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", "\xa0"), ("&amp;", "&")]
 # ---------------------------------------------------------------------------
 
 
-def _plain(markup: Column) -> Column:
-    text = F.regexp_replace(markup, r"^<[^>]*>", "")
+# Marks that texts cannot hold: in front of a block tag's name, and behind it.
+_START, _NAME_END = "\x01", "\x02"
+
+
+def _plain(text: Column) -> Column:
     for entity, char in ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(char))
     return strip(text)
 
 
-def _element(markup: Column, discarded: bool) -> Column:
-    tag = F.lower(F.regexp_extract(markup, r"^<(\w+)", 1))
-    kind = F.lit(DISCARDED) if discarded else F.create_map(
-        *[F.lit(x) for pair in ELEMENT_TYPES.items() for x in pair]
-    )[tag]
-    return F.struct(
-        kind.alias("type"),
-        _plain(markup).alias("text"),
-        F.when(tag == "h1", F.lit(1)).alias("text_level"),
-        F.lit(0).alias("page_idx"),
-    )
-
-
-def html_elements(html: Column | str) -> Column:
-    """Array of elements of a page in reading order.
+def _segments(html: Column | str) -> Column:
+    """The page cut at block tags: array of (tag, text as written, discarded), blank ones left out.
 
-    Inline tags go first, so that an element's text runs to the next block tag; this also ends
-    paragraphs that are never closed. Elements inside `nav` are kept as discarded.
+    Inline and unknown tags go, so that a text runs to the next block tag; this also ends paragraphs
+    that are never closed. Text behind a closing tag belongs to whatever is around. What is inside
+    `nav` is discarded; a `nav` that is never closed is a block like others.
     """
     body = F.col(html) if isinstance(html, str) else html
-    body = F.regexp_replace(body, NOT_CONTENT, " ")
-    body = F.regexp_replace(F.regexp_replace(body, LINE_BREAK, "\n"), INLINE_TAG, "")
-    blocks = F.regexp_extract_all(body, F.lit(BLOCK), F.lit(0))
+    body = F.regexp_replace(body, f"[{_START}{_NAME_END}]", " ")
+    body = F.regexp_replace(F.regexp_replace(body, NOT_CONTENT, " "), LINE_BREAK, "\n")
+    body = F.regexp_replace(body, r"(?i)</nav\s*>", "</nav>")
+    parts = F.split(body, r"(?i)(?=<nav\b)|(?<=</nav>)")
 
-    def expand(block: Column) -> Column:
-        inner = F.regexp_extract_all(block, F.lit(ELEMENT_TAG), F.lit(0))
-        return F.when(
-            F.lower(F.substring(block, 1, 4)) == "<nav", F.transform(inner, lambda m: _element(m, True))
-        ).otherwise(F.array(_element(block, False)))
+    def cut(part: Column) -> Column:
+        discarded = part.rlike(r"(?is)^<nav\b.*</nav>$")
+        marked = F.regexp_replace(part, rf"(?i)<(/?(?:{'|'.join(BLOCK_TAGS)}))(?:[\s/][^>]*)?>", f"{_START}$1{_NAME_END}")
+        texts = F.split(F.regexp_replace(marked, TAG, ""), _START)
+        pieces = F.transform(texts, lambda t: F.struct(
+            F.when(t.contains(_NAME_END), F.lower(F.substring_index(t, _NAME_END, 1))).otherwise("").alias("tag"),
+            F.substring_index(t, _NAME_END, -1).alias("text"), discarded.alias("discarded"),
+        ))
+        return F.filter(pieces, lambda x: _plain(x["text"]) != "")
+
+    return F.flatten(F.transform(parts, cut))
+
+
+def html_elements(html: Column | str) -> Column:
+    """Array of elements of a page in reading order; those inside `nav` are kept as discarded."""
+
+    def element(x: Column) -> Column:
+        kind = F.lit("text")
+        for tag, name in ELEMENT_TYPES.items():
+            kind = F.when(x["tag"] == tag, name).otherwise(kind)
+        return F.struct(
+            F.when(x["discarded"], DISCARDED).otherwise(kind).alias("type"),
+            _plain(x["text"]).alias("text"),
+            F.when((x["tag"] == "h1") & ~x["discarded"], F.lit(1)).alias("text_level"),
+            F.lit(0).alias("page_idx"),
+        )
 
-    return F.flatten(F.transform(blocks, expand))
+    return F.transform(_segments(html), element)
 
 
 def page_elements(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
@@ -76,8 +93,8 @@ def page_content(pages: DataFrame, id_col: str = "page_id", html_col: str = "htm
 
 
 def page_outcomes(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
-    """Outcome per page: completed if any element came out, else failed."""
-    n = F.coalesce(F.size(html_elements(html_col)), F.lit(0))
+    """Outcome per page: completed if any element came out that is not discarded, else failed."""
+    n = F.coalesce(F.size(F.filter(_segments(html_col), lambda x: ~x["discarded"])), F.lit(0))
     return pages.select(id_col, n.alias("n_elements")).select(
         id_col,
         F.when(F.col("n_elements") > 0, F.lit(COMPLETED)).otherwise(F.lit(FAILED)).alias("status"),

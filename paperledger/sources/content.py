@@ -8,12 +8,14 @@ from paperledger.functions.paths import CONTENT_LIST_NAME
 from paperledger.functions.text import id_prefix, stem, strip_suffix
 from paperledger.schema import ELEMENT
 
+NOT_A_LIST = "content list is no JSON array of objects"
+
 
 def read_content_lists(spark: SparkSession, root: str) -> DataFrame:
-    """Elements in reading order as `pmid, seq, type, text, text_level, page_idx, bbox`.
+    """Elements in reading order as `pmid, seq, type, text, text_level, page_idx, bbox, error`.
 
     One file is one text value; an element's place in the array is its place in the document.
-    A file that is no JSON array of objects gives no rows.
+    A file that is no JSON array of objects gives one row with an error and nothing else.
     """
     files = (
         spark.read.option("recursiveFileLookup", True)
@@ -26,11 +28,18 @@ def read_content_lists(spark: SparkSession, root: str) -> DataFrame:
 
 
 def explode_content(docs: DataFrame, json_column: str) -> DataFrame:
-    """One row per element of the JSON array in `json_column`; other columns are kept."""
-    rest = [c for c in docs.columns if c != json_column]
-    return docs.select(
-        *rest, F.posexplode(F.from_json(json_column, T.ArrayType(ELEMENT))).alias("seq", "element")
-    ).select(*rest, F.col("seq").cast("long").alias("seq"), "element.*")
+    """One row per element of the JSON array in `json_column`; other columns are kept.
+
+    Text that is no JSON array of objects, NULL too, is one row whose `error` says so.
+    """
+    rest = [c for c in docs.columns if c not in (json_column, "error")]
+    listed = F.when(F.ltrim(json_column).startswith("["), F.from_json(json_column, T.ArrayType(ELEMENT)))
+    parsed = docs.select(*rest, listed.alias("_list"))
+    broken = F.col("_list").isNull() | F.exists("_list", lambda e: e.isNull())
+    parsed = parsed.withColumn("error", F.when(broken, NOT_A_LIST))
+    rows = parsed.select(*rest, "error", F.posexplode_outer(F.when(F.col("error").isNull(), F.col("_list"))).alias("seq", "element"))
+    # An empty list has no elements and no error, hence no row.
+    return rows.filter("seq IS NOT NULL OR error IS NOT NULL").select(*rest, F.col("seq").cast("long").alias("seq"), "element.*", "error")
 
 
 def write_by_prefix(df: DataFrame, path: str, fmt: str = "parquet", partitions: int | None = None) -> None:

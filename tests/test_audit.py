@@ -112,7 +112,7 @@ PUBLISHED = {"A100": (50, 167, 392), "V100x": (74, 349, 830), "V100": (74, 367,
 def test_published_relative_speeds(spark):
     rows = [(g, b, float(s) if s else None) for g, t in PUBLISHED.items() for b, s in zip(compare.REPORT_BACKENDS, t)]
     timings = spark.createDataFrame(rows, "gpu_type string, backend string, seconds double")
-    pivot = {r.gpu_type: tuple(r)[1:] for r in compare.backend_pivot(timings).collect()}
+    pivot = {r.gpu_type: tuple(r)[1:-1] for r in compare.backend_pivot(timings).collect()}
     assert pivot == {g: tuple(float(s) if s else None for s in t) for g, t in PUBLISHED.items()}
     got = {r.gpu_type: (r.pipeline, r.hybrid, r.vlm) for r in compare.relative_speed(timings).collect()}
     assert got == {"A100": (1.0, 3.3, 7.8), "V100x": (1.0, 4.7, 11.2), "V100": (1.0, 5.0, 11.9), "P100": (1.0, 4.2, 9.8), "K80": (1.0, None, None), "CPU": (1.0, None, None)}
@@ -162,3 +162,18 @@ def test_audit_of_nothing(spark, empty_side):
     o = (full.limit(0) if empty_side == "outputs" else full).select("pmid")
     row = audit.completion_audit(a, o).first()
     assert (row.missing, row.unrecorded) == ((0, 3) if empty_side == "attempts" else (3, 0))
+
+
+def test_unknown_backends_and_classes_are_counted(spark):
+    rows = [("1", "vlm-auto-engine", "text"), ("1", "pipeline", "text"), ("2", "nova", "text"), ("3", None, "list")]
+    df = spark.createDataFrame(rows, "pmid string, backend string, type string")
+    assert {r.type: tuple(r)[1:] for r in compare.element_types(df).collect()} == {"text": (1, 0, 1, 1), "list": (0, 0, 0, 1)}
+    attempts = spark.createDataFrame(
+        [("1", "completed", 2.0, None, "pipeline", "c"), ("2", "completed", 4.0, "cn99", "nova", "c"), ("3", "completed", 8.0, "cn23", "nova", "c")],
+        "pmid string, status string, processing_time double, node_prefix string, backend string, chunk_file string")
+    nodes = spark.createDataFrame([("cn23", "P100")], "node_prefix string, gpu_type string")
+    pivot = {r.gpu_type: (r.pipeline, r.other) for r in compare.backend_pivot(compare.attempt_timings(attempts, nodes)).collect()}
+    assert pivot == {None: (2.0, 4.0), "P100": (None, 8.0)}
+    outputs = spark.createDataFrame([("2",)], "pmid string")
+    got = {r.node_prefix: (r.chunks, r.completed, r.silent_failures) for r in audit.failure_by_node(attempts, outputs, nodes).collect()}
+    assert got == {None: (1, 1, 1), "cn99": (1, 1, 0), "cn23": (1, 1, 1)}

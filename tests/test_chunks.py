@@ -1,5 +1,7 @@
 import math
 
+from pyspark.sql import functions as F
+
 from paperledger.operators import chunks
 
 
@@ -46,7 +48,20 @@ def test_slice_counts_accepted_rows(spark):
     assert [r.row_idx for r in chunks.manifest_slice(manifest(spark), 4).orderBy("row_idx").collect()] == [4, 5]
 
 
-def test_large_slice_takes_the_indexed_way(spark, monkeypatch):
-    monkeypatch.setattr(chunks, "TOP_K_ROWS", 2)
-    got = chunks.manifest_slice(manifest(spark), 0, 3)
-    assert sorted(r.row_idx for r in got.collect()) == [0, 2, 3] and got.columns == ["pmid", "pdf_path", "row_idx"]
+def test_slice_ends_inside_a_block(spark, monkeypatch):
+    monkeypatch.setattr(chunks, "SLICE_BLOCK", 2)
+    for count in range(7):
+        got = chunks.manifest_slice(manifest(spark), 0, count)
+        assert sorted(r.row_idx for r in got.collect()) == [0, 2, 3, 4, 5][:count] and got.columns == ["pmid", "pdf_path", "row_idx"]
+
+
+def test_equal_rows_are_spread(spark):
+    same = spark.range(200_000).select(F.lit("x").alias("pmid"), F.lit("p").alias("pdf_path"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = chunks.with_row_index(same, ["pmid"]).withColumn("part", F.spark_partition_id())
+        sizes = [r["count"] for r in got.groupBy("part").count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(sizes) > 1 and max(sizes) < 150_000
+    assert got.agg(F.count_distinct("row_idx"), F.max("row_idx")).first() == (200_000, 199_999)

@@ -1,3 +1,4 @@
+import pytest
 import os
 import time
 
@@ -48,15 +49,29 @@ PAGE = """<html><head><style>p{}</style><script>var t="<p>no</p>";</script></hea
 
 
 def test_page_elements(spark):
-    df = spark.createDataFrame([(1, PAGE), (2, "<div>nothing</div>"), (3, None)], "page_id int, html string")
-    got = [(r.seq, r.type, r.text, r.text_level) for r in page_elements(df).orderBy("seq").collect()]
+    df = spark.createDataFrame([(1, PAGE), (2, "<div> </div><nav><p>menu</p></nav>"), (3, None)], "page_id int, html string")
+    got = [(r.seq, r.type, r.text, r.text_level) for r in page_elements(df.filter("page_id = 1")).orderBy("seq").collect()]
     assert got == [
         (0, "discarded", "Home", None), (1, "text", "Title & more", 1), (2, "text", "One bold\ntwo", None),
         (3, "text", "Open end", None), (4, "list", "Item <1>", None), (5, "footer", "Foot", None),
     ]
     outcome = {r.page_id: (r.status, r.n_elements, r.error_msg) for r in page_outcomes(df).collect()}
     nothing = ("failed", 0, "No output files generated")
-    assert outcome == {1: ("completed", 6, None), 2: nothing, 3: nothing}
+    assert outcome == {1: ("completed", 5, None), 2: nothing, 3: nothing}
+
+
+@pytest.mark.parametrize("html,want", [
+    ("<p>one <u>two</u> three</p>", [("text", "one two three")]),
+    ("<p>p &lt; 0.05 if x < 3 then</p>", [("text", "p < 0.05 if x < 3 then")]),
+    ('<p>a <img src="x"> b</p>', [("text", "a  b")]),
+    ("<h2>Head</h2><table><tr><td>1<td>2</table>tail", [("text", "Head"), ("text", "1"), ("text", "2"), ("text", "tail")]),
+    ("<div>in<p>para</p>out</div>", [("text", "in"), ("text", "para"), ("text", "out")]),
+    ("plain", [("text", "plain")]), ("<nav>open <p>x", [("text", "open"), ("text", "x")]), ("", []),
+    ("<title>t</title><p></p><p>x", [("text", "t"), ("text", "x")]),
+])
+def test_no_text_is_lost(spark, html, want):
+    rows = page_elements(spark.createDataFrame([(1, html)], "page_id int, html string")).orderBy("seq").collect()
+    assert [(r.type, r.text) for r in rows] == want
 
 
 def test_long_paragraph_with_many_inline_tags(spark):

@@ -132,7 +132,15 @@ def test_outputs_and_content_lists(spark, tmp_path):
     got = {r.pmid: r.md_path for r in outputs.collect()}
     assert got["123456"].endswith("123456.md") and got["paper"] is None
     rows = content.read_content_lists(spark, str(tmp_path)).orderBy("seq").collect()
-    assert [(r.pmid, r.seq, r.type, r.bbox) for r in rows] == [("123456", 0, "text", [1.0, 2.5]), ("123456", 1, "image", None)]
+    assert [(r.pmid, r.seq, r.type, r.bbox) for r in rows if r.error is None] == [("123456", 0, "text", [1.0, 2.5]), ("123456", 1, "image", None)]
+    assert [(r.pmid, r.seq, r.type, r.error) for r in rows if r.error] == [("paper", None, None, content.NOT_A_LIST)]
+
+
+def test_content_lists_of_other_shapes(spark):
+    lists = [None, "", "5", "[1]", '{"type": "text"}', "[]", "[null]", '[{"type": "text"}]', '[{"type": "text"}']
+    df = spark.createDataFrame(list(enumerate(lists)), "id int, content string")
+    rows = {r.id: r for r in content.explode_content(df, "content").collect()}
+    assert sorted(rows) == [0, 1, 2, 3, 4, 6, 7, 8] and [i for i, r in rows.items() if r.error is None] == [7]
 
 
 def test_logs(spark, tmp_path):

@@ -79,28 +79,34 @@ lenient AS (
     SELECT coalesce(pmid, regexp_extract(pdf_path, '([^/]+)\.pdf$', 1)) AS pmid, pdf_path, row_idx
     FROM typed WHERE pdf_path IS NOT NULL)"""
 
-_PAGE = r"""body AS (
-    SELECT page_id, regexp_replace(regexp_replace(regexp_replace(html,
-               '(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<div class="ad">.*?</div\s*>', ' ', 'g'),
-               '(?i)<br\s*/?>', chr(10), 'g'),
-               '(?i)</?(?:b|i|em|strong|a|span|code|sup|sub)(?:[ /][^>]*)?>', '', 'g') AS b FROM pages),
-blocks AS (
-    SELECT page_id, unnest(l) AS block, generate_subscripts(l, 1) AS i
-    FROM (SELECT page_id, regexp_extract_all(b, '(?is)<nav\b.*?</nav\s*>|<(?:h1|p|li|footer)(?: [^>]*)?>[^<]*') AS l FROM body) t),
-inner_blocks AS (
-    SELECT page_id, i, lower(substr(block, 1, 4)) = '<nav' AS nav,
-           CASE WHEN lower(substr(block, 1, 4)) = '<nav' THEN regexp_extract_all(block, '(?i)<(?:h1|p|li|footer)(?: [^>]*)?>[^<]*')
-                ELSE [block] END AS l
-    FROM blocks),
-marked AS (SELECT page_id, i, nav, unnest(l) AS m, generate_subscripts(l, 1) AS j FROM inner_blocks),
+# Tag by tag: every piece of markup or text is a row, and running counts tell its block and whether it is in a menu.
+_PAGE = r"""bare AS (
+    SELECT page_id, regexp_replace(html, '(?is)<!--.*?-->|<(script|style|head)\b.*?</(script|style|head)\s*>|<div class="ad">.*?</div\s*>', ' ', 'g') AS b FROM pages),
+pieces AS (
+    SELECT page_id, unnest(l) AS x, generate_subscripts(l, 1) AS i
+    FROM (SELECT page_id, regexp_extract_all(b, '(?s)</?[a-zA-Z][^>]*>|<![^>]*>|[^<]+|<') AS l FROM bare) t),
+tagged AS (
+    SELECT page_id, i, x, lower(regexp_extract(x, '^<(/?[a-zA-Z][a-zA-Z0-9]*)', 1)) AS tag FROM pieces),
+kinds AS (
+    SELECT *, ltrim(tag, '/') IN ('address', 'article', 'aside', 'blockquote', 'body', 'caption', 'dd', 'details', 'div', 'dl', 'dt',
+        'fieldset', 'figcaption', 'figure', 'footer', 'form', 'h1', 'h2', 'h3', 'h4', 'h5', 'h6', 'header', 'hr', 'html', 'li', 'main', 'nav',
+        'ol', 'p', 'pre', 'section', 'summary', 'table', 'tbody', 'td', 'tfoot', 'th', 'thead', 'title', 'tr', 'ul') AS is_block
+    FROM tagged),
+placed AS (
+    SELECT *, sum(CASE WHEN is_block THEN 1 ELSE 0 END) OVER run AS block,
+           sum(CASE tag WHEN 'nav' THEN 1 WHEN '/nav' THEN -1 ELSE 0 END) OVER run > 0 AS nav
+    FROM kinds WINDOW run AS (PARTITION BY page_id ORDER BY i)),
+joined AS (
+    SELECT page_id, block, coalesce(max(tag) FILTER (WHERE is_block), '') AS tag, bool_or(nav) AS nav,
+           coalesce(string_agg(CASE WHEN tag = 'br' THEN chr(10) WHEN tag = '' AND NOT starts_with(x, '<!') THEN x END, '' ORDER BY i), '') AS raw
+    FROM placed GROUP BY page_id, block),
+plain AS (
+    SELECT *, trim(replace(replace(replace(replace(replace(replace(raw, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''),
+                  '&nbsp;', chr(160)), '&amp;', '&'), ' ' || chr(9) || chr(10) || chr(13) || chr(160)) AS text FROM joined),
 elements AS (
-    SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY i, j) - 1 AS seq,
-           CASE WHEN nav THEN 'discarded' WHEN regexp_matches(m, '(?i)^<li') THEN 'list'
-                WHEN regexp_matches(m, '(?i)^<footer') THEN 'footer' ELSE 'text' END AS type,
-           trim(replace(replace(replace(replace(replace(replace(regexp_replace(m, '^<[^>]*>', ''),
-               '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', chr(160)), '&amp;', '&'),
-               ' ' || chr(9) || chr(10) || chr(13) || chr(160)) AS text
-    FROM marked)"""
+    SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY block) - 1 AS seq, nav,
+           CASE WHEN nav THEN 'discarded' WHEN tag = 'li' THEN 'list' WHEN tag = 'footer' THEN 'footer' ELSE 'text' END AS type, text
+    FROM plain WHERE text <> '')"""
 
 _LINES = """lines AS (
     SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) - 1 AS seq
@@ -111,14 +117,16 @@ kept AS (
 
 _BASE = """times AS (
     SELECT gpu_type, avg(seconds) FILTER (WHERE backend = 'pipeline') AS pipeline,
-           avg(seconds) FILTER (WHERE backend = 'hybrid') AS hybrid, avg(seconds) FILTER (WHERE backend = 'vlm') AS vlm
+           avg(seconds) FILTER (WHERE backend = 'hybrid') AS hybrid, avg(seconds) FILTER (WHERE backend = 'vlm') AS vlm,
+           avg(seconds) FILTER (WHERE backend IS NULL OR backend NOT IN ('pipeline', 'hybrid', 'vlm')) AS other
     FROM fx_timings GROUP BY gpu_type)"""
 
 _PCT = "CASE WHEN {total} > 0 THEN round(100.0 * {part} / {total}, 1) ELSE 0.0 END"
 
 _DOC = """docs AS (
     SELECT pmid, backend, count(*) AS n_elements, CAST(sum(length(text)) AS BIGINT) AS n_chars,
-           CAST(sum(length(text) - length(replace(text, chr(10), '')) + 1) + count(*) - 1 AS BIGINT) AS md_lines
+           CAST(sum(length(text) - length(replace(text, chr(10), '')) + 1) + count(*) - 1 AS BIGINT) AS md_lines,
+           CAST(sum(strlen(CAST(to_json({'type': type, 'text': text, 'page_idx': page_idx}) AS VARCHAR))) + count(*) + 1 AS BIGINT) AS json_bytes
     FROM fx_elements GROUP BY pmid, backend)"""
 
 _APPLIED = f"""WITH {_CLEAN},
@@ -307,7 +315,7 @@ ORACLE = {
         SELECT c.node_prefix, n.gpu_type, c.chunks, coalesce(completed, 0) AS completed, coalesce(with_output, 0) AS with_output,
                coalesce(silent_failures, 0) AS silent_failures, round(100.0 * silent_failures / completed, 1) AS fail_pct,
                round(avg_time, 6) AS avg_time
-        FROM chunks c LEFT JOIN stats s ON s.node_prefix = c.node_prefix LEFT JOIN fx_nodes n ON n.node_prefix = c.node_prefix""",
+        FROM chunks c LEFT JOIN stats s ON s.node_prefix IS NOT DISTINCT FROM c.node_prefix LEFT JOIN fx_nodes n ON n.node_prefix = c.node_prefix""",
     "time_by_outcome": """
         WITH timed AS (SELECT CASE WHEN status = 'failed' THEN 'failed'
                                    WHEN pmid IN (SELECT pmid FROM fx_outputs) THEN 'success' ELSE 'silent' END AS outcome, processing_time
@@ -318,25 +326,27 @@ ORACLE = {
                min(processing_time) FILTER (WHERE rank = ceil(0.5 * n)) AS median_time, max(processing_time) AS max_time
         FROM ranked GROUP BY outcome""",
     "gpu_backend_pivot": f"""WITH {_BASE}
-        SELECT gpu_type, round(pipeline, 6) AS pipeline, round(hybrid, 6) AS hybrid, round(vlm, 6) AS vlm FROM times""",
+        SELECT gpu_type, round(pipeline, 6) AS pipeline, round(hybrid, 6) AS hybrid, round(vlm, 6) AS vlm, round(other, 6) AS other FROM times""",
     "attempt_timings": """
-        WITH timed AS (SELECT n.gpu_type, a.backend, a.processing_time AS t FROM fx_attempts a JOIN fx_nodes n USING (node_prefix)
+        WITH timed AS (SELECT n.gpu_type, a.backend, a.processing_time AS t FROM fx_attempts a LEFT JOIN fx_nodes n USING (node_prefix)
                        WHERE a.status = 'completed')
         SELECT gpu_type, round(avg(t) FILTER (WHERE backend = 'pipeline'), 6) AS pipeline,
                round(avg(t) FILTER (WHERE backend = 'hybrid-auto-engine'), 6) AS hybrid,
-               round(avg(t) FILTER (WHERE backend = 'vlm-auto-engine'), 6) AS vlm
+               round(avg(t) FILTER (WHERE backend = 'vlm-auto-engine'), 6) AS vlm,
+               round(avg(t) FILTER (WHERE backend IS NULL OR backend NOT IN ('pipeline', 'hybrid-auto-engine', 'vlm-auto-engine')), 6) AS other
         FROM timed GROUP BY gpu_type""",
     "relative_speed": f"""WITH {_BASE}
         SELECT gpu_type, round(pipeline / pipeline, 1) AS pipeline, round(hybrid / pipeline, 1) AS hybrid,
-               round(vlm / pipeline, 1) AS vlm FROM times""",
+               round(vlm / pipeline, 1) AS vlm, round(other / pipeline, 1) AS other FROM times""",
     "element_types": """
-        SELECT type, count(*) FILTER (WHERE backend = 'pipeline') AS pipeline, count(*) FILTER (WHERE backend = 'hybrid') AS hybrid,
-               count(*) FILTER (WHERE backend = 'vlm') AS vlm
+        SELECT type, count(*) FILTER (WHERE backend = 'pipeline') AS pipeline, count(*) FILTER (WHERE backend = 'hybrid-auto-engine') AS hybrid,
+               count(*) FILTER (WHERE backend = 'vlm') AS vlm,
+               count(*) FILTER (WHERE backend IS NULL OR backend NOT IN ('pipeline', 'hybrid-auto-engine', 'vlm')) AS other
         FROM fx_elements GROUP BY type""",
-    "doc_structure": f"WITH {_DOC} SELECT pmid, backend, n_elements, n_chars, md_lines FROM docs",
+    "doc_structure": f"WITH {_DOC} SELECT pmid, backend, n_elements, n_chars, md_lines, json_bytes FROM docs",
     "backend_structure": f"""WITH {_DOC}
         SELECT backend, count(*) AS n_docs, round(avg(n_elements), 6) AS avg_elements, round(avg(n_chars), 6) AS avg_chars,
-               round(avg(md_lines), 6) AS avg_md_lines FROM docs GROUP BY backend""",
+               round(avg(md_lines), 6) AS avg_md_lines, round(avg(json_bytes), 6) AS avg_json_bytes FROM docs GROUP BY backend""",
     "content_digests": """
         WITH hashed AS (SELECT pmid, backend, md5(concat_ws(chr(31), CAST(seq AS VARCHAR), type, text)) AS h FROM fx_elements)
         SELECT pmid, backend, concat_ws('-', CAST(count(*) AS VARCHAR),
@@ -393,12 +403,14 @@ ORACLE = {
         WITH named AS (SELECT chunk_no, line_no, regexp_extract(line, 'cn[0-9]+') AS node FROM fx_logs WHERE regexp_matches(line, 'cn[0-9]'))
         SELECT chunk_no, arg_min(node, line_no) AS node, substr(arg_min(node, line_no), 1, 4) AS node_prefix FROM named GROUP BY chunk_no""",
     "page_elements": f"WITH {_PAGE} SELECT page_id, seq, type, text FROM elements",
-    "page_outcomes": f"""WITH {_PAGE}, n AS (SELECT page_id, count(*) AS n FROM elements GROUP BY page_id)
+    "page_outcomes": f"""WITH {_PAGE}, n AS (SELECT page_id, count(*) AS n FROM elements WHERE NOT nav GROUP BY page_id)
         SELECT p.page_id, CASE WHEN n.n > 0 THEN 'completed' ELSE 'failed' END AS status,
                CASE WHEN n.n IS NULL THEN 'No output files generated' END AS error_msg, coalesce(n.n, 0) AS n_elements
         FROM pages p LEFT JOIN n ON n.page_id = p.page_id""",
     "text_elements": f"WITH {_LINES} SELECT doc_id, seq, 'text' AS type, text FROM kept",
-    "content_elements": f"WITH {_PAGE} SELECT page_id, seq, type, text, CAST(0 AS BIGINT) AS page_idx FROM elements",
+    "content_elements": f"""WITH {_PAGE}
+        SELECT page_id, seq, type, text, CAST(0 AS BIGINT) AS page_idx, CAST(NULL AS VARCHAR) AS error FROM elements
+        UNION ALL SELECT page_id, NULL, NULL, NULL, NULL, 'content list is no JSON array of objects' FROM pages WHERE length(url) % 7 = 0""",
     "extracted_elements": f"""WITH {_LINES}, n AS (SELECT doc_id, count(*) AS n FROM kept GROUP BY doc_id)
         SELECT CAST(d.doc_id AS VARCHAR) AS pmid, CASE WHEN n.n > 0 THEN 'completed' ELSE 'failed' END AS status,
                CASE WHEN n.n IS NULL THEN 'No output files generated' END AS error_msg, 'pipeline' AS backend, coalesce(n.n, 0) AS n_elements

@@ -362,13 +362,13 @@ def time_by_outcome(spark, sf):
 
 @query
 def gpu_backend_pivot(spark, sf):
-    return rounded(compare.backend_pivot(view(spark, sf, "fx_timings")), *compare.REPORT_BACKENDS)
+    return rounded(compare.backend_pivot(view(spark, sf, "fx_timings")), *compare.REPORT_BACKENDS, compare.OTHER_BACKEND)
 
 
 @query
 def attempt_timings(spark, sf):
     timings = compare.attempt_timings(view(spark, sf, "fx_attempts"), view(spark, sf, "fx_nodes"))
-    return rounded(compare.backend_pivot(timings), *compare.REPORT_BACKENDS)
+    return rounded(compare.backend_pivot(timings), *compare.REPORT_BACKENDS, compare.OTHER_BACKEND)
 
 
 @query
@@ -389,7 +389,7 @@ def doc_structure(spark, sf):
 @query
 def backend_structure(spark, sf):
     df = compare.backend_structure(view(spark, sf, "fx_elements"))
-    return rounded(df, "avg_elements", "avg_chars", "avg_md_lines")
+    return rounded(df, "avg_elements", "avg_chars", "avg_md_lines", "avg_json_bytes")
 
 
 @query
@@ -472,11 +472,13 @@ def text_elements(spark, sf):
 
 @query
 def content_elements(spark, sf):
-    """Content lists written as JSON arrays, read back as element rows."""
+    """Content lists written as JSON arrays, read back as element rows; some lists are broken."""
+    pages = table(spark, sf, "pages")
     path = f"{scratch(spark)}/content"
-    content.page_content(table(spark, sf, "pages")).write.parquet(path)
+    broken = pages.filter("length(url) % 7 = 0").select("page_id", F.lit('{"type": "text"}').alias("content"))
+    content.page_content(pages).unionByName(broken).write.parquet(path)
     rows = content_io.explode_content(spark.read.parquet(path), "content")
-    return rows.select("page_id", "seq", "type", "text", F.col("page_idx").cast("long").alias("page_idx"))
+    return rows.select("page_id", "seq", "type", "text", F.col("page_idx").cast("long").alias("page_idx"), "error")
 
 
 @query

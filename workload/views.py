@@ -59,8 +59,8 @@ VIEWS = {
                ts AS processed_at,
                'chunk_' || lpad(CAST(user_id AS STRING), 5, '0') || '.csv' AS chunk_file,
                event_id AS row_idx,
-               CASE user_id % 4 WHEN 0 THEN 'cn23' WHEN 1 THEN 'cn30' WHEN 2 THEN 'cn41' ELSE 'cn42' END AS node_prefix,
-               CASE event_id % 3 WHEN 0 THEN 'pipeline' WHEN 1 THEN 'hybrid-auto-engine' ELSE 'vlm-auto-engine' END AS backend
+               CASE user_id % 5 WHEN 0 THEN 'cn23' WHEN 1 THEN 'cn30' WHEN 2 THEN 'cn41' WHEN 3 THEN 'cn42' END AS node_prefix,
+               CASE event_id % 5 WHEN 0 THEN 'pipeline' WHEN 1 THEN 'hybrid-auto-engine' WHEN 2 THEN 'vlm-auto-engine' WHEN 3 THEN 'nova-engine' END AS backend
         FROM {{events}}""",
     # Output files: kind by event type, layout by user; content lists only of the slower half.
     "fx_files": f"""
@@ -104,14 +104,14 @@ VIEWS = {
     "fx_timings": """
         SELECT CASE user_id % 6 WHEN 0 THEN 'A100' WHEN 1 THEN 'V100x' WHEN 2 THEN 'V100' WHEN 3 THEN 'P100'
                                 WHEN 4 THEN 'K80' ELSE 'CPU' END AS gpu_type,
-               CASE event_id % 3 WHEN 0 THEN 'pipeline' WHEN 1 THEN 'hybrid' ELSE 'vlm' END AS backend,
-               CASE WHEN user_id % 6 >= 4 AND event_id % 3 > 0 THEN NULL ELSE value END AS seconds
+               CASE event_id % 5 WHEN 0 THEN 'pipeline' WHEN 1 THEN 'hybrid' WHEN 2 THEN 'vlm' WHEN 3 THEN 'nova-engine' END AS backend,
+               CASE WHEN user_id % 6 >= 4 AND event_id % 5 > 0 THEN NULL ELSE value END AS seconds
         FROM {events}""",
     "fx_elements": f"""
         SELECT {_id('conv_id')} AS pmid, turn AS seq,
                CASE role WHEN 'user' THEN 'text' WHEN 'assistant' THEN 'list' ELSE 'header' END AS type,
                text, turn % 3 AS page_idx,
-               CASE conv_id % 3 WHEN 0 THEN 'pipeline' WHEN 1 THEN 'hybrid' ELSE 'vlm' END AS backend
+               CASE conv_id % 5 WHEN 0 THEN 'pipeline' WHEN 1 THEN 'hybrid-auto-engine' WHEN 2 THEN 'vlm' WHEN 3 THEN 'nova-engine' END AS backend
         FROM {{conversations}}""",
     # One document run again and again: a formula set in several ways, one of them truly different.
     "fx_runs": f"""
