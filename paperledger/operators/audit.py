@@ -126,7 +126,7 @@ def time_by_outcome(attempts: DataFrame, outputs: DataFrame, accuracy: int = 100
 def existing_ids(
     output_listing: DataFrame, subdirs: Sequence[str] = OUTPUT_SUBDIRS, root: str | None = None
 ) -> DataFrame:
-    """Distinct ids with a content list of their own name in one of the accepted layouts.
+    """Distinct ids whose folder, in one of the accepted layouts, holds a content list of whatever name.
 
     `root` restricts the listing to one output folder.
     """
@@ -134,7 +134,7 @@ def existing_ids(
     hit = (
         F.col("layout").isin(CANONICAL, NESTED, FLAT)
         & F.col("subdir").isin(*subdirs)
-        & (F.col("file") == F.concat("pmid", F.lit(CONTENT_LIST_NAME)))
+        & ~F.contains("file", F.lit("/"))
     )
     if root is not None:
         hit = hit & (F.col("root") == root.rstrip("/"))

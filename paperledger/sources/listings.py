@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from paperledger.functions.paths import CONTENT_LIST_NAME, parent_dir, without_scheme
+from paperledger.functions.paths import CONTENT_LIST_NAME, parent_dir, with_output_path, without_scheme
 from paperledger.functions.text import file_name, id_from_name, stem, strip_suffix
 from paperledger.schema import LISTING
 
@@ -52,12 +52,13 @@ def ids_from_listing(listing: DataFrame, pattern: str | None = None) -> DataFram
 
 
 def outputs_from_listing(listing: DataFrame) -> DataFrame:
-    """Content lists as `pmid, json_path, md_path`; md_path is the sibling `{pmid}.md` if listed."""
-    json = listing.filter(F.endswith("path", F.lit(CONTENT_LIST_NAME))).select(
-        strip_suffix(stem("path")).alias("pmid"), F.col("path").alias("json_path")
+    """Content lists as `pmid, json_path, md_path`; md_path is a Markdown file beside it, the first by name.
+
+    A document is named by its folder, as tools name files by the input's stem; only files in no known
+    subdirectory of a folder go by their own name.
+    """
+    json = with_output_path(listing.filter(F.endswith("path", F.lit(CONTENT_LIST_NAME))).select("path")).select(
+        F.coalesce("pmid", strip_suffix(stem("path"))).alias("pmid"), F.col("path").alias("json_path"), parent_dir("path").alias("folder")
     ).filter("pmid <> ''")
-    json = json.withColumn("md_path", F.concat(parent_dir("json_path"), F.lit("/"), "pmid", F.lit(".md")))
-    md = listing.filter(F.endswith("path", F.lit(".md"))).select(F.col("path").alias("md_path"), F.lit(True).alias("found"))
-    return json.join(md, "md_path", "left").select(
-        "pmid", "json_path", F.when(F.col("found"), F.col("md_path")).alias("md_path")
-    )
+    md = listing.filter(F.endswith("path", F.lit(".md"))).groupBy(parent_dir("path").alias("folder")).agg(F.min("path").alias("md_path"))
+    return json.join(md, "folder", "left").select("pmid", "json_path", "md_path")

@@ -60,10 +60,10 @@ def test_pending_work_knows_the_layouts(spark):
         "out/100005/100005/auto/100005_content_list.json",
         "out/100/100006/auto/100006.md",
     ]], "path string, length long")
-    assert sorted(r.pmid for r in audit.pending_work(manifest, listing).collect()) == [str(100000 + i) for i in range(3, 8)]
+    assert sorted(r.pmid for r in audit.pending_work(manifest, listing).collect()) == [str(100000 + i) for i in (3, 5, 6, 7)]
     with_vlm = audit.pending_work(manifest, listing, subdirs=("auto", "hybrid_auto", "vlm"))
     assert with_vlm.filter("pmid = '100003'").count() == 0
-    assert audit.skipped_work(manifest, listing).count() == 3
+    assert audit.skipped_work(manifest, listing).count() == 4
     assert audit.pending_work(manifest, listing, root="elsewhere").count() == 8
 
 
@@ -104,6 +104,11 @@ def test_layout_for_ids(spark):
     ids = spark.createDataFrame([("123456",), ("999999",)], "pmid string")
     got = plan(spark, ["out/123456/auto/f", "out/123457/auto/f"], ids=ids)
     assert got == {"out/123456/auto/f": ("MOVE", "out/123/123456/auto/f", None), "999999": ("SKIP", None, "source missing")}
+    flat = plan(spark, ["out/123456/auto/f", "out/123/123457/auto/f"], mode="flatten", ids=spark.createDataFrame([("123456",), ("123457",), ("9",)], "pmid string"))
+    assert {k: v[2] for k, v in flat.items() if v[0] == "SKIP"} == {
+        "123456": "destination does not exist", "123457": "nothing nested", "9": "destination does not exist"}
+    moved = plan(spark, ["out/123456/auto/f", "out/123/123457/auto/f"], mode="move", ids=spark.createDataFrame([("123456",), ("123457",)], "pmid string"))
+    assert moved["out/123456/auto/f"][0] == "MOVE" and moved["123457"] == ("SKIP", None, "source does not exist")
 
 
 PUBLISHED = {"A100": (50, 167, 392), "V100x": (74, 349, 830), "V100": (74, 367, 881), "P100": (100, 415, 984), "K80": (462, None, None), "CPU": (536, None, None)}

@@ -88,9 +88,16 @@ def test_output_paths(spark, path, root, pmid, layout, subdir, file, dest):
     assert (row.root, row.pmid, row.layout, row.subdir, row.file, row.dest) == (root, pmid, layout, subdir, file, dest)
 
 
-def test_short_paths_drop_out(spark):
-    df = spark.createDataFrame([("auto/f.json",), ("f",), ("auto/images/f.jpg",)], "path string")
-    assert paths.with_output_path(df).count() == 0
+def test_paths_without_a_known_subdirectory(spark):
+    cases = ["auto/f.json", "f", "auto/images/f.jpg", "out/123/12345678/paper.md", "/auto/f"]
+    rows = paths.with_output_path(spark.createDataFrame([(p,) for p in cases], "path string")).collect()
+    assert [r.path for r in rows] == cases
+    assert all((r.layout, r.pmid, r.root, r.dest) == ("unknown", None, None, None) for r in rows)
+
+
+def test_nested_images(spark):
+    row = paths.with_output_path(spark.createDataFrame([("out/123/12345678/auto/images/sub/x.jpg",)], "path string")).first()
+    assert (row.pmid, row.layout, row.file, row.dest) == ("12345678", "canonical", "images/sub/x.jpg", "out/123/12345678/auto/images/sub/x.jpg")
 
 
 def test_artifact_class(spark):

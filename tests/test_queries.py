@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from paperledger.operators import attempts as att, audit, chunks, compare, layout, registry as reg
 from tests.compare import duck_rows, spark_rows
+from workload.oracle import ORACLE as SQL
+from workload.queries import REGISTERED
 from workload.views import TABLES, VIEWS, view, with_views
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = REGISTERED, {name: with_views(sql) for name, sql in SQL.items()}
 
 
 @pytest.fixture(scope="module")
@@ -35,6 +37,10 @@ def test_every_sql_has_a_query():
     assert set(ORACLE) == set(QUERIES)
 
 
+def test_entry_has_them_all():
+    assert set(REGISTERED) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
+
+
 def test_entry(spark):
     assert entry.entry(spark).columns == ["status", "n", "pct"]
 

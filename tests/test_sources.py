@@ -130,7 +130,7 @@ def test_outputs_and_content_lists(spark, tmp_path):
     put(tmp_path, "777777/vlm/paper_content_list.json", "{broken")
     outputs = listings.outputs_from_listing(listings.list_files(spark, str(tmp_path)))
     got = {r.pmid: r.md_path for r in outputs.collect()}
-    assert got["123456"].endswith("123456.md") and got["paper"] is None
+    assert got["123456"].endswith("123456.md") and got["777777"] is None
     rows = content.read_content_lists(spark, str(tmp_path)).orderBy("seq").collect()
     assert [(r.pmid, r.seq, r.type, r.bbox) for r in rows if r.error is None] == [("123456", 0, "text", [1.0, 2.5]), ("123456", 1, "image", None)]
     assert [(r.pmid, r.seq, r.type, r.error) for r in rows if r.error] == [("paper", None, None, content.NOT_A_LIST)]

@@ -22,27 +22,30 @@ _FOUND = r"""found AS (
 
 _OUTPUTS = r"""outputs AS (
     SELECT j.pmid, j.json_path, m.path AS md_path
-    FROM (SELECT replace(regexp_extract(path, '([^/]+)\.json$', 1), '_content_list', '') AS pmid, path AS json_path
+    FROM (SELECT CASE WHEN regexp_matches(path, '/(auto|hybrid_auto|vlm)/') THEN regexp_extract(path, '([^/]+)/(auto|hybrid_auto|vlm)/[^/]*$', 1)
+                      ELSE replace(regexp_extract(path, '([^/]+)\.json$', 1), '_content_list', '') END AS pmid, path AS json_path
           FROM fx_files WHERE right(path, 18) = '_content_list.json') j
-    LEFT JOIN fx_files m ON m.path = regexp_replace(j.json_path, '/[^/]*$', '') || '/' || j.pmid || '.md'
+    LEFT JOIN (SELECT regexp_replace(path, '/[^/]*$', '') AS folder, min(path) AS path FROM fx_files WHERE right(path, 3) = '.md' GROUP BY 1) m
+    ON m.folder = regexp_replace(j.json_path, '/[^/]*$', '')
     WHERE j.pmid <> '')"""
 
-_PARSED = r"""split AS (
-    SELECT path, string_split(replace(path, '/images/', '/images' || chr(31)), '/') AS p FROM fx_files),
+_PARSED = r"""landmarks AS (
+    SELECT path, regexp_extract(path, '^(.*/)?([^/]+)/(auto|hybrid_auto|vlm)/(.+)$', ['above', 'pmid', 'subdir', 'file']) AS m FROM fx_files),
 parsed AS (
-    SELECT path, p, p[-3] AS pmid, substr(p[-3], 1, 3) AS prefix, p[-2] AS subdir, replace(p[-1], chr(31), '/') AS file,
-           CASE WHEN p[-4] = p[-3] AND p[-5] = substr(p[-3], 1, 3) THEN 'nested'
-                WHEN p[-4] = substr(p[-3], 1, 3) THEN 'canonical'
-                WHEN p[-4] = p[-3] THEN 'flat_nested' ELSE 'flat' END AS layout
-    FROM split),
+    SELECT path, nullif(m.pmid, '') AS pmid, nullif(m.subdir, '') AS subdir, substr(nullif(m.pmid, ''), 1, 3) AS prefix,
+           CASE WHEN m.pmid = '' THEN regexp_extract(path, '[^/]+$') ELSE m.file END AS file, '/' || m.above AS above FROM landmarks),
+placed AS (
+    SELECT *, CASE WHEN pmid IS NULL THEN 'unknown' WHEN ends_with(above, '/' || prefix || '/' || pmid || '/') THEN 'nested'
+                   WHEN ends_with(above, '/' || prefix || '/') THEN 'canonical'
+                   WHEN ends_with(above, '/' || pmid || '/') THEN 'flat_nested' ELSE 'flat' END AS layout FROM parsed),
 files AS (
-    SELECT path, 'out' AS root, prefix, pmid, layout, subdir, file,
+    SELECT path, CASE WHEN pmid IS NOT NULL THEN 'out' END AS root, prefix, pmid, layout, subdir, file,
            'out/' || prefix || '/' || pmid || '/' || subdir || '/' || file AS dest
-    FROM parsed)"""
+    FROM placed)"""
 
 _EXISTING = r"""existing AS (
     SELECT DISTINCT pmid FROM files WHERE layout <> 'flat_nested' AND subdir IN ('auto', 'hybrid_auto')
-    AND file = pmid || '_content_list.json')"""
+    AND right(file, 18) = '_content_list.json' AND file NOT LIKE '%/%')"""
 
 _PLAN = r"""plan AS (
     SELECT f.path, f.pmid, f.layout, f.dest,
@@ -267,15 +270,17 @@ ORACLE = {
     "output_paths": f"WITH {_PARSED} SELECT path, root, prefix, pmid, layout, subdir, file, dest FROM files",
     "layout_plan": f"""WITH {_PARSED}, {_PLAN}
         SELECT path, pmid, layout, dest,
-               CASE WHEN layout = 'canonical' THEN 'NONE' WHEN taken THEN 'SKIP' WHEN layout = 'nested' THEN 'FLATTEN' ELSE 'MOVE' END AS action,
-               CASE WHEN layout <> 'canonical' AND taken THEN 'destination exists' END AS reason
+               CASE WHEN layout IN ('canonical', 'unknown') THEN 'NONE' WHEN taken THEN 'SKIP' WHEN layout = 'nested' THEN 'FLATTEN' ELSE 'MOVE' END AS action,
+               CASE WHEN layout NOT IN ('canonical', 'unknown') AND taken THEN 'destination exists' END AS reason
         FROM plan""",
     "layout_plan_for_ids": f"""WITH {_PARSED}, {_PLAN}, ids AS (SELECT pmid FROM fx_manifest)
         SELECT path, pmid, layout, dest,
                CASE WHEN layout <> 'nested' THEN 'NONE' WHEN taken THEN 'SKIP' ELSE 'FLATTEN' END AS action,
                CASE WHEN layout = 'nested' AND taken THEN 'destination exists' END AS reason
         FROM plan WHERE pmid IN (SELECT pmid FROM ids)
-        UNION ALL SELECT NULL, pmid, NULL, NULL, 'SKIP', 'source missing' FROM ids WHERE pmid NOT IN (SELECT pmid FROM files)""",
+        UNION ALL SELECT NULL, pmid, NULL, NULL, 'SKIP', CASE
+            WHEN pmid IN (SELECT pmid FROM files WHERE layout IN ('canonical', 'nested')) THEN 'nothing nested' ELSE 'destination does not exist' END
+        FROM ids WHERE pmid NOT IN (SELECT pmid FROM files WHERE layout = 'nested')""",
     "pending_work": f"""WITH {_PARSED}, {_EXISTING}
         SELECT pmid, pdf_path FROM fx_manifest WHERE pmid NOT IN (SELECT pmid FROM existing)""",
     "missing_inputs": """

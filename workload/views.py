@@ -65,7 +65,7 @@ VIEWS = {
     # Output files: kind by event type, layout by user; content lists only of the slower half.
     "fx_files": f"""
         SELECT path, max(length) AS length, max(pmid) AS pmid
-        FROM (SELECT pmid, dir || CASE WHEN event_type = 'error' THEN 'images/fig' || CAST(user_id AS STRING) || '.jpg'
+        FROM (SELECT pmid, dir || CASE WHEN event_type = 'error' THEN 'images/' || CASE WHEN user_id % 4 = 1 THEN 'sub/' ELSE '' END || 'fig' || CAST(user_id AS STRING) || '.jpg'
                                        ELSE CASE WHEN user_id % 10 = 7 THEN 'paper' ELSE pmid END ||
                                             CASE event_type WHEN 'view' THEN '_content_list.json' WHEN 'click' THEN '.md'
                                                             WHEN 'purchase' THEN '_middle.json' ELSE '_model.json' END END AS path,
@@ -73,7 +73,7 @@ VIEWS = {
               FROM (SELECT event_type, user_id, value, pmid,
                            'out/' || CASE WHEN user_id % 5 = 4 THEN '' ELSE substr(pmid, 1, 3) || '/' END || pmid || '/' ||
                            CASE WHEN user_id % 5 = 3 THEN pmid || '/' ELSE '' END ||
-                           CASE WHEN user_id % 3 = 1 THEN 'hybrid_auto/' WHEN user_id % 7 = 6 THEN 'vlm/' ELSE 'auto/' END AS dir
+                           CASE WHEN user_id % 11 = 3 THEN '' WHEN user_id % 3 = 1 THEN 'hybrid_auto/' WHEN user_id % 7 = 6 THEN 'vlm/' ELSE 'auto/' END AS dir
                     FROM (SELECT *, {ATTEMPTED} AS pmid FROM {{events}}) e
                     WHERE event_type <> 'view' OR value > 60) d) f
         GROUP BY path""",
