@@ -7,6 +7,8 @@ document's path or text. It stands for whatever tool turns a document into a con
 from __future__ import annotations
 
 import multiprocessing as mp
+import os
+import signal
 import sys
 import time
 from collections.abc import Callable, Iterator
@@ -27,6 +29,8 @@ Extractor = Callable[[str, str], list]
 
 TIMEOUT_SECONDS = 1800  # fixed value
 FLUSH_CHARS = 16_000_000  # text held by a worker before it hands rows on
+ELEMENT_CHARS = 200  # what an element takes besides its text
+DOCUMENTS_PER_TASK = 32
 
 OUTCOME = T.StructType([
     T.StructField("pmid", T.StringType()),
@@ -54,6 +58,7 @@ def _fit(element: dict) -> dict:
 
 
 def _serve(extractor: Extractor, pipe) -> None:
+    os.setsid()  # its own session: what it starts ends with it
     while True:
         try:
             pmid, source = pipe.recv()
@@ -76,7 +81,7 @@ class _Child:
         if self.process is None:
             ctx = mp.get_context("fork")
             self.pipe, theirs = ctx.Pipe()
-            self.process = ctx.Process(target=_serve, args=(self.extractor, theirs), daemon=True)
+            self.process = ctx.Process(target=_serve, args=(self.extractor, theirs))
             self.process.start()
             theirs.close()
         try:
@@ -91,7 +96,10 @@ class _Child:
 
     def stop(self) -> None:
         if self.process is not None:
-            self.process.kill()
+            try:
+                os.killpg(self.process.pid, signal.SIGKILL)
+            except ProcessLookupError:  # ended, or not yet in its own session
+                self.process.kill()
             self.process.join()
             self.pipe.close()
             self.process = None
@@ -111,7 +119,8 @@ def extract_documents(
     Completed only when elements came out. An exception, a timeout or a dying extractor makes a
     failed row, never a failed job; so does a message in the column `known_error`, for which the
     extractor is not run at all. Rows are dealt out evenly over `partitions`, so that large
-    documents standing together in the input do not end up in one task.
+    documents standing together in the input do not end up in one task; by default so that a
+    task has about `DOCUMENTS_PER_TASK` of them and no core is idle, for which they are counted.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         child = _Child(extractor)
@@ -129,7 +138,7 @@ def extract_documents(
                         datetime.now(timezone.utc).replace(tzinfo=None), backend,
                         elements or [],
                     ))
-                    chars += sum(len(e["text"] or "") for e in elements or [])
+                    chars += sum(len(e["text"] or "") + ELEMENT_CHARS for e in elements or [])
                     if chars >= FLUSH_CHARS:
                         yield pd.DataFrame(rows, columns=OUTCOME.names)
                         rows, chars = [], 0
@@ -139,9 +148,10 @@ def extract_documents(
 
     known = F.col(known_error) if known_error else F.lit(None).cast("string")
     docs = df.select(F.col("pmid").cast("string").alias("pmid"), F.col(source).alias("source"), known.alias("known_error"))
-    if partitions:
-        docs = docs.repartition(partitions)
-    return docs.mapInPandas(run, OUTCOME)
+    if partitions is None:
+        n = df.count()
+        partitions = max(1, min(n, max(df.sparkSession.sparkContext.defaultParallelism, n // DOCUMENTS_PER_TASK)))
+    return docs.repartition(partitions).mapInPandas(run, OUTCOME)
 
 
 def outcome_elements(outcomes: DataFrame) -> DataFrame:
@@ -155,5 +165,3 @@ def paragraphs(pmid: str, source: str) -> list:
     """The simplest extractor: a text's non-blank lines."""
     return [{"type": "text", "text": line.strip(), "page_idx": 0} for line in source.split("\n") if line.strip()]
 
-
-EXTRACTORS: dict[str, Extractor] = {"paragraphs": paragraphs}

@@ -7,10 +7,11 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from paperledger.functions.paths import parent_dir, without_scheme
 from paperledger.functions.text import id_prefix
 from paperledger.operators import registry as ops
 from paperledger.operators.attempts import keep_last, merge_summary, run_summary
-from paperledger.operators.audit import INPUT_MISSING, pending_work
+from paperledger.operators.audit import INPUT_MISSING, pending_work, skipped_work
 from paperledger.operators.extract import TIMEOUT_SECONDS, Extractor, extract_documents, outcome_elements
 from paperledger.schema import COMPLETED, FAILED, PENDING
 from paperledger.sources.attempts import CHUNK_PATTERN, read_attempts, read_results, write_attempts, write_merged
@@ -64,8 +65,21 @@ class Ledger:
         return self._publish(ops.backfill_sizes(self.registry(), list_files(self.spark, pdf_dir)), "update_sizes")
 
     def demote_missing(self, output_dir: str, as_of: datetime) -> int:
-        outputs = outputs_from_listing(list_files(self.spark, output_dir, OUTPUT_GLOB))
-        return self._publish(ops.demote_missing(self.registry(), outputs, as_of), "demote_missing")
+        """Fail what claims to be complete and has no output; where the recorded output is there, that counts.
+
+        A recorded path stands for its file or, as `process` writes them, for the folder that holds it. Records of
+        outputs elsewhere are not this folder's to judge.
+        """
+        listing = list_files(self.spark, output_dir)
+        outputs = outputs_from_listing(listing).select("pmid")
+        registry = self.registry()
+        places = listing.select("path").unionByName(listing.select(parent_dir("path").alias("path"))).distinct()
+        recorded = registry.select("pmid", without_scheme("json_path").alias("path")).filter("path IS NOT NULL")
+        there = recorded.join(places, "path", "left_semi").select("pmid")
+        root = without_scheme(F.lit(output_dir.rstrip("/") + "/"))
+        elsewhere = recorded.filter(F.col("path").startswith("/") & ~F.col("path").startswith(root)).select("pmid")
+        outputs = outputs.unionByName(there).unionByName(elsewhere)
+        return self._publish(ops.demote_missing(registry, outputs, as_of), "demote_missing")
 
     def process(
         self,
@@ -77,17 +91,30 @@ class Ledger:
         backend: str = "pipeline",
         timeout_s: float = TIMEOUT_SECONDS,
         partitions: int | None = None,
+        output_listing: DataFrame | None = None,
+        batches: int = 1,
     ) -> DataFrame:
         """Extract all pending documents, record the attempts, update the registry; return the run's counts.
 
-        Outcomes are written before anything is made of them, so that no document is extracted
-        twice. Attempts go to `{out}/attempts`, elements to `{out}/elements/run_id=…` by id prefix.
+        Documents that `output_listing` shows an output for are skipped, and counted as such. Outcomes are written before
+        anything is made of them, in `batches` parts by a hash of the id; a run started again under its id
+        extracts only what no finished part holds. Attempts go to `{out}/attempts`, elements to
+        `{out}/elements/run_id=…` by id prefix.
         """
-        todo = mark_missing(self.registry().filter(F.col("status") == PENDING).select("pmid", "pdf_path"), input_listing)
-        outcomes = extract_documents(todo, extractor, backend, timeout_s, partitions=partitions, known_error="known_error")
-        stored = f"{out}/outcomes/run_id={run_id}"
-        outcomes.write.mode("overwrite").parquet(stored)
-        outcomes = self.spark.read.parquet(stored)
+        pending = self.registry().filter(F.col("status") == PENDING).select("pmid", "pdf_path")
+        skipped = None
+        if output_listing is not None:
+            skipped = skipped_work(pending, output_listing)
+            pending = pending_work(pending, output_listing)
+        todo = mark_missing(pending, input_listing)
+        folder = f"{out}/outcomes/run_id={run_id}"
+        for batch in range(batches):
+            stored = f"{folder}/batch={batch}"
+            if not is_written(self.spark, stored):
+                part = todo.filter(F.pmod(F.xxhash64("pmid"), F.lit(batches)) == batch)
+                done = extract_documents(part, extractor, backend, timeout_s, partitions=partitions, known_error="known_error")
+                done.join(part.select("pmid", "pdf_path"), "pmid", "left").write.mode("overwrite").parquet(stored)
+        outcomes = self.spark.read.parquet(folder).drop("batch")
 
         elements = f"{out}/elements/run_id={run_id}"
         write_by_prefix(outcome_elements(outcomes), elements)
@@ -97,7 +124,7 @@ class Ledger:
         })
         write_attempts(attempts, f"{out}/attempts", run_id)
         self._publish(ops.apply_results(self.registry(), attempts, as_of), f"process {run_id}")
-        return run_summary(attempts)
+        return run_summary(attempts, skipped)
 
     def export_pending(self, path: str) -> bool:
         return write_manifest(ops.export_status(self.registry(), PENDING), path)
@@ -111,10 +138,23 @@ class Ledger:
     def status(self) -> DataFrame:
         return ops.status_counts(self.registry(), total_row=True)
 
+    def mean_time(self) -> DataFrame:
+        return ops.avg_time_completed(self.registry())
+
+    def latest_failures(self) -> DataFrame:
+        return ops.recent_failures(self.registry())
+
     def query(self, sql: str) -> DataFrame:
         return query_registry(self.spark, self.registry(), sql)
 
 
+def is_written(spark: SparkSession, path: str) -> bool:
+    """True if a Spark job has finished writing this folder."""
+    jvm = spark.sparkContext._jvm
+    done = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done)
+
+
 def mark_missing(manifest: DataFrame, input_listing: DataFrame) -> DataFrame:
     """Adds `known_error`, a message for rows whose file is not listed."""
     files = input_listing.select(F.col("path").alias("pdf_path"), F.lit(True).alias("listed"))

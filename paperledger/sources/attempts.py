@@ -2,19 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from paperledger.schema import ATTEMPT, conform
-from paperledger.sources.csv_files import CSV_OPTIONS, read_csv_text
+from paperledger.sources.csv_files import CSV_OPTIONS, file_place, files_by_header, read_csv_text
 
 CHUNK_PATTERN = "chunk_*.csv"
 ATTEMPT_ORDER = ("chunk_file", "row_idx")
+LOGGED = ("backend", "node_prefix")
+# An attempt as the log keeps it.
+LOG = T.StructType([
+    *ATTEMPT.fields, *(T.StructField(c, T.StringType()) for c in LOGGED),
+    T.StructField("chunk_file", T.StringType()), T.StructField("row_idx", T.LongType()), T.StructField("run_id", T.StringType()),
+])
 
 
 def read_attempts(spark: SparkSession, path: str | list[str], pattern: str = CHUNK_PATTERN) -> DataFrame:
     """All files of `path` matching `pattern`, CSV or Parquet by its suffix.
 
-    The raw attempt columns as strings, with `chunk_file` and `row_idx` to order them.
+    The raw attempt columns as strings, with `chunk_file` and `row_idx` to order them. Columns go by name
+    in each file: files with other headers are read in groups of their own, what one lacks is NULL.
     """
     if pattern.endswith(".parquet"):
         df = spark.read.option("pathGlobFilter", pattern).parquet(*([path] if isinstance(path, str) else path))
@@ -24,17 +31,24 @@ def read_attempts(spark: SparkSession, path: str | list[str], pattern: str = CHU
                 (F.col(f"`{names[n]}`").cast("string") if n in names else F.lit(None).cast("string")).alias(n)
                 for n in ATTEMPT.names
             ],
-            F.col("_metadata.file_name").alias("chunk_file"),
+            file_place().alias("chunk_file"),
             F.col("_metadata.row_index").alias("row_idx"),
         )
-    # Messages may hold newlines, and a chunk file is small: read each whole.
-    df = read_csv_text(spark, path, glob=pattern, multi_line=True)
-    present = set(df.columns)
-    return df.select(
-        *[(F.col(n) if n in present else F.lit(None).cast("string")).alias(n) for n in ATTEMPT.names],
-        F.col("src_file").alias("chunk_file"),
-        F.col("src_pos").alias("row_idx"),
-    )
+
+    def named(files: str | list[str], glob: str | None) -> DataFrame:
+        # Messages may hold newlines, and a chunk file is small: read each whole.
+        df = read_csv_text(spark, files, glob=glob, multi_line=True)
+        present = set(df.columns)
+        return df.select(
+            *[(F.col(n) if n in present else F.lit(None).cast("string")).alias(n) for n in ATTEMPT.names],
+            F.col("src_file").alias("chunk_file"),
+            F.col("src_pos").alias("row_idx"),
+        )
+
+    groups = files_by_header(spark, path, pattern)
+    if len(groups) < 2:
+        return named(path, pattern)
+    return union_attempts(*(named(files, None) for files in groups))
 
 
 def read_results(spark: SparkSession, path: str) -> DataFrame:
@@ -51,9 +65,13 @@ def union_attempts(*parts: DataFrame) -> DataFrame:
 
 
 def read_attempt_log(spark: SparkSession, path: str) -> DataFrame:
-    """Attempts written by `write_attempts`, of all runs. `chunk_file` begins with the run id."""
-    df = spark.read.parquet(path)
-    return conform(df, ATTEMPT, keep=("run_id", "chunk_file", "row_idx"))
+    """Attempts written by `write_attempts`, of all runs, with backend and node class.
+
+    `chunk_file` begins with the run id, so that the last row of an id is one of the last run. Run ids are text.
+    """
+    df = spark.read.schema(LOG).parquet(path)
+    run_first = F.concat_ws("/", "run_id", "chunk_file")
+    return df.withColumn("chunk_file", run_first).select(*LOG.names)
 
 
 def write_attempts(df: DataFrame, path: str, run_id: str, fmt: str = "parquet") -> None:
@@ -61,8 +79,10 @@ def write_attempts(df: DataFrame, path: str, run_id: str, fmt: str = "parquet")
 
     Writing the same run again replaces it, so a repeated write changes nothing.
     """
-    extra = tuple(c for c in ATTEMPT_ORDER if c in df.columns)
-    out = conform(df, ATTEMPT, keep=extra)
+    log = T.StructType([f for f in LOG.fields if f.name != "run_id"])
+    if fmt == "csv":
+        log = T.StructType([f for f in log.fields if f.name in ATTEMPT.names or f.name in df.columns])
+    out = conform(df, log)
     writer = out.write.mode("overwrite")
     target = f"{path.rstrip('/')}/run_id={run_id}"
     if fmt == "csv":

@@ -2,15 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 # Doubled quotes stand for a quote inside a quoted field.
 CSV_OPTIONS = {"quote": '"', "escape": '"', "encoding": "UTF-8"}
 
-# Position of a row in its source: file name, first byte of the split, place in the split.
+# Position of a row in its source: file, first byte of the split, place in the split.
 FILE_ORDER = ("src_file", "src_block", "src_pos")
 
 
+def file_place() -> Column:
+    """A file's name, then its folder: files of one name in several folders stay apart, in order of name."""
+    return F.concat_ws(" ", F.col("_metadata.file_name"), F.regexp_replace(F.col("_metadata.file_path"), r"/[^/]*$", ""))
+
+
+def files_by_header(spark: SparkSession, path: str | list[str], glob: str) -> list[list[str]]:
+    """The files grouped by their first line. The driver gets their names and no more of them than it lists anyway."""
+    lines = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", True).text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+    first = lines.filter("block = 0").groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    groups = first.groupBy(F.lower(F.regexp_replace("header", "[\\s\ufeff\"]", ""))).agg(F.sort_array(F.collect_list("file")).alias("files"))
+    return [[unquote(f) for f in r.files] for r in groups.orderBy("files").collect()]
+
+
 def spans_lines(spark: SparkSession, path: str | list[str], glob: str | None = None) -> bool:
     """True if some quoted field holds a newline: then some line has an odd number of quotes."""
     reader = spark.read if glob is None else spark.read.option("pathGlobFilter", glob)
@@ -52,7 +68,7 @@ def read_csv_text(
     last = {name: i for i, name in enumerate(names) if name}
     return df.select(
         *[F.col(f"`{headers[i]}`").alias(name) for name, i in last.items()],
-        F.col("_metadata.file_name").alias("src_file"),
+        file_place().alias("src_file"),
         F.col("_metadata.file_block_start").alias("src_block"),
         F.monotonically_increasing_id().alias("src_pos"),
     )

@@ -9,7 +9,7 @@ from paperledger.functions.paths import without_scheme
 from paperledger.operators.attempts import clean_results, keep_last
 from paperledger.operators.registry import apply_results, insert_if_absent
 from paperledger.schema import ATTEMPT, BINARY_FILE, empty
-from paperledger.sources.csv_files import CSV_OPTIONS
+from paperledger.sources.csv_files import CSV_OPTIONS, file_place
 from paperledger.sources.listings import PDF_GLOB_ANY_CASE, ids_from_listing
 from paperledger.sources.snapshots import load_registry, publish_registry
 
@@ -65,7 +65,7 @@ def ingest_stream(
     files = (
         spark.readStream.schema(RAW_ATTEMPT).options(**CSV_OPTIONS)
         .option("header", True).option("enforceSchema", False).option("multiLine", True).option("pathGlobFilter", glob).csv(src)
-        .select("*", F.col("_metadata.file_name").alias("chunk_file"))
+        .select("*", file_place().alias("chunk_file"))
     )
     return (
         files.writeStream

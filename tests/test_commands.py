@@ -3,6 +3,8 @@ import subprocess
 import sys
 from datetime import datetime
 
+from pyspark.sql import functions as F
+
 from paperledger.plans.commands import Ledger
 from paperledger.sources.attempts import read_attempt_log
 from tests.test_sources import HEADER, put
@@ -37,6 +39,37 @@ def test_process_extracts_once_and_updates(spark, tmp_path):
     assert read_attempt_log_runs(spark, out) == ["run1", "run1", "run1", "run2", "run2"]
 
 
+def test_process_skips_resumes_and_agrees_with_the_audit(spark, tmp_path):
+    ledger = Ledger(spark, str(tmp_path / "registry"))
+    ledger.init(put(tmp_path, "m.csv", "pmid,pdf_path\n" + "".join(f"{i},p{i}\n" for i in range(111111, 111119))), NOW)
+    listing = spark.createDataFrame([(f"p{i}", 1) for i in range(111111, 111119)], "path string, length long")
+    there = spark.createDataFrame([("x/111/111111/auto/paper_content_list.json", 1)], "path string, length long")
+    out, seen = str(tmp_path / "work"), str(tmp_path / "seen")
+
+    def notes(pmid, source):
+        with open(seen, "a") as f:
+            f.write(pmid + "\n")
+        return [{"type": "text", "text": source}]
+
+    counts = ledger.process(notes, out, "007", NOW, listing, output_listing=there, batches=3).first()
+    assert (counts.completed, counts.failed, counts.skipped) == (7, 0, 1)
+    assert sorted(open(seen).read().split()) == [str(i) for i in range(111112, 111119)]
+    before = states(ledger)
+    ledger.scan_outputs(out, NOW)
+    ledger.demote_missing(out, NOW)
+    assert states(ledger) == before
+
+    # The same run again, its second batch lost: only that one is extracted anew.
+    lost = f"{out}/outcomes/run_id=007/batch=1"
+    again = {r.pmid for r in spark.read.parquet(lost).collect()}
+    os.rename(f"{lost}/_SUCCESS", f"{lost}/_gone")
+    ledger._publish(ledger.registry().withColumn("status", F.lit("pending")), "as before")
+    open(seen, "w").close()
+    ledger.process(notes, out, "007", NOW, listing, output_listing=there, batches=3)
+    assert set(open(seen).read().split()) == again
+    assert {(r.run_id, r.backend, r.pdf_path) for r in read_attempt_log(spark, f"{out}/attempts").filter("pmid = '111112'").collect()} == {("007", "pipeline", "p111112")}
+
+
 def read_attempt_log_runs(spark, out):
     return sorted(r.run_id for r in read_attempt_log(spark, f"{out}/attempts").collect())
 

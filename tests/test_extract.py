@@ -1,4 +1,7 @@
+import os
+import subprocess
 import pytest
+from pyspark.sql import functions as F
 import os
 import time
 
@@ -83,3 +86,32 @@ def test_long_paragraph_with_many_inline_tags(spark):
 def test_text_elements(spark):
     df = spark.createDataFrame([(1, "a\n \n b \n")], "doc_id int, text string")
     assert [(r.seq, r.text) for r in text_elements(df).collect()] == [(0, "a"), (2, "b")]
+
+
+def test_a_timeout_ends_what_the_extractor_started(spark, tmp_path):
+    marker = f"sleep 97.{os.getpid()}"
+
+    def starts(pmid, source):
+        subprocess.run(["sh", "-c", f"{marker}; true"])
+
+    df = spark.createDataFrame([("1", "a")], "pmid string, pdf_path string")
+    row = extract_documents(df, starts, timeout_s=1).first()
+    assert row.error_msg.startswith("Processing timeout")
+    assert marker not in subprocess.run(["ps", "-eo", "args"], capture_output=True, text=True).stdout
+
+
+def test_extractors_may_use_processes(spark):
+    def forks(pmid, source):
+        import multiprocessing as mp
+
+        with mp.get_context("fork").Pool(2) as pool:
+            return [{"type": "text", "text": str(x)} for x in pool.map(abs, [-1, -2])]
+
+    df = spark.createDataFrame([("1", "a")], "pmid string, pdf_path string")
+    assert [e.text for e in extract_documents(df, forks, timeout_s=60).first().elements] == ["1", "2"]
+
+
+def test_documents_are_spread_by_default(spark):
+    df = spark.createDataFrame([(str(i), "a") for i in range(2000)], "pmid string, pdf_path string").coalesce(1)
+    parts = extract_documents(df, paragraphs).select(F.spark_partition_id().alias("p")).distinct().count()
+    assert parts > 8

@@ -79,11 +79,34 @@ def test_attempts_short_row_is_null(spark, tmp_path):
     assert (row.pmid, row.status, row.error_msg, row.processing_time) == ("1", "failed", None, None)
 
 
-def test_attempts_other_header_is_refused(spark, tmp_path):
-    put(tmp_path, "chunk_00000.csv", HEADER + "1,p,failed,,,3.0,late,x\n")
-    put(tmp_path, "chunk_00001.csv", "status,pmid\nfailed,1\n")
-    with pytest.raises(Exception):
-        attempts.read_attempts(spark, str(tmp_path)).collect()
+def test_attempts_with_other_headers_go_by_name(spark, tmp_path):
+    put(tmp_path, "chunk_00000.csv", HEADER + '1,p,failed,,,3.0,"late\nvery",x\n')
+    put(tmp_path, "a b/chunk_00001.csv", "Status , PMID\nfailed,2\n")
+    put(tmp_path, "chunk_00002.csv", HEADER + "3,p,completed,j,,1.0,,x\n")
+    rows = attempts.read_attempts(spark, [str(tmp_path), str(tmp_path / "a b")]).collect()
+    got = {r.pmid: (r.status, r.error_msg, r.processing_time) for r in rows}
+    assert got == {"1": ("failed", "late\nvery", "3.0"), "2": ("failed", None, None), "3": ("completed", None, "1.0")}
+
+
+def test_files_of_one_name_stay_apart(spark, tmp_path):
+    put(tmp_path, "a/chunk_00000.csv", HEADER + "1,p,failed,,,3.0,late,x\n")
+    put(tmp_path, "b/chunk_00000.csv", HEADER + "1,p,completed,j,,4.0,,x\n2,p,completed,j,,4.0,,x\n")
+    rows = attempts.read_attempts(spark, [str(tmp_path / "a"), str(tmp_path / "b")])
+    assert len({r.chunk_file for r in rows.collect()}) == 2
+    assert {r.pmid: r.status for r in keep_last(rows).collect()} == {"1": "completed", "2": "completed"}
+
+
+def test_attempt_log_keeps_run_backend_and_order(spark, tmp_path):
+    df = spark.createDataFrame(
+        [("1", "p", "completed", "nova", "cn23", "z", 5), ("2", "p", "failed", None, None, "z", 6)],
+        "pmid string, pdf_path string, status string, backend string, node_prefix string, chunk_file string, row_idx long")
+    log = str(tmp_path / "log")
+    attempts.write_attempts(df, log, "007")
+    attempts.write_attempts(df.filter("pmid = '1'").selectExpr("pmid", "pdf_path", "'failed' AS status", "'a' AS chunk_file", "0L AS row_idx"), log, "008")
+    rows = attempts.read_attempt_log(spark, log)
+    assert {(r.run_id, r.pmid, r.backend, r.node_prefix, r.pdf_path) for r in rows.collect()} == {
+        ("007", "1", "nova", "cn23", "p"), ("007", "2", None, None, "p"), ("008", "1", None, None, "p")}
+    assert {r.pmid: r.status for r in keep_last(rows).collect()} == {"1": "failed", "2": "failed"}
 
 
 def test_attempts_parquet(spark, tmp_path):
