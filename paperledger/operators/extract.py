@@ -9,6 +9,7 @@ from __future__ import annotations
 import multiprocessing as mp
 import os
 import signal
+import subprocess
 import sys
 import time
 from collections.abc import Callable, Iterator
@@ -18,7 +19,7 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from paperledger.functions.text import EXCEPTION_CHARS
+from paperledger.functions.text import EXCEPTION_CHARS, STDERR_CHARS
 from paperledger.operators.registry import NO_OUTPUT
 from paperledger.schema import COMPLETED, ELEMENT, FAILED
 
@@ -66,10 +67,24 @@ def _serve(extractor: Extractor, pipe) -> None:
             return
         try:
             pipe.send(([_fit(e) for e in extractor(pmid, source) or []], None))
+        except ToolFailed as e:
+            pipe.send((None, str(e)))
         except Exception as e:
             pipe.send((None, f"{type(e).__name__}: {str(e)[:EXCEPTION_CHARS]}"))
 
 
+class ToolFailed(Exception):
+    """A tool that ended badly: what it wrote as error, cut, or that it said nothing."""
+
+
+def run_tool(*command: str) -> str:
+    """What a command writes, for extractors that call one; ToolFailed with its error text if it ends badly."""
+    done = subprocess.run(command, capture_output=True, text=True, errors="replace")
+    if done.returncode:
+        raise ToolFailed(done.stderr.strip()[:STDERR_CHARS] or "Unknown error")
+    return done.stdout
+
+
 class _Child:
     """The extractor in a process of its own, which can be killed when a document takes too long."""
 

@@ -170,7 +170,11 @@ def process_manifest(
     backend: str = "pipeline",
     timeout_s: float = TIMEOUT_SECONDS,
     partitions: int | None = None,
+    source: str = "pdf_path",
 ) -> DataFrame:
-    """Outcomes of the documents that have no output yet; those whose file is not listed fail at once."""
+    """Outcomes of the documents that have no output yet; those whose file is not listed fail at once.
+
+    The extractor is given the column `source`: the path, or the text where the manifest carries it.
+    """
     todo = mark_missing(pending_work(manifest, output_listing), input_listing)
-    return extract_documents(todo, extractor, backend, timeout_s, partitions=partitions, known_error="known_error")
+    return extract_documents(todo, extractor, backend, timeout_s, source, partitions, known_error="known_error")

@@ -6,7 +6,7 @@ import os
 import time
 
 from paperledger.operators.content import page_elements, page_outcomes, text_elements
-from paperledger.operators.extract import extract_documents, outcome_elements, paragraphs
+from paperledger.operators.extract import extract_documents, outcome_elements, paragraphs, run_tool
 from paperledger.plans.commands import process_manifest
 
 
@@ -100,6 +100,18 @@ def test_a_timeout_ends_what_the_extractor_started(spark, tmp_path):
     assert marker not in subprocess.run(["ps", "-eo", "args"], capture_output=True, text=True).stdout
 
 
+def test_error_text_of_a_tool(spark):
+    def loud(pmid, source):
+        run_tool("sh", "-c", "printf 'x%.0s' $(seq 900) >&2; exit 3")
+
+    def mute(pmid, source):
+        run_tool("false")
+
+    df = spark.createDataFrame([("1", "a")], "pmid string, pdf_path string")
+    assert extract_documents(df, loud).first().error_msg == "x" * 500
+    assert extract_documents(df, mute).first().error_msg == "Unknown error"
+
+
 def test_extractors_may_use_processes(spark):
     def forks(pmid, source):
         import multiprocessing as mp

@@ -222,6 +222,16 @@ ORACLE = {
     "duplicate_ids": "SELECT pmid, count(*) AS n FROM fx_attempts GROUP BY pmid HAVING count(*) > 1",
     "results_clean": f"""WITH {_CLEAN}
         SELECT pmid, status, json_path, md_path, error_msg, processing_time, row_idx FROM clean""",
+    "attempt_times": """
+        SELECT row_idx, CASE WHEN row_idx % 17 <> 3 THEN date_trunc('second', processed_at) END AS processed_at FROM fx_raw_attempts""",
+    "merged_results": f"WITH {_CLEAN} SELECT pmid, status, error_msg, processing_time FROM last",
+    "attempts_mixed_headers": """
+        SELECT pmid, status, count(*) AS n, count(CASE WHEN row_idx % 3 = 1 THEN processing_time END) AS timed FROM fx_attempts GROUP BY pmid, status""",
+    "strict_insert": f"""WITH {_MANIFEST}
+        SELECT pmid, pdf_path, status FROM fx_registry WHERE status <> 'pending'
+        UNION ALL SELECT pmid, pdf_path, 'pending' FROM typed
+        WHERE pmid IS NOT NULL AND pdf_path IS NOT NULL AND pmid NOT IN (SELECT pmid FROM fx_registry WHERE status <> 'pending')
+        QUALIFY row_number() OVER (PARTITION BY pmid ORDER BY row_idx) = 1""",
     "merge_keep_last": f"""WITH {_CLEAN}
         SELECT pmid, pdf_path, status, json_path, md_path, processing_time, error_msg, chunk_file, row_idx FROM last""",
     "attempts_scan": f"""WITH {_CLEAN}
@@ -422,10 +432,14 @@ ORACLE = {
         FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id""",
     "extracted_text": f"""WITH {_LINES}
         SELECT CAST(doc_id AS VARCHAR) AS pmid, row_number() OVER (PARTITION BY doc_id ORDER BY seq) - 1 AS seq, 'text' AS type, text FROM kept""",
-    "processed_manifest": f"""WITH {_PARSED}, {_EXISTING}
-        SELECT pmid, CASE WHEN pdf_path IN (SELECT path FROM fx_listing) THEN 'completed' ELSE 'failed' END AS status,
-               CASE WHEN pdf_path NOT IN (SELECT path FROM fx_listing) THEN 'PDF file not found: ' || pdf_path END AS error_msg
-        FROM fx_manifest WHERE pmid NOT IN (SELECT pmid FROM existing)""",
+    "processed_manifest": f"""WITH {_PARSED}, {_EXISTING}, {_LINES},
+        n AS (SELECT doc_id AS row_idx, count(*) AS n FROM kept GROUP BY doc_id),
+        todo AS (SELECT m.pmid, m.pdf_path, coalesce(n.n, 0) AS n, m.pdf_path IN (SELECT path FROM fx_listing) AS listed
+                 FROM fx_manifest m LEFT JOIN n ON n.row_idx = m.row_idx WHERE m.pmid NOT IN (SELECT pmid FROM existing))
+        SELECT pmid, CASE WHEN listed AND n > 0 THEN 'completed' ELSE 'failed' END AS status,
+               CASE WHEN NOT listed THEN 'PDF file not found: ' || pdf_path WHEN n = 0 THEN 'No output files generated' END AS error_msg,
+               CASE WHEN listed THEN n ELSE 0 END AS n_elements
+        FROM todo""",
     "output_by_prefix": "SELECT substr(pmid, 1, 3) AS prefix, count(*) AS n FROM fx_manifest GROUP BY 1",
     "registry_query": "SELECT status, count(*) AS n, count(json_path) AS with_json FROM fx_registry GROUP BY status",
 }

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paperledger.functions.paths import with_output_path
 from paperledger.functions.text import (
-    blank_to_null, canonical_latex, id_prefix, safe_double, size_band, stem,
+    blank_to_null, canonical_latex, id_prefix, local_time, safe_double, size_band, stem,
 )
 from paperledger.operators import attempts as att, audit, chunks, compare, content, layout, registry as reg, usage
 from paperledger.operators.extract import extract_documents, outcome_elements, paragraphs
@@ -18,7 +18,7 @@ from paperledger.schema import FAILED, PENDING, REGISTRY, conform, empty
 from paperledger.session import shared_dir
 from paperledger.sources import attempts as src, content as content_io, csv_files, listings, logs, manifests, snapshots
 from paperledger.streaming.ingest import ingest_stream
-from workload.views import AS_OF, table, view
+from workload.views import AS_OF, DOC, table, view
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, Query] = {}
@@ -173,6 +173,35 @@ def results_clean(spark, sf):
     )
 
 
+@query
+def attempt_times(spark, sf):
+    """Times as the attempts carry them, ISO text, read as times; what is no time is NULL."""
+    raw = view(spark, sf, "fx_raw_attempts")
+    text = F.when(F.col("row_idx") % 17 == 3, "soon").otherwise(F.concat_ws("T", F.date_format("processed_at", "yyyy-MM-dd"), F.date_format("processed_at", "HH:mm:ss")))
+    return raw.select("row_idx", local_time(text).alias("processed_at"))
+
+
+@query
+def merged_results(spark, sf):
+    """Merged attempts written as one row per id, read back as a results file."""
+    path = f"{scratch(spark)}/merged.parquet"
+    attempts = src.read_attempts(spark, _attempt_files(spark, sf), "part-*.csv")
+    src.write_merged(att.keep_last(attempts).drop("chunk_file", "row_idx"), path)
+    return att.clean_results(src.read_results(spark, path)).select("pmid", "status", "error_msg", "processing_time")
+
+
+@query
+def attempts_mixed_headers(spark, sf):
+    """Result files with three headers in one folder, columns by name."""
+    path = f"{scratch(spark)}/mixed"
+    rows = view(spark, sf, "fx_attempts").select("pmid", "status", "processing_time", "row_idx")
+    shapes = {"a": ["pmid", "status"], "b": ["processing_time", "status", "pmid"], "c": ["status", "pmid", "row_idx"]}
+    for i, (name, columns) in enumerate(shapes.items()):
+        rows.filter(F.col("row_idx") % 3 == i).select(*columns).write.options(**csv_files.CSV_OPTIONS).option("header", True).csv(f"{path}/{name}")
+    attempts = src.read_attempts(spark, [f"{path}/{name}" for name in shapes], "part-*.csv")
+    return att.clean_results(attempts).groupBy("pmid", "status").agg(F.count(F.lit(1)).alias("n"), F.count("processing_time").alias("timed"))
+
+
 @query
 def merge_keep_last(spark, sf):
     return att.keep_last(att.clean_results(view(spark, sf, "fx_raw_attempts"))).drop("processed_at")
@@ -231,6 +260,14 @@ def manifest_export(spark, sf):
     return manifests.read_manifest(spark, path).select("pmid", "pdf_path")
 
 
+@query
+def strict_insert(spark, sf):
+    """The registry command `init`: the manifest read strictly, its first row per id inserted where the id is not known."""
+    registry = view(spark, sf, "fx_registry").filter("status <> 'pending'")
+    new = manifests.read_manifest(spark, _manifest_file(spark, sf))
+    return reg.insert_if_absent(typed(registry), new, AS_OF, csv_files.FILE_ORDER).select("pmid", "pdf_path", "status")
+
+
 @query
 def id_list(spark, sf):
     path = f"{scratch(spark)}/ids"
@@ -498,13 +535,14 @@ def extracted_text(spark, sf):
 
 @query
 def processed_manifest(spark, sf):
-    """Skip documents with output, fail those without a file, extract the rest."""
-    manifest = view(spark, sf, "fx_manifest").select("pmid", "pdf_path")
+    """Skip documents with output, fail those without a file, extract the text of the rest."""
+    text = table(spark, sf, "documents").select(F.expr(DOC).alias("pmid"), "text")
+    manifest = view(spark, sf, "fx_manifest").select("pmid", "pdf_path").join(text, "pmid")
     outcomes = process_manifest(
         manifest, view(spark, sf, "fx_listing"), view(spark, sf, "fx_files"), paragraphs, timeout_s=60,
-        partitions=_slots(spark),
+        partitions=_slots(spark), source="text",
     )
-    return outcomes.select("pmid", "status", "error_msg")
+    return outcomes.select("pmid", "status", "error_msg", F.size("elements").cast("long").alias("n_elements"))
 
 
 # --- files, snapshots, streams ---------------------------------------------------------

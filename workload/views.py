@@ -67,7 +67,7 @@ VIEWS = {
         SELECT path, max(length) AS length, max(pmid) AS pmid
         FROM (SELECT pmid, dir || CASE WHEN event_type = 'error' THEN 'images/' || CASE WHEN user_id % 4 = 1 THEN 'sub/' ELSE '' END || 'fig' || CAST(user_id AS STRING) || '.jpg'
                                        ELSE CASE WHEN user_id % 10 = 7 THEN 'paper' ELSE pmid END ||
-                                            CASE event_type WHEN 'view' THEN '_content_list.json' WHEN 'click' THEN '.md'
+                                            CASE event_type WHEN 'view' THEN '_content_list.json' WHEN 'signup' THEN '_content_list.json' WHEN 'click' THEN '.md'
                                                             WHEN 'purchase' THEN '_middle.json' ELSE '_model.json' END END AS path,
                      CAST(floor(value * 1024) AS BIGINT) AS length
               FROM (SELECT event_type, user_id, value, pmid,
@@ -75,7 +75,10 @@ VIEWS = {
                            CASE WHEN user_id % 5 = 3 THEN pmid || '/' ELSE '' END ||
                            CASE WHEN user_id % 11 = 3 THEN '' WHEN user_id % 3 = 1 THEN 'hybrid_auto/' WHEN user_id % 7 = 6 THEN 'vlm/' ELSE 'auto/' END AS dir
                     FROM (SELECT *, {ATTEMPTED} AS pmid FROM {{events}}) e
-                    WHERE event_type <> 'view' OR value > 60) d) f
+                    WHERE event_type <> 'view' OR value > 60) d
+              UNION ALL
+              SELECT {DOC}, 'out/' || substr({DOC}, 1, 3) || '/' || {DOC} || '/auto/' || {DOC} || '_content_list.json', n_chars
+              FROM {{documents}} WHERE n_chars < 800) f
         GROUP BY path""",
     "fx_outputs": """
         SELECT DISTINCT pmid FROM fx_files WHERE right(path, 18) = '_content_list.json'""",
@@ -90,7 +93,9 @@ VIEWS = {
                CAST(CASE WHEN d.doc_id % 10 < 6 OR d.doc_id % 20 = 19 THEN NULL ELSE e.value END AS FLOAT) AS processing_time,
                CASE WHEN d.doc_id % 11 = 0 THEN NULL ELSE CAST(d.n_chars * 1500 AS BIGINT) END AS file_size,
                e.ts AS created_at, e.ts AS updated_at
-        FROM {{documents}} d JOIN {{events}} e ON e.event_id = d.doc_id * 5""",
+        FROM {{documents}} d LEFT JOIN (
+            SELECT CAST(floor(event_id / 10) AS BIGINT) AS doc, max(value) AS value, max(ts) AS ts FROM {{events}} GROUP BY 1
+        ) e ON e.doc = d.doc_id""",
     # Input files: those of short documents are gone, web pages came in anew, some without an id.
     "fx_listing": f"""
         SELECT 'pdfs/' || substr({DOC}, 1, 3) || '/' || {DOC} || '.pdf' AS path, CAST(n_chars * 1500 AS BIGINT) AS length
@@ -117,6 +122,7 @@ VIEWS = {
     "fx_runs": f"""
         SELECT {_id('conv_id')} AS pmid,
                CASE conv_id % 3 WHEN 0 THEN 'pipeline' WHEN 1 THEN 'hybrid' ELSE 'vlm' END AS backend, turn AS run,
+               CASE WHEN turn % 3 = 2 THEN replace(text, '$', ' ') ELSE '' END ||
                CASE WHEN length(text) % 4 = 0 THEN 'Flux of $' || chr(92) || 'mathbb {{{{ K }}}} ^ {{{{ + }}}}$ here'
                     WHEN length(text) % 4 = 1 THEN 'Flux of $' || chr(92) || 'mathrm{{{{K}}}}^{{{{+}}}}$ here'
                     WHEN length(text) % 4 = 2 THEN 'Flux of $' || chr(92) || 'mathtt{{{{K}}}} ^ {{{{+}}}}$ here'
