@@ -25,8 +25,9 @@ BITS = 18
 ORDERS = (3, 4, 5)
 TOXIC = 4000
 OTHER = 8000
-FEATURES = 1 << 14
+FEATURES = 1 << 12
 MIN_DOCS = 4
+MIN_TEST = 2.0
 PENALTY = 1.0
 ROUNDS = 300
 THRESHOLD = 0.7
@@ -70,20 +71,18 @@ def counts(train: DataFrame) -> DataFrame:
         F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
 
 
-def chosen(found: pd.DataFrame, n_toxic: int, n_other: int, features: int) -> tuple[np.ndarray, np.ndarray]:
-    """The kept features, ascending, and their log-count ratios."""
-    p, q = found["toxic"].to_numpy(float), found["other"].to_numpy(float)
-    ratio = np.log((p + 1) / (n_toxic + 2)) - np.log((q + 1) / (n_other + 2))
-    share = (p + q) / (n_toxic + n_other)
+def chosen(found: DataFrame, n_toxic: int, n_other: int, features: int) -> DataFrame:
+    """feature, ratio of the `features` n-grams that tell most: log-count ratio, and a likelihood-ratio test to rank by."""
+    p, q = F.col("toxic").cast("double"), F.col("other").cast("double")
+    ratio = F.log((p + 1) / (n_toxic + 2)) - F.log((q + 1) / (n_other + 2))
+    share = (p + q) / max(1, n_toxic + n_other)
 
-    def term(seen: np.ndarray, expected: np.ndarray) -> np.ndarray:
-        return np.where(seen > 0, seen * np.log(np.maximum(seen, 1e-300) / np.maximum(expected, 1e-300)), 0.0)
+    def term(seen: Column, expected: Column) -> Column:
+        return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
 
     test = term(p, share * n_toxic) + term(q, share * n_other) + term(n_toxic - p, (1 - share) * n_toxic) + term(n_other - q, (1 - share) * n_other)
-    test[p + q < MIN_DOCS] = -1
-    best = np.lexsort((found["feature"].to_numpy(), -test))[:features]
-    best = np.sort(best[test[best] > 2.0])
-    return found["feature"].to_numpy()[best], ratio[best]
+    ranked = found.filter(p + q >= MIN_DOCS).select("feature", ratio.alias("ratio"), test.alias("test")).filter(F.col("test") > MIN_TEST)
+    return ranked.orderBy(F.desc("test"), "feature").limit(features)
 
 
 def present(train: DataFrame, kept: np.ndarray) -> DataFrame:
@@ -106,7 +105,7 @@ def logistic(rows: list[np.ndarray], y: np.ndarray, ratio: np.ndarray, penalty:
     bias = float(np.log((y.sum() + 0.5) / (n - y.sum() + 0.5)))
     if not n or not k:
         return np.zeros(k), bias
-    of = np.repeat(np.arange(n), [len(r) for r in rows])
+    of = np.repeat(np.arange(n, dtype=np.int32), [len(r) for r in rows])
     at = np.concatenate(rows)
     w, m, v = np.zeros(k + 1), np.zeros(k + 1), np.zeros(k + 1)
     w[k] = bias
@@ -125,9 +124,10 @@ def fit(docs: DataFrame, labels: DataFrame, toxic: int = TOXIC, other: int = OTH
     # A doc_id that repeats trains with each of its rows: they are few, as ids are bounded and name documents.
     train = docs.select("doc_id", "text").join(ids, docs["doc_id"] == ids["label_id"]).select("label_id", "toxic", "text")
     sizes = {int(r["toxic"] == 1): r["n"] for r in train.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    kept, ratio = chosen(counts(train).toPandas().sort_values("feature"), sizes.get(1, 0), sizes.get(0, 0), features)
+    best = chosen(counts(train), sizes.get(1, 0), sizes.get(0, 0), features).toPandas().sort_values("feature")
+    kept, ratio = best["feature"].to_numpy(), best["ratio"].to_numpy()
     rows = present(train, kept).orderBy("label_id", F.xxhash64("features")).toPandas()
-    learned, bias = logistic([np.asarray(r, np.int64) for r in rows["features"]], (rows["toxic"] == 1).to_numpy(float), ratio, PENALTY, ROUNDS)
+    learned, bias = logistic([np.asarray(r, np.int32) for r in rows["features"]], (rows["toxic"] == 1).to_numpy(float), ratio, PENALTY, ROUNDS)
     weights = np.zeros(1 << BITS, np.float32)
     weights[kept] = learned
     return weights, bias
