@@ -31,6 +31,11 @@ def without_scheme(c: Column | str) -> Column:
     return F.regexp_replace(_col(c), r"^file:/+", "/")
 
 
+def bare_path(c: Column | str) -> Column:
+    """A path without scheme and authority, so that `hdfs://host/in/a.pdf` and `/in/a.pdf` compare equal."""
+    return F.regexp_replace(_col(c), r"^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?/*(?=/)", "")
+
+
 def parent_dir(c: Column | str) -> Column:
     return F.regexp_replace(_col(c), r"/[^/]*$", "")
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from paperledger.functions.paths import (
-    CANONICAL, CONTENT_LIST_NAME, FLAT, NESTED, OUTPUT_SUBDIRS, with_output_path,
+    CANONICAL, CONTENT_LIST_NAME, FLAT, NESTED, OUTPUT_SUBDIRS, bare_path, with_output_path,
 )
 from paperledger.operators.skew import detached
 from paperledger.schema import ATTEMPT, COMPLETED, FAILED, conform
@@ -157,8 +157,8 @@ def skipped_work(
 
 def missing_inputs(manifest: DataFrame, listing: DataFrame) -> DataFrame:
     """Failed attempt rows for manifest rows whose file is not listed."""
-    files = listing.select(F.col("path").alias("pdf_path"))
-    gone = manifest.join(files, "pdf_path", "left_anti")
+    files = listing.select(bare_path("path").alias("_bare"))
+    gone = manifest.withColumn("_bare", bare_path("pdf_path")).join(files, "_bare", "left_anti")
     return conform(gone, ATTEMPT).withColumns({
         "status": F.lit(FAILED),
         "error_msg": F.concat(F.lit(INPUT_MISSING + ": "), "pdf_path"),

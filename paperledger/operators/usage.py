@@ -33,5 +33,5 @@ def gpu_utilization(samples: DataFrame, by: Sequence[str] = ("node", "gpu_name")
     used = strip("utilization")
     return samples.filter(used.rlike(INTEGER_PATTERN)).groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_samples"),
-        F.floor(F.avg(used.cast("long"))).alias("avg_utilization"),
+        F.call_function("div", F.sum(used.cast("long")), F.count(F.lit(1))).alias("avg_utilization"),
     )

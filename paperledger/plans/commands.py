@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from paperledger.functions.paths import parent_dir, without_scheme
+from paperledger.functions.paths import bare_path, parent_dir, without_scheme
 from paperledger.functions.text import id_prefix
 from paperledger.operators import registry as ops
 from paperledger.operators.attempts import keep_last, merge_summary, run_summary
 from paperledger.operators.audit import INPUT_MISSING, pending_work, skipped_work
 from paperledger.operators.extract import TIMEOUT_SECONDS, Extractor, extract_documents, outcome_elements
 from paperledger.schema import COMPLETED, FAILED, PENDING
+from paperledger.session import shared_dir
 from paperledger.sources.attempts import CHUNK_PATTERN, read_attempts, read_results, write_attempts, write_merged
 from paperledger.sources.content import write_by_prefix
 from paperledger.sources.csv_files import FILE_ORDER
@@ -47,8 +49,13 @@ class Ledger:
         return self._publish(ops.apply_results(self.registry(), read_results(self.spark, results), as_of), "update")
 
     def merge(self, input_dir: str, output: str, pattern: str = CHUNK_PATTERN, as_of: datetime | None = None) -> DataFrame:
-        """Write the merged attempts and return their summary; with `as_of` update the registry too."""
-        attempts = read_attempts(self.spark, input_dir, pattern)
+        """Write the merged attempts and return their summary; with `as_of` update the registry too.
+
+        The result files are read once and kept as Parquet where all executors can read them.
+        """
+        kept = f"{shared_dir(self.spark)}/merge-{uuid.uuid4().hex}"
+        read_attempts(self.spark, input_dir, pattern).write.parquet(kept)
+        attempts = self.spark.read.parquet(kept)
         write_merged(keep_last(attempts).drop("chunk_file", "row_idx"), output)
         if as_of is not None:
             self._publish(ops.apply_results(self.registry(), attempts, as_of), "merge")
@@ -157,9 +164,10 @@ def is_written(spark: SparkSession, path: str) -> bool:
 
 def mark_missing(manifest: DataFrame, input_listing: DataFrame) -> DataFrame:
     """Adds `known_error`, a message for rows whose file is not listed."""
-    files = input_listing.select(F.col("path").alias("pdf_path"), F.lit(True).alias("listed"))
+    files = input_listing.select(bare_path("path").alias("_bare"), F.lit(True).alias("listed")).distinct()
     message = F.when(F.col("listed").isNull(), F.concat(F.lit(INPUT_MISSING + ": "), "pdf_path"))
-    return manifest.join(files, "pdf_path", "left").withColumn("known_error", message).drop("listed")
+    marked = manifest.withColumn("_bare", bare_path("pdf_path")).join(files, "_bare", "left")
+    return marked.withColumn("known_error", message).drop("listed", "_bare")
 
 
 def process_manifest(

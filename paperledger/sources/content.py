@@ -42,21 +42,22 @@ def explode_content(docs: DataFrame, json_column: str) -> DataFrame:
     return rows.filter("seq IS NOT NULL OR error IS NOT NULL").select(*rest, F.col("seq").cast("long").alias("seq"), "element.*", "error")
 
 
-def write_by_prefix(df: DataFrame, path: str, fmt: str = "parquet", partitions: int | None = None) -> None:
+def write_by_prefix(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Output laid out by the first characters of the id, which prunes reads by prefix.
 
-    Rebalancing brings a prefix together for few files, and lets adaptive execution split a
-    prefix that holds much of the data over several tasks. For few rows under many prefixes,
-    where making the files is the work, `partitions` sets the number of tasks; ranges of
-    (prefix, id) split a large prefix as well.
+    Ranges of (prefix, id) bring a prefix together for few files, and split one that holds much of the
+    data over several tasks. Making the files is the work, so no range is merged with another.
     """
-    keyed = df.withColumn("prefix", id_prefix("pmid"))
-    laid = keyed.repartitionByRange(partitions, "prefix", "pmid") if partitions else keyed.hint("rebalance", "prefix")
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    laid = df.withColumn("prefix", id_prefix("pmid")).repartitionByRange(tasks, "prefix", "pmid")
     laid.write.mode("overwrite").partitionBy("prefix").format(fmt).save(path)
 
 
-def read_by_prefix(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Output of `write_by_prefix`, the prefix kept as text: `001` is no number."""
-    found = spark.read.format(fmt).load(path).schema
-    fields = [T.StructField(f.name, T.StringType()) if f.name == "prefix" else f for f in found.fields]
-    return spark.read.format(fmt).schema(T.StructType(fields)).load(path)
+def read_by_prefix(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None) -> DataFrame:
+    """Output of `write_by_prefix`, the prefix kept as text: `001` is no number.
+
+    With the `schema` of what was written the folders are listed once.
+    """
+    found = schema or spark.read.format(fmt).load(path).schema
+    fields = [f for f in found.fields if f.name != "prefix"]
+    return spark.read.format(fmt).schema(T.StructType([*fields, T.StructField("prefix", T.StringType())])).load(path)

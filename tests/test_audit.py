@@ -73,6 +73,12 @@ def test_missing_inputs(spark):
     assert (row.pmid, row.status, row.error_msg, row.processing_time) == ("2", "failed", "PDF file not found: b", None)
 
 
+def test_paths_compare_without_scheme(spark):
+    manifest = spark.createDataFrame([("1", "/in/a.pdf"), ("2", "s3://b/in/b.pdf"), ("3", "in/c.pdf")], "pmid string, pdf_path string")
+    listing = spark.createDataFrame([("hdfs://host/in/a.pdf", 1), ("file:/in/b.pdf", 1), ("in/c.pdf", 1)], "path string, length long")
+    assert audit.missing_inputs(manifest, listing).count() == 0
+
+
 def plan(spark, paths, **kw):
     df = spark.createDataFrame([(p,) for p in paths], "path string")
     return {r.path or r.pmid: (r.action, r.dest, r.reason) for r in layout_plan(df, **kw).collect()}

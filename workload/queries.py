@@ -592,8 +592,9 @@ def attempt_log(spark, sf):
 @query
 def output_by_prefix(spark, sf):
     path = f"{scratch(spark)}/by_prefix"
-    content_io.write_by_prefix(view(spark, sf, "fx_manifest"), path, partitions=_slots(spark))
-    return content_io.read_by_prefix(spark, path).groupBy("prefix").agg(F.count(F.lit(1)).alias("n"))
+    manifest = view(spark, sf, "fx_manifest")
+    content_io.write_by_prefix(manifest, path)
+    return content_io.read_by_prefix(spark, path, schema=manifest.schema).groupBy("prefix").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
