@@ -46,3 +46,34 @@ SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(len(loss) AS BIGINT
             WHEN roles = 'system,user,assistant' THEN 'system_instruction' WHEN known AND n_turns % 2 = 1 THEN 'from_value'
             WHEN first_chars < last_chars THEN 'dialogue' ELSE 'messages' END AS layout
 FROM whole"""
+
+ORACLE["op4_warc"] = r"""
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages
+), firsts AS (
+  SELECT html, min(page_id) AS first FROM payloads GROUP BY html
+)
+SELECT p.page_id, CAST(strlen(p.html) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + ((CAST('0x' || substr(h, 1 + 5 * CAST(floor(i / 4) AS INTEGER), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31), 1)), '') AS payload_digest,
+       CASE WHEN p.page_id > first THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN p.page_id > first THEN first END AS refers_to, 'ok' AS status
+FROM payloads p JOIN firsts f ON f.html = p.html"""
+
+ORACLE["op9_jaccard_join"] = r"""
+WITH RECURSIVE lowered AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                                      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM lowered
+), sizes AS (
+  SELECT d.doc_id, count(s) AS n FROM documents d LEFT JOIN shingles s ON s.doc_id = d.doc_id GROUP BY d.doc_id
+), shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingles a JOIN shingles b ON b.s = a.s AND b.doc_id > a.doc_id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * c >= 80 * (p.n + q.n - c)
+), both_ways AS (
+  SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), reach AS (
+  SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, b.y FROM reach r JOIN both_ways b ON b.x = r.other
+)
+SELECT s.doc_id, s.n AS n_shingles, min(r.other) AS component_id FROM sizes s JOIN reach r ON r.doc_id = s.doc_id GROUP BY s.doc_id, s.n"""
