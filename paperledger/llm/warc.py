@@ -28,6 +28,7 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from paperledger.llm.frames import as_text, number
 from paperledger.operators.skew import detached
 from paperledger.session import shared_dir
 
@@ -89,7 +90,7 @@ def record(fields: dict[str, object], block: str) -> str:
     return START + "\r\n".join([*lines, f"Content-Length: {len(block.encode())}"]) + END + block
 
 
-def records(page_id: int | None, url: str | None, html: str | None, refers_to: int | None, name: str, segment_chars: int) -> Iterator[str]:
+def records(url: str | None, html: str | None, refers_to: str | None, name: str, segment_chars: int) -> Iterator[str]:
     """The record, or records, of one page."""
     html = html or ""
     head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked{END}"
@@ -133,13 +134,13 @@ def write_archive(
         serial, task = 0, TaskContext.get().partitionId()
         for batch in batches:
             out = []
-            for page_id, url, html, refers_to in batch[["page_id", "url", "html", "refers_to"]].astype(object).itertuples(index=False):
-                page = "null" if pd.isna(page_id) else int(page_id)
-                out += records(page, url, html, None if pd.isna(refers_to) else int(refers_to), f"urn:page:{page}:{task}-{serial}", segment_chars)
+            for page_id, url, html, refers_to in batch[["page_id", "url", "html", "refers_to"]].itertuples(index=False):
+                page = "null" if page_id is None else page_id
+                out += records(url, html, refers_to, f"urn:page:{page}:{task}-{serial}", segment_chars)
                 serial += 1
             yield pd.DataFrame({"value": out})
 
-    rows = with_references(pages, min_bytes).mapInPandas(run, "value string")
+    rows = with_references(pages, min_bytes).select(as_text("page_id"), "url", "html", as_text("refers_to")).mapInPandas(run, "value string")
     rows.write.option("lineSep", END).option("compression", compression).option("maxRecordsPerFile", file_records).text(path)
 
 
@@ -190,15 +191,10 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 def reassembled(found: DataFrame) -> DataFrame:
     """One row for each response: record_id, uri, page_id, payload, payload_bytes, payload_digest, status."""
     schema = "record_id string, uri string, page_id long, payload binary, payload_bytes long, payload_digest string, status string"
-    whole = found.filter("record_type IN ('response', 'continuation')").groupBy(F.coalesce("origin_id", "record_id").alias("record_id")).agg(
-        F.sort_array(F.collect_list(F.struct("segment", "record_type", "total", "block", "status"))).alias("parts"),
-        *(F.max(F.when(F.col("record_type") == "response", F.col(c))).alias(c) for c in ("uri", "page_id", "payload_digest")),
-    )
-
     def put_together(parts: list[dict], stated: str | None) -> tuple[bytes | None, str]:
         if any(p["status"] != OK for p in parts):
             return None, "broken record"
-        if parts[0]["record_type"] != "response":
+        if all(p["record_type"] != "response" for p in parts):
             return None, "no first segment"
         if len(parts) > 1 or parts[0]["segment"] is not None:
             if [p["segment"] for p in parts] != list(range(1, len(parts) + 1)):
@@ -211,19 +207,33 @@ def reassembled(found: DataFrame) -> DataFrame:
             return None, "broken framing"
         return payload, OK if stated in (None, digest(payload)) else "digest differs"
 
+    def finished(record_id: str, parts: list[dict]) -> tuple:
+        first = next((p for p in parts if p["record_type"] == "response"), {})
+        payload, status = put_together(parts, first.get("payload_digest"))
+        known = payload is not None
+        return (
+            record_id, first.get("uri"), first.get("page_id"), payload, len(payload) if known else None, digest(payload) if known else first.get("payload_digest"), status)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        open_id, parts = None, []
         for batch in batches:
             out = []
-            for record_id, parts, uri, page_id, stated in batch[["record_id", "parts", "uri", "page_id", "payload_digest"]].astype(object).itertuples(index=False):
-                parts = [p if isinstance(p, dict) else p.asDict() for p in parts]
-                payload, status = put_together(parts, stated)
-                known = payload is not None
-                out.append((
-                    record_id, uri, None if pd.isna(page_id) else int(page_id), payload, len(payload) if known else None,
-                    digest(payload) if known else None, status))
+            clean = batch.astype(object).where(batch.notna(), None)
+            clean["page_id"] = pd.Series([number(v) for v in clean["page_id"]], index=clean.index, dtype=object)
+            for part in clean.to_dict("records"):
+                if part["whole_id"] != open_id:
+                    if parts:
+                        out.append(finished(open_id, parts))
+                    open_id, parts = part["whole_id"], []
+                parts.append(part)
             yield _frame(out, schema)
+        if parts:
+            yield _frame([finished(open_id, parts)], schema)
 
-    return whole.mapInPandas(run, schema)
+    # Sorted rather than collected: a task holds the segments of one record, and a batch of rows.
+    columns = ["record_type", "uri", "page_id", "segment", "total", "payload_digest", "block", "status"]
+    rows = found.filter("record_type IN ('response', 'continuation')").select(F.coalesce("origin_id", "record_id", F.lit("")).alias("whole_id"), *columns).withColumn("page_id", as_text("page_id"))
+    return rows.repartition("whole_id").sortWithinPartitions("whole_id", F.col("segment").asc_nulls_first()).mapInPandas(run, schema)
 
 
 def pages_of(found: DataFrame) -> DataFrame:
