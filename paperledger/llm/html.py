@@ -22,6 +22,8 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from paperledger.llm.frames import as_text, numbers
+
 MIN_PAGES = 5
 MIN_SHARE = 5
 
@@ -118,18 +120,25 @@ class Page(HTMLParser):
         return any(set(re.findall(r"[a-z]+", attrs.get(a, "").lower())) & DROPPED_NAMES for a in ("class", "id"))
 
     def marked(self) -> Page:
-        """Adds for each element `inside` (an article or main) and `dropped` (by name, itself or around it)."""
-        self.inside, self.dropped = [False] * len(self.tags), [False] * len(self.tags)
+        """Adds for each element `inside` and `around` (an article or main) and `dropped` (by name, itself or around it)."""
+        self.inside, self.around, self.dropped = ([False] * len(self.tags) for _ in range(3))
         for at in range(1, len(self.tags)):
             parent = self.parents[at]
             self.inside[at] = self.inside[parent] or self.tags[at] in ("article", "main")
             self.dropped[at] = self.dropped[parent] or self.names_no_content(at)
+        for at in range(len(self.tags) - 1, 0, -1):
+            self.around[self.parents[at]] |= self.around[at] or self.tags[at] in ("article", "main")
         return self
 
     def hashes(self) -> list[int]:
-        """A hash of each element's subtree. Children come after their parent, so one pass from the end sees them first."""
+        """A hash of each element's subtree, without what is dropped by name; 0 in and around an article.
+
+        Children come after their parent, so one pass from the end sees them first.
+        """
         out = [0] * len(self.tags)
         for at in range(len(self.tags) - 1, 0, -1):
+            if self.inside[at] or self.around[at] or self.dropped[at]:
+                continue
             h = hashlib.blake2b(digest_size=8)
             attrs = self.attrs[at]
             h.update(f"{self.tags[at]}\x1f{attrs.get('class', '')}\x1f{attrs.get('id', '')}".encode("utf-8", "replace"))
@@ -185,11 +194,11 @@ class Page(HTMLParser):
         return found
 
     def _counted(self, at: int) -> bool:
-        return not self.inside[at] and self.tags[at] not in KEPT and self.tags[at] not in ("head", "br") and bool(self.items[at])
+        return not (self.inside[at] or self.around[at] or self.dropped[at]) and self.tags[at] not in KEPT and self.tags[at] not in ("head", "br") and bool(self.items[at])
 
     def candidates(self) -> set[int]:
         hashes = self.hashes()
-        return {hashes[at] for at in range(1, len(self.tags)) if self._counted(at) and not self.dropped[at]}
+        return {hashes[at] for at in range(1, len(self.tags)) if self._counted(at)}
 
 
 def page(html: str | None) -> Page:
@@ -235,16 +244,16 @@ def main_texts(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: int = MI
     def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield batch.assign(
-                page_id=batch["page_id"].astype("Int64"), host=[host(u) for u in batch["url"]], page=[digest(h) for h in batch["html"]])
+                page_id=batch["page_id"], host=[host(u) for u in batch["url"]], page=[digest(h) for h in batch["html"]])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = [page(html).main_text(set(gone) if gone is not None else set()) for html, gone in zip(batch["html"], batch["gone"])]
             yield pd.DataFrame({
-                "page_id": batch["page_id"].astype("Int64"), "url": batch["url"], "text": texts, "n_chars": [len(t) for t in texts]})
+                "page_id": numbers(batch["page_id"]), "url": batch["url"], "text": texts, "n_chars": [len(t) for t in texts]})
 
     found = subtrees(pages)
     gone = found.join(templates(found, min_pages, min_share), ["host", "subtree"]).groupBy("host", "page").agg(F.collect_set("subtree").alias("gone"))
-    rows = pages.select(F.col("page_id").cast("long"), "url", "html").mapInPandas(keyed, "page_id long, url string, html string, host string, page binary")
+    rows = pages.select(as_text("page_id"), "url", "html").mapInPandas(keyed, "page_id string, url string, html string, host string, page binary")
     return rows.join(gone, ["host", "page"], "left").select("page_id", "url", "html", "gone").mapInPandas(
         run, "page_id long, url string, text string, n_chars long")
