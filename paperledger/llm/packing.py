@@ -25,6 +25,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from paperledger.llm.frames import as_text, number
+
 CAPACITY = 2048
 END_ID = 0
 GROUP = 20_000
@@ -68,11 +70,11 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFra
                 ids = np.array([*encode(text or ""), END_ID], dtype="<u4")
                 start = 0
                 for piece, end in enumerate(range(len(ids) % capacity or capacity, len(ids) + 1, capacity)):
-                    out.append((doc_id, piece, start, end - start, zlib.crc32(ids[start:end].tobytes())))
+                    out.append((number(doc_id), piece, start, end - start, zlib.crc32(ids[start:end].tobytes())))
                     start = end
             yield typed(out, "doc_id piece start length ids_crc32")
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInPandas(cut, PIECES)
+    return docs.select(as_text("doc_id"), F.col("text").cast("string")).mapInPandas(cut, PIECES)
 
 
 def typed(rows: list[tuple], names: str) -> pd.DataFrame:
@@ -229,7 +231,7 @@ def packed(found: DataFrame, groups: int, capacity: int = CAPACITY, nodes: int =
         for batch in batches:
             out = []
             for row_group, *row in batch[["_group", *PIECES.replace(" long", "").replace(" int", "").split(", ")]].astype(object).itertuples(index=False):
-                row[0] = None if pd.isna(row[0]) else row[0]
+                row[0] = number(row[0])
                 if row_group != group:
                     if rows:
                         yield done()
@@ -245,7 +247,7 @@ def packed(found: DataFrame, groups: int, capacity: int = CAPACITY, nodes: int =
 
     group = F.pmod(F.xxhash64("doc_id", "piece", "length", "ids_crc32"), F.lit(groups))
     dealt = found.withColumn("_group", group).repartition("_group").sortWithinPartitions("_group")
-    return dealt.mapInPandas(place, PACKED)
+    return dealt.withColumn("doc_id", as_text("doc_id")).mapInPandas(place, PACKED)
 
 
 def best_fit_packing(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, group: int = GROUP, nodes: int = NODES) -> DataFrame:

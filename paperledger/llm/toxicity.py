@@ -21,6 +21,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from paperledger.llm.frames import as_text, numbers
+
 BITS = 18
 ORDERS = (3, 4, 5)
 TOXIC = 4000
@@ -148,7 +150,7 @@ def toxicity(
                 g = grams(text)
                 sums.append(bias + float(weights[np.unique(g[used[g]])].sum(dtype=np.float64)))
             score = 1 / (1 + np.exp(-np.clip(np.array(sums, float), -30, 30)))
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "score": score})
+            yield pd.DataFrame({"doc_id": numbers(batch["doc_id"]), "score": score})
 
-    scored = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInPandas(run, "doc_id long, score double")
+    scored = docs.select(as_text("doc_id"), F.col("text").cast("string")).mapInPandas(run, "doc_id long, score double")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

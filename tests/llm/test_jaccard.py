@@ -92,3 +92,19 @@ def test_components_of_paths_and_stars(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 160)} | {201: 201, 202: 201, 203: 201}
     assert components(spark.range(0).select(F.col("id").alias("a"), F.col("id").alias("b"))).collect() == []
+
+
+@given(st.integers(1, 12), st.integers(0, 2**32))
+def test_forest_spans_what_is_connected(n, seed):
+    r = np.random.default_rng(seed)
+    m = np.triu(r.random((n, n)) * (r.random((n, n)) < 0.3), 1)
+    found = j.forest((m + m.T).astype(np.float32))
+
+    def joined(pairs):
+        group = list(range(n))
+        for a, b in pairs:
+            group = [group[a] if g == group[b] else g for g in group]
+        return [[x == y for y in group] for x in group]
+
+    assert joined(found.tolist()) == joined(np.argwhere(m > 0).tolist())
+    assert len(found) == n - len({tuple(x) for x in joined(found.tolist())}) and all((m + m.T)[a, b] > 0 for a, b in found)
