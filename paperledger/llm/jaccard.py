@@ -6,10 +6,11 @@ Documents with equal sets are one class, named by 64 bits of the set's hash; onl
    length; it only sets the order). Two sets of n and m shingles, n <= m, with a Jaccard similarity of 80 % share one of
    the first n - ceil(0.8 n) + 1 and m - ceil(0.8 m) + 1. So classes meet in tiles, one for each such shingle.
 2. Size bands. Within a tile only pairs of sizes that allow 80 % are taken. Tiles of up to `TILE` classes give all such
-   pairs. Larger ones first link each class to the smallest class of its tile and band; then what is still apart is
-   compared band by band, in blocks of about `BLOCK` by `BLOCK` classes, each a task's group.
-3. Hashed bitmaps. Every class has one, with about two bits for each shingle. A bit that only one of two sets has
-   stands for a shingle that the other lacks, so bit counts bound the overlap from above.
+   pairs. Larger ones are compared band by band, in blocks of about `BLOCK` by `BLOCK` classes, each a task's group: first
+   for a forest of the likeliest pairs, then, once those are decided, for all pairs of classes that are still apart.
+3. Hashed bitmaps. Shingles are hashed to buckets of four bits; the first in a bucket sets its first bit, the second the
+   second, and so on. The bits that two sets have in common, and the shingles beyond four in a bucket, bound their overlap
+   from above.
 4. What passes is decided by intersecting the sorted arrays of 64-bit shingle hashes. The arrays are made from the text
    where a pair is decided: text takes less room in a shuffle. The texts of the classes needed are picked by doc_id, with
    the ids in every task if there are at most `PICKED`, else by a shuffle.
@@ -27,18 +28,20 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from paperledger.llm.components import components
+from paperledger.llm.frames import as_text, numbers
 from paperledger.session import shared_dir
 
 WORDS = 5
 PERCENT = 80
 TILE = 64
-BLOCK = 512
-OFTEN = 1 << 16
+BLOCK = 1024
+OFTEN = 1 << 17
 OFTEN_SHARE = 2000
-OFTEN_LEAST = 4
+OFTEN_LEAST = 3
+ROWS = 1000
 PICKED = 1_000_000
 
 _BASE = 0x9E3779B97F4A7C15
@@ -99,18 +102,23 @@ def prefix(hashes: np.ndarray, often: np.ndarray, rank: np.ndarray, percent: int
     return np.concatenate((first, hashes[known][rest]))
 
 
+def _nibbles(counts: np.ndarray) -> np.ndarray:
+    """A bucket's count, up to four, as that many bits; two buckets in a byte."""
+    bits = ((1 << np.minimum(counts, 4)) - 1).astype(np.uint8)
+    return bits[0::2] | (bits[1::2] << 4)
+
+
 def bitmap(hashes: np.ndarray) -> np.ndarray:
-    """At least two bits for each shingle up to 4096 bits, 64 at least, as bytes."""
-    bits = 1 << min(12, max(6, (2 * len(hashes) - 1).bit_length()))
-    flags = np.zeros(bits, bool)
-    flags[(hashes & np.uint64(bits - 1)).astype(np.int64)] = True
-    return np.packbits(flags)
+    """About as many buckets as shingles, 16 at least and 2^14 at most, as bytes."""
+    buckets = 1 << min(14, max(4, (len(hashes) - 1).bit_length()))
+    return _nibbles(np.bincount((hashes & np.uint64(buckets - 1)).astype(np.int64), minlength=buckets))
 
 
 def folded(bits: np.ndarray, size: int) -> np.ndarray:
-    """A bitmap of the same set with fewer bits."""
+    """A bitmap of the same set with fewer buckets."""
     while len(bits) > size:
-        bits = bits[: len(bits) // 2] | bits[len(bits) // 2:]
+        counts = np.bitwise_count(np.stack((bits & 15, bits >> 4), axis=1).ravel())
+        bits = _nibbles(counts[: len(counts) // 2] + counts[len(counts) // 2:])
     return bits
 
 
@@ -121,9 +129,31 @@ def alike(shared: int | np.ndarray, n: int | np.ndarray, m: int | np.ndarray, pe
 def may_be_alike(n: int, bits: np.ndarray, m: int, other: np.ndarray, percent: int) -> bool:
     size = min(len(bits), len(other))
     bits, other = folded(bits, size), folded(other, size)
-    both = int(np.bitwise_count(bits & other).sum())
-    shared = min(n - (int(np.bitwise_count(bits).sum()) - both), m - (int(np.bitwise_count(other).sum()) - both))
-    return alike(shared, n, m, percent)
+    beyond = min(n - int(np.bitwise_count(bits).sum()), m - int(np.bitwise_count(other).sum()))
+    return alike(min(n, m, int(np.bitwise_count(bits & other).sum()) + beyond), n, m, percent)
+
+
+def forest(likeness: np.ndarray) -> np.ndarray:
+    """The pairs (i, j) of a spanning forest of the positive entries of a symmetric matrix, likeliest first."""
+    n = len(likeness)
+    group, out = np.arange(n), []
+    while True:
+        apart = np.where(group[:, None] != group[None, :], likeness, 0)
+        best = apart.argmax(axis=1)
+        worth = apart[np.arange(n), best]
+        # Each group takes its likeliest pair with another one.
+        order = np.lexsort((np.arange(n), -worth))
+        order = order[worth[order] > 0]
+        _, first = np.unique(group[order], return_index=True)
+        taken = False
+        for i in order[np.sort(first)]:
+            j = best[i]
+            if group[i] != group[j]:
+                out.append((i, j))
+                group[group == group[j]] = group[i]
+                taken = True
+        if not taken:
+            return np.array(out, np.int64).reshape(-1, 2)
 
 
 def name(hashes: np.ndarray) -> int:
@@ -145,7 +175,7 @@ def _keys(docs: DataFrame, words: int) -> DataFrame:
         for batch in batches:
             sets = [shingles(t, words) for t in batch["text"]]
             yield pd.DataFrame({
-                "kind": 0, "doc_id": batch["doc_id"].astype("Int64"), "n": [len(s) for s in sets], "cls": [name(s) for s in sets],
+                "kind": 0, "doc_id": numbers(batch["doc_id"]), "n": [len(s) for s in sets], "cls": [name(s) for s in sets],
             })
             for seen, times in _times(sets):
                 many = times >= max(OFTEN_LEAST, len(sets) // OFTEN_SHARE)
@@ -153,16 +183,17 @@ def _keys(docs: DataFrame, words: int) -> DataFrame:
                     "kind": 1, "doc_id": pd.array([pd.NA] * int(many.sum()), "Int64"), "n": times[many], "cls": seen[many].view(np.int64),
                 })
 
-    return docs.mapInPandas(run, "kind int, doc_id long, n long, cls long")
+    return docs.select(as_text("doc_id"), "text").mapInPandas(run, "kind int, doc_id long, n long, cls long")
 
 
 def _per_class(docs: DataFrame, words: int, what: Callable[[np.ndarray], object], schema: str) -> DataFrame:
-    """cls, n and `what` of the set, once for each class in a batch; blank texts have none."""
+    """cls, n and `what` of the set, once for each class in `ROWS` rows; blank texts have none."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            sets = {name(s): s for t in batch["text"] if len(s := shingles(t, words))}
-            yield pd.DataFrame({"cls": list(sets), "n": [len(s) for s in sets.values()], "what": [what(s) for s in sets.values()]})
+            for start in range(0, len(batch), ROWS):
+                sets = {name(s): s for t in batch["text"].iloc[start:start + ROWS] if len(s := shingles(t, words))}
+                yield pd.DataFrame({"cls": list(sets), "n": [len(s) for s in sets.values()], "what": [what(s) for s in sets.values()]})
 
     return docs.select("text").mapInPandas(run, f"cls long, n long, what {schema}")
 
@@ -183,8 +214,8 @@ def _texts(docs: DataFrame, classes: DataFrame, words: int, picked: int) -> Data
     return known.unionByName(nameless.join(classes.filter("first IS NULL").select("cls"), "cls"))
 
 
-def verified(pairs: DataFrame, signatures: DataFrame, docs: DataFrame, classes: DataFrame, words: int, percent: int, picked: int) -> DataFrame:
-    """Those of the pairs (a, b) that are alike: by bitmaps first, and the rest by the arrays."""
+def likely_pairs(pairs: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs (a, b) that may be alike by their bitmaps."""
 
     def by_bits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
@@ -194,6 +225,14 @@ def verified(pairs: DataFrame, signatures: DataFrame, docs: DataFrame, classes:
             ]
             yield x.loc[np.array(keep, bool), ["a", "b"]]
 
+    left = signatures.select(F.col("cls").alias("a"), "n", "bits")
+    right = signatures.select(F.col("cls").alias("b"), F.col("n").alias("m"), F.col("bits").alias("bits2"))
+    return pairs.join(left, "a").join(right, "b").mapInPandas(by_bits, "a long, b long")
+
+
+def verified(likely: DataFrame, docs: DataFrame, classes: DataFrame, words: int, percent: int, picked: int) -> DataFrame:
+    """Those of the pairs (a, b) that are alike, by their arrays."""
+
     def by_arrays(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         last: dict[str, tuple[int, str | None, np.ndarray]] = {}
 
@@ -212,9 +251,7 @@ def verified(pairs: DataFrame, signatures: DataFrame, docs: DataFrame, classes:
                 keep.append(known and alike(len(np.intersect1d(p, q, assume_unique=True)), len(p), len(q), percent))
             yield x.loc[np.array(keep, bool), ["a", "b"]]
 
-    left = signatures.select(F.col("cls").alias("a"), "n", "bits")
-    right = signatures.select(F.col("cls").alias("b"), F.col("n").alias("m"), F.col("bits").alias("bits2"))
-    likely = pairs.join(left, "a").join(right, "b").mapInPandas(by_bits, "a long, b long").checkpoint()
+    likely = likely.checkpoint()
     needed_ = likely.select(F.col("a").alias("cls")).unionByName(likely.select(F.col("b").alias("cls"))).distinct()
     texts = _texts(docs, classes.join(needed_, "cls").select("cls", "first").checkpoint(), words, picked)
     left, right = texts.withColumnRenamed("cls", "a"), texts.withColumnsRenamed({"cls": "b", "text": "text2"})
@@ -237,31 +274,38 @@ def _small_pairs(small: DataFrame, tile: int, percent: int) -> DataFrame:
     return lists.select(F.inline(F.flatten(F.transform("of", partners)))).distinct()
 
 
-def _block_pairs(large: DataFrame, signatures: DataFrame, roots: DataFrame, block: int, percent: int) -> DataFrame:
-    """Pairs of large tiles that are still in different components and pass sizes and bitmaps.
+def _block_pairs(large: DataFrame, signatures: DataFrame, roots: DataFrame | None, block: int, percent: int) -> DataFrame:
+    """Pairs of large tiles that pass sizes and bitmaps: of each block a forest, or with `roots` all that are still apart.
 
     A tile's band holds its own classes and those of the next band. It is cut by hash into k parts, where k * `block`
     is about the tile's size, and each two parts, or one with itself, are a group.
     """
-    spans = large.join(roots, large["cls"] == roots["node"], "left").withColumn("root", F.coalesce("root", "cls"))
-    apart = spans.groupBy("token").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 <> r2").select("token")
-    rows = spans.join(apart, "token").withColumn("own", _band(F.col("n"), percent))
-    rows = rows.withColumn("parts", F.ceil(F.col("c") / block).cast("int"))
+    if roots is None:
+        rows = large.withColumn("root", F.col("cls"))
+    else:
+        rows = large.join(roots, large["cls"] == roots["node"], "left").withColumn("root", F.coalesce("root", "cls")).drop("node")
+        apart = rows.groupBy("token").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 <> r2").select("token")
+        rows = rows.join(apart, "token")
+    rows = rows.join(signatures.select("cls", "bits"), "cls")
+    rows = rows.withColumn("own", _band(F.col("n"), percent)).withColumn("parts", F.ceil(F.col("c") / block).cast("int"))
     rows = rows.withColumn("part", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int"))
     rows = rows.withColumn("band", F.explode(F.array(F.col("own"), F.col("own") - 1)))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     rows = rows.select(
-        "token", "band", "own", "cls", "n", "root", "part",
+        "token", "band", "own", "cls", "n", "root", "part", "bits",
         F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
-    ).join(signatures.select("cls", "bits"), "cls")
+    )
+    only_forest = roots is None
 
     def compare(x: pd.DataFrame) -> pd.DataFrame:
+        x = x.sort_values("cls")
         i, j, band = x["i"].iloc[0], x["j"].iloc[0], x["band"].iloc[0]
         size = min(map(len, x["bits"]))
         bits = np.stack([folded(np.frombuffer(b, np.uint8), size) for b in x["bits"]])
-        ones = np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
         n, cls, root = x["n"].to_numpy(), x["cls"].to_numpy(), x["root"].to_numpy()
         own, part = x["own"].to_numpy(), x["part"].to_numpy()
+        beyond = n - np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
+        likeness = np.zeros((len(cls), len(cls)), np.float32) if only_forest else None
         out = []
         for at in np.flatnonzero(part == i):
             # Two classes of one upper band meet in that band's own group.
@@ -269,15 +313,17 @@ def _block_pairs(large: DataFrame, signatures: DataFrame, roots: DataFrame, bloc
             if i == j:
                 with_ &= cls > cls[at]
             with_ &= 100 * np.minimum(n, n[at]) >= percent * np.maximum(n, n[at])
-            at2 = np.flatnonzero(with_)
-            if not len(at2):
-                continue
-            both = np.bitwise_count(bits[at2] & bits[at]).sum(axis=1, dtype=np.int64)
-            shared = np.minimum(n[at2] - (ones[at2] - both), n[at] - (ones[at] - both))
-            at2 = at2[alike(shared, n[at2], n[at], percent)]
-            out.append(np.stack((np.minimum(cls[at2], cls[at]), np.maximum(cls[at2], cls[at]))))
-        found = np.concatenate(out, axis=1) if out else np.empty((2, 0), np.int64)
-        return pd.DataFrame({"a": found[0], "b": found[1]})
+            to = np.flatnonzero(with_)
+            shared = np.bitwise_count(bits[to] & bits[at]).sum(axis=1, dtype=np.int64) + np.minimum(beyond[to], beyond[at])
+            shared = np.minimum(shared, np.minimum(n[to], n[at]))
+            good = alike(shared, n[to], n[at], percent)
+            to, shared = to[good], shared[good]
+            if only_forest:
+                likeness[at, to] = likeness[to, at] = shared / (n[to] + n[at] - shared)
+            else:
+                out.append(np.stack((np.full(len(to), at), to), axis=1))
+        pairs = cls[forest(likeness) if only_forest else np.concatenate(out) if out else np.empty((0, 2), np.int64)]
+        return pd.DataFrame({"a": pairs.min(axis=1), "b": pairs.max(axis=1)}) if len(pairs) else pd.DataFrame({"a": [], "b": []}, dtype=np.int64)
 
     return rows.groupBy("token", "band", "i", "j").applyInPandas(compare, "a long, b long").distinct()
 
@@ -298,23 +344,24 @@ def jaccard_components(
 
     tokens = _per_class(docs, words, lambda s: prefix(s, *given.value, percent).view(np.int64), "array<long>")
     tokens = tokens.select("cls", "n", F.explode("what").alias("token")).repartition("token")
-    # Sizes are over 0; naming them keeps all columns on both sides of the join, which so read one shuffle.
-    several = tokens.groupBy("token").agg(F.min("cls").alias("c1"), F.max("cls").alias("c2"), F.max("n").alias("top"))
-    several = several.filter("c1 <> c2 AND top > 0").select("token")
-    met = tokens.join(several, "token").dropDuplicates(["token", "cls"])
-    met = met.join(met.groupBy("token").agg(F.count(F.lit(1)).alias("c")), "token").checkpoint()
+    # A window rather than an aggregate joined back: the tokens, most of them of one class only, are shuffled once.
+    of_token = Window.partitionBy("token")
+    met = tokens.withColumn("c1", F.min("cls").over(of_token)).withColumn("c2", F.max("cls").over(of_token))
+    met = met.filter("c1 <> c2").select("token", "cls", "n").dropDuplicates(["token", "cls"])
+    met = met.withColumn("c", F.count(F.lit(1)).over(of_token)).checkpoint()
     small, large = met.filter(F.col("c") <= tile), met.filter(F.col("c") > tile)
     signatures = _per_class(docs, words, lambda s: bitmap(s).tobytes(), "binary").withColumnRenamed("what", "bits")
-    signatures = signatures.join(met.select("cls").distinct(), "cls").dropDuplicates(["cls"]).checkpoint()
-
-    leads = large.withColumn("band", _band(F.col("n"), percent))
-    leads = leads.join(leads.groupBy("token", "band").agg(F.min("cls").alias("a")), ["token", "band"])
-    leads = leads.filter("a <> cls").select("a", F.col("cls").alias("b")).distinct()
-    pairs = _small_pairs(small, tile, percent).unionByName(leads).distinct()
-    links = verified(pairs, signatures, docs, classes, words, percent, picked).checkpoint()
-    if not large.isEmpty():
-        rest = _block_pairs(large, signatures, components(links), block, percent)
-        links = links.unionByName(verified(rest, signatures, docs, classes, words, percent, picked)).checkpoint()
+    meeting = met.groupBy("cls").agg((F.max("c") > tile).alias("in_large"), (F.min("c") <= tile).alias("in_small"))
+    signatures = signatures.join(meeting, "cls").dropDuplicates(["cls"]).checkpoint()
+
+    likely = likely_pairs(_small_pairs(small, tile, percent), signatures.filter("in_small"), percent)
+    any_large = not large.isEmpty()
+    if any_large:
+        likely = likely.unionByName(_block_pairs(large, signatures.filter("in_large"), None, block, percent)).distinct()
+    links = verified(likely, docs, classes, words, percent, picked).checkpoint()
+    if any_large:
+        rest = _block_pairs(large, signatures.filter("in_large"), components(links), block, percent)
+        links = links.unionByName(verified(rest, docs, classes, words, percent, picked)).checkpoint()
 
     rooted = classes.join(components(links).withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     component = rooted.groupBy("root").agg(F.min("first").alias("component"))
