@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -11,7 +12,7 @@ from paperledger.operators.registry import apply_results, insert_if_absent
 from paperledger.schema import ATTEMPT, BINARY_FILE, empty
 from paperledger.sources.csv_files import CSV_OPTIONS, file_place
 from paperledger.sources.listings import PDF_GLOB_ANY_CASE, ids_from_listing
-from paperledger.sources.snapshots import load_registry, publish_registry
+from paperledger.sources.snapshots import bucket_of, buckets_of, load_registry, publish_registry
 
 # Attempts as they stand in the files: text, to be cleaned when applied.
 RAW_ATTEMPT = T.StructType([T.StructField(f, T.StringType()) for f in ATTEMPT.names])
@@ -21,11 +22,17 @@ POSITION = T.StructType([
 ])
 
 
-def _positions(spark: SparkSession, log: str, batch_id: int) -> DataFrame:
-    """Places as the given batch left them; none before the first batch, an error if they are gone."""
-    if batch_id < 0:
+def _positions(spark: SparkSession, log: str, batch_id: int, buckets: list[int]) -> DataFrame:
+    """The last place per id of these buckets as batches before the given one left them."""
+    schema = T.StructType([*POSITION.fields, T.StructField("batch_id", T.LongType()), T.StructField("bucket", T.IntegerType())])
+    try:
+        places = spark.read.schema(schema).parquet(f"{log}/positions")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return empty(spark, POSITION)
-    return spark.read.schema(POSITION).parquet(f"{log}/positions/batch_id={batch_id}")
+    places = places.filter((F.col("batch_id") < batch_id) & F.col("bucket").isin(*buckets))
+    return keep_last(places).select(*POSITION.names)
 
 
 def apply_attempt_batch(batch: DataFrame, batch_id: int, registry_root: str, log: str) -> None:
@@ -33,25 +40,28 @@ def apply_attempt_batch(batch: DataFrame, batch_id: int, registry_root: str, log
 
     Files may arrive out of name order: an attempt counts only if its (file, row) lies behind the
     place kept for its id. So the outcome is that of one batch over all files, no batch looks at
-    the attempts of earlier ones, and a stale file does not undo a retry. Everything a batch
-    writes goes under its own number: a batch delivered twice changes nothing. `log` belongs to
-    one checkpoint; places older than the last batch's may be removed.
+    the attempts of earlier ones, and a stale file does not undo a retry. A batch reads and writes
+    the buckets its ids fall into, of the registry and of the places, and adds the places of its
+    own ids only. Everything it writes goes under its own number: a batch delivered twice changes
+    nothing. `log` belongs to one checkpoint.
     """
     spark = batch.sparkSession
     stored = f"{log}/attempts/batch_id={batch_id}"
     # A file is read whole by one task, in order, so this id orders the rows of each file.
     batch.withColumn("row_idx", F.monotonically_increasing_id()).write.mode("overwrite").parquet(stored)
     last = keep_last(clean_results(spark.read.parquet(stored)))
+    buckets = buckets_of(last)
+    if not buckets:
+        return
 
-    before = _positions(spark, log, batch_id - 1)
-    seen = before.select("pmid", F.struct("chunk_file", "row_idx").alias("seen"))
+    seen = _positions(spark, log, batch_id, buckets).select("pmid", F.struct("chunk_file", "row_idx").alias("seen"))
     fresh = last.join(seen, "pmid", "left").filter(F.col("seen").isNull() | (F.struct("chunk_file", "row_idx") >= F.col("seen")))
     publish_registry(
-        apply_results(load_registry(spark, registry_root), fresh.drop("seen"), F.current_timestamp()),
-        registry_root, note=f"attempts batch {batch_id}",
+        apply_results(load_registry(spark, registry_root, buckets=buckets), fresh.drop("seen"), F.current_timestamp()),
+        registry_root, note=f"attempts batch {batch_id}", buckets=buckets,
     )
-    places = before.unionByName(last.select(*POSITION.names))
-    keep_last(places).write.mode("overwrite").parquet(f"{log}/positions/batch_id={batch_id}")
+    places = last.select(*POSITION.names, bucket_of("pmid").alias("bucket"))
+    places.write.mode("overwrite").partitionBy("bucket").parquet(f"{log}/positions/batch_id={batch_id}")
 
 
 def ingest_stream(
@@ -80,9 +90,12 @@ def scan_stream(spark: SparkSession, pdf_dir: str, registry_root: str, checkpoin
     """Take all documents not yet seen into the registry as pending, then stop."""
 
     def insert(batch: DataFrame, batch_id: int) -> None:
-        registry = load_registry(spark, registry_root)
-        changed = insert_if_absent(registry, ids_from_listing(batch), F.current_timestamp())
-        publish_registry(changed, registry_root, note=f"scan batch {batch_id}")
+        found = ids_from_listing(batch)
+        buckets = buckets_of(found)
+        if buckets:
+            registry = load_registry(spark, registry_root, buckets=buckets)
+            changed = insert_if_absent(registry, found, F.current_timestamp())
+            publish_registry(changed, registry_root, note=f"scan batch {batch_id}", buckets=buckets)
 
     listing = (
         spark.readStream.format("binaryFile").schema(BINARY_FILE)

@@ -91,3 +91,17 @@ def test_scan_stream_equals_batch(spark, tmp_path):
         scan_stream(spark, str(pdfs), root, str(tmp_path / "ckpt")).awaitTermination()
     found = ids_from_listing(list_files(spark, str(pdfs), PDF_GLOB_ANY_CASE))
     assert result(load_registry(spark, root)) == result(insert_if_absent(empty(spark, REGISTRY), found, NOW))
+
+
+def test_a_batch_of_few_ids_writes_few_buckets(spark, tmp_path):
+    root, log = str(tmp_path / "registry"), str(tmp_path / "log")
+    publish_registry(start(spark, 500), root)
+    for n, status in enumerate(["failed", "completed"]):
+        folder = put(tmp_path, f"{n}/chunk_0000{n}.csv", lines(("7", status, 1), ("8", status, 1))).rsplit("/", 1)[0]
+        apply_attempt_batch(read_attempts(spark, folder).drop("row_idx"), n, root, log)
+        written = spark.read.parquet(f"{root}/rows/v={n + 2}").select("bucket").distinct().count()
+        assert written <= 2
+    rows = {r.pmid: r.status for r in load_registry(spark, root).collect()}
+    assert len(rows) == 500 and rows["7"] == rows["8"] == "completed" and rows["9"] == "pending"
+    assert {r.pmid: r.status for r in load_registry(spark, root, 2).collect()}["7"] == "failed"
+    assert load_registry(spark, root, buckets=[]).count() == 0
