@@ -45,7 +45,7 @@ def scores(docs, trusted, buckets):
 
 
 def test_counts_and_scores_match_brute_force(spark):
-    good = [f"{'the cat sat on a mat and saw ' * 1}{' '.join(f'word{i * k % 53}' for k in range(70))}" for i in range(1, 9)]
+    good = [f"the cat sat on a mat and saw {' '.join(f'word{i * k % 53}' for k in range(70))}" for i in range(1, 9)]
     junk = [" ".join(f"w{i * k % 71} |" for k in range(60)) for i in range(1, 9)]
     rows = list(enumerate(CASES + good + junk))
     trusted = {len(CASES) + i for i in range(4)}
