@@ -92,7 +92,7 @@ VIEWS = {
                CASE WHEN d.doc_id % 10 = 6 THEN 'Processing timeout after a very long wait for the first of all the pages' END AS error_msg,
                CAST(CASE WHEN d.doc_id % 10 < 6 OR d.doc_id % 20 = 19 THEN NULL ELSE e.value END AS FLOAT) AS processing_time,
                CASE WHEN d.doc_id % 11 = 0 THEN NULL ELSE CAST(d.n_chars * 1500 AS BIGINT) END AS file_size,
-               e.ts AS created_at, e.ts AS updated_at
+               coalesce(e.ts, TIMESTAMP '2024-01-01 00:00:00') AS created_at, coalesce(e.ts, TIMESTAMP '2024-01-01 00:00:00') AS updated_at
         FROM {{documents}} d LEFT JOIN (
             SELECT CAST(floor(event_id / 10) AS BIGINT) AS doc, max(value) AS value, max(ts) AS ts FROM {{events}} GROUP BY 1
         ) e ON e.doc = d.doc_id""",
