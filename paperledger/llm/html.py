@@ -23,6 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from paperledger.llm.frames import as_text, numbers
+from paperledger.session import shared_dir
 
 MIN_PAGES = 5
 MIN_SHARE = 5
@@ -205,13 +206,18 @@ def page(html: str | None) -> Page:
     return Page(html or "").marked()
 
 
-def host(url: str | None) -> str:
-    found = re.match(r"(?i)\s*[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", url or "")
-    return found[1].lower() if found else ""
+def without_article(html: str) -> str:
+    """The page with its article emptied, if it has just one: what is inside is no candidate, and most of the page."""
+    if len(re.findall(r"(?i)<article\b", html)) == 1 and len(re.findall(r"(?i)</article\s*>", html)) == 1:
+        return re.sub(r"(?is)(<article\b[^>]*>).*(</article\s*>)", r"\1\2", html)
+    return html
 
 
-def digest(html: str | None) -> bytes:
-    return hashlib.blake2b((html or "").encode("utf-8", "replace"), digest_size=16).digest()
+def keyed(pages: DataFrame) -> DataFrame:
+    """The columns needed, with `host` and `page`, a digest of the html."""
+    host = F.regexp_extract(F.coalesce(F.col("url"), F.lit("")), r"(?i)^\s*[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)
+    rows = pages.select(as_text("page_id"), F.col("url").cast("string"), F.col("html").cast("string"))
+    return rows.withColumn("host", F.lower(host)).withColumn("page", F.md5(F.coalesce("html", F.lit(""))))
 
 
 def subtrees(pages: DataFrame) -> DataFrame:
@@ -220,14 +226,14 @@ def subtrees(pages: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             hosts, digests, found = [], [], []
-            for url, html in zip(batch["url"], batch["html"]):
-                own = [None, *page(html).candidates()]
-                hosts += [host(url)] * len(own)
-                digests += [digest(html)] * len(own)
+            for host, digest, html in zip(batch["host"], batch["page"], batch["html"]):
+                own = [None, *page(without_article(html or "")).candidates()]
+                hosts += [host] * len(own)
+                digests += [digest] * len(own)
                 found += own
             yield pd.DataFrame({"host": hosts, "page": digests, "subtree": pd.array(found, "Int64")})
 
-    return pages.select("url", "html").mapInPandas(run, "host string, page binary, subtree long").distinct()
+    return keyed(pages).select("host", "page", "html").mapInPandas(run, "host string, page string, subtree long").distinct()
 
 
 def templates(found: DataFrame, min_pages: int, min_share: int) -> DataFrame:
@@ -241,19 +247,16 @@ def templates(found: DataFrame, min_pages: int, min_share: int) -> DataFrame:
 def main_texts(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: int = MIN_SHARE) -> DataFrame:
     """page_id, url, text, n_chars for each row of pages."""
 
-    def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch.assign(
-                page_id=batch["page_id"], host=[host(u) for u in batch["url"]], page=[digest(h) for h in batch["html"]])
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = [page(html).main_text(set(gone) if gone is not None else set()) for html, gone in zip(batch["html"], batch["gone"])]
             yield pd.DataFrame({
                 "page_id": numbers(batch["page_id"]), "url": batch["url"], "text": texts, "n_chars": [len(t) for t in texts]})
 
-    found = subtrees(pages)
+    # Kept, as three branches below read it: a few short rows for each page.
+    shared_dir(pages.sparkSession)
+    found = subtrees(pages).checkpoint()
     gone = found.join(templates(found, min_pages, min_share), ["host", "subtree"]).groupBy("host", "page").agg(F.collect_set("subtree").alias("gone"))
-    rows = pages.select(as_text("page_id"), "url", "html").mapInPandas(keyed, "page_id string, url string, html string, host string, page binary")
+    rows = keyed(pages)
     return rows.join(gone, ["host", "page"], "left").select("page_id", "url", "html", "gone").mapInPandas(
         run, "page_id long, url string, text string, n_chars long")

@@ -1,3 +1,5 @@
+from urllib.parse import urlsplit
+
 import pytest
 from hypothesis import given, strategies as st
 from pyspark.sql import functions as F
@@ -61,7 +63,7 @@ def test_templates_match_brute_force(spark):
     rows = site()
     pages = {}
     for _, url, html, *_ in rows:
-        pages.setdefault(h.host(url), {})[h.digest(html)] = h.page(html).candidates()
+        pages.setdefault(urlsplit(url or "").hostname or "", {})[html or ""] = h.page(html).candidates()
     want = set()
     for name, found in pages.items():
         for x in set().union(*found.values()):
@@ -72,6 +74,16 @@ def test_templates_match_brute_force(spark):
     assert {(r.host, r.subtree) for r in got} == want and want
 
 
+@pytest.mark.parametrize("html", [
+    "<div class=a>x</div><article class=b><div>y<b>z</div></article><div>w</div>", "<article>a</article><div>m</div><article>b</article>",
+    "<div>x<article>never closed", "<ARTICLE>a</ARTICLE ><p>q", "no article <p>x</p>", "<section><article><p>a</article><ul><li>l</ul></section>",
+])
+def test_candidates_do_not_need_the_article(html):
+    assert h.page(h.without_article(html)).candidates() == h.page(html).candidates()
+
+
 def test_hosts_and_empty_table(spark):
-    assert [h.host(u) for u in ("http://A.b:80/x", "https://u:p@c.d?x", "nothing", "", None)] == ["a.b", "c.d", "", "", ""]
+    urls = [("http://A.b:80/x",), ("https://u:p@c.d?x",), ("nothing",), ("",), (None,)]
+    df = spark.createDataFrame(urls, "url string").selectExpr("1L AS page_id", "url", "'' AS html")
+    assert sorted(r.host for r in h.keyed(df).collect()) == ["", "", "", "a.b", "c.d"]
     assert h.main_texts(spark.createDataFrame([], SCHEMA).filter(F.lit(True))).collect() == []
