@@ -58,7 +58,8 @@ def _segments(html: Column | str) -> Column:
             F.when(t.contains(_NAME_END), F.lower(F.substring_index(t, _NAME_END, 1))).otherwise("").alias("tag"),
             F.substring_index(t, _NAME_END, -1).alias("text"), discarded.alias("discarded"),
         ))
-        return F.filter(pieces, lambda x: _plain(x["text"]) != "")
+        # Of the entities only the blank one can leave nothing.
+        return F.filter(pieces, lambda x: strip(F.replace(x["text"], F.lit("&nbsp;"), F.lit(" "))) != "")
 
     return F.flatten(F.transform(parts, cut))
 
