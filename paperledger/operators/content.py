@@ -10,8 +10,8 @@ from paperledger.schema import COMPLETED, FAILED
 
 # Fixed values -------------------------------------------------------------
 NOT_CONTENT = (
-    r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<head\b.*?</head\s*>"
-    r'|<div class="ad">.*?</div\s*>'
+    r"(?is)<(?:!--.*?-->|script\b.*?</script\s*>|style\b.*?</style\s*>|head\b.*?</head\s*>"
+    r'|div class="ad">.*?</div\s*>)'
 )
 LINE_BREAK = r"(?i)<br\s*/?>"
 BLOCK_TAGS = (
@@ -20,15 +20,15 @@ BLOCK_TAGS = (
     "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "title", "tr", "ul",
 )
 # Everything that starts like a tag; a `<` before anything else is text.
-TAG = r"(?s)</?[a-zA-Z][^>]*>|<![^>]*>"
+TAG = r"(?s)<(?:/?[a-zA-Z]|!)[^>]*>"
 ELEMENT_TYPES = {"h1": "text", "p": "text", "li": "list", "footer": "footer"}
 DISCARDED = "discarded"
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", "\xa0"), ("&amp;", "&")]
 # ---------------------------------------------------------------------------
 
 
-# Marks that texts cannot hold: in front of a block tag's name, and behind it.
-_START, _NAME_END = "\x01", "\x02"
+# Marks that texts cannot hold: in front of a block tag's name, behind it, and at both ends of a menu.
+_START, _NAME_END, _MENU = "\x01", "\x02", "\x03"
 
 
 def _plain(text: Column) -> Column:
@@ -45,10 +45,10 @@ def _segments(html: Column | str) -> Column:
     `nav` is discarded; a `nav` that is never closed is a block like others.
     """
     body = F.col(html) if isinstance(html, str) else html
-    body = F.regexp_replace(body, f"[{_START}{_NAME_END}]", " ")
+    body = F.regexp_replace(body, f"[{_START}{_NAME_END}{_MENU}]", " ")
     body = F.regexp_replace(F.regexp_replace(body, NOT_CONTENT, " "), LINE_BREAK, "\n")
-    body = F.regexp_replace(body, r"(?i)</nav\s*>", "</nav>")
-    parts = F.split(body, r"(?i)(?=<nav\b)|(?<=</nav>)")
+    body = F.regexp_replace(F.regexp_replace(body, r"(?i)</nav\s*>", f"</nav>{_MENU}"), r"(?i)<nav\b", f"{_MENU}<nav")
+    parts = F.split(body, _MENU)
 
     def cut(part: Column) -> Column:
         discarded = part.rlike(r"(?is)^<nav\b.*</nav>$")
