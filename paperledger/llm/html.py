@@ -6,6 +6,10 @@ pages is template and deleted, as are elements that name themselves no content:
 notices, adverts, forms, comments, scripts and styles. What is left of the article (`article`, else `main`, else the
 body) gives its blocks. Elements inside an article are deleted by name only, since texts may share paragraphs.
 
+A name is a whole class or id, or the last word of a compound (`post-comments`, `ad-container`) if the element holds no h1,
+article or main. An element around an article goes by its class, id or role only if an unnamed article as long lies elsewhere,
+one around a main never. Inside an article headers and headings stay whatever their name.
+
 Counts are combined before the shuffle; a page joins its host's templates through its own hashes, so a hot host is spread.
 
 A null html is an empty page and gives an empty text, as does one without an article's text. A null url has host ''. Rows
@@ -55,6 +59,13 @@ DROPPED_NAMES = frozenset(
     "sponsored subscribe subscription toolbar topbar widget widgets".split()
 )
 KEPT = frozenset("html body main article".split())
+# Words of a compound name that say it is a box, and those that say what an element has or lacks.
+BOX_WORDS = frozenset(
+    "area articles bar block body box button buttons container content form icons inner items link links list module outer panel posts row section "
+    "slot stories unit wrap wrapper".split()
+)
+STATES = frozenset("category has hide is no not show tag type with without".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 header hgroup".split())
 
 
 class Page(HTMLParser):
@@ -105,30 +116,77 @@ class Page(HTMLParser):
 
     def names_no_content(self, at: int) -> bool:
         tag, attrs = self.tags[at], self.attrs[at]
-        if tag in DROPPED:
+        if tag in DROPPED and not (tag == "form" and self.around[at]):
             return True
-        if tag in KEPT and not (tag == "article" and self._named(attrs)):
+        if tag in KEPT and tag != "article":
             return False
-        if tag == "header" and not self.inside[at]:
+        if tag == "article":
+            return self._named(at) and self._spare(at)
+        if tag == "header" and not self.inside[at] and not self.around[at]:
             return True
-        return (
-            self._named(attrs) or attrs.get("role", "").lower() in DROPPED_ROLES or "hidden" in attrs or attrs.get("aria-hidden") == "true"
-            or re.search(r"display\s*:\s*none", attrs.get("style", "")) is not None
-        )
-
-    @staticmethod
-    def _named(attrs: dict) -> bool:
-        return any(set(re.findall(r"[a-z]+", attrs.get(a, "").lower())) & DROPPED_NAMES for a in ("class", "id"))
+        if "hidden" in attrs or attrs.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", attrs.get("style", "")):
+            return True
+        if tag in HEADINGS and self.inside[at]:
+            return False
+        named = self._named(at) or attrs.get("role", "").lower() in DROPPED_ROLES
+        return named and (not self.around[at] or self._spare(at))
+
+    def _named(self, at: int) -> bool:
+        """Whether a whole class or id is a dropped name, or a compound ends in one and the element is a small box."""
+        for name in ("class", "id"):
+            for token in self.attrs[at].get(name, "").lower().split():
+                if token in DROPPED_NAMES:
+                    if token != "header" or not self.inside[at]:
+                        return True
+                    continue
+                words = re.findall(r"[a-z]+", token)
+                if len(words) < 2 or words[0] in STATES:
+                    continue
+                while len(words) > 1 and words[-1] in BOX_WORDS:
+                    words.pop()
+                if words[-1] not in DROPPED_NAMES or words[-1] == "widget" or self.tags[at] == "article" or self.around[at]:
+                    continue
+                if words[-1] == "header" and (self.inside[at] or self.headed[at]) or self.titled[at]:
+                    continue
+                return True
+        return False
+
+    def _spare(self, at: int) -> bool:
+        """Whether a named article, or a named box around articles, can go: an article without a name is elsewhere, for a box one as long."""
+        if self.unnamed is None:
+            size = [sum(len("".join(x.split())) for x in items if isinstance(x, str)) for items in self.items]
+            self.longest, held = [0] * len(self.tags), [False] * len(self.tags)
+            for x in range(len(self.tags) - 1, 0, -1):
+                size[self.parents[x]] += size[x]
+                own = size[x] if self.tags[x] == "article" else 0
+                self.longest[x] = max(self.longest[x], own)
+                self.longest[self.parents[x]] = max(self.longest[self.parents[x]], self.longest[x])
+            self.unnamed = -1
+            for x in range(1, len(self.tags)):
+                tag = self.tags[x]
+                named = tag in DROPPED - {"form"} or self._named(x) or self.attrs[x].get("role", "").lower() in DROPPED_ROLES
+                held[x] = held[self.parents[x]] or named and tag not in ("html", "body", "main")
+                if tag == "article" and not held[x]:
+                    self.unnamed = max(self.unnamed, size[x])
+        if self.tags[at] == "article":
+            return self.unnamed >= 0
+        return not self.has_main[at] and self.unnamed >= self.longest[at]
 
     def marked(self) -> Page:
-        """Adds for each element `inside` and `around` (an article or main) and `dropped` (by name, itself or around it)."""
+        """Adds for each element `inside` and `around` (an article or main), `dropped` (by name, itself or around it) and whether it holds a main, an h1 or any heading."""
         self.inside, self.around, self.dropped = ([False] * len(self.tags) for _ in range(3))
-        for at in range(1, len(self.tags)):
-            parent = self.parents[at]
-            self.inside[at] = self.inside[parent] or self.tags[at] in ("article", "main")
-            self.dropped[at] = self.dropped[parent] or self.names_no_content(at)
+        self.has_main, self.titled, self.headed = ([False] * len(self.tags) for _ in range(3))
+        self.unnamed: int | None = None
         for at in range(len(self.tags) - 1, 0, -1):
-            self.around[self.parents[at]] |= self.around[at] or self.tags[at] in ("article", "main")
+            tag, parent = self.tags[at], self.parents[at]
+            self.around[parent] |= self.around[at] or tag in ("article", "main")
+            self.has_main[parent] |= self.has_main[at] or tag == "main"
+            self.titled[parent] |= self.titled[at] or tag == "h1"
+            self.headed[parent] |= self.headed[at] or tag in HEADINGS
+        for at in range(1, len(self.tags)):
+            self.inside[at] = self.inside[self.parents[at]] or self.tags[at] in ("article", "main")
+        for at in range(1, len(self.tags)):
+            self.dropped[at] = self.dropped[self.parents[at]] or self.names_no_content(at)
         return self
 
     def hashes(self) -> list[int]:

@@ -87,3 +87,16 @@ def test_hosts_and_empty_table(spark):
     df = spark.createDataFrame(urls, "url string").selectExpr("1L AS page_id", "url", "'' AS html")
     assert sorted(r.host for r in h.keyed(df).collect()) == ["", "", "", "a.b", "c.d"]
     assert h.main_texts(spark.createDataFrame([], SCHEMA).filter(F.lit(True))).collect() == []
+
+
+@pytest.mark.parametrize("html,want", [
+    ("<div class='content has-sidebar'><article><p>a</article></div>", "a"), ("<div class=widget><main><p>a</main></div>b", "a"),
+    ("<article class='post tag-social'><p>a</article><p>b", "a"), ("<article class='post social'><p>a</article><p>b", "a"),
+    ("<article><header class=entry-header><h1>t</h1></header><p>a", "t\n\na"), ("<article><h2 class=share>t</h2><p>a", "t\n\na"),
+    ("<article><div class=section-header><h2>m</h2></div><p class=share-price>p</p><div id=related-work>w", "m\n\np\n\nw"),
+    ("<form id=aspnet><article>a</article></form>", "a"), ("<div class=overlay><article>longer</article></div><article>b</article>", "longer\n\nb"),
+    ("<div class=sidebar><article>t</article></div><article>longer</article>", "longer"),
+    ("<article>a<div class=ad-container>x</div><div class='post__share'>y</div><ul class=social-links><li>z</ul></article>", "a"),
+])
+def test_names_delete_no_content(html, want):
+    assert text(html) == want
