@@ -1,10 +1,13 @@
 """Main text of web pages: site templates found by counting element subtrees per host, and deleted.
 
-Each page is parsed where it lies. Of its elements outside the article a hash of the subtree (tag, class, id, text, children) is
-counted per host, over pages that differ. A subtree on at least `MIN_PAGES` pages and `MIN_SHARE` percent of a host's
-pages is template and deleted, as are elements that name themselves no content: menus, headers, footers, sidebars,
-notices, adverts, forms, comments, scripts and styles. What is left of the article (`article`, else `main`, else the
-body) gives its blocks. Elements inside an article are deleted by name only, since texts may share paragraphs.
+Each page is parsed where it lies. Of its elements outside the article, and of containers inside it (`CONTAINERS`), a hash of the
+subtree (tag, class, id, text, children) is counted per host, over pages that differ. A subtree on at least `MIN_PAGES` pages
+and `MIN_SHARE` percent of a host's pages is template and deleted, as are elements that name themselves no content: menus,
+headers, footers, sidebars, notices, adverts, forms, comments, scripts and styles. What is left of the article (`article`,
+else `main`, else the body) gives its blocks.
+
+Inside an article paragraphs and headings outside containers stay, since texts may share them. Of several articles on a page
+those that recur are teasers, unless all do. An article that would keep nothing but headings keeps its containers.
 
 A name is a whole class or id, or the last word of a compound (`post-comments`, `ad-container`) if the element holds no h1,
 article or main. An element around an article goes by its class, id or role only if an unnamed article as long lies elsewhere,
@@ -65,6 +68,8 @@ BOX_WORDS = frozenset(
     "slot stories unit wrap wrapper".split()
 )
 STATES = frozenset("category has hide is no not show tag type with without".split())
+# Elements that are counted inside an article or main.
+CONTAINERS = frozenset("article details div dl figure ol section table ul".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 header hgroup".split())
 
 
@@ -173,8 +178,9 @@ class Page(HTMLParser):
         return not self.has_main[at] and self.unnamed >= self.longest[at]
 
     def marked(self) -> Page:
-        """Adds for each element `inside` and `around` (an article or main), `dropped` (by name, itself or around it) and whether it holds a main, an h1 or any heading."""
-        self.inside, self.around, self.dropped = ([False] * len(self.tags) for _ in range(3))
+        """Adds for each element `inside` and `around` (an article or main), `dropped` (by name, itself or around it), `boxed`
+        (in a container inside an article), and whether it holds a main, an h1 or any heading."""
+        self.inside, self.around, self.dropped, self.boxed = ([False] * len(self.tags) for _ in range(4))
         self.has_main, self.titled, self.headed = ([False] * len(self.tags) for _ in range(3))
         self.unnamed: int | None = None
         for at in range(len(self.tags) - 1, 0, -1):
@@ -187,16 +193,20 @@ class Page(HTMLParser):
             self.inside[at] = self.inside[self.parents[at]] or self.tags[at] in ("article", "main")
         for at in range(1, len(self.tags)):
             self.dropped[at] = self.dropped[self.parents[at]] or self.names_no_content(at)
+        self.articles = self._outermost("article", self.dropped)
+        whole = set(self.articles) if len(self.articles) < 2 else set()
+        for at in range(1, len(self.tags)):
+            self.boxed[at] = self.boxed[self.parents[at]] or self.inside[at] and self.tags[at] in CONTAINERS and at not in whole
         return self
 
     def hashes(self) -> list[int]:
-        """A hash of each element's subtree, without what is dropped by name; 0 in and around an article.
+        """A hash of each element's subtree, without what is dropped by name; 0 around an article, and in it outside containers.
 
         Children come after their parent, so one pass from the end sees them first.
         """
         out = [0] * len(self.tags)
         for at in range(len(self.tags) - 1, 0, -1):
-            if self.inside[at] or self.around[at] or self.dropped[at]:
+            if self.dropped[at] or (not self.boxed[at] if self.inside[at] else self.around[at]):
                 continue
             h = hashlib.blake2b(digest_size=8)
             attrs = self.attrs[at]
@@ -208,11 +218,16 @@ class Page(HTMLParser):
 
     def main_text(self, template: frozenset | set) -> str:
         hashes = self.hashes() if template else []
-        gone = list(self.dropped)
-        for at in range(1, len(self.tags)):
-            if not gone[at]:
-                gone[at] = gone[self.parents[at]] or (bool(template) and self._counted(at) and hashes[at] in template)
-        roots = self._outermost("article", gone) or self._outermost("main", gone) or [0]
+        found = [bool(template) and self._counted(at) and hashes[at] in template for at in range(len(self.tags))]
+        if self.articles and all(found[at] for at in self.articles):
+            for at in self.articles:
+                found[at] = False
+        gone = self._gone(found)
+        roots = self._roots(gone)
+        if any(found[at] and self.inside[at] for at in range(len(found))) and not self._has_text(roots, gone):
+            # Nothing but headings would be left: what recurs is this page's content.
+            gone = self._gone([f and not self.inside[at] for at, f in enumerate(found)])
+            roots = self._roots(gone)
         blocks, text = [], []
 
         def flush() -> None:
@@ -243,6 +258,27 @@ class Page(HTMLParser):
             flush()
         return "\n\n".join(blocks)
 
+    def _gone(self, found: list[bool]) -> list[bool]:
+        gone = list(self.dropped)
+        for at in range(1, len(self.tags)):
+            gone[at] = gone[at] or found[at] or gone[self.parents[at]]
+        return gone
+
+    def _roots(self, gone: list[bool]) -> list[int]:
+        return self._outermost("article", gone) or self._outermost("main", gone) or [0]
+
+    def _has_text(self, roots: list[int], gone: list[bool]) -> bool:
+        """Whether any text outside headings is left."""
+        todo = list(roots)
+        while todo:
+            at = todo.pop()
+            if gone[at] or self.tags[at] in HEADINGS:
+                continue
+            if any(isinstance(x, str) and x.strip() for x in self.items[at]):
+                return True
+            todo.extend(x for x in self.items[at] if isinstance(x, int))
+        return False
+
     def _outermost(self, tag: str, gone: list[bool]) -> list[int]:
         found, within = [], [False] * len(self.tags)
         for at in range(1, len(self.tags)):
@@ -253,21 +289,31 @@ class Page(HTMLParser):
         return found
 
     def _counted(self, at: int) -> bool:
-        return not (self.inside[at] or self.around[at] or self.dropped[at]) and self.tags[at] not in KEPT and self.tags[at] not in ("head", "br") and bool(self.items[at])
+        """Whether the element can be template: inside an article or main only containers, as texts may share paragraphs."""
+        if self.dropped[at] or not self.items[at]:
+            return False
+        if self.inside[at]:
+            return self.boxed[at] and self.tags[at] in CONTAINERS
+        return not self.around[at] and self.tags[at] not in KEPT and self.tags[at] not in ("head", "br")
 
     def candidates(self) -> set[int]:
         hashes = self.hashes()
         return {hashes[at] for at in range(1, len(self.tags)) if self._counted(at)}
 
 
+_CONTAINER = re.compile(rf"(?i)<(?:{'|'.join(sorted(CONTAINERS))}|main)\b")
+
+
 def page(html: str | None) -> Page:
     return Page(html or "").marked()
 
 
 def without_article(html: str) -> str:
-    """The page with its article emptied, if it has just one: what is inside is no candidate, and most of the page."""
+    """The page with its article emptied, if it has just one and that no container: what is inside is no candidate, and most of the page."""
     if len(re.findall(r"(?i)<article\b", html)) == 1 and len(re.findall(r"(?i)</article\s*>", html)) == 1:
-        return re.sub(r"(?is)(<article\b[^>]*>).*(</article\s*>)", r"\1\2", html)
+        found = re.search(r"(?is)(<article\b[^>]*>)(.*)(</article\s*>)", html)
+        if found and not _CONTAINER.search(found[2]):
+            return html[: found.end(1)] + html[found.start(3):]
     return html
 
 

@@ -100,3 +100,18 @@ def test_hosts_and_empty_table(spark):
 ])
 def test_names_delete_no_content(html, want):
     assert text(html) == want
+
+
+def test_containers_that_recur_inside_articles_are_deleted(spark):
+    box, teaser = "<div class=x1><p>More stories</p></div>", "<article><h2>Card</h2><p>Teaser</p></article>"
+    rows = [(i, "http://a", f"<article><h1>T</h1><p>Shared</p><p>Own {i}</p>{box}<ul><li>tag</ul><section><article>Nested</article></section></article>{teaser}") for i in range(9)]
+    rows += [(100 + i, "http://b", f"<article><h1>V {i}</h1><div><p>One story, many addresses</p></div></article>") for i in range(9)]
+    rows += [(200 + i, "http://c", f"<p>{i}</p>{teaser}{teaser}") for i in range(9)]
+    rows += [(300 + i, "http://d", f"<main><p>Own {i}</p>{box}</main>") for i in range(9)]
+    rows += [(400 + i, "http://e", f"<article><p>Own {i}</p>{box}</article>") for i in range(4)]
+    got = {r.page_id: r.text for r in h.main_texts(spark.createDataFrame([(*r, "", 1) for r in rows], SCHEMA).repartition(3)).collect()}
+    assert all(got[i] == f"T\n\nShared\n\nOwn {i}" for i in range(9))
+    assert all(got[100 + i] == f"V {i}\n\nOne story, many addresses" for i in range(9))
+    assert all(got[200 + i] == "Card\n\nTeaser\n\nCard\n\nTeaser" for i in range(9))
+    assert all(got[300 + i] == f"Own {i}" for i in range(9))
+    assert all(got[400 + i] == f"Own {i}\n\nMore stories" for i in range(4))
