@@ -3,6 +3,7 @@ from itertools import product
 
 import numpy as np
 import public_tokenizers
+import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
@@ -33,6 +34,19 @@ def test_ids_of_any_text(text):
     assert p.encoder(PATH)(text) == library()(text)
 
 
+@pytest.mark.parametrize("run", [" " * 1_200_000, "\n" * 2_000_000, "\u3000 \t" * 400_000, " " * 100_000, "\x1f " * 600_000])
+def test_long_white_space(run):
+    ours, theirs = p.encoder(PATH), library()
+    for text in (run, f"a{run}b <|endoftext|>"):
+        assert ours(text) == theirs(text)
+
+
+def test_a_document_of_blanks_fails_no_task(spark):
+    docs = spark.createDataFrame([(1, " " * 1_200_000), (2, "b")], "doc_id long, text string")
+    got = p.best_fit_packing(docs, PATH).collect()
+    assert sum(r.length for r in got if r.doc_id == 1) == len(library()(" " * 1_200_000)) + 1 and {r.doc_id for r in got} == {1, 2}
+
+
 def fewest(lengths, capacity):
     """Brute force: every way to deal the pieces out."""
     for k in range(1, len(lengths) + 1):
