@@ -1,7 +1,7 @@
 """Stages that turn raw documents into packed training sequences.
 
-Each stage takes all rows its predecessor kept. All but the last return the columns of documents. Rows without a doc_id
-cannot be named by the near-duplicate stage; they stay in it.
+Each stage takes all rows its predecessor kept. All but the last return the columns of documents. The near-duplicate stage
+decides by row, not by doc_id: unlike texts that share one both stay. Rows without a doc_id stay in it, copies too.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ import uuid
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from paperledger.llm.jaccard import PICKED, jaccard_components
+from paperledger.llm.jaccard import PICKED, first_rows, text_key
 from paperledger.llm.mixing import mix, repeated
 from paperledger.llm.packing import best_fit_packing
 from paperledger.llm.pii import replace_entities
@@ -30,18 +30,21 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of alike documents the one with the smallest doc_id, once."""
-    found = jaccard_components(docs).filter("doc_id IS NOT NULL").checkpoint()
-    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    again = found.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("_again"))
-
-    def small(ids: DataFrame) -> DataFrame:
-        return F.broadcast(ids) if ids.count() <= PICKED else ids
-
-    left = docs.join(small(gone), docs["doc_id"] == F.col("_gone"), "left_anti")
-    again = small(again)
-    once = left.join(again, left["doc_id"] == F.col("_again"), "left_semi").dropDuplicates(["doc_id"])
-    return left.join(again, left["doc_id"] == F.col("_again"), "left_anti").unionByName(once)
+    """Of each group of alike documents the row with the smallest doc_id, then text hash, once; and all rows without a doc_id."""
+    key = ["doc_id", "_key"]
+    found = first_rows(docs).filter("doc_id IS NOT NULL").checkpoint()
+    gone = found.filter("doc_id <> first.doc_id OR _key <> first._key").select(key).distinct()
+    again = found.groupBy(key).count().filter("count > 1").select(key)
+
+    def matched(rows: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+        ids = ids.toDF("_doc_id", "_text")
+        ids = F.broadcast(ids) if ids.count() <= PICKED else ids
+        return rows.join(ids, (rows["doc_id"] == ids["_doc_id"]) & (rows["_key"] == ids["_text"]), how)
+
+    # Null ids match nothing, so their rows stay.
+    left = matched(docs.withColumn("_key", text_key(docs["text"])), gone, "left_anti")
+    once = matched(left, again, "left_semi").dropDuplicates(key)
+    return matched(left, again, "left_anti").unionByName(once).select(docs.columns)
 
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -171,19 +171,22 @@ def _times(sets: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 def _keys(docs: DataFrame, words: int) -> DataFrame:
     """Per document n and the name of its class (kind 0); per batch the shingles that many of its documents have (kind 1)."""
 
+    keyed = "_key" in docs.columns
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             sets = [shingles(t, words) for t in batch["text"]]
             yield pd.DataFrame({
                 "kind": 0, "doc_id": numbers(batch["doc_id"]), "n": [len(s) for s in sets], "cls": [name(s) for s in sets],
-            })
+            } | ({"_key": numbers(batch["_key"])} if keyed else {}))
             for seen, times in _times(sets):
                 many = times >= max(OFTEN_LEAST, len(sets) // OFTEN_SHARE)
                 yield pd.DataFrame({
                     "kind": 1, "doc_id": pd.array([pd.NA] * int(many.sum()), "Int64"), "n": times[many], "cls": seen[many].view(np.int64),
-                })
+                } | ({"_key": pd.array([pd.NA] * int(many.sum()), "Int64")} if keyed else {}))
 
-    return docs.select(as_text("doc_id"), "text").mapInPandas(run, "kind int, doc_id long, n long, cls long")
+    columns = [as_text("doc_id"), "text", *([as_text("_key")] if keyed else [])]
+    return docs.select(*columns).mapInPandas(run, "kind int, doc_id long, n long, cls long" + (", _key long" if keyed else ""))
 
 
 def _per_class(docs: DataFrame, words: int, what: Callable[[np.ndarray], object], schema: str) -> DataFrame:
@@ -333,14 +336,37 @@ def jaccard_components(
     picked: int = PICKED,
 ) -> DataFrame:
     """doc_id, n_shingles, component_id for each row of docs."""
+    rows = _rows(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), words, percent, tile, block, often, picked)
+    return rows.select(
+        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"),
+    )
+
+
+def text_key(text: Column) -> Column:
+    """With the doc_id this tells rows apart that share it: a hash of the text, null as empty."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
+def first_rows(docs: DataFrame) -> DataFrame:
+    """doc_id, _key for each row of docs, and `first`, that of its component's smallest row (no_id, doc_id, _key): null ids last.
+
+    A text without shingles has no component, and null there.
+    """
+    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), text_key(F.col("text")).alias("_key"))
+    return _rows(docs, WORDS, PERCENT, TILE, BLOCK, OFTEN, PICKED).select("doc_id", "_key", F.col("least").alias("first"))
+
+
+def _rows(docs: DataFrame, words: int, percent: int, tile: int, block: int, often: int, picked: int) -> DataFrame:
+    """doc_id, n and component for each row of docs (doc_id, text); with a column `_key` in docs also that and `least`."""
+    keyed = "_key" in docs.columns
     shared_dir(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     keys = _keys(docs, words).checkpoint()
     frequent = keys.filter("kind = 1").groupBy("cls").agg(F.sum("n").alias("c")).orderBy(F.desc("c"), "cls").limit(often).toPandas()
     frequent = frequent.iloc[np.argsort(frequent["cls"].to_numpy().view(np.uint64), kind="stable")]
     given = docs.sparkSession.sparkContext.broadcast((frequent["cls"].to_numpy().view(np.uint64), frequent["c"].to_numpy()))
     rows = keys.filter("kind = 0").drop("kind")
-    classes = rows.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("first"))
+    row = [F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_key")).alias("least")] if keyed else []
+    classes = rows.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("first"), *row)
 
     tokens = _per_class(docs, words, lambda s: prefix(s, *given.value, percent).view(np.int64), "array<long>")
     tokens = tokens.select("cls", "n", F.explode("what").alias("token")).repartition("token")
@@ -364,8 +390,7 @@ def jaccard_components(
         links = links.unionByName(verified(rest, docs, classes, words, percent, picked)).checkpoint()
 
     rooted = classes.join(components(links).withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    component = rooted.groupBy("root").agg(F.min("first").alias("component"))
-    rooted = rooted.join(component, "root").select("cls", "component")
-    return rows.join(rooted, "cls", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"),
-    )
+    least = [F.min("least").alias("least")] if keyed else []
+    component = rooted.groupBy("root").agg(F.min("first").alias("component"), *least)
+    rooted = rooted.select("cls", "root").join(component, "root").drop("root")
+    return rows.join(rooted, "cls", "left")

@@ -77,6 +77,23 @@ def test_stages_match_brute_force(spark, folder):
     assert len([p for p in packed if p.piece == 0]) == sum(times.values())
 
 
+def test_near_duplicates_are_dropped_by_row(spark, folder):
+    def text(seed, changed=0):
+        return " ".join([f"t{seed}w{i}" for i in range(60)] + [f"c{changed}"] * (changed > 0))
+
+    rows = [
+        (1, text(1)), (7, text(1, 2)), (7, text(7)), (8, text(8)), (8, text(9)), (9, text(8, 1)), (10, text(10)), (10, text(10)),
+        (None, text(1)), (None, text(11)), (None, text(11)), (None, text(11, 3)), (None, None), (None, ""), (12, ""), (12, ""), (13, ""),
+    ]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], COLUMNS).repartition(3)
+    got = c.near_duplicates(spark, docs, folder)
+    assert got.columns == docs.columns
+    got = [(r.doc_id, r.text) for r in got.collect()]
+    named = [(1, text(1)), (7, text(7)), (8, text(8)), (8, text(9)), (10, text(10)), (12, ""), (13, "")]
+    assert sorted(r for r in got if r[0] is not None) == named
+    assert len(got) - len(named) == sum(i is None for i, _ in rows)
+
+
 def test_run_applies_all_stages(spark, folder):
     assert [name for name, _ in c.STAGES] == ["quality rules", "n-gram jaccard join", "pii", "mixing sources to target weights", "best-fit packing"]
     rows = c.run(spark, folder).collect()
