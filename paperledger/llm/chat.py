@@ -30,6 +30,10 @@ CONTROL = r"\[/?INST\]|</?s>|<</?(?:SYS|ROLE)>>|<<TEXT>>"
 TURN = r"(?s)(?:^|(?<=\n))(\[INST\]|<s>|<<SYS>>|<<ROLE>>) (.*?) (?:\[/INST\]|</s>|<</SYS>>|<</ROLE>>)(?=\n|$(?!\n))"
 TURNS = "array<struct<role:string,text:string>>"
 
+# Spark's JSON parsers refuse strings of over 20,000,000 characters: one takes an option, the other gets them emptied.
+PARSER = {"maxStringLen": str((1 << 31) - 1)}
+LONG = 10_000_000
+
 
 @dataclass(frozen=True)
 class Layout:
@@ -52,12 +56,12 @@ class Layout:
 
     def turns(self, json: Column) -> Column:
         if self.fields:
-            parsed = F.from_json(json, ", ".join(f"{n} string" for n, _ in self.fields))
+            parsed = F.from_json(json, ", ".join(f"{n} string" for n, _ in self.fields), PARSER)
             return F.array(*(F.struct(F.lit(role).alias("role"), parsed[n].alias("text")) for n, role in self.fields))
         ddl = f"array<struct<{self.role}:string,{self.text}:string>>"
         for name in reversed(self.path[1:]):
             ddl = f"struct<{name}:{ddl}>"
-        found = F.from_json(json, f"{self.path[0]} {ddl}")
+        found = F.from_json(json, f"{self.path[0]} {ddl}", PARSER)
         for name in self.path:
             found = found[name]
 
@@ -80,8 +84,18 @@ LAYOUTS = (
 )
 
 
+def shortened(json: Column) -> Column:
+    """The JSON with strings of over 10,000 characters emptied, if it is long: its shape is the same.
+
+    Escaped backslashes and quotes are written as code points first, so that a string ends at the next quote.
+    """
+    plain = F.regexp_replace(F.regexp_replace(json, r"\\\\", r"\\u005c"), r'\\"', r"\\u0022")
+    return F.when(F.length(json) > LONG, F.regexp_replace(plain, r'"([^"]{0,10000}+)"|"[^"]*+"', '"$1"')).otherwise(json)
+
+
 def shape(json: Column) -> Column:
     """All nested field paths, in order of name, without leaf types."""
+    json = shortened(json)
     return F.regexp_replace(F.schema_of_variant(F.try_parse_json(json)), r"(?<=[:<] ?)[A-Z]+(?:\(\d+, ?\d+\))?(?=[,>])|^[A-Z]+(?:\(\d+, ?\d+\))?$", "_")
 
 

@@ -1,3 +1,4 @@
+import hashlib
 import json
 
 from hypothesis import given, settings, strategies as st
@@ -71,3 +72,27 @@ def test_long_and_empty(spark):
     r = c.digests(c.formatted(c.canonical(c.as_layouts(df)))).first()
     assert r.n_turns == 1500 and r.loss_chars == 750 * 1000
     assert c.digests(c.formatted(c.canonical(c.as_layouts(df.filter(F.lit(False)))))).collect() == []
+
+
+def test_turns_beyond_the_parser_limit(spark):
+    unit = 'x\\"\\'
+    long = unit * 5_250_000
+    rows = spark.createDataFrame([(1, 0, "user"), (1, 1, "assistant"), (2, 0, "user"), (2, 1, "tool"), (2, 2, "assistant")], "conv_id long, turn long, role string")
+    text = F.when(F.col("turn") == 0, F.repeat(F.lit(unit), 5_250_000)).otherwise(F.lit("short"))
+    done = c.canonical(c.as_layouts(rows.withColumn("text", text)))
+    got = {r.conv_id: r for r in done.select("conv_id", "layout", F.transform("turns", lambda t: F.struct(t["role"], F.length(t["text"]).alias("n"), F.md5(t["text"]).alias("m"))).alias("t")).collect()}
+    want = hashlib.md5(long.encode()).hexdigest()
+    assert [got[i].layout for i in (1, 2)] == ["prompt_completion", "messages"]
+    assert all(got[i].t[0].n == len(long) == 21_000_000 and got[i].t[0].m == want and got[i].t[-1].n == 5 for i in (1, 2))
+    plain = rows.filter("conv_id = 1").withColumn("text", F.when(F.col("turn") == 0, F.repeat(F.lit("word "), 4_200_000)).otherwise(F.lit("short")))
+    r = c.digests(c.formatted(c.canonical(c.as_layouts(plain)))).first()
+    assert (r.n_turns, r.loss_chars, r.layout) == (2, 5, "prompt_completion")
+
+
+def test_shortened_json_has_the_same_shape(spark, monkeypatch):
+    docs = [{"a\\": "b\\\\", 'c"d': ['\\"', 1, {"e": "\\\\\"x" * 9000}], "n": list(range(3000))}, {"prompt": "x" * 20000, "completion": '"'}]
+    df = spark.createDataFrame([(json.dumps(d),) for d in docs], "json string")
+    want = [r[0] for r in df.select(c.shape(F.col("json"))).collect()]
+    monkeypatch.setattr(c, "LONG", 0)
+    got = df.select(c.shape(F.col("json")), F.length(c.shortened(F.col("json")))).collect()
+    assert [r[0] for r in got] == want and None not in want and all(r[1] < 20000 for r in got)
