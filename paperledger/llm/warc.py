@@ -5,7 +5,7 @@ of `min_bytes` or more the smallest page_id gets a response, the others revisit
 than `segment_chars` is cut: the first segment is the response, continuation records follow, which name its record as origin
 and their number; the last one states the total length. Records are text rows, ended by the two line breaks that the
 format asks for; chunks and segments end between characters, so every record is valid UTF-8, and a chunk ends inside
-the string that starts a record wherever a payload holds it.
+WARC/1.1 wherever a payload holds it. A header value that ends in it is followed by a blank, which readers take off.
 
 Reading. Files, gzipped or not, are split into records at that string, by Spark's text reader. Continuation records are
 grouped by the record they continue, put in order of segment number, checked to be numbered without gap and to have the
@@ -53,9 +53,9 @@ def digest(payload: bytes) -> str:
 
 
 def chunked(text: str, size: int = CHUNK_CHARS) -> str:
-    """Chunked transfer framing; no chunk holds the string that starts a record."""
+    """Chunked transfer framing; no chunk holds WARC/1.1, so that no line break behind it, of whatever origin, starts a record."""
     out = []
-    for part in re.split(r"(?<=WARC/)(?=1\.1\r\n)", text):
+    for part in re.split(r"(?<=WARC/)(?=1\.1)", text):
         for i in range(0, len(part), size):
             piece = part[i:i + size]
             out.append(f"{len(piece.encode()):x}\r\n{piece}\r\n")
@@ -87,6 +87,7 @@ def payload_of(message: bytes) -> bytes:
 
 def record(fields: dict[str, object], block: str) -> str:
     lines = [f"{k}: {re.sub(r'[\x00-\x1f\x7f]', lambda m: f'%{ord(m[0]):02X}', str(v))}" for k, v in fields.items() if v is not None]
+    lines = [f"{line} " if line.endswith("WARC/1.1") else line for line in lines]
     return START + "\r\n".join([*lines, f"Content-Length: {len(block.encode())}"]) + END + block
 
 

@@ -102,5 +102,21 @@ def test_foreign_archives_and_damage(spark, tmp_path):
     assert revisits[9].payload_bytes == len(body) and revisits[9].status == "ok" and revisits[10].status == "nothing to refer to"
 
 
+def test_version_at_the_end_of_html_url_chunk_and_segment(spark, tmp_path):
+    mark = "WARC/1.1"
+    texts = [mark, "x" * 9 + mark, "x" * (w.CHUNK_CHARS - len(mark)) + mark + "y", mark * 3000, mark[:5] + mark, *("x" * n + mark + "y" * 500 for n in range(0, 130, 7))]
+    data = [(2 * i + k, f"http://h/{i}/{mark}", t, 0, "") for i, t in enumerate(texts) for k in range(2)]
+    for segment_chars in (100, 16384):
+        path = str(tmp_path / str(segment_chars))
+        w.write_archive(spark.createDataFrame(data, SCHEMA), path, segment_chars=segment_chars)
+        found = w.read_records(spark, path)
+        assert found.filter(F.col("status") != "ok").count() == 0
+        whole = {r.page_id: r for r in w.reassembled(found).collect()}
+        assert {i: (r.uri, bytes(r.payload)) for i, r in whole.items()} == {i: (u, t.encode()) for i, u, t, *_ in data if i % 2 == 0}
+        assert [r.uri for r in found.filter("record_type = 'revisit'").orderBy("page_id").collect()] == [u for i, u, *_ in data if i % 2]
+        got = w.pages_of(found).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "status").collect()
+        assert sorted(map(tuple, got)) == sorted(brute(data, 0))
+
+
 def test_empty_table(spark):
     assert w.round_trip(spark.createDataFrame([], SCHEMA).filter(F.lit(True))).collect() == []
