@@ -16,6 +16,7 @@ from paperledger.llm.pii import replace_entities
 from paperledger.llm.quality import quality
 from paperledger.llm.toxicity import toxicity
 from paperledger.llm.warc import round_trip
+from paperledger.llm.windows import window_packing
 from paperledger.llm.winnowing import fingerprints
 
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +82,8 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "pages"))
+
+
+@query
+def op13_differencing_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return window_packing(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
