@@ -11,11 +11,13 @@ from paperledger.llm.chat import as_layouts, canonical, digests, formatted
 from paperledger.llm.html import main_texts
 from paperledger.llm.jaccard import jaccard_components
 from paperledger.llm.mixing import mix
+from paperledger.llm.negatives import mined
 from paperledger.llm.packing import best_fit_packing
 from paperledger.llm.pii import replace_entities
 from paperledger.llm.quality import quality
 from paperledger.llm.toxicity import toxicity
 from paperledger.llm.warc import round_trip
+from paperledger.llm.whitening import whiten
 from paperledger.llm.windows import window_packing
 from paperledger.llm.winnowing import fingerprints
 
@@ -87,3 +89,13 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op13_differencing_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_packing(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op12_bidiagonal_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mined(table(spark, sf_dir, "embeddings"))

@@ -16,6 +16,6 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", ORACLE)
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "conversations", "labels"):
+    for t in ("documents", "pages", "conversations", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     assert spark_rows(REGISTERED[name](spark, SF)) == duck_rows(con, ORACLE[name])
