@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from paperledger.schema import ATTEMPT, conform
-from paperledger.sources.csv_files import CSV_OPTIONS, file_place, files_by_header, read_csv_text
+from paperledger.sources.csv_files import CSV_OPTIONS, file_place, files_by_header, place_in_file, read_csv_text
 
 CHUNK_PATTERN = "chunk_*.csv"
 ATTEMPT_ORDER = ("chunk_file", "row_idx")
@@ -36,13 +36,12 @@ def read_attempts(spark: SparkSession, path: str | list[str], pattern: str = CHU
         )
 
     def named(files: str | list[str], glob: str | None) -> DataFrame:
-        # Messages may hold newlines, and a chunk file is small: read each whole.
-        df = read_csv_text(spark, files, glob=glob, multi_line=True)
+        df = read_csv_text(spark, files, glob=glob)
         present = set(df.columns)
         return df.select(
             *[(F.col(n) if n in present else F.lit(None).cast("string")).alias(n) for n in ATTEMPT.names],
             F.col("src_file").alias("chunk_file"),
-            F.col("src_pos").alias("row_idx"),
+            place_in_file().alias("row_idx"),
         )
 
     groups = files_by_header(spark, path, pattern)

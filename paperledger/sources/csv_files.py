@@ -1,14 +1,17 @@
-"""CSV with a header, read as text: normalised column names, quoted newlines, file order."""
+"""CSV with a header, read as text in splits: normalised column names, quoted newlines, file order."""
 
 from __future__ import annotations
 
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window, WindowSpec, functions as F, types as T
 
 # Doubled quotes stand for a quote inside a quoted field.
 CSV_OPTIONS = {"quote": '"', "escape": '"', "encoding": "UTF-8"}
 
+# What a line that is not blank holds, as Spark's reader sees it.
+PRINTED = r"[^\x00-\x20]"
+
 # Position of a row in its source: file, first byte of the split, place in the split.
 FILE_ORDER = ("src_file", "src_block", "src_pos")
 
@@ -27,48 +30,158 @@ def files_by_header(spark: SparkSession, path: str | list[str], glob: str) -> li
     return [[unquote(f) for f in r.files] for r in groups.orderBy("files").collect()]
 
 
-def spans_lines(spark: SparkSession, path: str | list[str], glob: str | None = None) -> bool:
-    """True if some quoted field holds a newline: then some line has an odd number of quotes."""
-    reader = spark.read if glob is None else spark.read.option("pathGlobFilter", glob)
-    lines = reader.text(path)
-    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    return not lines.filter(quotes % 2 == 1).limit(1).isEmpty()
+def spanning_files(spark: SparkSession, path: str | list[str], glob: str | None = None) -> list[str]:
+    """Files, as `_metadata.file_path` tells them, in which a quoted field holds a newline.
 
+    In all others no line opens a quote that it does not close, so each line is a record. The driver gets names only.
+    """
+    lines = _reader(spark, glob).option("lineSep", "\n").text(path).filter(ends_inside(F.col("value"), False))
+    return [r.file for r in lines.select(F.col("_metadata.file_path").alias("file")).distinct().orderBy("file").collect()]
 
-def read_csv_text(
-    spark: SparkSession, path: str | list[str], glob: str | None = None, multi_line: bool | None = None
-) -> DataFrame:
-    """All columns as strings under lower-cased, trimmed names, plus the `FILE_ORDER` columns.
 
-    Of two headers that become the same name the last wins. A file with quoted newlines cannot
-    be split, so one task reads it whole; `multi_line=None` finds out with one pass over the
-    lines and keeps large plain files split. Files whose header differs from the first one's
-    are refused rather than read by position.
+def _reader(spark: SparkSession, glob: str | None) -> DataFrameReader:
+    return spark.read if glob is None else spark.read.option("pathGlobFilter", glob)
+
+
+def ends_inside(line: Column, starts_inside: bool) -> Column:
+    """True if a line ends inside a quoted field, given whether it starts inside one.
+
+    Only a quote at the start of a field opens it; a quote inside a field that began without one is text. In a quoted field two quotes
+    stand for one, and any other quote ends it, whatever follows.
+    """
+    text, inside, quote, start = 0, 1, 2, 3
+
+    def step(state: Column, piece: Column) -> Column:
+        opens = F.endswith(piece, F.lit(",")) | ((piece == "") & state.isin(quote, start))
+        return F.when(state == inside, quote).when(opens, inside).otherwise(text)
+
+    pieces = F.split(line, '"')
+    last = F.aggregate(F.slice(pieces, F.lit(1), F.size(pieces) - 1), F.lit(inside if starts_inside else start), step)
+    return F.when(F.contains(line, F.lit('"')), last == inside).otherwise(F.lit(starts_inside))
+
+
+def _starts(df: DataFrame, order: WindowSpec, if_out: Column, if_in: Column) -> DataFrame:
+    """Adds `_out` and `_in`: whether a row starts inside quotes if its window starts outside, or inside.
+
+    `if_out` and `if_in` tell the state a row leaves from either state it may meet. A row that leaves the same state from both forgets
+    what was before; any other keeps the state or turns it over.
     """
-    if multi_line is None:
-        multi_line = spans_lines(spark, path, glob)
-    reader = spark.read.options(**CSV_OPTIONS).option("multiLine", multi_line)
-    if glob is not None:
-        reader = reader.option("pathGlobFilter", glob)
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    df = df.withColumn("_turns", F.coalesce(F.sum((if_out & ~if_in).cast("int")).over(before), F.lit(0)))
+    forgets = F.when(if_out == if_in, F.struct(if_out.alias("state"), F.col("_turns").alias("turns")))
+    df = df.withColumn("_known", F.last(forgets, ignorenulls=True).over(before))
+    odd = (F.col("_turns") - F.coalesce("_known.turns", F.lit(0))) % 2 == 1
+    return df.withColumns({
+        "_out": F.coalesce("_known.state", F.lit(False)) != odd, "_in": F.coalesce("_known.state", F.lit(True)) != odd,
+    }).drop("_turns", "_known")
+
+
+def stitched(lines: DataFrame) -> DataFrame:
+    """Records of lines (`value`, `src_file`, `src_block`, `src_pos`): `record`, `is_header`, and `FILE_ORDER` columns that count records.
+
+    Every split of a file finds out what it does to either state it may start in, and the splits of a file, one row each, tell which
+    state that is. Lines are put together inside their split; only the parts of records that cross the border of a split are
+    brought together between splits. Blank lines outside of quotes are no records, and the CR of a CRLF that ends a record is not
+    part of it. A quote that is never closed takes the rest of its file, without the newline that ends it.
+    """
+    split = ["src_file", "src_block"]
+    order = Window.partitionBy(*split).orderBy("src_pos")
+    here = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    told = lines.withColumns({"_if_out": ends_inside(F.col("value"), False), "_if_in": ends_inside(F.col("value"), True)})
+    told = _starts(told, order, F.col("_if_out"), F.col("_if_in"))
+    blank = ~F.col("value").rlike(PRINTED)
+    for side in ("out", "in"):
+        begins = ~F.col(f"_{side}") & ~blank
+        told = told.withColumns({
+            f"_{side}_first": F.last(F.when(~F.col(f"_{side}"), F.col("src_pos")), ignorenulls=True).over(here),
+            f"_{side}_nth": F.sum(begins.cast("long")).over(here),
+            f"_{side}_ends": F.when(F.col(f"_{side}"), F.col("_if_in")).otherwise(F.col("_if_out")),
+        })
+
+    # One row a split: what it leaves behind, by the state it starts in.
+    sides = [f"_{side}_{what}" for side in ("out", "in") for what in ("first", "ends")]
+    splits = told.groupBy(*split).agg(F.max_by(F.struct(*sides), "src_pos").alias("e")).select(*split, "e.*")
+    by_file = Window.partitionBy("src_file").orderBy("src_block")
+    splits = _starts(splits, by_file, F.col("_out_ends"), F.col("_in_ends")).withColumnRenamed("_out", "_inside")
+    left_open = F.when(F.col("_inside"), F.when(F.col("_in_ends"), F.col("_in_first"))).otherwise(F.when(F.col("_out_ends"), F.col("_out_first")))
+    open_at = F.last(left_open, ignorenulls=True).over(by_file.rowsBetween(Window.unboundedPreceding, -1))
+    splits = splits.select(*split, "_inside", open_at.alias("_open"))
+
+    def by_start(what: str) -> Column:
+        return F.when(F.col("_inside"), F.col(f"_in_{what}")).otherwise(F.col(f"_out_{what}"))
+
+    placed = told.join(splits, split).select(
+        *split, "src_pos", "value", by_start("first").alias("_first"), by_start("nth").alias("_nth"), by_start("ends").alias("_ends"), "_open")
+    parts = placed.groupBy(*split, "_first").agg(
+        F.array_sort(F.collect_list(F.struct("src_pos", "value"))).alias("_lines"), F.min("_nth").alias("_nth"),
+        F.max_by("_ends", "src_pos").alias("_ends"), F.first("_open").alias("_open"))
+    parts = parts.select(
+        *split, F.array_join(F.transform("_lines", lambda x: x["value"]), "\n").alias("record"), "_nth",
+        F.coalesce("_first", "_open").alias("_id"), (F.col("_first").isNull() | F.col("_ends")).alias("_crosses"))
+    whole = parts.filter("NOT _crosses").select("record", *split, "_nth")
+    crossing = parts.filter("_crosses").groupBy("src_file", "_id").agg(
+        F.array_sort(F.collect_list(F.struct("src_block", "record", "_nth"))).alias("_parts"))
+    crossing = crossing.select(
+        F.array_join(F.transform("_parts", lambda x: x["record"]), "\n").alias("record"), "src_file",
+        F.get("_parts", F.lit(0))["src_block"].alias("src_block"), F.get("_parts", F.lit(0))["_nth"].alias("_nth"))
+    records = whole.unionByName(crossing).withColumn("record", F.regexp_replace("record", "\r$", "")).filter(F.col("record").rlike(PRINTED))
+    # Records count from 0 in each split, the header not.
+    at_start = F.col("src_block") == 0
+    return records.select(
+        "record", (at_start & (F.col("_nth") == 1)).alias("is_header"), *split,
+        (F.col("_nth") - 1 - at_start.cast("long")).alias("src_pos"))
+
+
+def read_csv_text(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
+    """All columns as strings under lower-cased, trimmed names, plus the `FILE_ORDER` columns.
 
-    first = reader.option("header", False).csv(path).limit(1).collect()
+    Of two headers that become the same name the last wins. Large files are read in splits, those with quoted newlines
+    too (see `stitched`); the others need no more than Spark's reader. Files whose header differs from the first one's are
+    refused rather than read by position.
+    """
+    spanning = spanning_files(spark, path, glob)
+    first = _reader(spark, glob).options(**CSV_OPTIONS).option("header", False).csv(path).limit(1).collect()
     if not first:
         return spark.createDataFrame([], "src_file string, src_block long, src_pos long")
     raw = [(h or "").removeprefix("\ufeff") for h in first[0]]
     names = [h.lower().strip() for h in raw]
     distinct = len(set(h.lower() for h in raw)) == len(raw) and "" not in raw
     headers = raw if distinct else [f"c{i}" for i in range(len(raw))]
-
-    df = (
-        reader.option("header", True)
-        .option("enforceSchema", not distinct)
-        .schema(T.StructType([T.StructField(h, T.StringType()) for h in headers]))
-        .csv(path)
-    )
+    schema = T.StructType([T.StructField(h, T.StringType()) for h in headers])
+
+    reader = _reader(spark, glob).options(**CSV_OPTIONS).option("header", True).option("enforceSchema", not distinct)
+    df = reader.schema(schema).csv(path)
+    if spanning:
+        # Before the place is told: Spark then leaves these files out.
+        df = df.filter(~F.col("_metadata.file_path").isin(*spanning))
+    df = df.select("*", *_place())
+    if spanning:
+        lines = spark.read.option("lineSep", "\n").text([unquote(f) for f in spanning]).select("value", *_place())
+        df = df.unionByName(_parsed(stitched(lines), headers, names if distinct else None))
     last = {name: i for i, name in enumerate(names) if name}
-    return df.select(
-        *[F.col(f"`{headers[i]}`").alias(name) for name, i in last.items()],
-        file_place().alias("src_file"),
-        F.col("_metadata.file_block_start").alias("src_block"),
-        F.monotonically_increasing_id().alias("src_pos"),
-    )
+    return df.select(*[F.col(f"`{headers[i]}`").alias(name) for name, i in last.items()], *FILE_ORDER)
+
+
+def _place() -> list[Column]:
+    return [file_place().alias("src_file"), F.col("_metadata.file_block_start").alias("src_block"), F.monotonically_increasing_id().alias("src_pos")]
+
+
+def _parsed(records: DataFrame, headers: list[str], names: list[str] | None) -> DataFrame:
+    """Fields of records without the header lines, which must hold `names` if given."""
+    columns = [f"c{i}" for i in range(len(headers))]
+    rows = records.withColumn("_row", F.from_csv("record", ", ".join(f"{c} string" for c in columns), CSV_OPTIONS))
+    data = ~F.col("is_header")
+    if names is not None:
+        found = F.array(*(F.lower(F.trim(F.replace(F.coalesce(F.col("_row")[c], F.lit("")), F.lit("\ufeff"), F.lit("")))) for c in columns))
+        other = F.raise_error(F.concat(F.lit("the header differs from that of the first file: "), "src_file", F.lit(": "), "record")).cast("boolean")
+        data = F.when(data, True).when(found == F.array(*map(F.lit, names)), False).otherwise(other)
+    return rows.filter(data).select(*[F.col("_row")[c].alias(h) for c, h in zip(columns, headers)], *FILE_ORDER)
+
+
+def place_in_file(block: str = "src_block", pos: str = "src_pos") -> Column:
+    """A number that grows along a file, over all its splits.
+
+    A row takes a byte at least, so the start of a split plus a row's place in its task exceeds all of the splits before, which but
+    for the last one have a task of their own.
+    """
+    return F.col(block) + F.col(pos).bitwiseAND((1 << 33) - 1)

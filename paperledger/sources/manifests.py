@@ -19,16 +19,14 @@ def clean_manifest(raw: DataFrame, require_id: bool = True) -> DataFrame:
     return df.withColumn("pmid", F.coalesce("pmid", stem("pdf_path")))
 
 
-def read_manifest(
-    spark: SparkSession, path: str, require_id: bool = True, multi_line: bool | None = None
-) -> DataFrame:
+def read_manifest(spark: SparkSession, path: str, require_id: bool = True) -> DataFrame:
     """Manifest CSV as `pmid, pdf_path` and the row's place in the source."""
-    return clean_manifest(read_csv_text(spark, path, multi_line=multi_line), require_id)
+    return clean_manifest(read_csv_text(spark, path), require_id)
 
 
-def read_raw_manifest(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
+def read_raw_manifest(spark: SparkSession, path: str) -> DataFrame:
     """Every physical row, blank ones too: what `manifest_slice` counts."""
-    return conform(read_csv_text(spark, path, multi_line=multi_line), MANIFEST, keep=FILE_ORDER)
+    return conform(read_csv_text(spark, path), MANIFEST, keep=FILE_ORDER)
 
 
 def read_id_list(spark: SparkSession, path: str) -> DataFrame:
