@@ -2,13 +2,25 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window, WindowSpec, functions as F, types as T
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window, functions as F, types as T
+
+from paperledger.session import shared_dir
 
 # Doubled quotes stand for a quote inside a quoted field.
 CSV_OPTIONS = {"quote": '"', "escape": '"', "encoding": "UTF-8"}
 
+# The rest of a quoted field behind its first quote, a field, and all fields that follow. Only a quote at the start of a field opens it;
+# inside two quotes stand for one, and any other quote ends it, whatever follows. Possessive: matched in a loop, without going back.
+QUOTED = r'(?s:[^"]*+(?:""[^"]*+)*+"[^,]*+)'
+FIELD = f'(?s:"{QUOTED}|[^",][^,]*+|)'
+ANY = f"(?:,{FIELD})*+"
+
 # What a line that is not blank holds, as Spark's reader sees it.
 PRINTED = r"[^\x00-\x20]"
 
@@ -44,92 +56,160 @@ def _reader(spark: SparkSession, glob: str | None) -> DataFrameReader:
 
 
 def ends_inside(line: Column, starts_inside: bool) -> Column:
-    """True if a line ends inside a quoted field, given whether it starts inside one.
-
-    Only a quote at the start of a field opens it; a quote inside a field that began without one is text. In a quoted field two quotes
-    stand for one, and any other quote ends it, whatever follows.
+    """True if a line ends inside a quoted field, given whether it starts inside one."""
+    pattern = f"^{QUOTED}{ANY}$" if starts_inside else f"^{FIELD}{ANY}$"
+    return F.when(F.contains(line, F.lit('"')), ~line.rlike(pattern)).otherwise(F.lit(starts_inside))
+
+
+_closed = re.compile(f"{FIELD}{ANY}\\Z").match
+_closes = re.compile(f"{QUOTED}{ANY}\\Z").match
+_printed = re.compile(PRINTED).search
+
+
+class _Split:
+    """The lines of a split put together to records, from a given state of quotes."""
+
+    def __init__(self, inside: bool) -> None:
+        self.inside, self.held, self.nth = inside, [], 0
+        self.head: str | None = None if inside else ""
+
+    def records(self, lines: list[str]) -> list[str]:
+        """Records that begin and end in the split so far. The end of one that began before is kept as `head`."""
+        out = []
+        for line in lines:
+            if '"' in line:
+                self.inside = not (_closes if self.inside else _closed)(line)
+            if self.inside:
+                self.held.append(line)
+                continue
+            if self.held:
+                line = "\n".join([*self.held, line])
+                self.held = []
+            if self.head is None:
+                self.head = line
+            elif _printed(line):
+                out.append(line.removesuffix("\r"))
+        self.nth += len(out)
+        return out
+
+    def left(self) -> dict:
+        """What a record that crosses a border of the split is made of: `head` ends one, `tail` begins one."""
+        held = "\n".join(self.held)
+        open_from_start = self.head is None
+        return {"inside": self.inside, "nth": self.nth, "head": held if open_from_start else self.head, "tail": None if open_from_start or not self.inside else held}
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, pa.RecordBatch]]:
+    """Rows in pieces of one split each; a task reads its splits one after the other."""
+    for batch in batches:
+        at = 0
+        ends = sorted({e for c in ("src_file", "src_block") for e in pc.run_end_encode(batch.column(c)).run_ends.to_pylist()}) if len(batch) else []
+        for end in ends:
+            yield batch.column("src_file")[at].as_py(), batch.column("src_block")[at].as_py(), batch.slice(at, end - at)
+            at = end
+
+
+LEFT = "STRUCT<inside: BOOLEAN, nth: BIGINT, head: STRING, tail: STRING>"
+
+
+def splits_of(lines: DataFrame) -> DataFrame:
+    """`src_file`, `src_block`, `inside`, `left` for the splits of files that have several: the state each starts in and what it leaves.
+
+    Each split finds out what it leaves from either state it may start in. One that leaves the same state from both forgets what was
+    before, any other keeps the state or turns it over; so a split starts in the state that the last forgetting one before it
+    left, turned over as often as splits since then did.
     """
-    text, inside, quote, start = 0, 1, 2, 3
-
-    def step(state: Column, piece: Column) -> Column:
-        opens = F.endswith(piece, F.lit(",")) | ((piece == "") & state.isin(quote, start))
-        return F.when(state == inside, quote).when(opens, inside).otherwise(text)
-
-    pieces = F.split(line, '"')
-    last = F.aggregate(F.slice(pieces, F.lit(1), F.size(pieces) - 1), F.lit(inside if starts_inside else start), step)
-    return F.when(F.contains(line, F.lit('"')), last == inside).otherwise(F.lit(starts_inside))
 
-
-def _starts(df: DataFrame, order: WindowSpec, if_out: Column, if_in: Column) -> DataFrame:
-    """Adds `_out` and `_in`: whether a row starts inside quotes if its window starts outside, or inside.
-
-    `if_out` and `if_in` tell the state a row leaves from either state it may meet. A row that leaves the same state from both forgets
-    what was before; any other keeps the state or turns it over.
-    """
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    df = df.withColumn("_turns", F.coalesce(F.sum((if_out & ~if_in).cast("int")).over(before), F.lit(0)))
-    forgets = F.when(if_out == if_in, F.struct(if_out.alias("state"), F.col("_turns").alias("turns")))
-    df = df.withColumn("_known", F.last(forgets, ignorenulls=True).over(before))
-    odd = (F.col("_turns") - F.coalesce("_known.turns", F.lit(0))) % 2 == 1
-    return df.withColumns({
-        "_out": F.coalesce("_known.state", F.lit(False)) != odd, "_in": F.coalesce("_known.state", F.lit(True)) != odd,
-    }).drop("_turns", "_known")
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def row() -> pa.RecordBatch:
+            return pa.RecordBatch.from_pylist(
+                [{"src_file": split[0], "src_block": split[1], "out": either[0].left(), "within": either[1].left()}], schema=schema)
+
+        part = pa.struct([("inside", pa.bool_()), ("nth", pa.int64()), ("head", pa.string()), ("tail", pa.string())])
+        schema = pa.schema([("src_file", pa.string()), ("src_block", pa.int64()), ("out", part), ("within", part)])
+        split, either, same = None, (_Split(False), _Split(True)), False
+        for file, block, rows in _runs(batches):
+            if (file, block) != split:
+                if split:
+                    yield row()
+                split, either, same = (file, block), (_Split(False), _Split(True)), False
+            texts = rows.column("value").to_pylist()
+            at = 0
+            while not same and at < len(texts):
+                for state in either:
+                    state.records(texts[at:at + 1])
+                same = not either[0].inside and not either[1].inside
+                at += 1
+            if same:  # outside of quotes in both: they go on alike
+                either[1].nth += len(either[0].records(texts[at:]))
+                either[1].inside, either[1].held = either[0].inside, either[0].held
+        if split:
+            yield row()
+
+    parts = lines.filter("several").select("src_file", "src_block", "value")
+    found = parts.mapInArrow(told, f"src_file STRING, src_block BIGINT, out {LEFT}, within {LEFT}")
+    # One row a split, those of one file in a window.
+    before = Window.partitionBy("src_file").orderBy("src_block").rowsBetween(Window.unboundedPreceding, -1)
+    found = found.withColumn("turns", F.coalesce(F.sum(F.expr("CAST(out.inside AND NOT within.inside AS INT)")).over(before), F.lit(0)))
+    forgets = F.when(F.expr("out.inside = within.inside"), F.struct(F.col("out.inside").alias("state"), F.col("turns").alias("turns")))
+    known = F.last(forgets, ignorenulls=True).over(before)
+    inside = F.coalesce(known["state"], F.lit(False)) != ((F.col("turns") - F.coalesce(known["turns"], F.lit(0))) % 2 == 1)
+    found = found.withColumn("inside", inside)
+    return found.select("src_file", "src_block", "inside", F.when(F.col("inside"), F.col("within")).otherwise(F.col("out")).alias("left"))
 
 
 def stitched(lines: DataFrame) -> DataFrame:
-    """Records of lines (`value`, `src_file`, `src_block`, `src_pos`): `record`, `is_header`, and `FILE_ORDER` columns that count records.
+    """Records of lines (`value`, `src_file`, `src_block`, `several`): `record`, `is_header`, and `FILE_ORDER` columns that count records.
 
-    Every split of a file finds out what it does to either state it may start in, and the splits of a file, one row each, tell which
-    state that is. Lines are put together inside their split; only the parts of records that cross the border of a split are
-    brought together between splits. Blank lines outside of quotes are no records, and the CR of a CRLF that ends a record is not
-    part of it. A quote that is never closed takes the rest of its file, without the newline that ends it.
+    Lines are put together where they are read, a split's lines in order, so nothing is shuffled but one row for each split, which
+    holds the parts of records that cross its borders. Blank lines outside of quotes are no records, and the CR of a CRLF that
+    ends a record is not part of it. A quote that is never closed takes the rest of its file, without the newline that ends it.
     """
+    # One row a split, written once: both uses see the same.
+    shared_dir(lines.sparkSession)
+    splits = splits_of(lines).checkpoint()
+    # Small beside the list of splits that the driver holds; a shuffle would lose the order of lines.
+    inside = F.broadcast(splits.filter("inside").select("src_file", "src_block", "inside"))
+    told = lines.join(inside, ["src_file", "src_block"], "left")
+    told = told.select("src_file", "src_block", "value", "several", F.coalesce("inside", F.lit(False)).alias("inside"))
+
+    def put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows_of(found: list[str], nth: int) -> pa.RecordBatch:
+            n = len(found)
+            return pa.RecordBatch.from_arrays(
+                [pa.repeat(split[0], n), pa.repeat(pa.scalar(split[1], pa.int64()), n), pa.array(found, pa.string()), pa.array(range(nth, nth + n), pa.int64())],
+                names=["src_file", "src_block", "record", "nth"])
+
+        def rest() -> list[str]:
+            # Where a file is one split, no other tells of a quote that is never closed.
+            return ["\n".join(state.held)] if state.held and not several else []
+
+        split, state, several = ("", 0), _Split(False), False
+        for file, block, rows in _runs(batches):
+            if (file, block) != split:
+                yield rows_of(rest(), state.nth)
+                split, state, several = (file, block), _Split(rows.column("inside")[0].as_py()), rows.column("several")[0].as_py()
+            nth = state.nth
+            yield rows_of(state.records(rows.column("value").to_pylist()), nth)
+        yield rows_of(rest(), state.nth)
+
     split = ["src_file", "src_block"]
-    order = Window.partitionBy(*split).orderBy("src_pos")
-    here = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    told = lines.withColumns({"_if_out": ends_inside(F.col("value"), False), "_if_in": ends_inside(F.col("value"), True)})
-    told = _starts(told, order, F.col("_if_out"), F.col("_if_in"))
-    blank = ~F.col("value").rlike(PRINTED)
-    for side in ("out", "in"):
-        begins = ~F.col(f"_{side}") & ~blank
-        told = told.withColumns({
-            f"_{side}_first": F.last(F.when(~F.col(f"_{side}"), F.col("src_pos")), ignorenulls=True).over(here),
-            f"_{side}_nth": F.sum(begins.cast("long")).over(here),
-            f"_{side}_ends": F.when(F.col(f"_{side}"), F.col("_if_in")).otherwise(F.col("_if_out")),
-        })
-
-    # One row a split: what it leaves behind, by the state it starts in.
-    sides = [f"_{side}_{what}" for side in ("out", "in") for what in ("first", "ends")]
-    splits = told.groupBy(*split).agg(F.max_by(F.struct(*sides), "src_pos").alias("e")).select(*split, "e.*")
-    by_file = Window.partitionBy("src_file").orderBy("src_block")
-    splits = _starts(splits, by_file, F.col("_out_ends"), F.col("_in_ends")).withColumnRenamed("_out", "_inside")
-    left_open = F.when(F.col("_inside"), F.when(F.col("_in_ends"), F.col("_in_first"))).otherwise(F.when(F.col("_out_ends"), F.col("_out_first")))
-    open_at = F.last(left_open, ignorenulls=True).over(by_file.rowsBetween(Window.unboundedPreceding, -1))
-    splits = splits.select(*split, "_inside", open_at.alias("_open"))
-
-    def by_start(what: str) -> Column:
-        return F.when(F.col("_inside"), F.col(f"_in_{what}")).otherwise(F.col(f"_out_{what}"))
-
-    placed = told.join(splits, split).select(
-        *split, "src_pos", "value", by_start("first").alias("_first"), by_start("nth").alias("_nth"), by_start("ends").alias("_ends"), "_open")
-    parts = placed.groupBy(*split, "_first").agg(
-        F.array_sort(F.collect_list(F.struct("src_pos", "value"))).alias("_lines"), F.min("_nth").alias("_nth"),
-        F.max_by("_ends", "src_pos").alias("_ends"), F.first("_open").alias("_open"))
-    parts = parts.select(
-        *split, F.array_join(F.transform("_lines", lambda x: x["value"]), "\n").alias("record"), "_nth",
-        F.coalesce("_first", "_open").alias("_id"), (F.col("_first").isNull() | F.col("_ends")).alias("_crosses"))
-    whole = parts.filter("NOT _crosses").select("record", *split, "_nth")
-    crossing = parts.filter("_crosses").groupBy("src_file", "_id").agg(
-        F.array_sort(F.collect_list(F.struct("src_block", "record", "_nth"))).alias("_parts"))
-    crossing = crossing.select(
-        F.array_join(F.transform("_parts", lambda x: x["record"]), "\n").alias("record"), "src_file",
-        F.get("_parts", F.lit(0))["src_block"].alias("src_block"), F.get("_parts", F.lit(0))["_nth"].alias("_nth"))
-    records = whole.unionByName(crossing).withColumn("record", F.regexp_replace("record", "\r$", "")).filter(F.col("record").rlike(PRINTED))
-    # Records count from 0 in each split, the header not.
+    whole = told.mapInArrow(put_together, "src_file string, src_block long, record string, nth long")
+    # A tail begins a record; the heads of the splits after it belong to it.
+    ends = splits.select(*split, F.explode(F.array(
+        F.struct(F.lit(0).alias("place"), F.when(F.col("inside"), F.col("left.head")).alias("part"), F.lit(None).cast("long").alias("nth")),
+        F.struct(F.lit(1).alias("place"), F.col("left.tail").alias("part"), F.col("left.nth").alias("nth")))).alias("p")).select(*split, "p.*")
+    begun = F.sum("place").over(Window.partitionBy("src_file").orderBy("src_block", "place"))
+    parts = ends.filter("part IS NOT NULL").withColumn("begun", begun).groupBy("src_file", "begun").agg(
+        F.array_sort(F.collect_list(F.struct("src_block", "place", "part", "nth"))).alias("parts"))
+    first = F.get("parts", F.lit(0))
+    crossing = parts.select(
+        "src_file", first["src_block"].alias("src_block"), F.regexp_replace(F.array_join(F.transform("parts", lambda x: x["part"]), "\n"), "\r$", "").alias("record"),
+        first["nth"].alias("nth"))
+    # The header of a file is the first record of its first split and does not count.
     at_start = F.col("src_block") == 0
-    return records.select(
-        "record", (at_start & (F.col("_nth") == 1)).alias("is_header"), *split,
-        (F.col("_nth") - 1 - at_start.cast("long")).alias("src_pos"))
+    return whole.unionByName(crossing).select(
+        "record", (at_start & (F.col("nth") == 0)).alias("is_header"), *split, (F.col("nth") - at_start.cast("long")).alias("src_pos"))
 
 
 def read_csv_text(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
@@ -156,7 +236,8 @@ def read_csv_text(spark: SparkSession, path: str | list[str], glob: str | None =
         df = df.filter(~F.col("_metadata.file_path").isin(*spanning))
     df = df.select("*", *_place())
     if spanning:
-        lines = spark.read.option("lineSep", "\n").text([unquote(f) for f in spanning]).select("value", *_place())
+        several = (F.col("_metadata.file_block_length") < F.col("_metadata.file_size")).alias("several")
+        lines = spark.read.option("lineSep", "\n").text([unquote(f) for f in spanning]).select("value", *_place(), several)
         df = df.unionByName(_parsed(stitched(lines), headers, names if distinct else None))
     last = {name: i for i, name in enumerate(names) if name}
     return df.select(*[F.col(f"`{headers[i]}`").alias(name) for name, i in last.items()], *FILE_ORDER)
@@ -169,13 +250,15 @@ def _place() -> list[Column]:
 def _parsed(records: DataFrame, headers: list[str], names: list[str] | None) -> DataFrame:
     """Fields of records without the header lines, which must hold `names` if given."""
     columns = [f"c{i}" for i in range(len(headers))]
-    rows = records.withColumn("_row", F.from_csv("record", ", ".join(f"{c} string" for c in columns), CSV_OPTIONS))
+    fields = F.from_csv("record", ", ".join(f"{c} string" for c in columns), CSV_OPTIONS)
     data = ~F.col("is_header")
     if names is not None:
-        found = F.array(*(F.lower(F.trim(F.replace(F.coalesce(F.col("_row")[c], F.lit("")), F.lit("\ufeff"), F.lit("")))) for c in columns))
+        found = F.array(*(F.lower(F.trim(F.replace(F.coalesce(fields[c], F.lit("")), F.lit("\ufeff"), F.lit("")))) for c in columns))
         other = F.raise_error(F.concat(F.lit("the header differs from that of the first file: "), "src_file", F.lit(": "), "record")).cast("boolean")
         data = F.when(data, True).when(found == F.array(*map(F.lit, names)), False).otherwise(other)
-    return rows.filter(data).select(*[F.col("_row")[c].alias(h) for c, h in zip(columns, headers)], *FILE_ORDER)
+    # A generator of one row: each record is parsed once and not again for each of its fields.
+    rows = records.filter(data).select(F.inline(F.array(fields)), *FILE_ORDER)
+    return rows.select(*[F.col(c).alias(h) for c, h in zip(columns, headers)], *FILE_ORDER)
 
 
 def place_in_file(block: str = "src_block", pos: str = "src_pos") -> Column:
