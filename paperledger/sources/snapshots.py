@@ -1,32 +1,18 @@
-"""Registry persistence: immutable buckets of ids, and a log of the published versions.
+"""Registry persistence: one Parquet snapshot for each version.
 
-`{root}/rows/v=N/bucket=K` holds the rows of one bucket as version N left them; a version writes the buckets it touches.
-`{root}/published` is an append-only table of versions with their buckets. A version counts only once its log row is
-there, so readers never meet a half-written one. One writer at a time is assumed.
+`{root}/v=N` is the registry as version N left it; `{root}/published` tells which versions are complete, so that readers never meet
+a half-written one. One writer at a time is assumed.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
-
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paperledger.operators.registry import duplicate_ids
 from paperledger.schema import REGISTRY, conform, empty
 
-BUCKETS = 16  # fixed for the life of a registry
-PUBLISHED_SCHEMA = "version long, note string, published_at timestamp, buckets array<int>"
-
-
-def bucket_of(pmid: Column | str) -> Column:
-    return F.pmod(F.xxhash64(pmid), F.lit(BUCKETS)).cast("int")
-
-
-def buckets_of(df: DataFrame) -> list[int]:
-    """The buckets that the ids of `df` fall into, `BUCKETS` numbers at most."""
-    return sorted(r[0] for r in df.select(bucket_of("pmid")).distinct().collect())
+PUBLISHED_SCHEMA = "version long, note string, published_at timestamp"
 
 
 def published_versions(spark: SparkSession, root: str) -> DataFrame:
@@ -42,46 +28,36 @@ def latest_version(spark: SparkSession, root: str) -> int | None:
     return published_versions(spark, root).agg(F.max("version")).first()[0]
 
 
-def load_registry(spark: SparkSession, root: str, version: int | None = None, buckets: Sequence[int] | None = None) -> DataFrame:
-    """The latest published registry, or the given version, or only some buckets of it; empty if there is none yet."""
-    log = published_versions(spark, root).select("version", F.explode("buckets").alias("bucket"))
-    if version is not None:
-        log = log.filter(F.col("version") <= version)
-    if buckets is not None:
-        log = log.filter(F.col("bucket").isin(*buckets))
-    # Which version wrote each bucket last: `BUCKETS` rows at most.
-    last: dict[int, list[int]] = {}
-    for r in log.groupBy("bucket").agg(F.max("version").alias("version")).collect():
-        last.setdefault(r.version, []).append(r.bucket)
+def is_published(spark: SparkSession, root: str, note: str) -> bool:
+    return not published_versions(spark, root).filter(F.col("note") == note).isEmpty()
+
+
+def load_registry(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
+    """The latest published registry, or the given version; empty if there is none yet."""
+    version = latest_version(spark, root) if version is None else version
+    if version is None:
+        return empty(spark, REGISTRY)
     # Older versions may lack columns added since: they are read as NULL.
-    schema = T.StructType([*REGISTRY.fields, T.StructField("bucket", T.IntegerType())])
-    parts = [
-        spark.read.schema(schema).parquet(f"{root}/rows/v={v}").filter(F.col("bucket").isin(*of)).drop("bucket")
-        for v, of in sorted(last.items())
-    ]
-    return reduce(DataFrame.unionAll, parts) if parts else empty(spark, REGISTRY)
+    return spark.read.schema(REGISTRY).parquet(f"{root}/v={version}")
 
 
-def publish_registry(df: DataFrame, root: str, note: str = "", verify: bool = True, buckets: Sequence[int] | None = None) -> int:
-    """Write `df` as the next version and publish it; with `buckets`, `df` is the content of those and the rest stays.
+def publish_registry(df: DataFrame, root: str, note: str = "", verify: bool = True) -> int:
+    """Write `df` as the next version and publish it.
 
     Rows are sorted by status within files, so that a filter on status skips most row groups.
     With `verify` a registry with repeated ids is refused before it is published.
     """
     spark = df.sparkSession
     version = (latest_version(spark, root) or 0) + 1
-    target = f"{root}/rows/v={version}"
-    rows = conform(df, REGISTRY).withColumn("bucket", bucket_of("pmid")).hint("rebalance", "bucket")
-    rows.sortWithinPartitions("bucket", "status", "pmid").write.mode("overwrite").partitionBy("bucket").parquet(target)
+    target = f"{root}/v={version}"
+    conform(df, REGISTRY).hint("rebalance").sortWithinPartitions("status", "pmid").write.mode("overwrite").parquet(target)
     if verify:
         twice = duplicate_ids(spark.read.schema(REGISTRY).parquet(target)).limit(1).collect()
         if twice:
             raise ValueError(f"id {twice[0][0]} occurs {twice[0][1]} times; version {version} not published")
-    touched = list(range(BUCKETS)) if buckets is None else sorted(buckets)
-    spark.range(1).select(
-        F.lit(version).cast("long").alias("version"), F.lit(note).alias("note"), F.current_timestamp().alias("published_at"),
-        F.lit(touched).cast("array<int>").alias("buckets"),
-    ).coalesce(1).write.mode("append").json(f"{root}/published")
+    row = spark.range(1).select(
+        F.lit(version).cast("long").alias("version"), F.lit(note).alias("note"), F.current_timestamp().alias("published_at"))
+    row.coalesce(1).write.mode("append").json(f"{root}/published")
     return version
 
 

@@ -2,72 +2,68 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from paperledger.functions.paths import without_scheme
-from paperledger.operators.attempts import clean_results, keep_last
+from paperledger.operators.attempts import clean_results
 from paperledger.operators.registry import apply_results, insert_if_absent
-from paperledger.schema import ATTEMPT, BINARY_FILE, empty
+from paperledger.schema import ATTEMPT, BINARY_FILE
+from paperledger.sources.attempts import ATTEMPT_ORDER
 from paperledger.sources.csv_files import CSV_OPTIONS, file_place
 from paperledger.sources.listings import PDF_GLOB_ANY_CASE, ids_from_listing
-from paperledger.sources.snapshots import bucket_of, buckets_of, load_registry, publish_registry
+from paperledger.sources.snapshots import is_published, load_registry, publish_registry
 
 # Attempts as they stand in the files: text, to be cleaned when applied.
 RAW_ATTEMPT = T.StructType([T.StructField(f, T.StringType()) for f in ATTEMPT.names])
-# Per id, the place of the last attempt applied so far.
-POSITION = T.StructType([
-    T.StructField("pmid", T.StringType()), T.StructField("chunk_file", T.StringType()), T.StructField("row_idx", T.LongType()),
-])
-
-
-def _positions(spark: SparkSession, log: str, batch_id: int, buckets: list[int]) -> DataFrame:
-    """The last place per id of these buckets as batches before the given one left them."""
-    schema = T.StructType([*POSITION.fields, T.StructField("batch_id", T.LongType()), T.StructField("bucket", T.IntegerType())])
-    try:
-        places = spark.read.schema(schema).parquet(f"{log}/positions")
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return empty(spark, POSITION)
-    places = places.filter((F.col("batch_id") < batch_id) & F.col("bucket").isin(*buckets))
-    return keep_last(places).select(*POSITION.names)
-
-
-def apply_attempt_batch(batch: DataFrame, batch_id: int, registry_root: str, log: str) -> None:
-    """Log the batch and apply those of its attempts that are later than what was applied before.
-
-    Files may arrive out of name order: an attempt counts only if its (file, row) lies behind the
-    place kept for its id. So the outcome is that of one batch over all files, no batch looks at
-    the attempts of earlier ones, and a stale file does not undo a retry. A batch reads and writes
-    the buckets its ids fall into, of the registry and of the places, and adds the places of its
-    own ids only. Everything it writes goes under its own number: a batch delivered twice changes
-    nothing. `log` belongs to one checkpoint.
+
+
+def numbered(files: DataFrame) -> DataFrame:
+    """Adds `row_idx`, which grows along each file: a file is read whole by one task, in order."""
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = 0
+        for batch in batches:
+            yield batch.append_column("row_idx", pa.array(range(at, at + len(batch)), pa.int64()))
+            at += len(batch)
+
+    return files.mapInArrow(number, T.StructType([*files.schema.fields, T.StructField("row_idx", T.LongType())]))
+
+
+def latest_attempts(attempts: DataFrame) -> DataFrame:
+    """Per id its last attempt by (file, row) of all so far, and whether it came with this batch: `pmid, last, is_new`.
+
+    Streamed, the state store keeps one attempt for each id. A later batch changes it only by an attempt that lies behind
+    it, whatever order files arrive in; a batch that a restart delivers again meets the state it met before.
     """
-    spark = batch.sparkSession
-    stored = f"{log}/attempts/batch_id={batch_id}"
-    # A file is read whole by one task, in order, so this id orders the rows of each file.
-    batch.withColumn("row_idx", F.monotonically_increasing_id()).write.mode("overwrite").parquet(stored)
-    last = keep_last(clean_results(spark.read.parquet(stored)))
-    buckets = buckets_of(last)
-    if not buckets:
-        return
-
-    seen = _positions(spark, log, batch_id, buckets).select("pmid", F.struct("chunk_file", "row_idx").alias("seen"))
-    fresh = last.join(seen, "pmid", "left").filter(F.col("seen").isNull() | (F.struct("chunk_file", "row_idx") >= F.col("seen")))
-    publish_registry(
-        apply_results(load_registry(spark, registry_root, buckets=buckets), fresh.drop("seen"), F.current_timestamp()),
-        registry_root, note=f"attempts batch {batch_id}", buckets=buckets,
-    )
-    places = last.select(*POSITION.names, bucket_of("pmid").alias("bucket"))
-    places.write.mode("overwrite").partitionBy("bucket").parquet(f"{log}/positions/batch_id={batch_id}")
+    kept = [c for c in attempts.columns if c != "pmid"]
+    arrived = attempts.withColumn("arrived", F.current_timestamp())  # one time for a batch, the same if delivered again
+    found = arrived.groupBy("pmid").agg(
+        F.max_by(F.struct(*kept, "arrived"), F.struct(*ATTEMPT_ORDER)).alias("last"), F.max("arrived").alias("arrived"))
+    return found.select("pmid", "last", (F.col("last.arrived") == F.col("arrived")).alias("is_new"))
+
+
+def apply_batch(changed: DataFrame, batch_id: int, registry_root: str, log: str) -> None:
+    """Apply the attempts that are the last of their id and new; they are kept under the number of their batch.
+
+    A stale file so does not undo a retry. A batch delivered again changes nothing: its version is published once.
+    """
+    spark = changed.sparkSession
+    stored, note = f"{log}/batch_id={batch_id}", f"attempts batch {batch_id} of {log}"
+    # Written whole and first, published before or not: the state store keeps up only with what is read.
+    changed.filter("is_new").select("pmid", "last.*").drop("arrived").write.mode("overwrite").parquet(stored)
+    fresh = spark.read.parquet(stored)
+    if not is_published(spark, registry_root, note) and not fresh.isEmpty():
+        publish_registry(apply_results(load_registry(spark, registry_root), fresh, F.current_timestamp()), registry_root, note)
 
 
 def ingest_stream(
     spark: SparkSession, src: str, registry_root: str, log: str, checkpoint: str, glob: str = "chunk_*.csv"
 ) -> StreamingQuery:
-    """Apply all result files not yet seen, then stop.
+    """Apply all result files not yet seen, then stop. `log` belongs to one checkpoint.
 
     A stream needs its schema beforehand: the files have the columns of ATTEMPT, in that order.
     Files with another header are refused.
@@ -78,8 +74,8 @@ def ingest_stream(
         .select("*", file_place().alias("chunk_file"))
     )
     return (
-        files.writeStream
-        .foreachBatch(lambda df, batch_id: apply_attempt_batch(df, batch_id, registry_root, log))
+        latest_attempts(clean_results(numbered(files))).writeStream.outputMode("update")
+        .foreachBatch(lambda df, batch_id: apply_batch(df, batch_id, registry_root, log))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -91,11 +87,9 @@ def scan_stream(spark: SparkSession, pdf_dir: str, registry_root: str, checkpoin
 
     def insert(batch: DataFrame, batch_id: int) -> None:
         found = ids_from_listing(batch)
-        buckets = buckets_of(found)
-        if buckets:
-            registry = load_registry(spark, registry_root, buckets=buckets)
-            changed = insert_if_absent(registry, found, F.current_timestamp())
-            publish_registry(changed, registry_root, note=f"scan batch {batch_id}", buckets=buckets)
+        if not found.isEmpty():
+            registry = load_registry(spark, registry_root)
+            publish_registry(insert_if_absent(registry, found, F.current_timestamp()), registry_root, f"scan batch {batch_id}")
 
     listing = (
         spark.readStream.format("binaryFile").schema(BINARY_FILE)

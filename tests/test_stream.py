@@ -7,7 +7,8 @@ from paperledger.schema import REGISTRY, empty
 from paperledger.sources.attempts import read_attempts
 from paperledger.sources.listings import PDF_GLOB_ANY_CASE, ids_from_listing, list_files
 from paperledger.sources.snapshots import latest_version, load_registry, publish_registry
-from paperledger.streaming.ingest import apply_attempt_batch, ingest_stream, scan_stream
+from paperledger.streaming import ingest
+from paperledger.streaming.ingest import ingest_stream, scan_stream
 from tests.compare import spark_rows
 from tests.test_sources import HEADER, put
 
@@ -56,31 +57,72 @@ def test_files_with_other_columns_are_refused(spark, tmp_path):
     assert latest_version(spark, root) == 1
 
 
-def test_a_batch_delivered_twice_changes_nothing(spark, tmp_path):
-    root, log = str(tmp_path / "registry"), str(tmp_path / "log")
+def test_a_batch_delivered_twice_changes_nothing(spark, tmp_path, monkeypatch):
+    """The first delivery dies after its version is out; a retry comes in between, and a restart delivers the batch again."""
+    root, log, src, ckpt = (str(tmp_path / n) for n in ("registry", "log", "src", "ckpt"))
     publish_registry(start(spark), root)
-    batch = read_attempts(spark, put(tmp_path, "src/chunk_0.csv", lines(("0", "failed", 1))).rsplit("/", 1)[0]).drop("row_idx")
-    apply_attempt_batch(batch, 0, root, log)
-    once = result(load_registry(spark, root))
-    apply_attempt_batch(batch, 0, root, log)
-    assert result(load_registry(spark, root)) == once
-    assert spark.read.parquet(f"{log}/attempts").count() == 1
+    put(tmp_path, "src/chunk_0.csv", lines(("0", "failed", 1), ("1", "completed", 1)))
+
+    def dies(*args):
+        publish_registry(*args)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(ingest, "publish_registry", dies)
+    with pytest.raises(Exception, match="lost"):
+        ingest_stream(spark, src, root, log, ckpt).awaitTermination()
+    monkeypatch.undo()
+    publish_registry(retry_failed(load_registry(spark, root), NOW), root)
+    before = latest_version(spark, root)
+    ingest_stream(spark, src, root, log, ckpt).awaitTermination()
+    assert latest_version(spark, root) == before
+    assert {r.pmid: r.status for r in load_registry(spark, root).collect()} == {"0": "pending", "1": "completed", "2": "pending", "3": "pending"}
+    put(tmp_path, "src/chunk_1.csv", lines(("0", "completed", 1)))
+    ingest_stream(spark, src, root, log, ckpt).awaitTermination()
+    assert {r.pmid: r.status for r in load_registry(spark, root).collect()}["0"] == "completed"
+
+
+def test_a_batch_that_dies_before_its_version_is_applied_later(spark, tmp_path, monkeypatch):
+    root, log, src, ckpt = (str(tmp_path / n) for n in ("registry", "log", "src", "ckpt"))
+    publish_registry(start(spark), root)
+    put(tmp_path, "src/chunk_5.csv", lines(("0", "failed", 1)))
+
+    def dies(*args):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(ingest, "publish_registry", dies)
+    with pytest.raises(Exception, match="lost"):
+        ingest_stream(spark, src, root, log, ckpt).awaitTermination()
+    monkeypatch.undo()
+    put(tmp_path, "src/chunk_4.csv", lines(("0", "completed", 1)))
+    ingest_stream(spark, src, root, log, ckpt).awaitTermination()
+    assert {r.pmid: r.status for r in load_registry(spark, root).collect()}["0"] == "failed"
 
 
 def test_a_stale_file_does_not_undo_a_retry(spark, tmp_path):
-    root, log = str(tmp_path / "registry"), str(tmp_path / "log")
+    root, log, src, ckpt = (str(tmp_path / n) for n in ("registry", "log", "src", "ckpt"))
     publish_registry(start(spark), root)
 
-    def arrive(n, name, status):
-        folder = put(tmp_path, f"{n}/{name}", lines(("0", status, 1))).rsplit("/", 1)[0]
-        apply_attempt_batch(read_attempts(spark, folder).drop("row_idx"), n, root, log)
+    def arrive(name, status):
+        put(tmp_path, f"src/{name}", lines(("0", status, 1)))
+        ingest_stream(spark, src, root, log, ckpt).awaitTermination()
         return {r.pmid: r.status for r in load_registry(spark, root).collect()}["0"]
 
-    assert arrive(0, "chunk_00005.csv", "failed") == "failed"
+    assert arrive("chunk_00005.csv", "failed") == "failed"
     publish_registry(retry_failed(load_registry(spark, root), NOW), root)
-    assert arrive(1, "chunk_00002.csv", "failed") == "pending"
-    assert arrive(2, "chunk_00006.csv", "completed") == "completed"
-    assert arrive(3, "chunk_00005b.csv", "failed") == "completed"
+    assert arrive("chunk_00002.csv", "failed") == "pending"
+    assert arrive("chunk_00006.csv", "completed") == "completed"
+    assert arrive("chunk_00005b.csv", "failed") == "completed"
+
+
+def test_the_state_store_keeps_one_row_an_id(spark, tmp_path):
+    root, log, src, ckpt = (str(tmp_path / n) for n in ("registry", "log", "src", "ckpt"))
+    publish_registry(start(spark), root)
+    for n in range(2):
+        put(tmp_path, f"src/chunk_{n}.csv", lines(*((str(i % 3), "failed", i) for i in range(30))))
+        query = ingest_stream(spark, src, root, log, ckpt)
+        query.awaitTermination()
+    state = [p["stateOperators"] for p in query.recentProgress if p["stateOperators"]]
+    assert state and state[-1][0]["numRowsTotal"] == 3
 
 
 def test_scan_stream_equals_batch(spark, tmp_path):
@@ -91,17 +133,3 @@ def test_scan_stream_equals_batch(spark, tmp_path):
         scan_stream(spark, str(pdfs), root, str(tmp_path / "ckpt")).awaitTermination()
     found = ids_from_listing(list_files(spark, str(pdfs), PDF_GLOB_ANY_CASE))
     assert result(load_registry(spark, root)) == result(insert_if_absent(empty(spark, REGISTRY), found, NOW))
-
-
-def test_a_batch_of_few_ids_writes_few_buckets(spark, tmp_path):
-    root, log = str(tmp_path / "registry"), str(tmp_path / "log")
-    publish_registry(start(spark, 500), root)
-    for n, status in enumerate(["failed", "completed"]):
-        folder = put(tmp_path, f"{n}/chunk_0000{n}.csv", lines(("7", status, 1), ("8", status, 1))).rsplit("/", 1)[0]
-        apply_attempt_batch(read_attempts(spark, folder).drop("row_idx"), n, root, log)
-        written = spark.read.parquet(f"{root}/rows/v={n + 2}").select("bucket").distinct().count()
-        assert written <= 2
-    rows = {r.pmid: r.status for r in load_registry(spark, root).collect()}
-    assert len(rows) == 500 and rows["7"] == rows["8"] == "completed" and rows["9"] == "pending"
-    assert {r.pmid: r.status for r in load_registry(spark, root, 2).collect()}["7"] == "failed"
-    assert load_registry(spark, root, buckets=[]).count() == 0
