@@ -80,18 +80,38 @@ class Page(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.tags, self.attrs, self.parents, self.items = ["#root"], [{}], [-1], [[]]
         self.open = [0]
+        self.depths: dict[str, list[int]] = {}  # places of a tag's open elements in `open`
         self.feed(html)
         self.close()
 
     def _close(self, tags: frozenset | set, scopes: frozenset | set) -> None:
         """Closes the innermost of these elements, and what is open inside it, unless a scope is in between."""
-        for depth in range(len(self.open) - 1, 0, -1):
-            tag = self.tags[self.open[depth]]
-            if tag in tags:
-                del self.open[depth:]
-                return
-            if tag in scopes:
-                return
+        depth = max((self.depths[t][-1] for t in tags if t in self.depths), default=0)
+        if not depth or any(self.depths[t][-1] > depth for t in scopes if t in self.depths):
+            return
+        for at in self.open[depth:]:
+            places = self.depths[self.tags[at]]
+            places.pop()
+            if not places:
+                del self.depths[self.tags[at]]
+        del self.open[depth:]
+
+    def parse_html_declaration(self, i: int) -> int:
+        """A marked section is a comment up to its end; the library raises at those it does not know."""
+        if self.rawdata.startswith("<![CDATA[", i):
+            end = self.rawdata.find("]]>", i)
+            if end >= 0:
+                return end + 3
+        if self.rawdata.startswith("<![", i):
+            return self.parse_bogus_comment(i, report=0)
+        return super().parse_html_declaration(i)
+
+    def parse_starttag(self, i: int) -> int:
+        # Without an end in sight the library reads all of the rest, again for each tag.
+        return super().parse_starttag(i) if self.rawdata.find(">", i) >= 0 else -1
+
+    def parse_comment(self, i: int, report: int = 1) -> int:
+        return super().parse_comment(i, report) if self.rawdata.find("--", i + 4) >= 0 and self.rawdata.find(">", i) >= 0 else -1
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in CLOSES_P:
@@ -106,6 +126,7 @@ class Page(HTMLParser):
         self.parents.append(self.open[-1])
         self.items.append([])
         if tag not in VOID:
+            self.depths.setdefault(tag, []).append(len(self.open))
             self.open.append(at)
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:

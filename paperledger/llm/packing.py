@@ -6,11 +6,11 @@ are dealt into groups by a hash, about `GROUP` documents each, so that a group's
 each group is packed by itself:
 
 - best fit on descending lengths gives the incumbent;
-- unless that meets the lower bound, bin completion searches for fewer sequences: the largest piece left opens one, the
-  undominated fillings of the rest of it are tried in order of waste, and a branch ends once its waste exceeds what any
-  better solution can waste. The search visits at most `NODES` nodes; the incumbent stands if it finds nothing.
+- unless that meets the lower bound L2, bin completion searches for fewer sequences: the largest piece left opens one, all
+  undominated fillings of the rest of it are tried, and a branch ends once its waste exceeds what any better solution can waste.
+  Only the budget ends the search: `NODES` steps, those that enumerate fillings too. The incumbent stands if it finds nothing.
 
-Null and empty texts are one token, id 0. Rows that repeat are pieces of their own. Groups are dealt by doc_id and content.
+Null and empty texts are one token, id 0. Rows that repeat are pieces of their own. Groups are dealt by doc_id, content and place.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from __future__ import annotations
 import json
 import re
 import zlib
-from bisect import bisect_right, insort
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -32,7 +32,6 @@ CAPACITY = 2048
 END_ID = 0
 GROUP = 20_000
 NODES = 20_000
-WIDTH = 6
 RUN = 100_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -41,7 +40,7 @@ PACKED = f"{PIECES}, sequence_id long, offset long"
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Callable[[str], list[int]]:
-    """text -> ids of a byte-level BPE file of the tokenizers library; strings of special tokens are ordinary text.
+    """text -> ids that the tokenizers library gives for a byte-level BPE file, its special tokens cut out of the text first.
 
     The file's vocabulary orders its merges, so tiktoken gives the same ids from it in a third of the time. Its regex engine
     panics on some 1,000,000 blanks in a row: a text with over `RUN` of them is encoded by the tokenizers library.
@@ -57,13 +56,19 @@ def encoder(path: str) -> Callable[[str], list[int]]:
     plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
     other = [b for b in range(256) if b not in set(plain)]
     byte_of = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
-    special = {t["content"] for t in spec["added_tokens"]}
+    special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+    if any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in spec["added_tokens"]):
+        raise ValueError(f"{path}: special tokens that change the text around them")
     ranks = {bytes(byte_of[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
     fast = tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
+    apart = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
+
     def encode(text: str) -> list[int]:
         if len(text) > RUN and any(m.end() - m.start() > RUN for m in re.finditer(r"\s+", text)):
             return library(path).encode(text, add_special_tokens=False).ids
+        if apart and apart.search(text):
+            return [i for part in apart.split(text) for i in ([special[part]] if part in special else fast(part))]
         return fast(text)
 
     return encode
@@ -73,9 +78,7 @@ def encoder(path: str) -> Callable[[str], list[int]]:
 def library(path: str):
     from tokenizers import Tokenizer
 
-    found = Tokenizer.from_file(path)
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(path)
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
@@ -124,96 +127,116 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def fillings(free: int, distinct: list[int], counts: dict[int, int], width: int) -> list[tuple[int, ...]]:
-    """Undominated fillings of `free` by at most three pieces, least waste first, at most `width` of them.
+def fillings(free: int, sizes: list[int], counts: dict[int, int], spend: Callable[[], bool], taken: int = 0) -> Iterator[tuple[int, ...]]:
+    """Undominated fillings of `free`, one after the other, larger pieces first; `taken` is a piece that is in use.
 
-    One filling dominates another if the other's pieces fit into its pieces: the largest single piece that fits dominates
-    every smaller one and all sets that sum to no more; of two sets of a size the one with larger pieces stays.
+    Sizes are included or left out from the largest that fits downwards. A filling is dominated if one of its subsets can be replaced by a
+    single larger piece that was left out, or by one as large as several: what the piece's bin loses, that subset can take.
+    It ends when `spend` refuses another step.
     """
 
-    def largest(limit: int, used: dict[int, int]) -> int:
-        i = bisect_right(distinct, limit) - 1
-        while i >= 0 and counts[distinct[i]] <= used.get(distinct[i], 0):
-            i -= 1
-        return distinct[i] if i >= 0 else 0
-
-    single = largest(free, {})
-    if not single or single == free:
-        return [(single,) if single else ()]
-    found, most = [(single,)], {1: single}
-    stop = bisect_right(distinct, free)
-    for a in reversed(distinct[max(0, stop - 64):stop]):
-        b = largest(min(a, free - a), {a: 1})
-        if not b or a + b <= single:
+    def there(size: int) -> int:
+        return counts[size] - (size == taken)
+
+    def undominated(chosen: list[int], left: int) -> bool:
+        used: dict[int, int] = {}
+        for size in chosen:
+            used[size] = used.get(size, 0) + 1
+        sums = {0: 0}  # subset sum: pieces of the smallest such subset, but at least two where one would be the piece itself
+        for size in chosen:
+            for total, n in list(sums.items()):
+                sums[total + size] = max(sums.get(total + size, 0), n + 1)
+        for total, n in sums.items():
+            i = bisect_right(sizes, total + left) - 1
+            while i >= 0 and sizes[i] >= total and sizes[i] > 0:
+                if there(sizes[i]) > used.get(sizes[i], 0) and (sizes[i] > total or n > 1):
+                    return False
+                i -= 1
+        return True
+
+    stack: list[tuple[int, int, list[int], int]] = [(len(sizes) - 1, free, [], free + 1)]
+    while stack:
+        top, left, chosen, out = stack.pop()
+        if not spend():
+            return
+        at = min(top, bisect_right(sizes, left) - 1)
+        while at >= 0 and there(sizes[at]) <= 0:
+            at -= 1
+        if at < 0:
+            # A piece left out that still fits dominates.
+            if left < out and undominated(chosen, left):
+                yield tuple(chosen)
             continue
-        if a + b > most.get(2, 0):
-            most[2] = a + b
-            found.append((a, b))
-        c = largest(min(b, free - a - b), {a: 1 + (a == b), b: 1 + (a == b)}) if a + b < free else 0
-        if c and a + b + c > most.get(3, 0):
-            most[3] = a + b + c
-            found.append((a, b, c))
-        if a + b + c == free:
-            break
-    return sorted(found, key=lambda f: (free - sum(f), -f[0]))[:width]
-
-
-def pack(lengths: list[int], capacity: int = CAPACITY, nodes: int = NODES, width: int = WIDTH) -> list[list[int]]:
+        size = sizes[at]
+        stack.append((at - 1, left, chosen, min(out, size)))
+        more = there(size) - chosen.count(size) > 1
+        stack.append((at if more else at - 1, left - size, [*chosen, size], out))
+
+
+def least_bins(lengths: list[int], capacity: int) -> int:
+    """Martello and Toth's lower bound L2: pieces too large to share a bin, and what cannot be put beside them."""
+    total = -(-sum(lengths) // capacity)
+    ascending = sorted(lengths)
+    prefix = [0]
+    for x in ascending:
+        prefix.append(prefix[-1] + x)
+    for k in sorted({x for x in lengths if 2 * x <= capacity} | {0}):
+        over, half, low = (bisect_right(ascending, v) for v in (capacity - k, capacity // 2, k - 1))
+        large, middle = len(ascending) - over, over - half
+        room = middle * capacity - (prefix[over] - prefix[half])
+        total = max(total, large + middle + max(0, -(-(prefix[half] - prefix[low] - room) // capacity)))
+    return total
+
+
+def pack(lengths: list[int], capacity: int = CAPACITY, nodes: int = NODES) -> list[list[int]]:
     """Bins of lengths, each at most the capacity in sum."""
     lengths = sorted(lengths, reverse=True)
     best = best_fit(lengths, capacity)
     total = sum(lengths)
-    lower = max(-(-total // capacity), sum(x > capacity // 2 for x in lengths))
     counts: dict[int, int] = {}
     for x in lengths:
         counts[x] = counts.get(x, 0) + 1
-    distinct = sorted(counts)
-
-    def take(items: tuple[int, ...]) -> None:
-        for x in items:
-            counts[x] -= 1
-            if not counts[x]:
-                distinct.pop(bisect_right(distinct, x) - 1)
+    sizes = sorted(counts)
+    lower = least_bins(lengths, capacity) if lengths else 0
+    visited = 0
 
-    def give(items: tuple[int, ...]) -> None:
-        for x in items:
-            if not counts[x]:
-                insort(distinct, x)
-            counts[x] += 1
+    def spend() -> bool:
+        nonlocal visited
+        visited += 1
+        return visited <= nodes + len(lengths)
 
     # Depth first without recursion: per open bin its content and the fillings of it that are still to be tried.
     stack: list[list] = []
-    wasted, visited, left = 0, 0, total
+    wasted, left = 0, total
 
     def close() -> None:
         """Takes the last bin's content back."""
         nonlocal wasted, left
         content = stack[-1][0]
         if content:
-            give(content)
+            for x in content:
+                counts[x] += 1
             wasted -= capacity - sum(content)
             left += sum(content)
             stack[-1][0] = ()
 
     def down() -> None:
-        x = distinct[-1]
-        take((x,))
-        free = capacity - x
-        options = [(x, *f) for f in fillings(free, distinct, counts, width)]
-        give((x,))
-        stack.append([(), options[::-1]])
-
-    if len(best) > lower and total:
+        at = len(sizes) - 1
+        while not counts[sizes[at]]:
+            at -= 1
+        stack.append([(), ((sizes[at], *f) for f in fillings(capacity - sizes[at], sizes[:at + 1], counts, spend, sizes[at]))])
+
+    if len(best) > lower:
         down()
-    while stack and len(best) > lower and visited < nodes + len(lengths):
-        visited += 1
+    while stack and len(best) > lower and spend():
         close()
         content, options = stack[-1]
-        if not options:
+        choice = next(options, None)
+        if choice is None:
             stack.pop()
             continue
-        choice = options.pop()
-        take(choice)
+        for x in choice:
+            counts[x] -= 1
         stack[-1][0] = choice
         wasted += capacity - sum(choice)
         left -= sum(choice)
@@ -264,7 +287,8 @@ def packed(found: DataFrame, groups: int, capacity: int = CAPACITY, nodes: int =
         if rows:
             yield done()
 
-    group = F.pmod(F.xxhash64("doc_id", "piece", "length", "ids_crc32"), F.lit(groups))
+    # The place tells rows apart that repeat; it is that of the input's files, which a lost task finds again.
+    group = F.pmod(F.xxhash64("doc_id", "piece", "length", "ids_crc32", F.monotonically_increasing_id()), F.lit(groups))
     dealt = found.withColumn("_group", group).repartition("_group").sortWithinPartitions("_group")
     return dealt.withColumn("doc_id", as_text("doc_id")).mapInPandas(place, PACKED)
 

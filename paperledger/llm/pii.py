@@ -4,7 +4,14 @@ A mention is found by pattern and taken apart: an e-mail address into user and h
 an assignment of a secret into its name and its value. What must be replaced is an entity, (kind, value), in a common
 form: lower case for addresses, digits only for numbers. A surrogate is drawn from SHA-512 of key, kind, value and
 attempt, so an entity has one surrogate in all documents. Surrogates are checked: of several entities with one surrogate
-the first keeps it, and none may equal an entity of its kind; the others draw again until nothing collides.
+the first keeps it, and none may equal an entity of its kind; the others draw again until nothing collides. Surrogates grow
+with the attempts, so that it ends: after more attempts than the entities of a kind have digits hardly any draw collides.
+
+Found are: e-mail addresses; phone numbers with + and country code, as (123) 456-7890 and as 123-456-7890; card numbers in four groups
+of four, or 13 to 16 digits in a row with a valid check digit; IPv4 addresses; 123-45-6789; names behind a form of address;
+AWS access keys and values assigned to a password, token, secret or key that hold a letter or digit. Not found are: names
+without a form of address, phone numbers in other forms (+33 1 23 45 67 89, 555.123.4567, 1-555-123-4567), cards in other
+groups, IPv6 addresses, postal addresses, dates of birth.
 
 Surrogates keep the form: digits for digits, letters for letters of their case, hexadecimal for hexadecimal, country codes,
 first digit and Luhn digit of cards, octets of addresses, `example` as domain, separators as written. Given names end by
@@ -34,7 +41,7 @@ FORMS = "|".join(sorted(FEMALE_FORMS + MALE_FORMS + OTHER_FORMS, key=len, revers
 NAME = r"\p{Lu}\p{Ll}+(?:[-'’]\p{Lu}\p{Ll}+)?"
 SECRET_NAME = r"(?i:token|password|passwd|pwd|secret|api[_-]?key|access[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?"
 PATTERNS = {
-    "secret": rf"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{{16}}(?![A-Za-z0-9])|{SECRET_NAME}[\w\-+/=.]{{5,}}[\w\-+/=]",
+    "secret": rf"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{{16}}(?![A-Za-z0-9])|{SECRET_NAME}(?=[_\-+/=.]*[A-Za-z0-9])[\w\-+/=.]{{5,}}[\w\-+/=]",
     "email": r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9][A-Za-z0-9._%+\-]*+@[A-Za-z0-9][A-Za-z0-9.\-]*\.[A-Za-z]{2,}",
     "phone": r"\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)|(?<![\w(])\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\w.-])\d{3}-\d{3}-\d{4}(?![\w-])",
     "card": r"(?<![\w.-])(?:\d{4} \d{4} \d{4} \d{4}|\d{4}-\d{4}-\d{4}-\d{4}|\d{13,16})(?![\w-])",
@@ -73,6 +80,11 @@ def _digits(x: Column) -> Column:
     return F.regexp_replace(x, r"\D", "")
 
 
+def is_number(m: Column) -> Column:
+    """A bare number of a card's length without a card's check digit: no entity."""
+    return F.coalesce(F.when(m.rlike("^[0-9]{13,16}$"), _with_check(F.substring(m, F.lit(1), F.length(m) - 1)) != m), F.lit(False))
+
+
 def kind_of(m: Column) -> Column:
     """The first pattern that the whole mention matches."""
     out = F.lit("name")
@@ -110,7 +122,8 @@ def parts(m: Column) -> Column:
     given = F.concat_ws(":", F.lit("given"), gender, script)
     kind = kind_of(m)
     return (
-        F.when(kind == "email", F.array(piece("email_user", user, user), keep(F.lit("@")), piece("email_host", host, host)))
+        F.when(is_number(m), F.array(keep(m)))
+        .when(kind == "email", F.array(piece("email_user", user, user), keep(F.lit("@")), piece("email_host", host, host)))
         .when(kind == "secret", F.array(keep(F.substring(m, F.lit(1), F.length(m) - F.length(secret))), piece("secret", secret, secret)))
         .when(kind == "phone", F.array(keep(country), piece("phone", _digits(number), number)))
         .when(kind.isin("card", "ssn"), F.array(piece(kind, _digits(m), m)))
@@ -160,8 +173,10 @@ def surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
     top = F.when(F.element_at(labels, -1).isin("com", "net", "org"), F.element_at(labels, -1)).otherwise("org")
     own = F.array_join(F.array_remove(F.slice(labels, F.lit(1), F.greatest(F.size(labels) - 1, F.lit(0))), "example"), ".")
     own = F.when(own == "", "host").otherwise(own)
-    # After some attempts in vain more room is needed.
+    # After some attempts in vain more room is needed: a value grows by a place with each attempt, so that a space which entities
+    # fill, however small its form makes it, is left behind. Numbers keep their length longer: they have a hundred million forms.
     more = F.substring(stream, F.lit(1), F.when(attempt > 3, attempt).otherwise(0))
+    room = F.translate(F.substring(stream, F.lit(65), F.when(attempt > 16, attempt - 16).otherwise(0)), "abcdef", "012345")
     body = F.concat(F.substring(value, 1, 1), F.substring(_shaped(value, stream), F.lit(2), F.length(value) - 2))
     was_valid = _with_check(F.substring(value, F.lit(1), F.length(value) - 1)) == value
     card = F.when(was_valid, _with_check(body)).otherwise(F.concat(body, (_number(stream, F.lit(63)) % 10).cast("string")))
@@ -177,14 +192,14 @@ def surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
     return (
         F.when(kind == "email_user", F.concat(_shaped(value, stream), more))
         .when(kind == "email_host", F.concat(_shaped(own, stream), more, F.lit(".example."), top))
-        .when(kind == "phone", _shaped(value, stream))
-        .when(kind == "card", card)
-        .when(kind == "ssn", F.concat(F.lit("9"), F.substring(_shaped(value, stream), 2, 8)))
-        .when(kind == "ipv4", ip)
-        .when((kind == "secret") & value.rlike("^(?=.*[0-9])[0-9a-f]{8,}$"), hexadecimal)
-        .when((kind == "secret") & value.rlike("^(?=.*[0-9])[0-9A-F]{8,}$"), F.upper(hexadecimal))
+        .when(kind == "phone", F.concat(_shaped(value, stream), room))
+        .when(kind == "card", F.concat(card, room))
+        .when(kind == "ssn", F.concat(F.lit("9"), F.substring(_shaped(value, stream), 2, 8), room))
+        .when(kind == "ipv4", F.concat_ws(".", ip, F.nullif(room, F.lit(""))))
+        .when((kind == "secret") & value.rlike("^(?=.*[0-9])[0-9a-f]{8,}$"), F.concat(hexadecimal, more))
+        .when((kind == "secret") & value.rlike("^(?=.*[0-9])[0-9A-F]{8,}$"), F.upper(F.concat(hexadecimal, more)))
         .when((kind == "secret") & access, F.concat(F.substring(value, 1, 4), _shaped(F.substring(value, 5, 16), stream)))
-        .when(kind == "secret", _shaped(value, stream))
+        .when(kind == "secret", F.concat(_shaped(value, stream), more))
         .otherwise(names)
     )
 
@@ -211,7 +226,9 @@ def _poured(digits: Column, form: Column) -> Column:
         nth = F.length(_digits(F.substring(form, F.lit(1), i + 1)))
         return F.when(c.between("0", "9"), F.substring(digits, nth, F.lit(1))).otherwise(c)
 
-    return F.array_join(F.transform(F.split(form, ""), put), "")
+    # A surrogate that had to grow is longer than the form.
+    rest = F.substring(digits, F.length(_digits(form)) + 1, F.length(digits))
+    return F.concat(F.array_join(F.transform(F.split(form, ""), put), ""), rest)
 
 
 def replace_entities(docs: DataFrame, key: str = KEY) -> DataFrame:
@@ -219,7 +236,8 @@ def replace_entities(docs: DataFrame, key: str = KEY) -> DataFrame:
     columns = [c for c in docs.columns if c not in ("n_entities", "entity_types")]
     text = F.col("row")["text"]
     rows = docs.select(F.struct(*columns).alias("row"))
-    hits = rows.filter(F.size(mentions(text)) > 0).select("row", mentions(text).alias("found"))
+    hit = F.exists(mentions(text), lambda m: ~is_number(m))
+    hits = rows.filter(hit).select("row", mentions(text).alias("found"))
     hits = hits.select("row", "found", F.sha2(text, 256).alias("of"), F.flatten(F.transform("found", parts)).alias("parts"))
 
     def name(part: Column) -> Column:
@@ -248,6 +266,7 @@ def replace_entities(docs: DataFrame, key: str = KEY) -> DataFrame:
         given = [new_text.alias("text") if c == "text" else F.col("row")[c].alias(c) for c in columns]
         return df.select(*given, n.cast("long").alias("n_entities"), kinds.alias("entity_types"))
 
-    clean = rows.filter(F.size(mentions(text)) == 0)
+    clean = rows.filter(~hit)
+    entities = F.filter("found", lambda m: ~is_number(m))
     return result(clean, text, F.lit(0), F.array().cast("array<string>")).unionByName(
-        result(changed, rebuilt, F.size("found"), F.transform("found", kind_of)))
+        result(changed, rebuilt, F.size(entities), F.transform(entities, kind_of)))

@@ -1,3 +1,5 @@
+import re
+import time
 from urllib.parse import urlsplit
 
 import pytest
@@ -31,13 +33,52 @@ def test_blocks(html, want):
     assert text(html) == want
 
 
-@given(st.text(alphabet="<>/pbdiv arcle&;=\"'! -x", max_size=80))
+@given(st.text(alphabet="<>/pbdiv arcle&;=\"'! -x[]?", max_size=80))
 def test_any_markup_parses(html):
     page = h.page(html)
     assert len(page.hashes()) == len(page.tags)
     page.main_text(page.candidates())
 
 
+@pytest.mark.parametrize("html, want", [
+    ("<p>if (a<![b]) then</p>", "if (a"), ("a<![if !IE]>b<![endif]>c", "abc"), ("a<![CDATA[ x > y ]]>b", "ab"), ("<!DOCTYPE [ x><p>a", "a"), ("<p>a <![x", "a <![x"),
+])
+def test_marked_sections_are_comments(html, want):
+    assert text(html) == want
+
+
+@pytest.mark.parametrize("html", [
+    "<b>" * 20_000 + "</i>" * 20_000, "<i><div>" + "<b>" * 20_000 + "</i>" * 20_000, "<a " * 60_000, "<!--" * 50_000, "<![" * 60_000, "</" * 80_000, "<?" * 80_000,
+    "<a \"'<![x]=" * 15_000, "<!" * 80_000, "<p>" * 40_000, "".join(f"<a{i}>" for i in range(20_000)) + "</a1>" * 20_000, "<table><td>" * 15_000,
+])
+def test_any_soup_is_parsed_in_a_moment(html):
+    start = time.perf_counter()
+    found = h.page(html)
+    found.main_text(found.candidates())
+    assert time.perf_counter() - start < 6
+
+
+def test_one_bad_page_leaves_all_rows(spark):
+    rows = [(i, "http://a.example", f"<article><p>Text {i}</p></article>") for i in range(20)] + [(20, "http://a.example", "<p>if (a<![b]) then</p>")]
+    got = {r.page_id: r.text for r in h.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {**{i: f"Text {i}" for i in range(20)}, 20: "if (a"}
+
+
+def test_templates_of_pages_without_articles(spark):
+    """Given pages whose names are gone, boxes around the text are found by counting alone."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url", "html").collect()
+    want = {r.page_id: h.page(r.html).main_text(set()) for r in pages}
+    bare = [(r.page_id, "http://one.example/", re.sub(r"(?s)<script.*?</script>|<style.*?</style>|<head.*?</head>", "", re.sub(r"(?i)<(/?)(article|main|header|footer|nav|aside)\b[^>]*>", r"<\1div>", r.html))) for r in pages]
+    bare = [(i, u, re.sub(r' (class|id|role)="[^"]*"', "", x)) for i, u, x in bare]
+    got = {r.page_id: r.text for r in h.main_texts(spark.createDataFrame(bare, "page_id long, url string, html string")).collect()}
+    hit = found = total = 0
+    for i, text_of in want.items():
+        a, b = set(got[i].split("\n\n")), set(text_of.split("\n\n"))
+        hit, found, total = hit + len(a & b), found + len(a), total + len(b)
+    print("precision", hit / found, "recall", hit / total)
+    assert hit / total > 0.95 and hit / found > 0.5
+
+
 def site():
     """A host whose pages share a box and a list that no name gives away, one with few pages, and copies of one page."""
     box, links = "<div class=x1><p>Shared box</p></div>", "<ul><li>Home</li><li>About</li></ul>"

@@ -18,7 +18,6 @@ TEXTS = [
 
 def library():
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     return lambda text: t.encode(text, add_special_tokens=False).ids
 
 
@@ -34,6 +33,16 @@ def test_ids_of_any_text(text):
     assert p.encoder(PATH)(text) == library()(text)
 
 
+def test_special_tokens_are_tokens():
+    assert p.encoder(PATH)("hello <|endoftext|> world") == library()("hello <|endoftext|> world") == [31373, 220, 50256, 995]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|endof", "text|>", " ", "a", "\n", "<|"])).map("".join))
+def test_ids_around_special_tokens(text):
+    assert p.encoder(PATH)(text) == library()(text)
+
+
 @pytest.mark.parametrize("run", [" " * 1_200_000, "\n" * 2_000_000, "\u3000 \t" * 400_000, " " * 100_000, "\x1f " * 600_000])
 def test_long_white_space(run):
     ours, theirs = p.encoder(PATH), library()
@@ -70,6 +79,32 @@ def test_completion_beats_best_fit():
     assert len(p.pack(lengths, capacity)) == 3 <= len(p.best_fit(sorted(lengths, reverse=True), capacity))
 
 
+def test_a_bin_of_five_is_found():
+    assert len(p.pack([31, 20, 16, 16, 14, 12, 9, 4], 61)) == 2
+
+
+def test_perfect_instances_are_solved():
+    """Bins of 4 to 6 pieces without waste, of which best fit misses many."""
+    rng = np.random.default_rng(1)
+    missed = solved = 0
+    for _ in range(400):
+        k = int(rng.integers(2, 5))
+        lengths = []
+        for _ in range(k):
+            cuts = np.sort(rng.choice(np.arange(1, 100), int(rng.integers(3, 6)), replace=False))
+            lengths += np.diff([0, *cuts, 100]).tolist()
+        if len(p.best_fit(sorted(lengths, reverse=True), 100)) > k:
+            missed += 1
+            solved += len(p.pack(lengths, 100)) == k
+    assert missed > 50 and solved == missed
+
+
+def test_identical_rows_are_dealt_to_all_groups(spark):
+    docs = spark.createDataFrame([(1, "the same words")] * 2000, "doc_id long, text string")
+    groups = p.best_fit_packing(docs, PATH, group=200).selectExpr("sequence_id >> 36 AS g").groupBy("g").count().collect()
+    assert len(groups) == 10 and max(r["count"] for r in groups) < 400
+
+
 def test_documents_come_back_whole(spark):
     texts = [*TEXTS, None, "same", "same", *(" ".join(f"w{i}" for i in range(n)) for n in range(1, 1500, 37))]
     rows = [(i if i != 3 else None, t, 1, "x") for i, t in enumerate(texts)]

@@ -42,7 +42,7 @@ def test_forms_are_kept_and_originals_gone(spark):
 
 
 def test_clean_and_empty_texts_stay(spark):
-    texts = ["", None, " \n", "Version 2.0, 3 parts: a = b", "1.2.3 and 1.2.3.4.5", "user@ host", "12345678901234567890", "Drive Mister Sr", "né\U0001f600 "]
+    texts = ["", None, " \n", "Version 2.0, 3 parts: a = b", "1.2.3 and 1.2.3.4.5", "user@ host", "12345678901234567890", "id 4405240589021365", "Password: ______", "token=------", "secret: .......", "pwd ========", "Drive Mister Sr", "né\U0001f600 "]
     got = rewritten(spark, texts)
     assert [got[i].text for i in range(len(texts))] == texts
     assert all(r.n_entities == 0 and r.entity_types == [] for r in got.values())
@@ -74,3 +74,46 @@ def test_long_texts_and_repeated_rows(spark):
     assert sorted(r.n_entities for r in got) == [1, 20, 20]
     assert all("mail7" not in r.text and "7713" not in r.text for r in got)
     assert replace_entities(docs.filter(F.lit(False))).collect() == []
+
+
+def test_values_that_fill_their_space_end(spark):
+    """All that a form allows is taken by entities: surrogates must leave it."""
+    rows = [("secret", f"_____{c}") for c in "0123456789"] + [("secret", f"-----{c}") for c in "abcdefghijklmnopqrstuvwxyz"]
+    rows += [("email_user", c) for c in "0123456789"] + [("phone", "12345678"), ("ipv4", "1.1.1.1"), ("ssn", "123456789"), ("card", "4405240589021364")]
+    given = surrogates(spark.createDataFrame(rows, "kind string, value string")).collect()
+    assert sorted((r.kind, r.value) for r in given) == sorted(rows)
+    assert len({(r.kind, r.surrogate) for r in given}) == len(rows) and not {(r.kind, r.surrogate) for r in given} & set(rows)
+
+
+def test_a_number_without_check_digit_beside_an_entity_stays(spark):
+    got = rewritten(spark, ["order 4405240589021365, mail a.b@c.org"])[0]
+    assert got.text.startswith("order 4405240589021365, mail ") and got.entity_types == ["email"] and got.n_entities == 1
+
+
+def plain_rewrite(text, new):
+    """The mentions of a text, found by Python's own patterns, replaced one after the other."""
+    kinds = {
+        "secret": r"(?:password|token)\s{0,3}[=:]\s{0,3}[\"']?(?P<secret>[\w\-+/=.]{5,}[\w\-+/=])", "email": r"(?P<user>[a-z0-9.]+)@(?P<host>[a-z0-9.]+\.[a-z]{2,})",
+        "phone": r"\+1 \((?P<a>\d{3})\) (?P<b>\d{3})-(?P<c>\d{4})"}
+
+    def put(m):
+        if m["secret"]:
+            return m[0][:-len(m["secret"])] + new["secret", m["secret"]] if re.search("[A-Za-z0-9]", m["secret"]) else m[0]
+        if m["user"]:
+            return new["email_user", m["user"]] + "@" + new["email_host", m["host"]]
+        digits = iter(new["phone", m["a"] + m["b"] + m["c"]])
+        return "+1 " + re.sub(r"\d", lambda _: next(digits), m[0][3:])
+
+    return re.sub("|".join(kinds.values()), put, text)
+
+
+def test_rewriting_equals_plain_python(spark):
+    words = ["mail", "a.b@c.org", "x9@mail.example.com", "+1 (456) 555-2186", "password: hunter22!", "token=______", "token = f48865c76c86", "end.", "\n", "é"]
+    texts = [" ".join(words[(i * k + j) % len(words)] for j in range(k)) for i in range(1, 8) for k in (1, 3, 7, 10)]
+    got = rewritten(spark, texts)
+    entities = [("email_user", "a.b"), ("email_user", "x9"), ("email_host", "c.org"), ("email_host", "mail.example.com"), ("phone", "4565552186"),
+                ("secret", "hunter22"), ("secret", "f48865c76c86")]
+    given = surrogates(spark.createDataFrame(entities, "kind string, value string")).collect()
+    new = {(r.kind, r.value): r.surrogate for r in given}
+    for i, text in enumerate(texts):
+        assert got[i].text == plain_rewrite(text, new), text
