@@ -123,12 +123,12 @@ def logistic(rows: list[np.ndarray], y: np.ndarray, ratio: np.ndarray, penalty:
 def fit(docs: DataFrame, labels: DataFrame, toxic: int = TOXIC, other: int = OTHER, features: int = FEATURES) -> tuple[np.ndarray, float]:
     """A weight for each of the 2^BITS n-gram hashes, and the bias."""
     ids = F.broadcast(sample(labels, toxic, other))
-    # A doc_id that repeats trains with each of its rows: they are few, as ids are bounded and name documents.
-    train = docs.select("doc_id", "text").join(ids, docs["doc_id"] == ids["label_id"]).select("label_id", "toxic", "text")
+    # A doc_id that repeats trains with the least of its texts: as many rows as there are labelled ids in the sample.
+    train = docs.select("doc_id", "text").join(ids, docs["doc_id"] == ids["label_id"]).groupBy("label_id", "toxic").agg(F.min("text").alias("text"))
     sizes = {int(r["toxic"] == 1): r["n"] for r in train.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     best = chosen(counts(train), sizes.get(1, 0), sizes.get(0, 0), features).toPandas().sort_values("feature")
     kept, ratio = best["feature"].to_numpy(), best["ratio"].to_numpy()
-    rows = present(train, kept).orderBy("label_id", F.xxhash64("features")).toPandas()
+    rows = present(train, kept).toPandas().sort_values("label_id")
     learned, bias = logistic([np.asarray(r, np.int32) for r in rows["features"]], (rows["toxic"] == 1).to_numpy(float), ratio, PENALTY, ROUNDS)
     weights = np.zeros(1 << BITS, np.float32)
     weights[kept] = learned

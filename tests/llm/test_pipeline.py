@@ -98,3 +98,19 @@ def test_run_applies_all_stages(spark, folder):
     assert [name for name, _ in c.STAGES] == ["quality rules", "n-gram jaccard join", "pii", "mixing sources to target weights", "best-fit packing"]
     rows = c.run(spark, folder).collect()
     assert rows and rows[0].asDict().keys() == {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"}
+
+
+def test_columns_of_documents_come_out_as_they_went_in(spark, folder):
+    names = ["_key", "_copy", "_row_", "size", "target", "rate", "copies", "taken", "source_size", "n_entities", "entity_types", "kept", "score", "n_words", "component_id", "row"]
+    docs = spark.read.parquet(f"{folder}/documents.parquet").selectExpr("*", *(f"concat('{n}', doc_id) AS `{n}`" for n in names))
+    for _, stage in c.STAGES[:4]:
+        out = stage(spark, docs, folder)
+        assert out.columns == docs.columns
+        rows = out.collect()
+        assert rows and all(r[n] == f"{n}{r.doc_id}" for r in rows if r.doc_id is not None for n in names)
+
+
+def test_stages_of_an_empty_table(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").filter("false")
+    for _, stage in c.STAGES:
+        assert stage(spark, docs, folder).collect() == []
