@@ -23,14 +23,25 @@ from paperledger.session import shared_dir
 ORACLE_SQL = None
 
 
+def carried(docs: DataFrame, *columns: str) -> DataFrame:
+    """The columns a stage works on, and the whole row as one column, so that no column of documents meets one of the stage's own."""
+    return docs.select(*columns, F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"))
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and the likelihood ratio."""
-    judged = quality(docs, table(spark, sf_dir, "labels"), columns=docs.columns)
-    return judged.filter("kept").select(docs.columns)
+    """Documents that pass the base rules and the likelihood ratio.
+
+    Texts that are null or empty have too few words and go. Rows that repeat are judged each, alike. An empty table gives no rows.
+    """
+    judged = quality(carried(docs, "doc_id", "text"), table(spark, sf_dir, "labels"), columns=["_row"])
+    return judged.filter("kept").select("_row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of alike documents the row with the smallest doc_id, then text hash, once; and all rows without a doc_id."""
+    """Of each group of alike documents the row with the smallest doc_id, then text hash, once; and all rows without a doc_id.
+
+    Texts without words are like no other; such rows stay, those with one doc_id once. An empty table gives no rows.
+    """
     key = ["doc_id", "_key"]
     found = first_rows(docs).filter("doc_id IS NOT NULL").checkpoint()
     gone = found.filter("doc_id <> first.doc_id OR _key <> first._key").select(key).distinct()
@@ -42,24 +53,37 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
         return rows.join(ids, (rows["doc_id"] == ids["_doc_id"]) & (rows["_key"] == ids["_text"]), how)
 
     # Null ids match nothing, so their rows stay.
-    left = matched(docs.withColumn("_key", text_key(docs["text"])), gone, "left_anti")
+    left = matched(carried(docs, "doc_id").withColumn("_key", text_key(F.col("_row.text"))), gone, "left_anti")
     once = matched(left, again, "left_semi").dropDuplicates(key)
-    return matched(left, again, "left_anti").unionByName(once).select(docs.columns)
+    return matched(left, again, "left_anti").unionByName(once).select("_row.*")
 
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with surrogates for personal data and secrets, and their new length."""
-    rewritten = replace_entities(docs).withColumn("n_chars", F.when(F.col("n_entities") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return rewritten.select(docs.columns)
+    """Documents with surrogates for personal data and secrets, and their new length.
+
+    A null text stays null, a text without mentions stays as it is. Rows that repeat are rewritten alike. An empty table gives no rows.
+    """
+    rewritten = replace_entities(carried(docs, "text"))
+    changed = {"text": F.col("text")}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.when(F.col("n_entities") > 0, F.length("text").cast("long")).otherwise(F.col("_row.n_chars"))
+    return rewritten.select(*(changed.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
-    return repeated(mix(docs), docs.columns)
+    """Documents as often as the mix takes them.
+
+    A null source is one of its own. Texts without words weigh nothing; a source of such texts only is not taken. Rows that repeat
+    draw each for themselves. An empty table gives no rows.
+    """
+    return repeated(mix(carried(docs, "doc_id", "text", "source")), ["_row"]).select("_row.*")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in their sequences."""
+    """Pieces of documents in their sequences.
+
+    Null and empty texts are one token. Rows that repeat are packed each. An empty table gives no rows.
+    """
     return best_fit_packing(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
