@@ -19,7 +19,7 @@ from paperledger.session import shared_dir
 from paperledger.sources.attempts import CHUNK_PATTERN, read_attempts, read_results, write_attempts, write_merged
 from paperledger.sources.content import write_by_prefix
 from paperledger.sources.csv_files import FILE_ORDER
-from paperledger.sources.listings import OUTPUT_GLOB, PDF_GLOB_ANY_CASE, ids_from_listing, list_files, outputs_from_listing
+from paperledger.sources.listings import OUTPUT_GLOB, PDF_GLOB_ANY_CASE, ids_from_listing, list_tree, outputs_from_listing
 from paperledger.sources.manifests import read_manifest, write_manifest
 from paperledger.sources.snapshots import load_registry, publish_registry, query_registry
 
@@ -42,7 +42,7 @@ class Ledger:
         return self._publish(ops.insert_if_absent(self.registry(), new, as_of, FILE_ORDER), "init")
 
     def scan_pdfs(self, pdf_dir: str, as_of: datetime) -> int:
-        found = ids_from_listing(list_files(self.spark, pdf_dir, PDF_GLOB_ANY_CASE))
+        found = ids_from_listing(list_tree(self.spark, pdf_dir, PDF_GLOB_ANY_CASE))
         return self._publish(ops.insert_if_absent(self.registry(), found, as_of, ("pdf_path",)), "scan_pdfs")
 
     def update(self, results: str, as_of: datetime) -> int:
@@ -62,14 +62,14 @@ class Ledger:
         return merge_summary(attempts)
 
     def scan_outputs(self, output_dir: str, as_of: datetime) -> int:
-        outputs = outputs_from_listing(list_files(self.spark, output_dir, OUTPUT_GLOB))
+        outputs = outputs_from_listing(list_tree(self.spark, output_dir, OUTPUT_GLOB))
         return self._publish(ops.complete_from_outputs(self.registry(), outputs, as_of), "scan_outputs")
 
     def retry_failed(self, as_of: datetime) -> int:
         return self._publish(ops.retry_failed(self.registry(), as_of), "retry_failed")
 
     def update_sizes(self, pdf_dir: str) -> int:
-        return self._publish(ops.backfill_sizes(self.registry(), list_files(self.spark, pdf_dir)), "update_sizes")
+        return self._publish(ops.backfill_sizes(self.registry(), list_tree(self.spark, pdf_dir)), "update_sizes")
 
     def demote_missing(self, output_dir: str, as_of: datetime) -> int:
         """Fail what claims to be complete and has no output; where the recorded output is there, that counts.
@@ -77,7 +77,7 @@ class Ledger:
         A recorded path stands for its file or, as `process` writes them, for the folder that holds it. Records of
         outputs elsewhere are not this folder's to judge.
         """
-        listing = list_files(self.spark, output_dir)
+        listing = list_tree(self.spark, output_dir)
         outputs = outputs_from_listing(listing).select("pmid")
         registry = self.registry()
         places = listing.select("path").unionByName(listing.select(parent_dir("path").alias("path"))).distinct()

@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import os
+import re
+import uuid
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paperledger.functions.paths import CONTENT_LIST_NAME, parent_dir, with_output_path, without_scheme
 from paperledger.functions.text import file_name, id_from_name, stem, strip_suffix
 from paperledger.schema import LISTING
+from paperledger.session import shared_dir
 
 PDF_GLOB = "*.pdf"
 PDF_GLOB_ANY_CASE = "*.[pP][dD][fF]"
@@ -28,6 +35,78 @@ def list_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     )
 
 
+# The schemes that a task can list itself.
+TREE_SCHEMES = ("", "file", "hdfs", "viewfs", "s3", "gs", "gcs")
+ENTRY = "path string, length long, is_dir boolean"
+DIRS_PER_TASK = 64
+
+
+def _entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """What lies directly in each folder. As for Spark's reader, names that begin with `.` or `_` are hidden, links are followed."""
+    from pyarrow import fs
+
+    def row(prefix: str, at: fs.FileInfo) -> tuple:
+        return f"{prefix}{at.path}", at.size if at.is_file else None, not at.is_file
+
+    def shown(at: fs.FileInfo) -> bool:
+        name = at.base_name
+        hidden = name.startswith(".") or name.startswith("_") and "=" not in name
+        return at.type != fs.FileType.NotFound and not hidden and not name.endswith("._COPYING_")
+
+    for batch in batches:
+        for path in batch["path"]:
+            local = re.match(r"^(?:file:)?/", path) is not None
+            if local:
+                system, inner, prefix = fs.LocalFileSystem(), re.sub(r"^file:/+", "/", path), ""
+            else:
+                system, inner = fs.FileSystem.from_uri(path)
+                prefix = path[: len(path) - len(inner)] if path.endswith(inner) else ""
+            here = os.path.realpath(inner) if local else ""
+            found = [at for at in system.get_file_info(fs.FileSelector(inner)) if shown(at)]
+            if local:  # a link to a folder above would never end
+                found = [at for at in found if at.is_file or not (os.path.islink(at.path) and f"{here}/".startswith(os.path.realpath(at.path).rstrip("/") + "/"))]
+            for start in range(0, len(found), 10_000):
+                yield pd.DataFrame([row(prefix, at) for at in found[start:start + 10_000]], columns=["path", "length", "is_dir"]).astype({"length": "Int64"})
+
+
+def glob_pattern(glob: str) -> str:
+    """A file name glob (`*`, `?`, `[…]`, `{a,b}`) as a regular expression."""
+    out, depth, inside = "", 0, False
+    for c in glob:
+        if inside:
+            out, inside = out + c, c != "]"
+        elif c == "[":
+            out, inside = out + c, True
+        elif c in "{}":
+            depth += 1 if c == "{" else -1
+            out += "(?:" if c == "{" else ")"
+        else:
+            out += {"*": ".*", "?": "."}.get(c) or ("|" if c == "," and depth else re.escape(c))
+    return f"(?s)^{out}$"
+
+
+def list_tree(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
+    """What `list_files` gives, listed by tasks: level by level, until a level holds no folder.
+
+    A level's folders are dealt to tasks, and what they hold is written to the shared folder, so that the driver counts
+    folders and holds no file. One folder is one task's, whatever it holds. Stores that only Spark's readers reach are left to
+    `list_files`.
+    """
+    if re.sub(r":.*", "", root) not in TREE_SCHEMES and not root.startswith("/"):
+        return list_files(spark, root, glob)
+    folder, levels = f"{shared_dir(spark)}/tree-{uuid.uuid4().hex}", 0
+    level, n = spark.createDataFrame([(root.rstrip("/") or "/",)], "path string"), 1
+    while n:
+        width = max(min(n, spark.sparkContext.defaultParallelism), n // DIRS_PER_TASK)
+        level.repartition(width).mapInPandas(_entries, ENTRY).write.parquet(f"{folder}/{levels}")
+        level = spark.read.schema(ENTRY).parquet(f"{folder}/{levels}").filter("is_dir").select("path")
+        levels, n = levels + 1, level.count()
+    files = spark.read.schema(ENTRY).parquet(*(f"{folder}/{i}" for i in range(levels))).filter("NOT is_dir")
+    if glob != "*":
+        files = files.filter(file_name("path").rlike(glob_pattern(glob)))
+    return files.select(without_scheme("path").alias("path"), "length")
+
+
 def write_listing(listing: DataFrame, path: str) -> None:
     listing.select(*LISTING.names).write.mode("overwrite").parquet(path)
 
@@ -39,7 +118,7 @@ def with_stem_id(listing: DataFrame) -> DataFrame:
 
 def discover_pdfs(spark: SparkSession, root: str) -> DataFrame:
     """`*.pdf`, in that case only, with the stem as id, ordered by path."""
-    return with_stem_id(list_files(spark, root, PDF_GLOB)).orderBy("pdf_path")
+    return with_stem_id(list_tree(spark, root, PDF_GLOB)).orderBy("pdf_path")
 
 
 def ids_from_listing(listing: DataFrame, pattern: str | None = None) -> DataFrame:

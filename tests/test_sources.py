@@ -141,6 +141,30 @@ def test_listings(spark, tmp_path):
     assert all(r.pdf_path.startswith(str(tmp_path)) for r in found.collect())
 
 
+def test_tree_listing_equals_the_reader(spark, tmp_path):
+    root = tmp_path / "t r%20é#"
+    for name in ("a/b/1 x.pdf", "a/ü;[1].PDF", "a/b/c/d/e/2.md", "x=1/3_content_list.json", "_hidden/4.pdf", ".git/5.pdf", "_x=2/6.pdf", "_metadata", "7._COPYING_", "8", "a/new\nline.pdf"):
+        put(root, name, name)
+    (root / "empty/inner").mkdir(parents=True)
+    (root / "far").symlink_to(put(tmp_path, "far/9.pdf", "nine").rsplit("/", 1)[0])
+    (root / "10.pdf").symlink_to(root / "8")
+    (root / "gone.pdf").symlink_to(root / "nowhere")
+    rows = lambda df: sorted((r.path, r.length) for r in df.collect())
+    for glob in ("*", "*.pdf", listings.PDF_GLOB_ANY_CASE, listings.OUTPUT_GLOB, "?.pdf"):
+        want = rows(listings.list_files(spark, str(root), glob))
+        assert rows(listings.list_tree(spark, str(root), glob)) == want and want, glob
+        assert rows(listings.list_tree(spark, f"file://{root}/", glob)) == want
+    (root / "a/loop").symlink_to(root)
+    assert rows(listings.list_tree(spark, str(root))) == rows(listings.list_tree(spark, f"file:{root}"))
+
+
+def test_tree_listing_keeps_no_file_in_the_driver(spark, tmp_path):
+    for i in range(300):
+        put(tmp_path / "t", f"{i % 17}/{i}.pdf", "x")
+    found = listings.list_tree(spark, str(tmp_path / "t"))
+    assert found.count() == 300 and len(found.inputFiles()) < 60 and not any(f.endswith(".pdf") for f in found.inputFiles())
+
+
 def test_listing_reads_no_content(spark, tmp_path):
     put(tmp_path, "1.pdf", "abc")
     plan = listings.list_files(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
@@ -159,6 +183,17 @@ def test_outputs_and_content_lists(spark, tmp_path):
     assert [(r.pmid, r.seq, r.type, r.error) for r in rows if r.error] == [("paper", None, None, content.NOT_A_LIST)]
 
 
+def test_unknown_fields_of_elements_survive(spark, tmp_path):
+    body = '[{"type":"table","table_body":"<td>1</td>","table_caption":["a","b"],"text_level":"x","bbox":[1,2]},{"type":"equation","text":5}]'
+    put(tmp_path, "1_content_list.json", body)
+    rows = content.read_content_lists(spark, str(tmp_path)).orderBy("seq")
+    got = rows.select("type", "text", "text_level", content.element_field("table_body").alias("body"), content.element_field("table_caption", "array<string>").alias("caption")).collect()
+    assert [tuple(r) for r in got] == [("table", None, None, "<td>1</td>", ["a", "b"]), ("equation", "5", None, None, None)]
+    content.write_by_prefix(rows, str(tmp_path / "out"))
+    kept = content.read_by_prefix(spark, str(tmp_path / "out"), schema=rows.schema)
+    assert sorted(r[0] or "" for r in kept.select(content.element_field("table_body")).collect()) == ["", "<td>1</td>"]
+
+
 def test_content_lists_of_other_shapes(spark):
     lists = [None, "", "5", "[1]", '{"type": "text"}', "[]", "[null]", '[{"type": "text"}]', '[{"type": "text"}']
     df = spark.createDataFrame(list(enumerate(lists)), "id int, content string")
@@ -176,6 +211,18 @@ def test_logs(spark, tmp_path):
     assert (attempt.pmid, attempt.chunk_file, attempt.node_prefix) == ("12657658", "chunk_00007", "cn23")
 
 
+def test_runs_of_one_chunk_stay_apart(spark, tmp_path):
+    put(tmp_path, "swarm_1_7.o", "on cn2355\n[1/3] ✓ a (21.5s)\n[2/3] ✗ b (3.0s)\n  Error: tool\n    at line 2\nTraceback\n[3/3] ✓ c (9.0s)\n" + "-" * 60 + "\nCompleted: 2\n"
+        "[1/3] Skipping a (already processed)\n[2/3] ✓ b (40.0s)\n[3/3] Skipping c (already processed)\n" + "-" * 60 + "\nFailed: 0\n")
+    put(tmp_path, "swarm_2_7.o", "[2/3] ✗ b (1.0s)\n")
+    rows = logs.log_attempts(logs.read_logs(spark, str(tmp_path))).orderBy("row_idx").collect()
+    assert [(r.pmid, r.run, r.status, r.detail) for r in rows] == [
+        ("a", 0, "completed", None), ("b", 0, "failed", "  Error: tool\n    at line 2\nTraceback"), ("c", 0, "completed", None),
+        ("b", 1, "completed", None), ("b", 2, "failed", None)]
+    last = keep_last(logs.log_attempts(logs.read_logs(spark, str(tmp_path))))
+    assert {r.pmid: (r.run, r.processing_time) for r in last.collect()} == {"a": (0, 21.5), "b": (2, 1.0), "c": (0, 9.0)}
+
+
 def test_gpu_samples(spark, tmp_path):
     put(tmp_path, "s.csv", "cn1, Tesla V100-SXM2-32GB-LS with more, 97, 60, 250.1, 100, 16280\n")
     row = logs.read_gpu_samples(spark, str(tmp_path)).first()

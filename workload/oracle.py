@@ -407,13 +407,21 @@ ORACLE = {
         FROM fx_logs WHERE regexp_matches(line, '^\[(\d+)/(\d+)\] (✓|✗) (\S+) \(([\d.]+)s\)')""",
     "log_attempts": r"""
         WITH named AS (SELECT chunk_no, arg_min(substr(regexp_extract(line, 'cn[0-9]+'), 1, 4), line_no) AS node_prefix
-                       FROM fx_logs WHERE regexp_matches(line, 'cn[0-9]') GROUP BY chunk_no)
+                       FROM fx_logs WHERE regexp_matches(line, 'cn[0-9]') GROUP BY chunk_no),
+             told AS (SELECT *, CAST(nullif(regexp_extract(line, '^\[(\d+)/\d+\] ', 1), '') AS BIGINT) AS n FROM fx_logs),
+             counted AS (SELECT *, lag(n) OVER (PARTITION BY chunk_no ORDER BY line_no) AS before FROM told WHERE n IS NOT NULL),
+             runs AS (SELECT chunk_no, line_no, line, n, sum(CASE WHEN n <= before THEN 1 ELSE 0 END) OVER (PARTITION BY chunk_no ORDER BY line_no) AS run,
+                             lead(line_no) OVER (PARTITION BY chunk_no ORDER BY line_no) AS next FROM counted),
+             details AS (SELECT r.chunk_no, r.line_no, string_agg(t.line, chr(10) ORDER BY t.line_no) AS detail
+                         FROM runs r JOIN told t ON t.chunk_no = r.chunk_no AND t.n IS NULL AND t.line_no > r.line_no AND (r.next IS NULL OR t.line_no < r.next)
+                         GROUP BY r.chunk_no, r.line_no)
         SELECT regexp_extract(line, '. (\S+) \(([\d.]+)s\)', 1) AS pmid,
                CASE WHEN contains(line, '✓') THEN 'completed' ELSE 'failed' END AS status,
                CAST(regexp_extract(line, '\(([\d.]+)s\)', 1) AS DOUBLE) AS processing_time,
                'chunk_' || lpad(CAST(l.chunk_no AS VARCHAR), 5, '0') AS chunk_file,
-               CAST(regexp_extract(line, '^\[(\d+)', 1) AS BIGINT) AS row_idx, node_prefix
-        FROM fx_logs l LEFT JOIN named n ON n.chunk_no = l.chunk_no WHERE contains(line, '✓') OR contains(line, '✗')""",
+               CAST(run AS BIGINT) * 4294967296 + n AS row_idx, CAST(run AS BIGINT) AS run, detail, node_prefix
+        FROM runs l LEFT JOIN named m ON m.chunk_no = l.chunk_no LEFT JOIN details d ON d.chunk_no = l.chunk_no AND d.line_no = l.line_no
+        WHERE contains(line, '✓') OR contains(line, '✗')""",
     "chunk_nodes": """
         WITH named AS (SELECT chunk_no, line_no, regexp_extract(line, 'cn[0-9]+') AS node FROM fx_logs WHERE regexp_matches(line, 'cn[0-9]'))
         SELECT chunk_no, arg_min(node, line_no) AS node, substr(arg_min(node, line_no), 1, 4) AS node_prefix FROM named GROUP BY chunk_no""",
@@ -424,8 +432,8 @@ ORACLE = {
         FROM pages p LEFT JOIN n ON n.page_id = p.page_id""",
     "text_elements": f"WITH {_LINES} SELECT doc_id, seq, 'text' AS type, text FROM kept",
     "content_elements": f"""WITH {_PAGE}
-        SELECT page_id, seq, type, text, CAST(0 AS BIGINT) AS page_idx, CAST(NULL AS VARCHAR) AS error FROM elements
-        UNION ALL SELECT page_id, NULL, NULL, NULL, NULL, 'content list is no JSON array of objects' FROM pages WHERE length(url) % 7 = 0""",
+        SELECT page_id, seq, type, text, CAST(0 AS BIGINT) AS page_idx, 'page ' || page_id AS img_caption, CAST(NULL AS VARCHAR) AS error FROM elements
+        UNION ALL SELECT page_id, NULL, NULL, NULL, NULL, NULL, 'content list is no JSON array of objects' FROM pages WHERE length(url) % 7 = 0""",
     "extracted_elements": f"""WITH {_LINES}, n AS (SELECT doc_id, count(*) AS n FROM kept GROUP BY doc_id)
         SELECT CAST(d.doc_id AS VARCHAR) AS pmid, CASE WHEN n.n > 0 THEN 'completed' ELSE 'failed' END AS status,
                CASE WHEN n.n IS NULL THEN 'No output files generated' END AS error_msg, 'pipeline' AS backend, coalesce(n.n, 0) AS n_elements
@@ -441,5 +449,18 @@ ORACLE = {
                CASE WHEN listed THEN n ELSE 0 END AS n_elements
         FROM todo""",
     "output_by_prefix": "SELECT substr(pmid, 1, 3) AS prefix, count(*) AS n FROM fx_manifest GROUP BY 1",
+    "discovered_pdfs": "SELECT pmid, substr(pmid, 1, 3) || '/' || pmid || '.pdf' AS pdf_path FROM fx_manifest WHERE file_size >= 900000",
+    "registry_tsv": "SELECT pmid, status, error_msg, CAST(file_size AS VARCHAR) AS file_size FROM fx_registry",
+    "older_registry": """
+        SELECT r.pmid, CAST(NULL AS BIGINT) AS size_1, min(l.length) AS size_2
+        FROM fx_registry r LEFT JOIN fx_listing l ON l.path = r.pdf_path GROUP BY r.pmid""",
+    "time_bands": """
+        SELECT CASE WHEN status = 'failed' THEN 'failed' WHEN pmid IN (SELECT pmid FROM fx_outputs) THEN 'success' ELSE 'silent' END AS outcome,
+               count(*) AS attempts, min(processing_time) AS min_time, max(processing_time) AS max_time, TRUE AS within
+        FROM fx_attempts WHERE status IN ('completed', 'failed') AND processing_time IS NOT NULL GROUP BY 1""",
+    "sketched_audit": f"""WITH {_PAIRS}
+        SELECT count(*) FILTER (WHERE recorded) AS completed, count(*) FILTER (WHERE has_output) AS with_output,
+               count(*) FILTER (WHERE recorded AND has_output) AS overlap, count(*) FILTER (WHERE recorded AND NOT has_output) AS missing,
+               count(*) FILTER (WHERE has_output AND NOT recorded) AS unrecorded FROM flags""",
     "registry_query": "SELECT status, count(*) AS n, count(json_path) AS with_json FROM fx_registry GROUP BY status",
 }

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paperledger.functions.paths import with_output_path
@@ -395,6 +397,33 @@ def time_by_outcome(spark, sf):
     return audit.time_by_outcome(view(spark, sf, "fx_attempts"), view(spark, sf, "fx_outputs"))
 
 
+@query
+def time_bands(spark, sf):
+    """Times from sketches kept by run and merged; `within` tells that each band lies where it should among all attempts."""
+    attempts = view(spark, sf, "fx_attempts").withColumn("run_id", F.coalesce("backend", F.lit("none")))
+    outputs = view(spark, sf, "fx_outputs")
+    path = f"{scratch(spark)}/times"
+    audit.time_sketches(attempts, outputs).write.parquet(path)
+    bands = audit.time_bands(spark.read.parquet(path))
+    ranked = bands.select("outcome", "attempts", F.explode(F.arrays_zip(F.col("bands"), F.array(*map(F.lit, audit.BANDS)).alias("rank"))).alias("b"))
+    ranked = ranked.select("outcome", "attempts", F.col("b.bands").alias("band"), F.col("b.rank").alias("rank"))
+    below = audit.timed_outcomes(attempts, outputs).join(ranked, "outcome").groupBy("outcome", "attempts", "rank").agg(
+        F.count_if(F.col("processing_time") <= F.col("band")).alias("n"))
+    within = below.groupBy("outcome").agg(F.bool_and(F.abs(F.col("n") / F.col("attempts") - F.col("rank")) <= 0.01 + 1 / F.col("attempts")).alias("within"))
+    return bands.drop("bands").join(within, "outcome")
+
+
+@query
+def sketched_audit(spark, sf):
+    """The audit from theta sketches of two runs, each kept as one row."""
+    path = f"{scratch(spark)}/sketches"
+    attempts, outputs = view(spark, sf, "fx_attempts"), view(spark, sf, "fx_outputs")
+    first = F.coalesce(F.col("backend") == "pipeline", F.lit(False))
+    for run, of, where in (("first", attempts.filter(first), "pmid < '5'"), ("second", attempts.filter(~first), "pmid >= '5'")):
+        audit.audit_sketches(of, outputs.filter(where), run).write.mode("append").parquet(path)
+    return audit.sketched_audit(spark.read.parquet(path))
+
+
 # --- comparisons -----------------------------------------------------------------------
 
 @query
@@ -507,15 +536,49 @@ def text_elements(spark, sf):
     return content.text_elements(table(spark, sf, "documents")).select("doc_id", "seq", "type", "text")
 
 
+def _tree(spark, files: DataFrame) -> str:
+    """A new folder with a file for each row (`path`, `body`), written by the tasks that hold the rows."""
+    root = f"{scratch(spark)}/tree"
+
+    def put(batches):
+        from pyarrow import fs
+
+        system, inner = fs.FileSystem.from_uri(re.sub("^file:/+", "/", root))
+        n = 0
+        for batch in batches:
+            for path, body in zip(batch["path"], batch["body"]):
+                system.create_dir(f"{inner}/{path}".rsplit("/", 1)[0])
+                with system.open_output_stream(f"{inner}/{path}") as out:
+                    out.write((body or "").encode())
+            n += len(batch)
+        yield pd.DataFrame({"n": [n]})
+
+    files.select("path", "body").repartition(_slots(spark)).mapInPandas(put, "n long").collect()
+    return root
+
+
 @query
 def content_elements(spark, sf):
-    """Content lists written as JSON arrays, read back as element rows; some lists are broken."""
+    """Content lists as files, read as element rows with a field that no column is made for; some lists are broken."""
     pages = table(spark, sf, "pages")
-    path = f"{scratch(spark)}/content"
-    broken = pages.filter("length(url) % 7 = 0").select("page_id", F.lit('{"type": "text"}').alias("content"))
-    content.page_content(pages).unionByName(broken).write.parquet(path)
-    rows = content_io.explode_content(spark.read.parquet(path), "content")
-    return rows.select("page_id", "seq", "type", "text", F.col("page_idx").cast("long").alias("page_idx"), "error")
+    captioned = F.transform(content.html_elements("html"), lambda e: e.withField("img_caption", F.concat(F.lit("page "), F.col("page_id"))))
+    name = F.concat(F.col("page_id"), F.lit("_content_list.json"))
+    lists = pages.select(name.alias("path"), F.to_json(captioned).alias("body"))
+    broken = pages.filter("length(url) % 7 = 0").select(F.concat(F.lit("broken/"), name).alias("path"), F.lit('{"type": "text"}').alias("body"))
+    rows = content_io.read_content_lists(spark, _tree(spark, lists.unionByName(broken)))
+    return rows.select(
+        F.col("pmid").cast("long").alias("page_id"), "seq", "type", "text", F.col("page_idx").cast("long").alias("page_idx"),
+        content_io.element_field("img_caption").alias("img_caption"), "error")
+
+
+@query
+def discovered_pdfs(spark, sf):
+    """A tree of input files listed by tasks; only names that end in .pdf count."""
+    manifest = view(spark, sf, "fx_manifest")
+    ending = F.when(F.col("file_size") < 600_000, ".PDF").when(F.col("file_size") < 900_000, ".pdf.part").otherwise(".pdf")
+    root = _tree(spark, manifest.select(F.concat(id_prefix("pmid"), F.lit("/"), "pmid", ending).alias("path"), F.col("pmid").alias("body")))
+    found = listings.discover_pdfs(spark, root)
+    return found.select("pmid", F.replace("pdf_path", F.lit(re.sub("^file:/+", "/", root) + "/"), F.lit("")).alias("pdf_path"))
 
 
 @query
@@ -613,6 +676,26 @@ def registry_query(spark, sf):
     )
 
 
+@query
+def registry_tsv(spark, sf):
+    """Free SQL over the registry as tab-separated text, read back."""
+    path = f"{scratch(spark)}/tsv"
+    found = snapshots.query_registry(spark, view(spark, sf, "fx_registry"), "SELECT pmid, status, error_msg, file_size FROM registry")
+    snapshots.write_tsv(found, path)
+    return spark.read.options(header=True, sep="\t").csv(path)
+
+
+@query
+def older_registry(spark, sf):
+    """A registry written before sizes were kept: they are read as NULL, and filled in."""
+    root = f"{scratch(spark)}/registry"
+    view(spark, sf, "fx_registry").drop("file_size").write.parquet(f"{root}/v=1")
+    spark.range(1).selectExpr("1L AS version", "'old' AS note").write.json(f"{root}/published")
+    snapshots.publish_registry(reg.backfill_sizes(snapshots.load_registry(spark, root), view(spark, sf, "fx_listing")), root, "sizes")
+    old, new = (snapshots.load_registry(spark, root, v).select("pmid", F.col("file_size").alias(f"size_{v}")) for v in (1, 2))
+    return old.join(new, "pmid")
+
+
 @query
 def ingest_attempt_stream(spark, sf):
     """Result files taken in as a stream leave the registry that the batch update leaves."""
