@@ -33,7 +33,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from paperledger.llm.frames import as_text, numbers
+from paperledger.llm.frames import as_text
 from paperledger.llm.vectors import whole_vectors
 from paperledger.session import shared_dir
 
@@ -44,7 +44,7 @@ PAGE = 256
 BITS = 2
 POSITIVES = 5
 NEGATIVES = 3
-LOW, HIGH = 50, 95  # percent of a positive's score
+HIGH = 95  # percent of a positive's score; half of it is the least
 
 NONE = np.iinfo(np.int64).min
 LAST = np.iinfo(np.int64).max
