@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from paperledger.operators import attempts as att, audit, chunks, compare, layout, registry as reg
+from paperledger.operators import alignment, attempts as att, audit, chunks, compare, layout, registry as reg
 from tests.compare import duck_rows, spark_rows
 from workload.oracle import ORACLE as SQL
 from workload.queries import REGISTERED
@@ -143,6 +143,16 @@ def test_joins_split_a_hot_key(spark, eager_skew):
         assert n == {"time_by_outcome": 1, "pending_work": 0}.get(name, 90_000), name
 
 
+def test_alignment_splits_a_hot_run(spark, eager_skew):
+    hot = spark.range(0, 60_000, 1, 16).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN '999999' ELSE CAST(100000 + id % 700 AS STRING) END AS pmid", "'vlm' AS backend",
+        "id % 2 AS run", "CAST(id / 2 AS BIGINT) AS seq", "'text' AS type", "'same' AS text")
+    df = alignment.aligned_elements(hot)
+    assert df.filter("op <> 'kept'").count() == 0
+    assert len(df.collect()) == 10_000  # the other documents have one run each
+    assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+
+
 def _shuffle_records(plan):
     """shuffleRecordsWritten of every exchange in an executed adaptive plan."""
     text = plan.toString()

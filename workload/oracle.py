@@ -71,6 +71,30 @@ _LATEX = r"""canon AS (
                      || '$' || split_part(text, '$', 3), 'x{0}^$', '') END AS folded
     FROM fx_runs)"""
 
+# The table of scores row by row, each a list; the numbers of each kind are read off the last score.
+_ALIGNED = """sequences AS (
+    SELECT pmid, backend, run, list({'h': type || chr(31) || text, 'x': x, 'height': height} ORDER BY seq) AS l
+    FROM fx_element_runs GROUP BY pmid, backend, run),
+pairs AS (
+    SELECT *, CAST(least(len(a), len(b)) + 1 AS BIGINT) AS unit
+    FROM (SELECT pmid, backend, run AS run_a, lead(run) OVER runs AS run_b, l AS a, lead(l) OVER runs AS b
+          FROM sequences WINDOW runs AS (PARTITION BY pmid, backend ORDER BY run)) p
+    WHERE run_b IS NOT NULL),
+steps AS (
+    SELECT pmid, backend, run_a, run_b, a, b, unit, 0 AS i, list_transform(range(len(b) + 1), lambda j: CAST(0 AS BIGINT)) AS score FROM pairs
+    UNION ALL
+    SELECT pmid, backend, run_a, run_b, a, b, unit, i + 1, [CAST(0 AS BIGINT)] || list_transform(range(1, len(b) + 1), lambda j: list_max(best[1:j]))
+    FROM (SELECT *, list_transform(range(1, len(b) + 1), lambda j: greatest(score[j + 1], score[j] +
+                 CASE WHEN a[i + 1].h IS DISTINCT FROM b[j].h THEN 1
+                      WHEN (a[i + 1].height IS NULL AND b[j].height IS NULL)
+                        OR (abs(a[i + 1].x - b[j].x) <= 1.0 AND abs(a[i + 1].height - b[j].height) <= 1.0) THEN unit * unit + unit
+                      ELSE unit * unit END)) AS best
+          FROM steps WHERE i < len(a)) s),
+scored AS (
+    SELECT pmid, backend, run_a, run_b, len(a) AS n_a, len(b) AS n_b, score[len(b) + 1] // (unit * unit) AS same,
+           score[len(b) + 1] // unit % unit AS kept, score[len(b) + 1] % unit AS changed
+    FROM steps WHERE i = len(a))"""
+
 _CHUNKS = """numbered AS (SELECT pmid, row_idx, CAST(floor(row_idx / {size}) AS BIGINT) AS chunk_no FROM {rows})
 SELECT chunk_no, 'chunk_' || lpad(CAST(chunk_no AS VARCHAR), 5, '0') AS chunk_id, chunk_no * {size} AS start_index,
        count(*) AS n_docs, arg_min(pmid, row_idx) AS first_id, arg_max(pmid, row_idx) AS last_id
@@ -368,6 +392,9 @@ ORACLE = {
                CAST(bit_xor(CAST('0x' || substr(h, 1, 15) AS BIGINT)) AS VARCHAR),
                CAST(bit_xor(CAST('0x' || substr(h, 16, 15) AS BIGINT)) AS VARCHAR)) AS digest
         FROM hashed GROUP BY pmid, backend""",
+    "run_differences": f"""WITH RECURSIVE {_ALIGNED}
+        SELECT pmid, backend, run_a, run_b, kept, same - kept AS moved, changed, n_a - same - changed AS removed, n_b - same - changed AS inserted
+        FROM scored""",
     "output_consistency": """
         WITH per_digest AS (SELECT pmid, backend, md5(text) AS digest, count(*) AS n FROM fx_runs GROUP BY ALL)
         SELECT pmid, backend, CAST(sum(n) AS BIGINT) AS runs, count(*) AS distinct_digests, max(n) AS largest_group, count(*) = 1 AS consistent

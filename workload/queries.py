@@ -13,7 +13,7 @@ from paperledger.functions.paths import with_output_path
 from paperledger.functions.text import (
     blank_to_null, canonical_latex, id_prefix, local_time, safe_double, size_band, stem,
 )
-from paperledger.operators import attempts as att, audit, chunks, compare, content, layout, registry as reg, usage
+from paperledger.operators import alignment, attempts as att, audit, chunks, compare, content, layout, registry as reg, usage
 from paperledger.operators.extract import extract_documents, outcome_elements, paragraphs
 from paperledger.plans.commands import process_manifest
 from paperledger.schema import FAILED, PENDING, REGISTRY, conform, empty
@@ -517,6 +517,12 @@ def log_attempts(spark, sf):
 @query
 def chunk_nodes(spark, sf):
     return logs.chunk_nodes(view(spark, sf, "fx_logs"))
+@query
+def run_differences(spark, sf):
+    """Elements kept, moved, changed, removed and inserted from each run of a document to the next."""
+    runs = view(spark, sf, "fx_element_runs")
+    boxed = runs.withColumn("bbox", F.array("x", F.lit(0.0), F.col("x") + 5.0, "height"))
+    return alignment.run_differences(alignment.aligned_elements(boxed)).drop("max_drift")
 
 
 # --- content ---------------------------------------------------------------------------

@@ -128,6 +128,15 @@ VIEWS = {
                     WHEN length(text) % 4 = 2 THEN 'Flux of $' || chr(92) || 'mathtt{{{{K}}}} ^ {{{{+}}}}$ here'
                     ELSE 'Flux of $' || chr(92) || 'mathcal{{{{K}}}}$ here, ' || chr(92) || 'mathbf $ 5' END AS text
         FROM {{conversations}}""",
+    # Elements of three runs: the second loses and alters some, the third repeats some and has its boxes a little off.
+    "fx_element_runs": f"""
+        SELECT {_id('conv_id')} AS pmid, CASE conv_id % 3 WHEN 0 THEN 'pipeline' WHEN 1 THEN 'hybrid' END AS backend, run,
+               CAST(turn * 2 + again AS BIGINT) AS seq, role AS type,
+               CASE WHEN run = 1 AND length(text) % 4 = 1 THEN text || '.' ELSE text END AS text,
+               CAST(turn * 10 AS DOUBLE) + CASE WHEN run = 2 THEN CAST(length(text) % 5 AS DOUBLE) * 0.5 ELSE CAST(0 AS DOUBLE) END AS x,
+               CASE WHEN length(text) % 6 > 0 THEN CAST(length(text) AS DOUBLE) END AS height
+        FROM {{conversations}} CROSS JOIN (VALUES (0, 0), (1, 0), (2, 0), (2, 1)) AS v(run, again)
+        WHERE NOT (run = 1 AND length(text) % 4 = 3) AND (again = 0 OR length(text) % 3 = 0)""",
     "fx_logs": """
         SELECT user_id AS chunk_no, event_id AS line_no,
                CASE event_type
@@ -168,7 +177,9 @@ def with_views(sql: str) -> str:
     sql = sql.strip()
     if not ctes:
         return sql
-    head = "WITH " + ",\n".join(ctes)
+    recursive = "RECURSIVE " if sql.startswith("WITH RECURSIVE ") else ""
+    sql = sql.replace("WITH RECURSIVE ", "WITH ", 1) if recursive else sql
+    head = f"WITH {recursive}" + ",\n".join(ctes)
     return f"{head},\n{sql[5:]}" if sql.upper().startswith("WITH ") else f"{head}\n{sql}"
 
 
