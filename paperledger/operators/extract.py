@@ -1,7 +1,8 @@
 """Running a pluggable extractor over documents, one outcome row each.
 
 An extractor is a Python callable `(pmid, source) -> list of element dicts`, `source` being the
-document's path or text. It stands for whatever tool turns a document into a content list.
+document's path or text. It stands for whatever tool turns a document into a content list. Several backends
+work side by side, each with an extractor and task resources of its own.
 """
 
 from __future__ import annotations
@@ -12,12 +13,14 @@ import signal
 import subprocess
 import sys
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
+from dataclasses import dataclass
 from datetime import datetime, timezone
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.resource import ResourceProfile
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from paperledger.functions.text import EXCEPTION_CHARS, STDERR_CHARS
 from paperledger.operators.registry import NO_OUTPUT
@@ -32,6 +35,7 @@ TIMEOUT_SECONDS = 1800  # fixed value
 FLUSH_CHARS = 16_000_000  # text held by a worker before it hands rows on
 ELEMENT_CHARS = 200  # what an element takes besides its text
 DOCUMENTS_PER_TASK = 32
+UNKNOWN_BACKEND = "Unknown backend"
 
 OUTCOME = T.StructType([
     T.StructField("pmid", T.StringType()),
@@ -120,6 +124,24 @@ class _Child:
             self.process = None
 
 
+@dataclass(frozen=True)
+class Backend:
+    """An extractor, and what its tasks and executors need beyond the session's default, as a GPU."""
+
+    extractor: Extractor
+    profile: ResourceProfile | None = None
+
+
+def _has_profiles(spark: SparkSession) -> bool:
+    """Local masters have one kind of executor and refuse a stage that asks for another."""
+    return not spark.sparkContext.master.startswith("local")
+
+
+def tasks_for(n: int, slots: int) -> int:
+    """Tasks for `n` documents: about `DOCUMENTS_PER_TASK` each, and no core idle."""
+    return max(1, min(n, max(slots, n // DOCUMENTS_PER_TASK)))
+
+
 def extract_documents(
     df: DataFrame,
     extractor: Extractor,
@@ -128,6 +150,7 @@ def extract_documents(
     source: str = "pdf_path",
     partitions: int | None = None,
     known_error: str | None = None,
+    profile: ResourceProfile | None = None,
 ) -> DataFrame:
     """`pmid` and `source` in, one outcome row per document out.
 
@@ -136,6 +159,7 @@ def extract_documents(
     extractor is not run at all. Rows are dealt out evenly over `partitions`, so that large
     documents standing together in the input do not end up in one task; by default so that a
     task has about `DOCUMENTS_PER_TASK` of them and no core is idle, for which they are counted.
+    The tasks run on executors of the resource `profile`; a local master, which has none, runs them as they are.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         child = _Child(extractor)
@@ -164,9 +188,43 @@ def extract_documents(
     known = F.col(known_error) if known_error else F.lit(None).cast("string")
     docs = df.select(F.col("pmid").cast("string").alias("pmid"), F.col(source).alias("source"), known.alias("known_error"))
     if partitions is None:
-        n = df.count()
-        partitions = max(1, min(n, max(df.sparkSession.sparkContext.defaultParallelism, n // DOCUMENTS_PER_TASK)))
-    return docs.repartition(partitions).mapInPandas(run, OUTCOME)
+        partitions = tasks_for(df.count(), df.sparkSession.sparkContext.defaultParallelism)
+    profile = profile if _has_profiles(df.sparkSession) else None
+    return docs.repartition(partitions).mapInPandas(run, OUTCOME, profile=profile)
+
+
+def extract_by_backend(
+    df: DataFrame,
+    backends: Mapping[str, Backend],
+    timeout_s: float = TIMEOUT_SECONDS,
+    source: str = "pdf_path",
+    partitions: int | None = None,
+    known_error: str | None = None,
+    backend: str = "backend",
+) -> DataFrame:
+    """As `extract_documents`, each row by the backend that its column `backend` names, with that one's resources.
+
+    The backends' tasks run side by side in one job. `partitions` holds for each; by default they follow from its documents,
+    which one job counts for all. A document whose backend is NULL or none of `backends` fails with a message, its own error
+    before that. No backends at all fail every document.
+    """
+    sizes: dict[str, int] = {}
+    if partitions is None:
+        counted = df.filter(F.col(backend).isin(*backends)).groupBy(backend).count()
+        sizes = {r[0]: r[1] for r in counted.collect()}  # a row for each of `backends`
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    message = F.concat(F.lit(f"{UNKNOWN_BACKEND}: "), F.coalesce(F.col(backend).cast("string"), F.lit("none")))
+    own = F.col(known_error) if known_error else F.lit(None).cast("string")
+    out = df.filter(~F.coalesce(F.col(backend).isin(*backends), F.lit(False))).select(
+        F.col("pmid").cast("string").alias("pmid"), F.lit(FAILED).alias("status"), F.coalesce(own, message).alias("error_msg"),
+        F.lit(None).cast("double").alias("processing_time"), F.localtimestamp().alias("processed_at"),
+        F.col(backend).cast("string").alias("backend"), F.array().cast(T.ArrayType(ELEMENT)).alias("elements"),
+    )
+    for name, chosen in backends.items():
+        tasks = partitions or tasks_for(sizes.get(name, 0), slots)
+        out = out.unionByName(extract_documents(
+            df.filter(F.col(backend) == name), chosen.extractor, name, timeout_s, source, tasks, known_error, chosen.profile))
+    return out
 
 
 def outcome_elements(outcomes: DataFrame) -> DataFrame:

@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from paperledger.functions.paths import bare_path, parent_dir, without_scheme
 from paperledger.functions.text import id_prefix
 from paperledger.operators import registry as ops
 from paperledger.operators.attempts import keep_last, merge_summary, run_summary
 from paperledger.operators.audit import INPUT_MISSING, pending_work, skipped_work
-from paperledger.operators.extract import TIMEOUT_SECONDS, Extractor, extract_documents, outcome_elements
+from paperledger.operators.extract import (
+    TIMEOUT_SECONDS, Backend, Extractor, extract_by_backend, extract_documents, outcome_elements,
+)
 from paperledger.schema import COMPLETED, FAILED, PENDING
 from paperledger.session import shared_dir
 from paperledger.sources.attempts import CHUNK_PATTERN, read_attempts, read_results, write_attempts, write_merged
@@ -90,12 +93,12 @@ class Ledger:
 
     def process(
         self,
-        extractor: Extractor,
+        extractor: Extractor | Mapping[str, Backend],
         out: str,
         run_id: str,
         as_of: datetime,
         input_listing: DataFrame,
-        backend: str = "pipeline",
+        backend: str | Column = "pipeline",
         timeout_s: float = TIMEOUT_SECONDS,
         partitions: int | None = None,
         output_listing: DataFrame | None = None,
@@ -103,12 +106,14 @@ class Ledger:
     ) -> DataFrame:
         """Extract all pending documents, record the attempts, update the registry; return the run's counts.
 
-        Documents that `output_listing` shows an output for are skipped, and counted as such. Outcomes are written before
+        `backend` names the extractor's, or, where several are given, is an expression over the registry that chooses one for
+        each document. Documents that `output_listing` shows an output for are skipped, and counted as such. Outcomes are written before
         anything is made of them, in `batches` parts by a hash of the id; a run started again under its id
         extracts only what no finished part holds. Attempts go to `{out}/attempts`, elements to
         `{out}/elements/run_id=…` by id prefix.
         """
-        pending = self.registry().filter(F.col("status") == PENDING).select("pmid", "pdf_path")
+        chosen = backend if isinstance(backend, Column) else F.lit(backend)
+        pending = self.registry().filter(F.col("status") == PENDING).select("pmid", "pdf_path", chosen.alias("backend"))
         skipped = None
         if output_listing is not None:
             skipped = skipped_work(pending, output_listing)
@@ -119,7 +124,7 @@ class Ledger:
             stored = f"{folder}/batch={batch}"
             if not is_written(self.spark, stored):
                 part = todo.filter(F.pmod(F.xxhash64("pmid"), F.lit(batches)) == batch)
-                done = extract_documents(part, extractor, backend, timeout_s, partitions=partitions, known_error="known_error")
+                done = _extracted(part, extractor, backend, timeout_s, "pdf_path", partitions)
                 done.join(part.select("pmid", "pdf_path"), "pmid", "left").write.mode("overwrite").parquet(stored)
         outcomes = self.spark.read.parquet(folder).drop("batch")
 
@@ -170,19 +175,32 @@ def mark_missing(manifest: DataFrame, input_listing: DataFrame) -> DataFrame:
     return marked.withColumn("known_error", message).drop("listed", "_bare")
 
 
+def _extracted(
+    todo: DataFrame, extractor: Extractor | Mapping[str, Backend], backend: str | Column, timeout_s: float, source: str,
+    partitions: int | None,
+) -> DataFrame:
+    """Outcomes by the one extractor, or by the one that the column `backend` names."""
+    if isinstance(extractor, Mapping):
+        return extract_by_backend(todo, extractor, timeout_s, source, partitions, known_error="known_error")
+    return extract_documents(todo, extractor, backend, timeout_s, source, partitions, known_error="known_error")
+
+
 def process_manifest(
     manifest: DataFrame,
     input_listing: DataFrame,
     output_listing: DataFrame,
-    extractor: Extractor,
-    backend: str = "pipeline",
+    extractor: Extractor | Mapping[str, Backend],
+    backend: str | Column = "pipeline",
     timeout_s: float = TIMEOUT_SECONDS,
     partitions: int | None = None,
     source: str = "pdf_path",
 ) -> DataFrame:
     """Outcomes of the documents that have no output yet; those whose file is not listed fail at once.
 
-    The extractor is given the column `source`: the path, or the text where the manifest carries it.
+    The extractor is given the column `source`: the path, or the text where the manifest carries it. Where several are given,
+    `backend` is an expression over the manifest that chooses one for each document.
     """
     todo = mark_missing(pending_work(manifest, output_listing), input_listing)
-    return extract_documents(todo, extractor, backend, timeout_s, source, partitions, known_error="known_error")
+    if isinstance(extractor, Mapping):
+        todo = todo.withColumn("backend", backend if isinstance(backend, Column) else F.lit(backend))
+    return _extracted(todo, extractor, backend, timeout_s, source, partitions)

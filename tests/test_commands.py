@@ -5,6 +5,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from paperledger.operators.extract import Backend, paragraphs
 from paperledger.plans.commands import Ledger
 from paperledger.sources.attempts import read_attempt_log
 from tests.test_sources import HEADER, put
@@ -39,6 +40,24 @@ def test_process_extracts_once_and_updates(spark, tmp_path):
     assert read_attempt_log_runs(spark, out) == ["run1", "run1", "run1", "run2", "run2"]
 
 
+def test_process_with_two_backends(spark, tmp_path):
+    ledger = Ledger(spark, str(tmp_path / "registry"))
+    ledger.init(put(tmp_path, "m.csv", "pmid,pdf_path\n111111,a\n222222,b\n333333,c\n444444,d\n"), NOW)
+    listing = spark.createDataFrame([("a", 1), ("b", 1), ("d", 1)], "path string, length long")
+    chosen = F.when(F.col("pdf_path") < "b", "pipeline").when(F.col("pdf_path") < "d", "vlm-auto-engine")
+    backends = {"pipeline": Backend(paragraphs), "vlm-auto-engine": Backend(words)}
+    out = str(tmp_path / "out")
+    counts = ledger.process(backends, out, "run1", NOW, listing, backend=chosen, timeout_s=30).first()
+    assert (counts.completed, counts.failed) == (2, 2)
+    got = {r.pmid: (r.status, r.error_msg) for r in ledger.registry().collect()}
+    assert got == {"111111": ("completed", None), "222222": ("completed", None), "333333": ("failed", "PDF file not found: c"),
+                   "444444": ("failed", "Unknown backend: none")}
+    rows = spark.read.parquet(f"{out}/elements/run_id=run1").select("pmid", "backend").distinct().collect()
+    assert {tuple(r) for r in rows} == {("111111", "pipeline"), ("222222", "vlm-auto-engine")}
+    logged = read_attempt_log(spark, f"{out}/attempts").select("pmid", "backend").collect()
+    assert dict(map(tuple, logged)) == {"111111": "pipeline", "222222": "vlm-auto-engine", "333333": "vlm-auto-engine", "444444": None}
+
+
 def test_process_skips_resumes_and_agrees_with_the_audit(spark, tmp_path):
     ledger = Ledger(spark, str(tmp_path / "registry"))
     ledger.init(put(tmp_path, "m.csv", "pmid,pdf_path\n" + "".join(f"{i},p{i}\n" for i in range(111111, 111119))), NOW)

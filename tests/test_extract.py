@@ -6,7 +6,10 @@ import os
 import time
 
 from paperledger.operators.content import page_elements, page_outcomes, text_elements
-from paperledger.operators.extract import extract_documents, outcome_elements, paragraphs, run_tool
+from pyspark.resource import ResourceProfileBuilder, TaskResourceRequests
+
+from paperledger.operators import extract
+from paperledger.operators.extract import Backend, extract_by_backend, extract_documents, outcome_elements, paragraphs, run_tool
 from paperledger.plans.commands import process_manifest
 
 
@@ -37,6 +40,48 @@ def test_outcome_contract(spark):
     out.unpersist()
 
 
+def shouted(pmid, source):
+    return [{"type": "text", "text": source.upper()}]
+
+
+def test_backends_side_by_side(spark):
+    docs = spark.createDataFrame([
+        ("1", "a\nb", "plain", None), ("2", "c", "loud", None), ("3", "d", "other", None), ("4", "e", None, None),
+        ("5", "f", "loud", "gone"), ("6", "g", "other", "gone"),
+    ], "pmid string, pdf_path string, backend string, known string")
+    backends = {"plain": Backend(paragraphs), "loud": Backend(shouted)}
+    out = {r.pmid: r for r in extract_by_backend(docs, backends, known_error="known").collect()}
+    assert {p: (r.backend, r.error_msg, [e.text for e in r.elements]) for p, r in out.items()} == {
+        "1": ("plain", None, ["a", "b"]), "2": ("loud", None, ["C"]), "3": ("other", "Unknown backend: other", []),
+        "4": (None, "Unknown backend: none", []), "5": ("loud", "gone", []), "6": ("other", "gone", []),
+    }
+    assert {r.status for p, r in out.items() if p > "2"} == {"failed"}
+    assert extract_by_backend(docs.filter("false"), backends).count() == 0
+    assert {r.status for r in extract_by_backend(docs, {}).collect()} == {"failed"}
+
+
+def profiles(df):
+    """Ids of the resource profiles in a plan that is not run."""
+    out, todo = [], [df._jdf.queryExecution().analyzed()]
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "MapInPandas":
+            out.append(node.profile().get().id() if node.profile().isDefined() else None)
+        todo.extend(node.children().apply(i) for i in range(node.children().size()))
+    return out
+
+
+def test_backends_ask_for_their_resources(spark, monkeypatch):
+    docs = spark.createDataFrame([("1", "a", "plain"), ("2", "c", "gpu")], "pmid string, pdf_path string, backend string")
+    profile = ResourceProfileBuilder().require(TaskResourceRequests().cpus(2)).build
+    backends = {"plain": Backend(paragraphs), "gpu": Backend(shouted, profile)}
+    assert profiles(extract_by_backend(docs, backends)) == [None, None]  # a local master has no profiles
+    assert {r.status for r in extract_by_backend(docs, backends).collect()} == {"completed"}
+    monkeypatch.setattr(extract, "_has_profiles", lambda spark: True)
+    asked = profiles(extract_by_backend(docs, backends))
+    assert sorted(a is None for a in asked) == [False, True]
+
+
 def test_process_manifest(spark):
     manifest = spark.createDataFrame([("100001", "a"), ("100002", "b"), ("100003", "c")], "pmid string, pdf_path string")
     inputs = spark.createDataFrame([("a", 1), ("b", 1)], "path string, length long")

@@ -475,6 +475,17 @@ ORACLE = {
                CASE WHEN NOT listed THEN 'PDF file not found: ' || pdf_path WHEN n = 0 THEN 'No output files generated' END AS error_msg,
                CASE WHEN listed THEN n ELSE 0 END AS n_elements
         FROM todo""",
+    "processed_by_backend": f"""WITH {_PARSED}, {_EXISTING}, {_LINES},
+        n AS (SELECT doc_id, count(*) AS n FROM kept GROUP BY doc_id),
+        todo AS (SELECT m.pmid, m.pdf_path, m.pdf_path IN (SELECT path FROM fx_listing) AS listed, coalesce(n.n, 0) AS n,
+                        CASE WHEN d.lang = 'de' THEN 'nova-engine' WHEN m.file_size < 3000000 THEN 'pipeline' ELSE 'vlm-auto-engine' END AS backend
+                 FROM fx_manifest m JOIN documents d ON d.doc_id = m.row_idx LEFT JOIN n ON n.doc_id = m.row_idx
+                 WHERE m.pmid NOT IN (SELECT pmid FROM existing)),
+        made AS (SELECT *, CASE WHEN NOT listed OR backend = 'nova-engine' THEN 0 WHEN backend = 'pipeline' THEN n ELSE least(n, 1) END AS elements FROM todo)
+        SELECT pmid, backend, CASE WHEN elements > 0 THEN 'completed' ELSE 'failed' END AS status,
+               CASE WHEN NOT listed THEN 'PDF file not found: ' || pdf_path WHEN backend = 'nova-engine' THEN 'Unknown backend: nova-engine'
+                    WHEN elements = 0 THEN 'No output files generated' END AS error_msg, elements AS n_elements
+        FROM made""",
     "output_by_prefix": "SELECT substr(pmid, 1, 3) AS prefix, count(*) AS n FROM fx_manifest GROUP BY 1",
     "discovered_pdfs": "SELECT pmid, substr(pmid, 1, 3) || '/' || pmid || '.pdf' AS pdf_path FROM fx_manifest WHERE file_size >= 900000",
     "registry_tsv": "SELECT pmid, status, error_msg, CAST(file_size AS VARCHAR) AS file_size FROM fx_registry",

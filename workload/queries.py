@@ -14,7 +14,7 @@ from paperledger.functions.text import (
     blank_to_null, canonical_latex, id_prefix, local_time, safe_double, size_band, stem,
 )
 from paperledger.operators import alignment, attempts as att, audit, chunks, compare, content, layout, registry as reg, usage
-from paperledger.operators.extract import extract_documents, outcome_elements, paragraphs
+from paperledger.operators.extract import Backend, extract_documents, outcome_elements, paragraphs
 from paperledger.plans.commands import process_manifest
 from paperledger.schema import FAILED, PENDING, REGISTRY, conform, empty
 from paperledger.session import shared_dir
@@ -614,6 +614,23 @@ def processed_manifest(spark, sf):
     return outcomes.select("pmid", "status", "error_msg", F.size("elements").cast("long").alias("n_elements"))
 
 
+def _whole(pmid: str, source: str) -> list:
+    return [{"type": "text", "text": source, "page_idx": 0}] if source.strip() else []
+
+
+@query
+def processed_by_backend(spark, sf):
+    """As `processed_manifest`, short documents by one backend and long ones by another; one language has a backend nobody knows."""
+    docs = table(spark, sf, "documents").select(F.expr(DOC).alias("pmid"), "text", "lang")
+    manifest = view(spark, sf, "fx_manifest").join(docs, "pmid")
+    chosen = F.when(F.col("lang") == "de", "nova-engine").when(F.col("file_size") < 3_000_000, "pipeline").otherwise("vlm-auto-engine")
+    outcomes = process_manifest(
+        manifest, view(spark, sf, "fx_listing"), view(spark, sf, "fx_files"),
+        {"pipeline": Backend(paragraphs), "vlm-auto-engine": Backend(_whole)}, chosen, timeout_s=60, partitions=_slots(spark), source="text",
+    )
+    return outcomes.select("pmid", "backend", "status", "error_msg", F.size("elements").cast("long").alias("n_elements"))
+
+
 # --- files, snapshots, streams ---------------------------------------------------------
 
 def _attempt_files(spark, sf, fmt: str = "csv") -> str:
