@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 import os
 import time
 
-from paperledger.operators.content import page_elements, page_outcomes, text_elements
+from paperledger.operators.content import page_elements, page_outcomes, text_elements, unescaped
 from pyspark.resource import ResourceProfileBuilder, TaskResourceRequests
 
 from paperledger.operators import extract
@@ -172,3 +172,37 @@ def test_documents_are_spread_by_default(spark):
     df = spark.createDataFrame([(str(i), "a") for i in range(2000)], "pmid string, pdf_path string").coalesce(1)
     parts = extract_documents(df, paragraphs).select(F.spark_partition_id().alias("p")).distinct().count()
     assert parts > 8
+
+
+@pytest.mark.parametrize("written, text", [
+    ("caf&eacute; &#8217; &#x2019; &#X1F600;", "caf\u00e9 \u2019 \u2019 \U0001f600"),
+    ("&amp;lt; &amp;amp; a&b & c; &nosuch; &", "&lt; &amp; a&b & c; &nosuch; &"),
+    ("&#0; &#xD800; &#x110000; &#99999999999999; &#;", "\ufffd \ufffd \ufffd \ufffd &#;"),
+    ("&#150;&#x80; &NotEqualTilde; &AMP; &lt;b&gt;", "\u2013\u20ac \u2242\u0338 & <b>"),
+    ("&#00000000065;", "A"), ("&#160;&nbsp;&ensp;&#32;", None), ("a&copy b", "a&copy b"),
+])
+def test_character_references(spark, written, text):
+    rows = page_elements(spark.createDataFrame([(1, f"<p>{written}</p>")], "page_id int, html string")).collect()
+    assert [r.text for r in rows] == ([] if text is None else [text])
+
+
+def test_what_is_never_closed_is_no_text(spark):
+    pages = [(1, "<p>a<script>var t = '<p>no</p>'; if (1 < 2)"), (2, "<p>a<style>p {}"), (3, "<p>a<!-- <p>no</p>"), (4, "<p>a<script>x</script><p>b")]
+    df = spark.createDataFrame(pages, "page_id int, html string")
+    assert sorted((r.page_id, r.text) for r in page_elements(df).collect()) == [(1, "a"), (2, "a"), (3, "a"), (4, "a"), (4, "b")]
+
+
+def test_what_else_is_dropped_is_a_parameter(spark):
+    df = spark.createDataFrame([(1, '<p>a</p><div class="ad">x</div><aside>y</aside>')], "page_id int, html string")
+    assert [r.text for r in page_elements(df).collect()] == ["a", "y"]
+    assert [r.text for r in page_elements(df, dropped=()).collect()] == ["a", "x", "y"]
+    assert [r.text for r in page_elements(df, dropped=[r"aside\b.*?</aside>"]).collect()] == ["a", "x"]
+
+
+def test_every_named_reference(spark):
+    from html import unescape
+    from html.entities import html5
+
+    names = [f"x &{name} y" for name in html5 if name.endswith(";")] + [f"&#{i}; &#x{i:x};" for i in range(160, 40_000, 37)]
+    df = spark.createDataFrame([(n,) for n in names], "x string")
+    assert [r[1] for r in df.select("x", unescaped(F.col("x"))).collect()] == [unescape(n) for n in names]
