@@ -128,8 +128,8 @@ joined AS (
            coalesce(string_agg(CASE WHEN tag = 'br' THEN chr(10) WHEN tag = '' AND NOT starts_with(x, '<!') THEN x END, '' ORDER BY i), '') AS raw
     FROM placed GROUP BY page_id, block),
 plain AS (
-    SELECT *, trim(replace(replace(replace(replace(replace(replace(raw, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''),
-                  '&nbsp;', chr(160)), '&amp;', '&'), ' ' || chr(9) || chr(10) || chr(13) || chr(160)) AS text FROM joined),
+    SELECT *, trim(replace(replace(replace(replace(replace(replace(replace(replace(raw, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''),
+                  '&nbsp;', chr(160)), '&copy;', chr(169)), '&middot;', chr(183)), '&amp;', '&'), ' ' || chr(9) || chr(10) || chr(13) || chr(160)) AS text FROM joined),
 elements AS (
     SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY block) - 1 AS seq, nav,
            CASE WHEN nav THEN 'discarded' WHEN tag = 'li' THEN 'list' WHEN tag = 'footer' THEN 'footer' ELSE 'text' END AS type, text
