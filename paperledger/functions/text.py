@@ -22,8 +22,18 @@ GLYPHS = {"✓": "completed", "✗": "failed"}
 STDERR_CHARS, EXCEPTION_CHARS, REPORT_CHARS = 500, 200, 60
 GPU_NAME_CHARS = 24
 LATEX_FONTS = ["mathbb", "mathbf", "mathtt", "mathrm"]
+LATEX_TEXT = ["text", "textrm", "textbf", "textit", "texttt", "mbox", "hbox"]
 # ---------------------------------------------------------------------------
 
+# A text in pieces: maths between `$$`, `$`, `\\(` and `\\)`, `\\[` and `\\]`, then escaped characters, runs of others, and what is left.
+# Possessive repeats need no stack, so formulas may be of any length; a delimiter that is never closed is one piece by itself.
+_PIECES = (
+    r"(?s)\$\$(?:[^\\$]|\\.|\$(?:[^\\$]|\\.))*+\$\$|\$(?:[^\\$]|\\.)++\$"
+    r"|\\\((?:[^\\]|\\[^()])*+\\\)|\\\[(?:[^\\]|\\[^\[\]])*+\\\]|\\.|[^\\$]+|."
+)
+# Maths in pieces: macros with their star, escaped characters, braces, white space, runs of others.
+_TOKENS = r"(?s)\\[A-Za-z]+\*?|\\.|[{}]|[ \t-\r]+|[^\\{} \t-\r]+|."
+
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -114,21 +124,58 @@ def short_gpu_name(c: Column | str) -> Column:
     return truncated(strip(c), GPU_NAME_CHARS)
 
 
+def _folded(maths: Column) -> Column:
+    """Maths with its fonts folded and its spaces dropped, token by token.
+
+    The state holds what is written so far, how many braces deep the machine is in a text, and what came last: a font, a
+    text macro, any other macro, or none of these; and whether white space has come since.
+    """
+    fonts, texts = ([f"\\{name}" for name in names] for names in (LATEX_FONTS, LATEX_TEXT))
+
+    def step(state: Column, token: Column) -> Column:
+        def to(out: Column, deep: Column | int, last: Column | str, spaced: bool) -> Column:
+            # A plain number or text here is a literal.
+            return F.struct(out.alias("out"), (deep if isinstance(deep, Column) else F.lit(deep)).alias("deep"),
+                            (last if isinstance(last, Column) else F.lit(last)).alias("last"), F.lit(spaced).alias("spaced"))
+
+        out, deep, last = state["out"], state["deep"], state["last"]
+        inside = to(F.concat(out, token), deep + F.when(token == "{", 1).when(token == "}", -1).otherwise(0), "", False)
+        space = F.struct(out.alias("out"), deep.alias("deep"), last.alias("last"), F.lit(True).alias("spaced"))
+        written = (
+            F.when(token.isin(fonts), "\\mathrm")
+            # Without braces a font holds for one character.
+            .when((last == "font") & token.rlike("^[A-Za-z0-9]"), F.concat(F.lit("{"), F.left(token, F.lit(1)), F.lit("}"), F.substr(token, F.lit(2))))
+            # A macro and a letter behind it would become another macro.
+            .when(last.isin("macro", "text") & state["spaced"] & token.rlike("^[A-Za-z]"), F.concat(F.lit(" "), token))
+            .otherwise(token)
+        )
+        kind = F.when(token.isin(fonts), "font").when(token.isin(texts), "text").when(token.rlike(r"^\\[A-Za-z]"), "macro").otherwise("")
+        outside = to(F.concat(out, written), F.when((token == "{") & (last == "text"), 1).otherwise(0), kind, False)
+        return F.when(deep > 0, inside).when(token.rlike(r"^[ \t-\r]"), space).otherwise(outside)
+
+    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("deep"), F.lit("").alias("last"), F.lit(False).alias("spaced"))
+    return F.aggregate(F.regexp_extract_all(maths, F.lit(_TOKENS), F.lit(0)), start, step, lambda state: state["out"])
+
+
 def canonical_latex(c: Column | str) -> Column:
-    """Text with the font macros folded and spaces dropped inside `$…$`; the rest is untouched.
+    """Text with the font macros folded and spaces dropped in its maths; the rest is untouched.
 
-    Splitting on `$` puts maths at the odd positions; a last unpaired `$` opens no maths.
+    Maths stands between `$`, `$$`, `\\(` and `\\)`, or `\\[` and `\\]`; an escaped `\\$` and a delimiter without its mate open none. A
+    font macro without braces holds for the next letter or digit, which gets braces. Within the braces of `\\text` and its like
+    nothing changes; one space stays where a macro would grow into the letter behind it. Dollar signs in such braces are
+    known inside `$$` and brackets, not inside `$`. The time of a formula grows with the square of its length.
     """
-    parts = F.split(_col(c), r"\$", -1)
-    fonts = r"\\(?:" + "|".join(LATEX_FONTS) + r")(?![A-Za-z])"
+    text = _col(c)
 
-    def fold(part: Column, i: Column) -> Column:
-        maths = (i % 2 == 1) & (i < F.size(parts) - 1)
-        return F.when(
-            maths, F.regexp_replace(F.regexp_replace(part, fonts, r"\\mathrm"), r"\s+", "")
-        ).otherwise(part)
+    def fold(piece: Column) -> Column:
+        n = F.length(piece)
+        wide = (n >= 4) & (piece.startswith("$$") | piece.startswith("\\(") | piece.startswith("\\["))
+        edge = F.when(wide, 2).when((n >= 3) & piece.startswith("$"), 1)
+        return F.when(edge.isNull(), piece).otherwise(
+            F.concat(F.left(piece, edge), _folded(F.substr(piece, edge + 1, n - 2 * edge)), F.right(piece, edge)))
 
-    return F.array_join(F.transform(parts, fold), "$")
+    pieces = F.regexp_extract_all(text, F.lit(_PIECES), F.lit(0))
+    return F.when(text.rlike(r"\$|\\[(\[]"), F.array_join(F.transform(pieces, fold), "")).otherwise(text)
 
 
 def markdown_lines(c: Column | str) -> Column:

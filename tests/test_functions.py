@@ -74,6 +74,28 @@ def test_canonical_latex(spark):
     ]
 
 
+@pytest.mark.parametrize("written, folded", [
+    (r"$$\mathbf { K }$$ $ a $", r"$$\mathrm{K}$$ $a$"),
+    (r"\(\mathtt { x }\) and \[ a + b \] and ( a )", r"\(\mathrm{x}\) and \[a+b\] and ( a )"),
+    (r"\$5 or \$6, $ x \$ y $", r"\$5 or \$6, $x\$y$"),
+    (r"$\mathbf{\mathbb { K } _ 1}$", r"$\mathrm{\mathrm{K}_1}$"),
+    (r"$\mathbf Kx \mathbb 2 \mathtt \alpha$", r"$\mathrm{K}x\mathrm{2}\mathrm\alpha$"),
+    (r"$\operatorname * { a } \alpha b \alpha 1 \, c$", r"$\operatorname*{a}\alpha b\alpha1\,c$"),
+    (r"$a \text { if  { x y } \} } b \text c$", r"$a\text{ if  { x y } \} }b\text c$"),
+    (r"$$a \text{ if $x y$ } b$$", r"$$a\text{ if $x y$ }b$$"),
+    (r"\( a \( b \) c", r"\( a \(b\) c"), (r"\\( a \)", r"\\( a \)"), ("$$ a b", "$$ a b"), ("$$$$ a $", "$$$$ a $"),
+    ("a $ x\n y $ z", "a $xy$ z"), ("$} { x$", "$}{x$"), ("a\\", "a\\"), ("", ""), (None, None),
+])
+def test_latex_grammar(spark, written, folded):
+    assert values(spark, [written], text.canonical_latex("x")) == [folded]
+
+
+def test_long_formulas(spark):
+    plain, maths = "x y " * 200_000, "$" + "a b " * 5_000 + "$"
+    rows = [plain, f"$ {plain}", maths, "\\( " * 50_000]
+    assert values(spark, rows, text.canonical_latex("x")) == [plain, f"$ {plain}", "$" + "ab" * 5_000 + "$", "\\( " * 50_000]
+
+
 @pytest.mark.parametrize("path, root, pmid, layout, subdir, file, dest", [
     ("out/123/123456/auto/f.json", "out", "123456", "canonical", "auto", "f.json", "out/123/123456/auto/f.json"),
     ("/a/out/123/123456/123456/auto/f.json", "/a/out", "123456", "nested", "auto", "f.json", "/a/out/123/123456/auto/f.json"),

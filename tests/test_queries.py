@@ -1,13 +1,17 @@
 """Registered queries against their SQL, and the plans they get."""
 
+import random
+
 import duckdb
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from paperledger.functions.text import canonical_latex
 from paperledger.operators import alignment, attempts as att, audit, chunks, compare, layout, registry as reg
 from tests.compare import duck_rows, spark_rows
-from workload.oracle import ORACLE as SQL
+from workload.oracle import _LATEX, ORACLE as SQL
 from workload.queries import REGISTERED
 from workload.views import TABLES, VIEWS, view, with_views
 
@@ -33,6 +37,19 @@ def test_query(spark, duck, name):
     assert spark_rows(QUERIES[name](spark, SF)) == duck_rows(duck, ORACLE[name])
 
 
+def test_latex_on_any_text(spark):
+    rng = random.Random(5)
+    parts = ["$", "$", "$$", "\\(", "\\)", "\\[", "\\]", "\\$", "\\\\", "{", "}", " ", "\n", "a", "K2", "*", "\\mathbf", "\\text", "\\alpha", "\\", "\u00e9\U0001f600"]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(30))) for _ in range(4000)]
+    rows = [(str(i), "vlm", 0, t) for i, t in enumerate(texts)]
+    con = duckdb.connect()
+    con.register("fx_runs", pd.DataFrame(rows, columns=["pmid", "backend", "run", "text"]))
+    want = dict(con.execute(f"WITH {_LATEX} SELECT pmid, folded FROM canon").fetchall())
+    df = spark.createDataFrame(rows, "pmid string, backend string, run int, text string")
+    got = {r[0]: r[1] for r in df.select("pmid", canonical_latex("text")).collect()}
+    assert got == want and sum(got[i] != t for i, _, _, t in rows) > 500
+
+
 def test_every_sql_has_a_query():
     assert set(ORACLE) == set(QUERIES)
 

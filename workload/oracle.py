@@ -63,13 +63,37 @@ _PAIRS = """flags AS (
     FROM (SELECT DISTINCT pmid FROM fx_attempts WHERE status = 'completed') a
     FULL OUTER JOIN fx_outputs o ON a.pmid = o.pmid)"""
 
-_LATEX = r"""canon AS (
-    SELECT pmid, backend, run, text,
-           CASE WHEN text LIKE '%mathcal%' THEN text
-                ELSE regexp_replace(split_part(text, '$', 1) || '$' ||
-                     regexp_replace(regexp_replace(split_part(text, '$', 2), '\\(mathbb|mathbf|mathtt|mathrm)\b', '\\mathrm', 'g'), '\s', '', 'g')
-                     || '$' || split_part(text, '$', 3), 'x{0}^$', '') END AS folded
-    FROM fx_runs)"""
+# Token by token: `o` is written so far, `deep` the braces within a text macro, `k` the kind of the last token, `w` white space since.
+_LATEX = r"""pieces AS (
+    SELECT pmid, backend, run, unnest(l) AS p, generate_subscripts(l, 1) AS i
+    FROM (SELECT pmid, backend, run, regexp_extract_all(text, '(?s)\$\$(?:[^\\$]|\\.|\$(?:[^\\$]|\\.))*\$\$|\$(?:[^\\$]|\\.)+\$|\\\((?:[^\\]|\\[^()])*\\\)|\\\[(?:[^\\]|\\[^\[\]])*\\\]|\\.|[^\\$]+|.') AS l
+          FROM fx_runs) t),
+edges AS (
+    SELECT *, CASE WHEN length(p) >= 4 AND left(p, 2) IN ('$$', '\(', '\[') THEN 2 WHEN length(p) >= 3 AND left(p, 1) = '$' THEN 1 ELSE 0 END AS e FROM pieces),
+tokens AS (
+    SELECT pmid, backend, run, i, p, e,
+           list_transform(regexp_extract_all(substr(p, e + 1, length(p) - 2 * e), '(?s)\\[A-Za-z]+\*?|\\.|[{}]|[ \t-\r]+|[^\\{} \t-\r]+|.'), lambda x: {
+               'o': x, 'deep': 0, 'w': regexp_matches(x, '^[ \t-\r]'),
+               'k': CASE WHEN x IN ('\mathbb', '\mathbf', '\mathtt', '\mathrm') THEN 'font'
+                         WHEN x IN ('\text', '\textrm', '\textbf', '\textit', '\texttt', '\mbox', '\hbox') THEN 'text'
+                         WHEN regexp_matches(x, '^\\[A-Za-z]') THEN 'macro' ELSE '' END}) AS ts
+    FROM edges WHERE e > 0),
+folded AS (
+    SELECT pmid, backend, run, i, left(p, e) || list_reduce(ts, lambda a, x:
+        CASE WHEN a.deep > 0 THEN {'o': a.o || x.o, 'deep': a.deep + CASE x.o WHEN '{' THEN 1 WHEN '}' THEN -1 ELSE 0 END, 'w': false, 'k': ''}
+             WHEN x.w THEN {'o': a.o, 'deep': 0, 'w': true, 'k': a.k}
+             ELSE {'o': a.o || CASE WHEN x.k = 'font' THEN '\mathrm'
+                                    WHEN a.k = 'font' AND regexp_matches(x.o, '^[A-Za-z0-9]') THEN '{' || left(x.o, 1) || '}' || substr(x.o, 2)
+                                    WHEN a.k IN ('macro', 'text') AND a.w AND regexp_matches(x.o, '^[A-Za-z]') THEN ' ' || x.o ELSE x.o END,
+                   'deep': CASE WHEN x.o = '{' AND a.k = 'text' THEN 1 ELSE 0 END, 'w': false, 'k': x.k} END,
+        {'o': '', 'deep': 0, 'w': false, 'k': ''}).o || right(p, e) AS f
+    FROM tokens),
+canon AS (
+    SELECT r.pmid, r.backend, r.run, r.text, coalesce(c.folded, r.text) AS folded
+    FROM fx_runs r LEFT JOIN (
+        SELECT p.pmid, p.backend, p.run, string_agg(coalesce(f.f, p.p), '' ORDER BY p.i) AS folded
+        FROM pieces p LEFT JOIN folded f ON f.pmid = p.pmid AND f.run = p.run AND f.i = p.i GROUP BY p.pmid, p.backend, p.run
+    ) c ON c.pmid = r.pmid AND c.run = r.run)"""
 
 # The table of scores row by row, each a list; the numbers of each kind are read off the last score.
 _ALIGNED = """sequences AS (

@@ -118,16 +118,22 @@ VIEWS = {
                text, turn % 3 AS page_idx,
                CASE conv_id % 5 WHEN 0 THEN 'pipeline' WHEN 1 THEN 'hybrid-auto-engine' WHEN 2 THEN 'vlm' WHEN 3 THEN 'nova-engine' END AS backend
         FROM {{conversations}}""",
-    # One document run again and again: a formula set in several ways, one of them truly different.
+    # Each text run four times, with formulas at its commas: set in several ways, in some runs truly different ones, between all
+    # kinds of delimiters; where sentences begin with a dollar sign, prose gets between them.
     "fx_runs": f"""
-        SELECT {_id('conv_id')} AS pmid,
-               CASE conv_id % 3 WHEN 0 THEN 'pipeline' WHEN 1 THEN 'hybrid' ELSE 'vlm' END AS backend, turn AS run,
-               CASE WHEN turn % 3 = 2 THEN replace(text, '$', ' ') ELSE '' END ||
-               CASE WHEN length(text) % 4 = 0 THEN 'Flux of $' || chr(92) || 'mathbb {{{{ K }}}} ^ {{{{ + }}}}$ here'
-                    WHEN length(text) % 4 = 1 THEN 'Flux of $' || chr(92) || 'mathrm{{{{K}}}}^{{{{+}}}}$ here'
-                    WHEN length(text) % 4 = 2 THEN 'Flux of $' || chr(92) || 'mathtt{{{{K}}}} ^ {{{{+}}}}$ here'
-                    ELSE 'Flux of $' || chr(92) || 'mathcal{{{{K}}}}$ here, ' || chr(92) || 'mathbf $ 5' END AS text
-        FROM {{conversations}}""",
+        SELECT pmid, backend, run,
+               CASE WHEN n % 7 = 0 THEN replace(replace(text, ', ', formula), '. ', '. $') ELSE replace(text, ', ', formula) END AS text
+        FROM (SELECT pmid, backend, run, n, text,
+                     CASE n % 5 WHEN 0 THEN ' $' || k || '$ ' WHEN 1 THEN ' $$' || k || '$$ '
+                                WHEN 2 THEN ' ' || chr(92) || '(' || k || chr(92) || ') ' WHEN 3 THEN ' ' || chr(92) || '[' || k || chr(92) || '] '
+                                ELSE ' ' || chr(92) || '$5 $' || chr(92) || 'text {{{{in  {{{{x y}}}} }}}} ' || k || chr(92) || 'operatorname * {{{{a}}}} ' ||
+                                     chr(92) || 'alpha b$ ' END AS formula
+              FROM (SELECT {_id('conv_id * 100 + turn')} AS pmid, text, length(text) AS n, run,
+                           CASE conv_id % 3 WHEN 0 THEN 'pipeline' WHEN 1 THEN 'hybrid' ELSE 'vlm' END AS backend,
+                           chr(92) || CASE WHEN run = 0 THEN 'mathbf {{{{ K }}}} ^ {{{{ + }}}}' WHEN run = 1 THEN 'mathrm{{{{K}}}}^{{{{+}}}}'
+                                           WHEN run = 2 THEN 'mathtt K^{{{{+}}}}' WHEN length(text) % 3 = 0 THEN 'mathcal{{{{K}}}}^{{{{+}}}}'
+                                           ELSE 'mathbb{{{{ K }}}}^{{{{+}}}}' END AS k
+                    FROM {{conversations}} CROSS JOIN (VALUES (0), (1), (2), (3)) AS v(run)) t) s""",
     # Elements of three runs: the second loses and alters some, the third repeats some and has its boxes a little off.
     "fx_element_runs": f"""
         SELECT {_id('conv_id')} AS pmid, CASE conv_id % 3 WHEN 0 THEN 'pipeline' WHEN 1 THEN 'hybrid' END AS backend, run,
