@@ -30,7 +30,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from paperledger.llm.components import components
+from paperledger.llm.components import apart, components
 from paperledger.llm.frames import as_text, numbers
 from paperledger.session import shared_dir
 
@@ -392,5 +392,5 @@ def _rows(docs: DataFrame, words: int, percent: int, tile: int, block: int, ofte
     rooted = classes.join(components(links).withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     least = [F.min("least").alias("least")] if keyed else []
     component = rooted.groupBy("root").agg(F.min("first").alias("component"), *least)
-    rooted = rooted.select("cls", "root").join(component, "root").drop("root")
+    rooted = rooted.select("cls", "root").join(apart(component, "root"), "root").drop("root")
     return rows.join(rooted, "cls", "left")

@@ -7,7 +7,7 @@ from hypothesis import given, strategies as st
 from pyspark.sql import functions as F
 
 from paperledger.llm import jaccard as j
-from paperledger.llm.components import components
+from paperledger.llm.components import apart, components
 
 
 def shingle_set(text):
@@ -108,3 +108,24 @@ def test_forest_spans_what_is_connected(n, seed):
 
     assert joined(found.tolist()) == joined(np.argwhere(m > 0).tolist())
     assert len(found) == n - len({tuple(x) for x in joined(found.tolist())}) and all((m + m.T)[a, b] > 0 for a, b in found)
+
+
+def test_a_hub_is_split(spark):
+    conf = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        links = spark.range(0, 60_000, 1, 16).selectExpr("CASE WHEN id % 3 > 0 THEN 7 ELSE id + 100000 END AS a", "id + 1000000 AS b")
+        least = links.groupBy("a").agg(F.min("b").alias("least"))
+        df = links.join(apart(least, "a"), "a")
+        assert len(df.collect()) == 60_000
+        assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+        found = components(links)
+        assert found.filter("node = 7 AND root = 7").count() == 1 and found.filter("root = 7").count() == 40_001
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
