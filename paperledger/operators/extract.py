@@ -32,7 +32,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 Extractor = Callable[[str, str], list]
 
 TIMEOUT_SECONDS = 1800  # fixed value
-FLUSH_CHARS = 16_000_000  # text held by a worker before it hands rows on
+FLUSH_CHARS = 1_000_000  # text held by a worker before it hands rows on
 ELEMENT_CHARS = 200  # what an element takes besides its text
 DOCUMENTS_PER_TASK = 32
 UNKNOWN_BACKEND = "Unknown backend"
@@ -96,13 +96,17 @@ class _Child:
         self.extractor = extractor
         self.process = None
 
-    def run(self, pmid: str, source: str, timeout_s: float):
+    def start(self) -> None:
+        """Before rows are read, so that the process does not keep the memory that they were in."""
         if self.process is None:
             ctx = mp.get_context("fork")
             self.pipe, theirs = ctx.Pipe()
             self.process = ctx.Process(target=_serve, args=(self.extractor, theirs))
             self.process.start()
             theirs.close()
+
+    def run(self, pmid: str, source: str, timeout_s: float):
+        self.start()
         try:
             self.pipe.send((pmid, source))
             if not self.pipe.poll(timeout_s):
@@ -163,6 +167,7 @@ def extract_documents(
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         child = _Child(extractor)
+        child.start()
         try:
             for batch in batches:
                 rows, chars = [], 0

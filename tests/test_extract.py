@@ -1,6 +1,7 @@
 import os
 import subprocess
 import pytest
+import pandas as pd
 from pyspark.sql import functions as F
 import os
 import time
@@ -206,3 +207,25 @@ def test_every_named_reference(spark):
     names = [f"x &{name} y" for name in html5 if name.endswith(";")] + [f"&#{i}; &#x{i:x};" for i in range(160, 40_000, 37)]
     df = spark.createDataFrame([(n,) for n in names], "x string")
     assert [r[1] for r in df.select("x", unescaped(F.col("x"))).collect()] == [unescape(n) for n in names]
+
+
+def test_rows_are_handed_on_by_their_text(spark):
+    batches = []
+
+    class Given:
+        sparkSession = spark
+
+        def select(self, *_):
+            return self
+
+        def repartition(self, _):
+            return self
+
+        def mapInPandas(self, run, *_, **__):
+            batches.append(run)
+            return self
+
+    extract_documents(Given(), paragraphs, source="text", partitions=1)
+    given = pd.DataFrame([(str(i), "line\n" * 1000, None) for i in range(60)], columns=["pmid", "source", "known_error"])
+    sizes = [len(b) for b in batches[0](iter([given]))]
+    assert sum(sizes) == 60 and len(sizes) > 10
