@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from paperledger.session import shared_dir
+from paperledger.session import stored
 
 
 def _both(links: DataFrame) -> DataFrame:
@@ -30,20 +30,24 @@ def _stars(links: DataFrame) -> DataFrame:
     return moved.unionByName(least.withColumnRenamed("root", "b")).distinct()
 
 
+def _is_stars(links: DataFrame) -> bool:
+    """True if every node has one link to a smaller one at most, and then none to it: a further round would change nothing."""
+    ends = links.select(F.col("a").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up")).unionByName(
+        links.select(F.col("b").alias("node"), F.lit(0).alias("down"), F.lit(1).alias("up")))
+    nodes = ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return not nodes.agg(F.max((F.col("down") > 1) | ((F.col("down") > 0) & (F.col("up") > 0)))).first()[0]
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, root for each node of the links (a, b): root is the smallest node of its component.
 
     Alternating stars need a number of rounds that grows with the logarithm of the nodes. No group is collected: each
-    star is a minimum, combined before the shuffle, and a join that can be split where a hub has many links. Rounds are cut by checkpoints.
+    star is a minimum, combined before the shuffle, and a join that can be split where a hub has many links. Each round is
+    written to the shared folder, so that plans stay short.
     """
-    shared_dir(links.sparkSession)
-    links = links.filter("a <> b").select("a", "b").checkpoint()
-    state = None
-    while True:
-        found = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if found == state:
-            break
-        state = found
-        links = _stars(links).checkpoint()
+    links = links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    links = stored(links)
+    while not _is_stars(links):
+        links = stored(_stars(links))
     roots = links.select(F.col("b").alias("node")).distinct().withColumn("root", F.col("node"))
     return links.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)

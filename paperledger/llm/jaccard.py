@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from paperledger.llm.components import apart, components
 from paperledger.llm.frames import as_text, numbers
-from paperledger.session import shared_dir
+from paperledger.session import stored
 
 WORDS = 5
 PERCENT = 80
@@ -43,6 +43,8 @@ OFTEN_SHARE = 2000
 OFTEN_LEAST = 3
 ROWS = 1000
 PICKED = 1_000_000
+SIZE_BITS = 16
+TOKEN_BITS = 40
 
 _BASE = 0x9E3779B97F4A7C15
 
@@ -102,6 +104,14 @@ def prefix(hashes: np.ndarray, often: np.ndarray, rank: np.ndarray, percent: int
     return np.concatenate((first, hashes[known][rest]))
 
 
+def places(tokens: np.ndarray, n: int) -> np.ndarray:
+    """Tokens and their set's size in one number, to shuffle few bytes: 40 bits of the hash, then the size up to 65,535.
+
+    Both only choose what is compared: sets may meet by hashes that differ, and large sizes pass for alike.
+    """
+    return (tokens >> np.uint64(64 - TOKEN_BITS) << np.uint64(SIZE_BITS) | np.uint64(min(n, (1 << SIZE_BITS) - 1))).view(np.int64)
+
+
 def _nibbles(counts: np.ndarray) -> np.ndarray:
     """A bucket's count, up to four, as that many bits; two buckets in a byte."""
     bits = ((1 << np.minimum(counts, 4)) - 1).astype(np.uint8)
@@ -254,9 +264,9 @@ def verified(likely: DataFrame, docs: DataFrame, classes: DataFrame, words: int,
                 keep.append(known and alike(len(np.intersect1d(p, q, assume_unique=True)), len(p), len(q), percent))
             yield x.loc[np.array(keep, bool), ["a", "b"]]
 
-    likely = likely.checkpoint()
+    likely = stored(likely)
     needed_ = likely.select(F.col("a").alias("cls")).unionByName(likely.select(F.col("b").alias("cls"))).distinct()
-    texts = _texts(docs, classes.join(needed_, "cls").select("cls", "first").checkpoint(), words, picked)
+    texts = _texts(docs, stored(classes.join(needed_, "cls").select("cls", "first")), words, picked)
     left, right = texts.withColumnRenamed("cls", "a"), texts.withColumnsRenamed({"cls": "b", "text": "text2"})
     return likely.join(left, "a").join(right, "b").mapInPandas(by_arrays, "a long, b long").distinct()
 
@@ -268,7 +278,8 @@ def _band(n: Column, percent: int) -> Column:
 
 def _small_pairs(small: DataFrame, tile: int, percent: int) -> DataFrame:
     """All pairs of each tile whose sizes allow it; the tiles have `tile` classes at most."""
-    lists = small.groupBy("token").agg(F.sort_array(F.collect_list(F.struct("n", "cls"))).alias("of"))
+    # Dealt out as rows: lists of one, as the aggregate makes them before a shuffle, are three times as large.
+    lists = small.repartition("token").groupBy("token").agg(F.sort_array(F.collect_list(F.struct("n", "cls"))).alias("of"))
 
     def partners(x: Column, i: Column) -> Column:
         larger = F.filter(F.slice(F.col("of"), i + 2, F.lit(tile)), lambda y: 100 * x["n"] >= percent * y["n"])
@@ -289,7 +300,7 @@ def _block_pairs(large: DataFrame, signatures: DataFrame, roots: DataFrame | Non
         rows = large.join(roots, large["cls"] == roots["node"], "left").withColumn("root", F.coalesce("root", "cls")).drop("node")
         apart = rows.groupBy("token").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 <> r2").select("token")
         rows = rows.join(apart, "token")
-    rows = rows.join(signatures.select("cls", "bits"), "cls")
+    rows = rows.drop("n").join(signatures.select("cls", "n", "bits"), "cls")
     rows = rows.withColumn("own", _band(F.col("n"), percent)).withColumn("parts", F.ceil(F.col("c") / block).cast("int"))
     rows = rows.withColumn("part", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int"))
     rows = rows.withColumn("band", F.explode(F.array(F.col("own"), F.col("own") - 1)))
@@ -359,37 +370,41 @@ def first_rows(docs: DataFrame) -> DataFrame:
 def _rows(docs: DataFrame, words: int, percent: int, tile: int, block: int, often: int, picked: int) -> DataFrame:
     """doc_id, n and component for each row of docs (doc_id, text); with a column `_key` in docs also that and `least`."""
     keyed = "_key" in docs.columns
-    shared_dir(docs.sparkSession)
-    keys = _keys(docs, words).checkpoint()
-    frequent = keys.filter("kind = 1").groupBy("cls").agg(F.sum("n").alias("c")).orderBy(F.desc("c"), "cls").limit(often).toPandas()
+    keys = stored(_keys(docs, words))
+    frequent = keys.filter("kind = 1").groupBy("cls").agg(F.sum("n").alias("c")).orderBy(F.desc("c"), "cls").limit(often)
+    frequent = frequent.toArrow().to_pandas()
     frequent = frequent.iloc[np.argsort(frequent["cls"].to_numpy().view(np.uint64), kind="stable")]
     given = docs.sparkSession.sparkContext.broadcast((frequent["cls"].to_numpy().view(np.uint64), frequent["c"].to_numpy()))
     rows = keys.filter("kind = 0").drop("kind")
     row = [F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_key")).alias("least")] if keyed else []
     classes = rows.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("first"), *row)
 
-    tokens = _per_class(docs, words, lambda s: prefix(s, *given.value, percent).view(np.int64), "array<long>")
-    tokens = tokens.select("cls", "n", F.explode("what").alias("token")).repartition("token")
+    tokens = _per_class(docs, words, lambda s: places(prefix(s, *given.value, percent), len(s)), "array<long>")
+    token = F.shiftright("place", SIZE_BITS)
+    tokens = tokens.select("cls", F.explode("what").alias("place")).repartition(token)
+    tokens = tokens.select("cls", F.col("place").bitwiseAND((1 << SIZE_BITS) - 1).alias("n"), token.alias("token"))
     # A window rather than an aggregate joined back: the tokens, most of them of one class only, are shuffled once.
     of_token = Window.partitionBy("token")
     met = tokens.withColumn("c1", F.min("cls").over(of_token)).withColumn("c2", F.max("cls").over(of_token))
     met = met.filter("c1 <> c2").select("token", "cls", "n").dropDuplicates(["token", "cls"])
-    met = met.withColumn("c", F.count(F.lit(1)).over(of_token)).checkpoint()
+    met = stored(met.withColumn("c", F.count(F.lit(1)).over(of_token)))
     small, large = met.filter(F.col("c") <= tile), met.filter(F.col("c") > tile)
     signatures = _per_class(docs, words, lambda s: bitmap(s).tobytes(), "binary").withColumnRenamed("what", "bits")
     meeting = met.groupBy("cls").agg((F.max("c") > tile).alias("in_large"), (F.min("c") <= tile).alias("in_small"))
-    signatures = signatures.join(meeting, "cls").dropDuplicates(["cls"]).checkpoint()
+    signatures = stored(signatures.join(meeting, "cls").dropDuplicates(["cls"]))
 
     likely = likely_pairs(_small_pairs(small, tile, percent), signatures.filter("in_small"), percent)
     any_large = not large.isEmpty()
     if any_large:
         likely = likely.unionByName(_block_pairs(large, signatures.filter("in_large"), None, block, percent)).distinct()
-    links = verified(likely, docs, classes, words, percent, picked).checkpoint()
+    roots = components(verified(likely, docs, classes, words, percent, picked))
     if any_large:
-        rest = _block_pairs(large, signatures.filter("in_large"), components(links), block, percent)
-        links = links.unionByName(verified(rest, docs, classes, words, percent, picked)).checkpoint()
+        rest = _block_pairs(large, signatures.filter("in_large"), roots, block, percent)
+        rest = stored(verified(rest, docs, classes, words, percent, picked))
+        if not rest.isEmpty():
+            roots = components(rest.unionByName(roots.toDF("a", "b")))
 
-    rooted = classes.join(components(links).withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    rooted = classes.join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     least = [F.min("least").alias("least")] if keyed else []
     component = rooted.groupBy("root").agg(F.min("first").alias("component"), *least)
     rooted = rooted.select("cls", "root").join(apart(component, "root"), "root").drop("root")

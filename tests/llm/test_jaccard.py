@@ -6,6 +6,7 @@ import pytest
 from hypothesis import given, strategies as st
 from pyspark.sql import functions as F
 
+from paperledger.llm import components as components_
 from paperledger.llm import jaccard as j
 from paperledger.llm.components import apart, components
 
@@ -129,3 +130,23 @@ def test_a_hub_is_split(spark):
     finally:
         for k in conf:
             spark.conf.unset(k)
+
+
+def test_stars_need_no_round(spark, monkeypatch):
+    rounds = []
+    monkeypatch.setattr(components_, "_stars", lambda links, go=components_._stars: rounds.append(1) or go(links))
+
+    def roots(*links):
+        found = components_.components(spark.createDataFrame(links, "a long, b long"))
+        return sorted(map(tuple, found.collect()))
+
+    assert roots((5, 1), (1, 3), (7, 6), (2, 2)) == [(1, 1), (3, 1), (5, 1), (6, 6), (7, 6)] and not rounds
+    assert roots((5, 4), (4, 3), (3, 1), (5, 4)) == [(1, 1), (3, 1), (4, 1), (5, 1)] and rounds
+
+
+def test_places_keep_order_of_sizes():
+    tokens = np.array([0, 1 << 24, (1 << 64) - 1], np.uint64)
+    for n in (1, 65_535, 65_536, 10 ** 7):
+        found = j.places(tokens, n)
+        assert (found >> j.SIZE_BITS).tolist() == [0, 1, (1 << 40) - 1]
+        assert (found & 65_535).tolist() == [min(n, 65_535)] * 3
