@@ -17,7 +17,7 @@ from paperledger.llm.packing import best_fit_packing
 from paperledger.llm.pii import replace_entities
 from paperledger.llm.quality import quality
 from paperledger.llm.queries import table
-from paperledger.session import shared_dir
+from paperledger.session import shared_dir, stored
 
 # Hashes, patterns and searches of the stages have no SQL counterpart; tests/llm/test_pipeline.py compares by brute force.
 ORACLE_SQL = None
@@ -43,7 +43,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Texts without words are like no other; such rows stay, those with one doc_id once. An empty table gives no rows.
     """
     key = ["doc_id", "_key"]
-    found = first_rows(docs).filter("doc_id IS NOT NULL").checkpoint()
+    found = stored(first_rows(docs).filter("doc_id IS NOT NULL"))
     gone = found.filter("doc_id <> first.doc_id OR _key <> first._key").select(key).distinct()
     again = found.groupBy(key).count().filter("count > 1").select(key)
 
